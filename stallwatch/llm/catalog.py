@@ -5,13 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stallwatch.llm import oracle
+from stallwatch.llm.decontamination import contaminated, find_contamination
 from stallwatch.llm.neardup import near_duplicates
+from stallwatch.llm.quality_rules import BASE, apply_quality_rules, fit_quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    items = F.array_join("items", ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), contaminated().alias("contaminated"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    trees = fit_quality_rules(docs, _table(spark, sf_dir, "labels"))
+    return apply_quality_rules(docs, trees).select("doc_id", *BASE, "base_failed", "score", "kept")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -21,4 +36,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.SQL
