@@ -9,12 +9,17 @@ from stallwatch.llm import oracle
 from stallwatch.llm.decontamination import contaminated, find_contamination
 from stallwatch.llm.neardup import near_duplicates
 from stallwatch.llm.quality_rules import BASE, apply_quality_rules, fit_quality_rules
+from stallwatch.llm.substrings import remove_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     items = F.array_join("items", ",")

@@ -17,4 +17,16 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-SQL = {"op4_decontamination": OP4}
+OP3 = """
+WITH w AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+win AS (SELECT r, i, sha256(array_to_string(ws[i : i + 34], ' ')) AS win FROM w, unnest(range(1, CAST(len(ws) - 33 AS BIGINT))) AS t(i) WHERE len(ws) >= 35),
+again AS (SELECT win FROM win GROUP BY win HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, i + k AS i FROM win SEMI JOIN again USING (win), unnest(range(0, 35)) AS t(k)),
+places AS (SELECT r, i, ws[i] AS word FROM w, unnest(range(1, CAST(len(ws) + 1 AS BIGINT))) AS t(i)),
+kept AS (SELECT p.r, p.i, p.word FROM places p LEFT JOIN gone g ON p.r = g.r AND p.i = g.i WHERE g.r IS NULL),
+text AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM kept GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN text USING (r)
+"""
+
+SQL = {"op3_substring_dedup": OP3, "op4_decontamination": OP4}
