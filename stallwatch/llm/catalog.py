@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallwatch.llm import oracle
 from stallwatch.llm.decontamination import contaminated, find_contamination
 from stallwatch.llm.neardup import near_duplicates
+from stallwatch.llm.packing import pack
 from stallwatch.llm.quality_rules import BASE, apply_quality_rules, fit_quality_rules
 from stallwatch.llm.substrings import remove_repeats
+from stallwatch.llm.warc import round_trip
+
+#: A vocabulary file installed on every machine.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_table(spark, sf_dir, "documents"), TOKENIZER)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
@@ -26,6 +37,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), contaminated().alias("contaminated"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "pages")).drop("url")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     trees = fit_quality_rules(docs, _table(spark, sf_dir, "labels"))

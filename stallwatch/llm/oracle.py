@@ -29,4 +29,12 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0)
 FROM w LEFT JOIN text USING (r)
 """
 
-SQL = {"op3_substring_dedup": OP3, "op4_decontamination": OP4}
+OP6 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+SQL = {"op3_substring_dedup": OP3, "op4_decontamination": OP4, "op6_warc": OP6}
