@@ -10,6 +10,7 @@ from stallwatch.llm import oracle
 from stallwatch.llm.decontamination import contaminated, find_contamination
 from stallwatch.llm.neardup import near_duplicates
 from stallwatch.llm.packing import pack
+from stallwatch.llm.pii import find_personal_data
 from stallwatch.llm.quality_rules import BASE, apply_quality_rules, fit_quality_rules
 from stallwatch.llm.substrings import remove_repeats
 from stallwatch.llm.warc import round_trip
@@ -22,6 +23,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(_table(spark, sf_dir, "documents"), TOKENIZER)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
