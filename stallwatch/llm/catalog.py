@@ -11,8 +11,10 @@ from stallwatch.llm.decontamination import contaminated, find_contamination
 from stallwatch.llm.neardup import near_duplicates
 from stallwatch.llm.packing import pack
 from stallwatch.llm.pii import find_personal_data
+from stallwatch.llm.quality_grades import fit_grades, grade_documents
 from stallwatch.llm.quality_rules import BASE, apply_quality_rules, fit_quality_rules
 from stallwatch.llm.substrings import remove_repeats
+from stallwatch.llm.toxicity import fit_toxicity, score_toxicity
 from stallwatch.llm.warc import round_trip
 
 #: A vocabulary file installed on every machine.
@@ -57,6 +59,16 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return grade_documents(docs, fit_grades(docs, _table(spark, sf_dir, "labels")), keep=["doc_id"])
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
