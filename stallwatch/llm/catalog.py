@@ -13,6 +13,7 @@ from stallwatch.llm.packing import pack
 from stallwatch.llm.pii import find_personal_data
 from stallwatch.llm.quality_grades import fit_grades, grade_documents
 from stallwatch.llm.quality_rules import BASE, apply_quality_rules, fit_quality_rules
+from stallwatch.llm.secrets import scan_secrets
 from stallwatch.llm.substrings import remove_repeats
 from stallwatch.llm.toxicity import fit_toxicity, score_toxicity
 from stallwatch.llm.warc import round_trip
@@ -45,6 +46,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), contaminated().alias("contaminated"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(_table(spark, sf_dir, "documents")).select("doc_id", "kind", "start", "end", "value", "coverage", "score", "kept")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "pages")).drop("url")
 
