@@ -8,11 +8,12 @@ under every chunk with every one of its places left out (64 keys), and any two s
 the distance share a key. A pair at Jaccard similarity 0.8 differs in 12.8 places on average with
 a deviation of 3.2; it lies beyond 27 with a probability of about 2 in 100,000.
 
-Documents with equal sets are one class and never paired. Classes under one key are linked in two
-steps. First each class is held against four leaders, the smallest ids in four orders, which
-settles groups of copies in linear work. Then only classes that share a key but not yet a component
-are held against each other. Every pair tried passes the signature distance and is confirmed on the
-full sets. A pair left out lies in one component already, so no component is lost.
+Documents with equal sets are one class and never paired. Under each key every class is held against a
+leader, the smallest id in one of four orders; pairs within the distance join classes into families. All
+pairs of a family are then judged on the full sets, by counting common shingles over an inverted list; a
+large family is dealt out in blocks, each pair of blocks to one task, and only links that join something are
+written. Keys that hold more than one family give the pairs across families, which are confirmed on the full
+sets too. So every pair within the distance is judged unless a chain of links joins it already.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from stallwatch.llm.scratch import Scratch
 from stallwatch.llm.words import SPACED, U64, Words, chunks, mix
 
 PLACES, CHUNKS, RADIUS, LEADERS = 64, 14, 27, 4
+#: Shingles of a block of a large family; a task holds two blocks.
+BLOCK_SHINGLES = 500_000
 #: Multipliers of the 64 hash functions and of the second set fingerprint.
 _ODD = mix(np.arange(101, 101 + PLACES, dtype=U64)) | U64(1)
 _ADD = mix(np.arange(501, 501 + PLACES, dtype=U64))
@@ -73,8 +76,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 least = np.minimum.reduceat(values * _ODD[k] + _ADD[k], starts)
                 signature[full, k] = (mix(least) >> U64(48)).astype(np.uint16)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array([r.tobytes() for r in signature], pa.binary())],
-            names=["id", "n_shingles", "set_a", "set_b", "signature"],
+            [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array([r.tobytes() for r in signature], pa.binary())],
+            names=["id", "text_hash", "n_shingles", "set_a", "set_b", "signature"],
         )
 
 
@@ -134,22 +137,22 @@ def _similar(percent: int):
 
 
 def _pairs_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Within each key, the pairs of different components, within the radius, that meet under this key first.
+    """Within each key, the pairs of different families, within the radius, that meet under this key first.
 
-    Rows come sorted by key and component. A key's rows are held against each other in blocks.
+    Rows come sorted by key and family.
     """
     rest: pa.Table | None = None
 
     def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
         key = table.column("key").to_numpy()
         ids = table.column("id").to_numpy()
-        component = table.column("component").to_numpy()
+        family = table.column("family").to_numpy()
         signature = _as_matrix(table.column("signature").combine_chunks())
         bounds = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         out_a, out_b, held = [], [], 0
         for lo, hi in zip(bounds, np.append(bounds[1:], len(key))):
             for i in range(lo, hi - 1):
-                after = int(np.searchsorted(component[lo:hi], component[i], side="right")) + lo  # sorted by component
+                after = int(np.searchsorted(family[lo:hi], family[i], side="right")) + lo
                 if after >= hi:
                     break
                 differ = signature[after:hi] != signature[i]
@@ -194,9 +197,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone; a row without an id takes part, gets its group's component_id, and is kept only if no row of
     its group has an id (component_id is null then). Extra columns are ignored. An empty table gives none.
     """
+    out = _judged(docs, id_col, text_col, percent)
+    return out.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """The kept documents with their own columns: one of each group. Of rows with equal id and text one stays."""
+    kept = _judged(docs, id_col, text_col, percent).where("kept").select("id", "text_hash").distinct()
+    own = docs.withColumns({"__id": F.col(id_col).cast("long"), "__hash": F.xxhash64(F.col(text_col))})
+    same = F.col("__id").eqNullSafe(F.col("id")) & (F.col("__hash") == F.col("text_hash"))
+    return own.join(kept, same, "left_semi").dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(id, text_hash, n_shingles, component, kept) per row."""
     scratch = Scratch(docs.sparkSession, "neardup")
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = scratch.table(docs.mapInArrow(_signatures, "id long, n_shingles long, set_a long, set_b long, signature binary"), "signed")
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
+    signed = scratch.table(docs.mapInArrow(_signatures, "id long, text_hash long, n_shingles long, set_a long, set_b long, signature binary"), "signed")
     classes = signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min("id").alias("id"), F.first("signature").alias("signature"))
     classes = scratch.table(classes, "classes")
     known = classes.where("id is not null")
@@ -207,33 +224,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leaders = keys.groupBy("key").agg(F.min(F.col("id").bitwiseXOR(order)).alias("m"), F.count("*").alias("n")).where("n > 1")
     leaders = leaders.select("key", F.col("m").bitwiseXOR(order).alias("leader"))
     tried = keys.join(leaders, "key").where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-    near = scratch.table(_within_radius(tried, signature), "near_leaders")
-    links = scratch.table(_confirmed(near, docs, scratch, "first", percent), "links_first")
-    labels = scratch.table(connected_components(links, scratch, "first"), "labels_first")
-
-    # Keys whose classes lie in more than one component.
-    labelled = signature.join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("component"), "signature")
+    near = scratch.table(_within_radius(tried, signature), "near")
+    families = scratch.table(connected_components(near, scratch, "families").withColumnRenamed("node", "id").withColumnRenamed("component", "family"), "families")
+
+    # Inside families.
+    sets = _sets_of(docs, families.select("id"))
+    sizes = families.join(known.select("id", "n_shingles"), "id").groupBy("family").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    placed = families.join(sizes, "family").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 1, F.lit(0)))).alias("other")
+    placed = placed.select("id", "family", "own", "blocks", other).where("blocks = 1 or own <> other")
+    placed = placed.select("id", "family", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"))
+    tasks = placed.join(sets, "id").repartition("family", "first", "second").sortWithinPartitions("family", "first", "second", "id")
+    inside = scratch.table(tasks.select("family", "first", "second", "id", "shingles").mapInArrow(_family_links(percent), "a long, b long"), "inside")
+
+    # Keys that hold more than one family.
+    labelled = signature.join(families, "id", "left").select("id", F.coalesce("family", "id").alias("family"), "signature")
     labelled = scratch.table(labelled, "labelled")
-    placed = labelled.mapInArrow(_keys_placed, "key long, id long, component long")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    rows = placed.join(mixed, "key").join(labelled.select("id", "signature"), "id")
-    across = rows.repartition("key").sortWithinPartitions("key", "component", "id").mapInArrow(_pairs_across, "a long, b long")
-    across = scratch.table(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(near, ["a", "b"], "left_anti"), "near_across")
-    more = _confirmed(across, docs, scratch, "second", percent)
-    labels = connected_components(links.unionByName(more), scratch, "second")
+    filed = labelled.mapInArrow(_keys_placed, "key long, id long, family long")
+    mixed = filed.groupBy("key").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select("key")
+    rows = filed.join(mixed, "key").join(labelled.select("id", "signature"), "id")
+    across = rows.repartition("key").sortWithinPartitions("key", "family", "id").mapInArrow(_pairs_across, "a long, b long")
+    across = scratch.table(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "across")
+    links = inside.unionByName(_confirmed(across, docs, scratch, percent))
+    labels = connected_components(links, scratch, "links")
 
     member = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component"))
-    out = signed.select("id", "n_shingles", "set_a", "set_b").join(member, ["set_a", "set_b", "n_shingles"], "left")
+    out = signed.select("id", "text_hash", "n_shingles", "set_a", "set_b").join(member, ["set_a", "set_b", "n_shingles"], "left")
     out = out.withColumn("component", F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component")))
-    return out.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.col("component").isNull()).alias("kept"))
+    return out.select("id", "text_hash", "n_shingles", "component", F.coalesce(F.col("id") == F.col("component"), F.col("component").isNull()).alias("kept"))
 
 
 def _keys_placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             keys = signature_keys(_as_matrix(batch.column(2)))
-            ids, component = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), PLACES) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(ids), pa.array(component)], names=["key", "id", "component"])
+            ids, family = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), PLACES) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(ids), pa.array(family)], names=["key", "id", "family"])
 
 
 def _within_radius(pairs: DataFrame, signature: DataFrame) -> DataFrame:
@@ -243,12 +269,73 @@ def _within_radius(pairs: DataFrame, signature: DataFrame) -> DataFrame:
     return both.mapInArrow(_near, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str, percent: int) -> DataFrame:
+def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, shingles): the full sets of some documents; one row for each different text of an id."""
+    return docs.where("id is not null").join(wanted, "id", "left_semi").dropDuplicates(["id", "text_hash"]).select("id", "text").mapInArrow(_sets, "id long, shingles binary")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough; only the sets of documents in pairs are made."""
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = docs.where("id is not null").join(wanted, "id", "left_semi").mapInArrow(_sets, "id long, shingles binary")
-    sets = scratch.table(sets.distinct(), f"sets_{name}")
+    sets = scratch.table(_sets_of(docs, wanted), "sets_across")
     first = sets.select(F.col("id").alias("a"), F.col("shingles").alias("shingles_a"))
     second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("shingles_b"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "shingles_a", "shingles_b")
     return both.mapInArrow(_similar(percent), "a long, b long").distinct()
+
+
+def _family_links(percent: int):
+    """Links that join the rows of each (family, first, second); rows come sorted by these."""
+
+    def links(ids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        n = len(ids)
+        sizes = np.array([len(s) for s in sets])
+        numbers, shingle, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(n), sizes)
+        posting = owner[np.argsort(shingle, kind="stable")]
+        begin = np.cumsum(df) - df
+        starts = np.cumsum(sizes) - sizes
+        group = np.arange(n)  # component of each row
+        centre = np.add.reduceat(df[shingle], starts) / sizes  # rows that share most go first
+        out, main = [], -1
+        for step, x in enumerate(np.argsort(-centre, kind="stable")):
+            if step == 3:
+                main = int(np.argmax(np.bincount(group, minlength=n)))  # from now on its rows are only met by others
+                main = int(np.flatnonzero(group == main)[0])
+            if main >= 0 and group[x] == group[main]:
+                continue
+            own = shingle[starts[x] : starts[x] + sizes[x]]
+            count = df[own]
+            at = np.repeat(begin[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            common = np.bincount(posting[at], minlength=n)
+            similar = np.flatnonzero(100 * common >= percent * (sizes + sizes[x] - common))
+            for g in np.unique(group[similar]):
+                if g != group[x]:
+                    y = similar[group[similar] == g][0]
+                    out.append((ids[x], ids[y]))
+                    group[group == g] = group[x]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, sets = None, [], []
+
+        def done() -> list[tuple[int, int]]:
+            return links(ids, sets) if len(ids) > 1 else []
+
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            column = batch.column(4)
+            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
+                if key != now:
+                    out += done()
+                    now, ids, sets = key, [], []
+                ids.append(batch.column(3)[i].as_py())
+                sets.append(np.frombuffer(column[i].as_py(), dtype=U64))
+            yield _pairs(out)
+        yield _pairs(done())
+
+    return run
+
+
+def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["a", "b"])
