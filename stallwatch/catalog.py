@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stallwatch.plans import signals_catalog
+
+_MODULES = (signals_catalog,)
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return queries()["l1_07_price_anomaly"](spark, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return {name: f for m in _MODULES for name, f in m.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for m in _MODULES for name, sql in m.SQL.items()}
