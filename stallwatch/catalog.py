@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stallwatch.plans import signals_catalog
+from stallwatch.plans import market_catalog, signals_catalog
 
-_MODULES = (signals_catalog,)
+_MODULES = (signals_catalog, market_catalog)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

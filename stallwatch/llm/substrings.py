@@ -74,8 +74,8 @@ def _contents(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
-            words, h, s = segment(batch.column(1), window)
-            wanted: list[dict] = [{x["segment"]: x for x in row} for row in batch.column(2).to_pylist()]
+            words, h, s = segment(batch.column(2), window)
+            wanted: list[dict] = [{x["segment"]: x for x in row} for row in batch.column(3).to_pylist()]
             rows = []
             for doc, at, windows, anchor, key in zip(*(s[k].tolist() for k in ("doc", "at", "windows", "anchor", "key"))):
                 key = key - (1 << 64) if key >> 63 else key
@@ -168,10 +168,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     different = different.join(hot, "anchor", "left")
     item = F.struct("segment", F.least("n", F.lit(2)).alias("n"), F.coalesce("hot", F.lit(False)).alias("hot"))
     wanted = different.groupBy("row_key").agg(F.collect_list(item).alias("wanted"))  # within one document
-    contents = docs.join(wanted, "row_key").select("row_key", "text", "wanted").mapInArrow(_contents(window), "anchor long, segment long, moved int, n long, words binary")
+    # All of row_key, id and text, dealt out by row_key: the join at the end then reads the same shuffled copy of the texts.
+    contents = docs.join(wanted, "row_key").select("row_key", "id", "text", "wanted").mapInArrow(_contents(window), "anchor long, segment long, moved int, n long, words binary")
     covered = contents.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shard(window), "segment long, moved int, spans array<int>")
     found = places.join(covered, "segment").select("row_key", "id", (F.col("first") + F.col("moved")).alias("first"), "spans")
-    found = scratch.table(found.distinct().groupBy("row_key", "id").agg(F.collect_list(F.struct("first", "spans")).alias("found")), "found")
+    found = found.distinct().groupBy("row_key", "id").agg(F.collect_list(F.struct("first", "spans")).alias("found"))
 
     same = (F.col("d.row_key") == F.col("f.row_key")) & F.col("d.id").eqNullSafe(F.col("f.id"))
     both = docs.alias("d").join(found.alias("f"), same, "left").select("d.id", "d.text", "f.found")
