@@ -133,10 +133,12 @@ def _shard(window: int):
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, gone, kept = [], [], []
-        for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for own, text, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
             words = (text or "").encode().split()  # of bytes: ASCII white space only
             keep = np.ones(len(words), bool)
             for x in found or ():
+                if x["id"] != own:
+                    continue
                 for s, e in zip(x["spans"][::2], x["spans"][1::2]):
                     keep[x["first"] + s : x["first"] + e] = False
             counts.append(len(words))
@@ -172,9 +174,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     contents = docs.join(wanted, "row_key").select("row_key", "id", "text", "wanted").mapInArrow(_contents(window), "anchor long, segment long, moved int, n long, words binary")
     covered = contents.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shard(window), "segment long, moved int, spans array<int>")
     found = places.join(covered, "segment").select("row_key", "id", (F.col("first") + F.col("moved")).alias("first"), "spans")
-    found = found.distinct().groupBy("row_key", "id").agg(F.collect_list(F.struct("first", "spans")).alias("found"))
-
-    same = (F.col("d.row_key") == F.col("f.row_key")) & F.col("d.id").eqNullSafe(F.col("f.id"))
-    both = docs.alias("d").join(found.alias("f"), same, "left").select("d.id", "d.text", "f.found")
+    # One list per text hash; ids are told apart inside it, so that both joins deal the texts out by row_key alone.
+    found = found.distinct().groupBy("row_key").agg(F.collect_list(F.struct("id", "first", "spans")).alias("found"))
+    both = docs.join(found, "row_key", "left").select("id", "text", "found")
     out = both.mapInArrow(_removed, "id long, n_words long, n_removed long, kept_text string")
     return out.withColumnRenamed("id", id_col)
