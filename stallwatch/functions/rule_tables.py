@@ -85,3 +85,31 @@ SLEEVES = {
     "short sleeve": ["short sleeve", "short-sleeve", "short sleeves", "short-sleeves"], "long sleeve": ["long sleeve", "long-sleeve", "long sleeves", "long-sleeves", "full sleeve", "full-sleeve", "full sleeves"],
     "half sleeve": ["half sleeve", "half-sleeve", "half sleeves"], "sleeveless": ["sleeveless"], "elbow sleeve": ["elbow sleeve", "elbow-sleeve"], "three-quarter sleeve": ["3/4 sleeve", "three-quarter sleeve"],
 }
+# Colours that titles name, longest first when several fit.
+TITLE_COLORS = [
+    "off-white", "off white", "light blue", "sky blue", "baby blue", "navy blue", "mid blue", "dark blue", "ocean blue", "marine blue", "acid blue", "bright mid blue", "powder blue", "midnight navy",
+    "light grey", "dark grey", "washed black", "washed grey", "vintage blue", "deep vintage blue", "oat beige", "rose gold", "mint green", "dark olive", "dark mint", "steel blue", "army green",
+    "black", "white", "grey", "gray", "anthracite", "red", "burgundy", "pink", "fuchsia", "coral", "orange", "yellow", "ecru", "beige", "brown", "khaki", "green", "olive", "petrol", "turquoise", "blue", "navy", "indigo", "purple", "plum", "lilac",
+    "multicolor", "cream", "gold", "silver", "copper", "camel", "tan", "taupe", "mauve", "lavender", "apricot", "maroon", "mint", "chocolate", "honey", "lemon", "rose",
+]
+METALS = ["gold", "silver", "copper"]
+# Cuts of trousers and the phrases that name them.
+CUTS = {
+    "wide leg": ["extreme wide leg", "wide leg", "wide-leg", "wideleg", "wide tailored"], "baggy": ["super baggy", "loose baggy", "baggy", "loose"], "skinny": ["skinny fit", "skinny"], "slim": ["slim fit", "slim-fit", "slim"],
+    "regular": ["regular fit"], "relaxed": ["relaxed fit", "relaxed"], "straight": ["straight fit", "straight"], "tapered": ["tapered fit", "tapered"], "high waist": ["high waist", "high-waist"], "boyfriend": ["boyfriend"], "mom fit": ["mom fit", "mom-fit", "momfit", "mom jeans"],
+    "bootcut": ["bootcut", "boot cut"], "flare": ["flare", "flared"], "jogger": ["jogger", "joggers"], "cargo": ["cargo"], "chino": ["chino", "chinos"], "sweatpants": ["sweatpants", "sweatpant"], "curvy fit": ["curvy fit"], "skater": ["skater"],
+}
+# Dresses, jackets, underwear, swimwear and bags.
+DRESS_LENGTHS = {"mini": ["mini dress", "mini"], "midi": ["midi dress", "midi"], "maxi": ["maxi dress", "maxi"], "knee-length": ["knee length", "knee-length"], "ankle-length": ["ankle length", "ankle-length"]}
+DRESS_SHAPES = {"fit and flare": ["fit and flare", "fit-and-flare", "fit & flare"], "a-line": ["a-line", "a line"], "bodycon": ["bodycon"], "shirt dress": ["shirt dress"], "wrap": ["wrap dress"], "shift": ["shift dress"], "slip": ["slip dress"], "bandage": ["bandage"]}
+JACKETS = {
+    "denim": ["denim jacket"], "leather": ["leather jacket"], "puffer": ["puffer jacket", "puffer"], "bomber": ["bomber jacket", "bomber"], "blazer": ["blazer"], "parka": ["parka"], "trench": ["trench"], "quilted": ["quilted"], "windbreaker": ["windbreaker"], "biker": ["biker jacket", "biker"], "varsity": ["varsity"],
+}
+TOP_HINTS = ["bra", "bralette", "lingerie top", "corset", "bustier"]
+BOTTOM_HINTS = ["panty", "panties", "brief", "knicker", "boxer", "thong"]
+TOP_STYLES = {"push-up": ["push-up", "push up"], "padded": ["padded"], "unpadded": ["unpadded"], "wireless": ["wireless", "wire-free", "non-wired"], "wired": ["wired"], "strapless": ["strapless"], "seamless": ["seamless"], "bralette": ["bralette"]}
+BOTTOM_STYLES = {"bikini": ["bikini brief"], "boyshort": ["boy short", "boyshort"], "brazilian": ["brazilian"], "hipster": ["hipster"], "thong": ["thong"], "full brief": ["full coverage", "full brief"]}
+SWIMWEAR = {"board short": ["board short"], "one-piece": ["one-piece", "one piece"], "bikini": ["bikini"], "swimsuit": ["swimsuit"], "tankini": ["tankini"], "burkini": ["burkini"]}
+BAGS = {
+    "shoulder bag": ["shoulder bag"], "crossbody": ["crossbody bag", "crossbody"], "tote": ["tote bag", "tote"], "backpack": ["backpack"], "clutch": ["clutch"], "duffel": ["duffel"], "wallet": ["wallet"], "satchel": ["satchel"], "handbag": ["handbag"], "sling": ["sling bag", "sling"], "messenger": ["messenger bag", "messenger"],
+}

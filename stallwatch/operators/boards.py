@@ -16,8 +16,9 @@ def cell_tier(brands: Column) -> Column:
     return read_bands(brands, [(10, "strong"), (5, "medium")], "thin")
 
 
-def conf_level(brands: Column, products: Column, sellouts: Column) -> Column:
-    return first_match([((brands >= 12) & (products >= 500) & (sellouts >= 200), "hi"), ((brands >= 8) & (products >= 200) & (sellouts >= 50), "md")], "lo")
+def conf_level(brands: Column, products: Column, sellouts: Column, bounds: tuple = ((12, 500, 200), (8, 200, 50))) -> Column:
+    """hi, md or lo: all three counts reach the bounds."""
+    return first_match([((brands >= b) & (products >= p) & (sellouts >= s), level) for (b, p, s), level in zip(bounds, ("hi", "md"))], "lo")
 
 
 def ci95(p: Column, n: Column, legacy: bool = False) -> Column:
@@ -169,13 +170,13 @@ def latest_price(snapshots: DataFrame, as_of: str, days: int = 8) -> DataFrame:
     return rows.groupBy("product_id", "brand", "category_normalized", "subcategory", "first_observed_price").agg(F.max_by("price", "snapshot_date").alias("price"))
 
 
-def _band(price: Column) -> Column:
+def price_band(price: Column) -> Column:
     return read_bands(price, [(1000, "1000+"), (700, "700-999"), (500, "500-699"), (300, "300-499")], "under 300")
 
 
 def price_band_sellthrough(prices: DataFrame, stock: DataFrame, as_of: str, days: int = 21, min_products: int = 15) -> DataFrame:
     gone = window_of(stock, "event_date", as_of, days).where("witnessed and event_type = 'stockout'").select("product_id").distinct().withColumn("hit", F.lit(1))
-    rows = prices.join(gone, "product_id", "left").groupBy("category_normalized", _band(F.col("price")).alias("band")).agg(F.count("*").alias("products"), F.count("hit").alias("sold_out")).where(F.col("products") > min_products)
+    rows = prices.join(gone, "product_id", "left").groupBy("category_normalized", price_band(F.col("price")).alias("band")).agg(F.count("*").alias("products"), F.count("hit").alias("sold_out")).where(F.col("products") > min_products)
     return rows.withColumn("rate_pct", percent(F.col("sold_out"), F.col("products"), 1))
 
 
@@ -262,8 +263,3 @@ def stock_board(by_depth: DataFrame) -> DataFrame:
     rows = total.join(best, "category_normalized", "left")
     verdict = first_match([(F.col("products") < 50, "hold"), (F.col("best_rate") < 12, "stop"), (F.col("best_depth") == "full", "raise"), (F.col("best_depth") == "1-24", "light"), (F.col("best_depth").isNotNull(), "deep")], "hold")
     return rows.select("category_normalized", "products", "volume", "best_depth", "rate_pct", verdict.alias("verdict"))
-
-
-def conflicts(orders: DataFrame, stocks: DataFrame) -> DataFrame:
-    """Categories that one board says to buy and the other to stop."""
-    return orders.where(F.col("verdict").isin("STRONG BUY", "BUY")).join(stocks.where("verdict = 'stop'"), "category_normalized", "left_semi")

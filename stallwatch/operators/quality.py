@@ -88,5 +88,61 @@ def empty_run_guard(crawls: DataFrame) -> DataFrame:
     return row.withColumns({"alert": F.col("empty") >= bound, "warning": F.col("partial") >= 2})
 
 
-def status_of(n: Column, limit: int) -> Column:
-    return first_match([(n > limit, "FAIL"), (n > 0, "WARN")], "OK")
+def discount_capture(snapshots: DataFrame, events: DataFrame, as_of: str, days: int = 7, min_rows: int = 500, min_days: int = 5, alive: int = 10) -> DataFrame:
+    """Brands without one discounted row, though often seen; excused if enough of their products moved in a month."""
+    sale = F.count_if(F.coalesce(F.col("compare_at_price") > 1.01 * F.col("price"), F.lit(False)))
+    rows = window_of(snapshots, "snapshot_date", as_of, days).groupBy("brand").agg(F.count("*").alias("n_rows"), sale.alias("discounted"), F.countDistinct("snapshot_date").alias("days")).where(F.col("n_rows") > min_rows)
+    moved = window_of(events, "event_date", as_of, 30).groupBy("brand").agg(F.countDistinct("product_id").alias("moved"))
+    blind = (F.col("discounted") == 0) & (F.col("days") >= min_days)
+    rows = rows.join(moved, "brand", "left").withColumn("moved", F.coalesce("moved", F.lit(0)))
+    return rows.withColumn("status", first_match([(blind & (F.col("moved") >= alive), "INFO"), (blind, "FAIL")], "OK"))
+
+
+def signal_freshness(tables: dict[str, tuple[DataFrame, str, int]], runs: DataFrame, as_of: str) -> DataFrame:
+    """Last day of each result table (frame, day column, limit in days); a good run within the limit excuses an old one.
+
+    ``runs``: (signal_id, run_date, status).
+    """
+    day = F.lit(as_of).cast("date")
+    frames = [df.agg(F.lit(name).alias("signal_id"), F.max(c).alias("last_day"), F.count("*").alias("n_rows")).withColumn("day_limit", F.lit(limit)) for name, (df, c, limit) in tables.items()]
+    rows = frames[0]
+    for f in frames[1:]:
+        rows = rows.unionByName(f)
+    good = runs.where("status = 'ok'").groupBy("signal_id").agg(F.max("run_date").alias("last_ok"))
+    rows = rows.join(good, "signal_id", "left").withColumn("days_old", F.datediff(day, "last_day"))
+    alive = F.coalesce(F.datediff(day, "last_ok") <= F.col("day_limit"), F.lit(False))
+    return rows.withColumn("status", first_match([(F.col("n_rows") == 0, "WARN"), ((F.col("days_old") >= F.col("day_limit")) & ~alive, "FAIL")], "OK"))
+
+
+def bestseller_feed(ranks: DataFrame, as_of: str, recent: int = 2, days: int = 21) -> DataFrame:
+    """Brands of the last days against the typical number in a day: one row."""
+    day = F.lit(as_of).cast("date")
+    rows = ranks.where((F.col("snapshot_date") >= F.date_sub(day, days)) & (F.col("snapshot_date") <= day))
+    now = rows.where(F.col("snapshot_date") >= F.date_sub(day, recent)).agg(F.countDistinct("brand").alias("brands"))
+    typical = rows.groupBy("snapshot_date").agg(F.countDistinct("brand").alias("n")).agg(F.percentile("n", F.lit(0.5)).alias("typical"))
+    out = now.crossJoin(F.broadcast(typical))  # one row each
+    return out.withColumn("status", F.when(F.col("brands") < 0.5 * F.col("typical"), "FAIL").otherwise("OK"))
+
+
+def substrate(products: DataFrame, variants: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """Counts of the base tables and what must be zero in them: (measure, value)."""
+
+    def long(df: DataFrame, **measures: Column) -> DataFrame:
+        row = df.agg(*[m.cast("double").alias(n) for n, m in measures.items()])
+        return row.unpivot([], list(measures), "measure", "value")
+
+    missing = F.count_if(F.col("first_observed_price").isNull())
+    return (
+        long(products, products=F.count("*"), active_brands=F.countDistinct(F.when(F.col("is_active"), F.col("brand"))))
+        .unionByName(long(variants, variants=F.count("*"), delisted_in_stock=F.count_if(F.col("delisted_at").isNotNull() & F.col("is_in_stock")), missing_baseline=missing, baseline_coverage_pct=percent(F.count("*") - missing, F.count("*"))))
+        .unionByName(long(snapshots, snapshots=F.count("*"), snapshot_brands=F.countDistinct("brand"), bad_prices=F.count_if(F.col("price") <= 0)))
+    )
+
+
+def cold_depth(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Days that each table holds, first and last; on day-partitioned tables only the partitions are read."""
+    frames = [df.agg(F.lit(name).alias("table"), F.countDistinct(c).alias("days"), F.min(c).alias("earliest"), F.max(c).alias("latest")) for name, (df, c) in tables.items()]
+    rows = frames[0]
+    for f in frames[1:]:
+        rows = rows.unionByName(f)
+    return rows

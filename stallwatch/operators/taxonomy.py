@@ -114,8 +114,88 @@ def longest_phrase(text: Column, phrases: dict[str, list[str]]) -> Column:
     return first_match([(text.contains(p), label) for p, label in ordered])
 
 
-def sleeve_length(category: Column, title: Column) -> Column:
-    return F.when(category.isin(R.TOPS), longest_phrase(F.lower(title), R.SLEEVES))
+def sleeve_length(category: Column, title: Column, raw: Column | None = None, raw_first: Column | None = None) -> Column:
+    """Tops only. The title decides, then the raw category; the other way round where ``raw_first`` holds."""
+    found = longest_phrase(F.lower(title), R.SLEEVES)
+    if raw is not None:
+        other = longest_phrase(F.lower(raw), R.SLEEVES)
+        first = F.lit(False) if raw_first is None else F.coalesce(raw_first, F.lit(False))
+        found = F.when(first, F.coalesce(other, found)).otherwise(F.coalesce(found, other))
+    return F.when(category.isin(R.TOPS), found)
+
+
+def _spaced(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
+
+
+def fit_cut(category: Column, title: Column, raw: Column, raw_first: Column | None = None, pyjamas: Column | None = None) -> Column:
+    """Trousers and the like only; punctuation counts as space. ``pyjamas`` marks rows filed there by mistake."""
+    by_title, by_raw = longest_phrase(_spaced(title), R.CUTS), longest_phrase(_spaced(raw), R.CUTS)
+    first = F.lit(False) if raw_first is None else F.coalesce(raw_first, F.lit(False))
+    found = F.when(first, F.coalesce(by_raw, by_title)).otherwise(F.coalesce(by_title, by_raw))
+    good = category.isin(R.BOTTOMS)
+    return F.when(good if pyjamas is None else good & ~F.coalesce(pyjamas, F.lit(False)), found)
+
+
+def dress_length(category: Column, title: Column) -> Column:
+    return F.when(category == "dresses", longest_phrase(F.lower(title), R.DRESS_LENGTHS))
+
+
+def dress_silhouette(category: Column, title: Column) -> Column:
+    return F.when(category == "dresses", longest_phrase(F.lower(title), R.DRESS_SHAPES))
+
+
+def jacket_type(category: Column, title: Column) -> Column:
+    return F.when(category.isin("jackets", "coats"), longest_phrase(F.lower(title), R.JACKETS))
+
+
+def underwear_style(category: Column, title: Column) -> tuple[Column, Column]:
+    """(style of a top, style of a bottom): one of them, if the title names exactly one kind of garment."""
+    low = F.lower(title)
+    top, bottom, ours = _contains(low, R.TOP_HINTS), _contains(low, R.BOTTOM_HINTS), category == "underwear"
+    return F.when(ours & top & ~bottom, longest_phrase(low, R.TOP_STYLES)), F.when(ours & bottom & ~top, longest_phrase(low, R.BOTTOM_STYLES))
+
+
+def swimwear_style(category: Column, title: Column) -> Column:
+    return F.when(category == "swimwear", longest_phrase(F.lower(title), R.SWIMWEAR))
+
+
+def bag_type(category: Column, title: Column) -> Column:
+    return F.when(category == "bags", longest_phrase(F.lower(title), R.BAGS))
+
+
+def _named_color(text: Column, without: tuple[str, ...] = ()) -> Column:
+    """The longest colour that stands in the text with no letter a-z beside it."""
+    colors = [c for c in sorted(R.TITLE_COLORS, key=lambda x: -len(x)) if c not in without]
+    return first_match([(text.contains(c) & text.rlike(f"(^|[^a-z]){c}([^a-z]|$)"), c) for c in colors])
+
+
+def _color_not_metal(text: Column, title: Column) -> Column:
+    """As above, but a metal beside a buckle is the buckle's."""
+    found = _named_color(text)
+    return F.when(found.isin(R.METALS) & title.contains("buckle"), _named_color(text, tuple(R.METALS))).otherwise(found)
+
+
+def color_from_title(strategy: Column, title: Column) -> Column:
+    """The colour that a title names, by the strategy of its brand; null for other strategies.
+
+    ``tail``: the part after the last dash, if it is a colour; else any colour in the title.
+    ``scan``: any colour, once names of materials are taken out; a metal beside a buckle is none.
+    ``dash``: whatever follows the last " - ", up to 30 characters (a dictionary resolves it later).
+    ``end``: a colour that ends the title; else any, as in scan.
+    """
+    low = F.lower(title)
+    tail = F.trim(F.regexp_extract(low, r"[-\u2013\u2014|]([^-\u2013\u2014|]*)\z", 1))
+    cloth = F.regexp_replace(F.regexp_replace(low, r"\b(raw\s+)?denim\b", " "), r"\bice\b", " ")
+    dash = F.trim(F.substring_index(low, " - ", -1))
+    whole = F.trim(low)
+    ends = first_match([((whole == c) | whole.endswith(f" {c}") | whole.endswith(f"-{c}"), c) for c in sorted(R.TITLE_COLORS, key=lambda x: -len(x))])
+    return (
+        F.when(strategy == "tail", F.coalesce(F.when(tail.isin(R.TITLE_COLORS), tail), _named_color(low)))
+        .when(strategy == "scan", _color_not_metal(cloth, low))
+        .when((strategy == "dash") & low.contains(" - ") & F.length(dash).between(1, 30), dash)
+        .when(strategy == "end", F.coalesce(ends, _color_not_metal(low, low)))
+    )
 
 
 def attributes(**columns: Column) -> Column:
