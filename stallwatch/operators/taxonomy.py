@@ -16,15 +16,14 @@ def _contains(text: Column, words: list[str]) -> Column:
     return cond
 
 
-def normalize_category(text: Column) -> Column:
+def normalize_category(text: Column, default: str | None = "uncategorized") -> Column:
     low = F.lower(F.coalesce(text, F.lit("")))
-    return first_match([(_contains(low, words), name) for name, words in R.CATEGORIES.items()], "uncategorized")
+    return first_match([(_contains(low, words), name) for name, words in R.CATEGORIES.items()], default)
 
 
 def breadcrumb_category(level2: Column, level3: Column, level4: Column) -> Column:
     """The category of level 3, else 4, else 2."""
-    found = [F.nullif(normalize_category(x), F.lit("uncategorized")) for x in (level3, level4, level2)]
-    return F.coalesce(*found, F.lit("uncategorized"))
+    return F.coalesce(*[normalize_category(x, None) for x in (level3, level4, level2)], F.lit("uncategorized"))
 
 
 def normalize_gender(text: Column) -> Column:
@@ -165,9 +164,13 @@ def bag_type(category: Column, title: Column) -> Column:
 
 
 def _named_color(text: Column, without: tuple[str, ...] = ()) -> Column:
-    """The longest colour that stands in the text with no letter a-z beside it."""
-    colors = [c for c in sorted(R.TITLE_COLORS, key=lambda x: -len(x)) if c not in without]
-    return first_match([(text.contains(c) & text.rlike(f"(^|[^a-z]){c}([^a-z]|$)"), c) for c in colors])
+    """The longest colour that stands in the text with no letter a-z beside it.
+
+    An array is filtered, as a chain of as many patterns grows past what Spark compiles; few colours reach the pattern.
+    """
+    colors = F.array(*[F.lit(c) for c in sorted(R.TITLE_COLORS, key=lambda x: -len(x)) if c not in without])
+    there = F.filter(colors, lambda c: F.contains(text, c))
+    return F.get(F.filter(there, lambda c: F.regexp_like(text, F.concat(F.lit("(^|[^a-z])"), c, F.lit("([^a-z]|$)")))), F.lit(0))
 
 
 def _color_not_metal(text: Column, title: Column) -> Column:
@@ -189,7 +192,8 @@ def color_from_title(strategy: Column, title: Column) -> Column:
     cloth = F.regexp_replace(F.regexp_replace(low, r"\b(raw\s+)?denim\b", " "), r"\bice\b", " ")
     dash = F.trim(F.substring_index(low, " - ", -1))
     whole = F.trim(low)
-    ends = first_match([((whole == c) | whole.endswith(f" {c}") | whole.endswith(f"-{c}"), c) for c in sorted(R.TITLE_COLORS, key=lambda x: -len(x))])
+    colors = F.array(*map(F.lit, sorted(R.TITLE_COLORS, key=lambda x: -len(x))))
+    ends = F.get(F.filter(colors, lambda c: (whole == c) | F.endswith(whole, F.concat(F.lit(" "), c)) | F.endswith(whole, F.concat(F.lit("-"), c))), F.lit(0))
     return (
         F.when(strategy == "tail", F.coalesce(F.when(tail.isin(R.TITLE_COLORS), tail), _named_color(low)))
         .when(strategy == "scan", _color_not_metal(cloth, low))
