@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stallwatch.plans import boards_catalog, capture_catalog, market_catalog, orders_catalog, products_catalog, quality_catalog, signals_catalog, streaming_catalog
+from stallwatch.plans import boards_catalog, capture_catalog, intake_catalog, market_catalog, orders_catalog, products_catalog, quality_catalog, signals_catalog, streaming_catalog
 
-_MODULES = (capture_catalog, signals_catalog, market_catalog, products_catalog, boards_catalog, orders_catalog, quality_catalog, streaming_catalog)
+_MODULES = (capture_catalog, intake_catalog, signals_catalog, market_catalog, products_catalog, boards_catalog, orders_catalog, quality_catalog, streaming_catalog)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

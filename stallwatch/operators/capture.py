@@ -79,10 +79,11 @@ def fill_department(products: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def match_alerts(drops: DataFrame, users: DataFrame, user_sizes: DataFrame, user_brands: DataFrame, min_discount: int = 10) -> DataFrame:
     """Active users to tell of a drop: the discount, their size in stock in that category, their ceiling, a brand they follow."""
+    wanted = user_brands.select("user_id", "brand").distinct().join(users.where("is_active"), "user_id").join(user_sizes, "user_id")
     rows = drops.where((F.round("discount_pct") >= min_discount) & (F.col("price_after") < F.col("first_observed_price")))
     rows = rows.withColumn("size", F.explode("sizes_in_stock")).withColumnRenamed("category_normalized", "category")
-    rows = rows.join(user_sizes, ["category", "size"]).join(users.where("is_active"), "user_id").where("price_ceiling is null or price_after <= price_ceiling")
-    return rows.join(user_brands, ["user_id", "brand"], "left_semi").select("user_id", "product_id", "brand", "category", "size", "price_after", "discount_pct").distinct()
+    rows = rows.join(wanted, ["brand", "category", "size"]).where("price_ceiling is null or price_after <= price_ceiling")
+    return rows.select("user_id", "product_id", "brand", "category", "size", "price_after", "discount_pct").distinct()
 
 
 def bestseller_ranks(listing: DataFrame, products: DataFrame, max_rank: int = 150) -> DataFrame:

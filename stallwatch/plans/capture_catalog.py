@@ -35,8 +35,9 @@ def _variants(shop: Shop):
     return state(lines), state(lines.where("l_shipdate < '2001-06-01'"))
 
 
-def _alerts(shop: Shop):
-    drops = shop.price_events.where("direction = 'down'").withColumn("sizes_in_stock", F.array(F.element_at(F.array(*map(F.lit, "S M L XL".split())), (F.col("event_id") % 4 + 1).cast("int"))))
+def _alerts(shop: Shop, events=None):
+    """Alerts on the price events given, else on all."""
+    drops = (shop.price_events if events is None else events).where("direction = 'down'").withColumn("sizes_in_stock", F.array(F.element_at(F.array(*map(F.lit, "S M L XL".split())), (F.col("event_id") % 4 + 1).cast("int"))))
     people = shop.table("customer")
     users = people.select(F.col("c_custkey").alias("user_id"), (F.col("c_acctbal") > 0).alias("is_active"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal")).alias("price_ceiling"))
     sizes = people.select(F.col("c_custkey").alias("user_id"), F.element_at(F.array(*map(F.lit, "S M L XL".split())), (F.col("c_custkey") % 4 + 1).cast("int")).alias("size"), F.lit("standard").alias("category"))
@@ -68,7 +69,7 @@ QUERIES = {
     "c12_match_alerts": _alerts,
     "c18_flash_sales": lambda s: flash_events(s.price_events).select("event_id", "product_id"),
     "c19_statistical_deals": lambda s: C.statistical_deals(s.price_events, s.snapshots, AS_OF, recent=30),
-    "c20_fx_context": lambda s: C.with_fx(s.price_events, s.table("orders").where("o_orderkey <= 40").select(F.date_add(F.lit("2023-12-25").cast("date"), F.col("o_orderkey").cast("int")).alias("rate_date"), F.col("o_totalprice").alias("rate")).groupBy("rate_date").agg(F.max("rate").alias("rate"))).select("event_id", "event_date", "rate"),
+    "c20_fx_context": lambda s: C.with_fx(s.price_events, s.table("orders").select(F.date_add(F.lit("2023-12-25").cast("date"), (F.col("o_orderkey") % 40).cast("int")).alias("rate_date"), F.col("o_totalprice").alias("rate")).groupBy("rate_date").agg(F.max("rate").alias("rate"))).select("event_id", "event_date", "rate"),
 }
 
 _STATE = "SELECT l_partkey * 100000 + l_suppkey AS variant_id, l_partkey AS product_id, arg_max(l_returnflag, (l_shipdate, l_extendedprice, l_quantity, l_returnflag)) <> 'R' AS is_in_stock, arg_min(l_extendedprice, (l_shipdate, l_extendedprice, l_quantity, l_returnflag)) AS first_observed_price, CASE WHEN max(l_shipdate) < '1995-06-01' THEN max(l_shipdate) END AS delisted_at FROM lineitem {} GROUP BY 1, 2"
@@ -99,7 +100,7 @@ SQL = {
         WHERE direction = 'down' AND round(discount_pct) >= 10 AND price_after < first_observed_price AND c_acctbal > 0 AND (c_custkey % 3 <> 0 OR price_after <= c_acctbal)"""),
     "c18_flash_sales": twin("SELECT event_id, product_id FROM price_events d WHERE direction = 'down' AND EXISTS (SELECT 1 FROM price_events u WHERE u.product_id = d.product_id AND u.direction = 'up' AND u.recorded_at > d.recorded_at AND u.recorded_at < d.recorded_at + INTERVAL 24 HOUR)"),
     "c19_statistical_deals": twin(f"SELECT event_id, product_id, brand, price_after, q1, q3, event_date FROM price_events JOIN (SELECT product_id, p[len(p) // 4 + 1] AS q1, p[3 * len(p) // 4 + 1] AS q3 FROM (SELECT product_id, list_sort(list(price)) AS p FROM snapshots WHERE snapshot_date > {D} - 30 AND snapshot_date <= {D} GROUP BY 1) WHERE len(p) >= 10) USING (product_id) WHERE direction = 'down' AND event_date > {D} - 30 AND price_after < q1 - 1.5::DOUBLE * (q3 - q1)"),
-    "c20_fx_context": twin("SELECT event_id, event_date, rate FROM price_events ASOF LEFT JOIN (SELECT DATE '2023-12-25' + CAST(o_orderkey AS INTEGER) AS rate_date, max(o_totalprice) AS rate FROM orders WHERE o_orderkey <= 40 GROUP BY 1) x ON event_date >= rate_date"),
+    "c20_fx_context": twin("SELECT event_id, event_date, rate FROM price_events ASOF LEFT JOIN (SELECT DATE '2023-12-25' + CAST(o_orderkey % 40 AS INTEGER) AS rate_date, max(o_totalprice) AS rate FROM orders GROUP BY 1) x ON event_date >= rate_date"),
 }
 
 

@@ -34,7 +34,7 @@ QUERIES = {
     "j01_freshness": lambda s: Q.freshness(s.stock_events, "event_date", AS_OF),
     "j02_volume_drop": lambda s: Q.volume_drop(s.snapshots, AS_OF),
     "j06_unclassified_events": lambda s: Q.unclassified_events(s.stock_events, AS_OF),
-    "j07_integrity": lambda s: Q.integrity(s.snapshots, s.products.where("product_id % 10 <> 0")),
+    "j07_integrity": lambda s: Q.integrity(s.snapshots, s.products.where("p_size > 5")),
     "j08_event_liveness": lambda s: Q.event_liveness(s.price_events, AS_OF),
     "j09_frozen_prices": lambda s: Q.frozen_prices(s.snapshots, s.price_events, min_products=2),
     "j10_table_health": lambda s: Q.table_health(s.snapshots.select("product_id", "brand", "snapshot_date", "compare_at_price", "honest_discount_pct"), "snapshot_date", AS_OF, 25),
@@ -67,7 +67,7 @@ SQL = {
     "j01_freshness": twin(f"SELECT *, CASE WHEN days_old >= 3 THEN 'FAIL' WHEN days_old >= 2 THEN 'WARN' ELSE 'OK' END AS status FROM (SELECT brand, max(event_date) AS last_day, CAST({D} - max(event_date) AS INTEGER) AS days_old FROM stock_events GROUP BY 1)"),
     "j02_volume_drop": twin(f"SELECT *, CASE WHEN latest / median < 0.5::DOUBLE THEN 'FAIL' WHEN latest / median < 0.75::DOUBLE THEN 'WARN' ELSE 'OK' END AS status FROM (SELECT brand, max(n) FILTER (k = 1) AS latest, quantile_cont(n, 0.5) FILTER (k > 1) AS median, count(*) AS days FROM (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY snapshot_date DESC) AS k FROM (SELECT brand, snapshot_date, count(*) AS n FROM snapshots WHERE snapshot_date > {D} - 15 AND snapshot_date < {D} GROUP BY 1, 2)) GROUP BY 1) WHERE days >= 7"),
     "j06_unclassified_events": twin(f"SELECT brand, count(*) FILTER (witnessed IS NULL AND event_date < {D} - 9) AS unclassified, count(*) AS events FROM stock_events WHERE event_type IN ('stockout', 'restock') GROUP BY 1"),
-    "j07_integrity": twin("SELECT *, CASE WHEN n > 100 THEN 'FAIL' WHEN n > 0 THEN 'WARN' ELSE 'OK' END AS status FROM (SELECT 'orphan_snapshots' AS \"check\", count(*) AS n FROM snapshots WHERE product_id % 10 = 0 UNION ALL SELECT 'bad_prices', count(*) FILTER (price IS NULL OR price <= 0) FROM snapshots UNION ALL SELECT 'null_baselines', count(*) FILTER (first_observed_price IS NULL) FROM products)"),
+    "j07_integrity": twin("SELECT *, CASE WHEN n > 100 THEN 'FAIL' WHEN n > 0 THEN 'WARN' ELSE 'OK' END AS status FROM (SELECT 'orphan_snapshots' AS \"check\", count(*) AS n FROM snapshots WHERE p_size <= 5 UNION ALL SELECT 'bad_prices', count(*) FILTER (price IS NULL OR price <= 0) FROM snapshots UNION ALL SELECT 'null_baselines', count(*) FILTER (first_observed_price IS NULL) FROM products WHERE p_size > 5)"),
     "j08_event_liveness": twin(f"SELECT brand, count(*) FILTER (event_date > {D} - 3) AS recent, CASE WHEN count(*) FILTER (event_date > {D} - 3) = 0 THEN 'FAIL' ELSE 'OK' END AS status FROM price_events GROUP BY 1"),
     "j09_frozen_prices": twin("""SELECT brand, products, still, CAST(on_sale AS BIGINT) AS on_sale, coalesce(moved, 0) AS moved, still >= 0.95::DOUBLE * products AND on_sale < 0.05::DOUBLE * products AND coalesce(moved, 0) < 0.1::DOUBLE * products AS frozen FROM (SELECT brand, count(*) AS products, count(*) FILTER (prices = 1) AS still, sum(sale) AS on_sale FROM (SELECT brand, product_id, count(DISTINCT snapshot_date) AS days, count(DISTINCT price) AS prices, max(CAST(coalesce(compare_at_price > 1.01::DOUBLE * price, false) AS INTEGER)) AS sale FROM snapshots GROUP BY 1, 2) WHERE days >= 5 GROUP BY 1 HAVING count(*) > 2)
         LEFT JOIN (SELECT brand, count(DISTINCT product_id) AS moved FROM price_events GROUP BY 1) USING (brand)"""),

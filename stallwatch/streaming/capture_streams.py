@@ -92,7 +92,12 @@ def day_sink(stream: DataFrame, path: str, checkpoint: str, day: str = "day", ti
 
 def run_to_end(stream: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     """Runs a stream over what is there and returns what it wrote. folder is shared by all executors."""
+    return spark.read.schema(stream.schema).parquet(written(stream, folder))
+
+
+def written(stream: DataFrame, folder: str) -> str:
+    """As run_to_end, but returns where the rows lie, for another stream to read."""
     root = f"{folder}/stream-{uuid.uuid4().hex}"
     query = stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+    return f"{root}/out"
