@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallwatch.functions.columns import round_to, upper_median
-from stallwatch.operators import boards, capture, lake, maintenance, signals, taxonomy
+from stallwatch.operators import boards, capture, lake, maintenance, order_board, quality, signals, taxonomy
 
 DAY = dt.date(2024, 1, 10)
 
@@ -128,3 +128,34 @@ def test_runner_isolates_and_logs(spark, tmp_path):
 def test_confidence_interval(spark):
     row = spark.range(1).select(boards.ci95(F.lit(0.0), F.lit(10.0)).alias("a"), boards.ci95(F.lit(0.0), F.lit(10.0), legacy=True).alias("b"), boards.ci95(F.lit(0.5), F.lit(1)).alias("c")).first()
     assert row.a > 0 and row.b == 0.0 and row.c == 0.0
+
+
+def test_titles_name_colours_by_strategy(spark):
+    rows = [
+        ("tail", "Polo - Navy Blue", "navy blue"), ("tail", "White polo - Regular fit", "white"), ("tail", None, None), ("scan", "Ice denim belt gold buckle", None), ("scan", "Brown belt, gold buckle", "brown"),
+        ("scan", "Creamy top", None), ("dash", "Shirt - بني", "بني"), ("dash", "Shirt", None), ("end", "White shoe with laces Dark Blue", "dark blue"), ("other", "Black shirt", None),
+    ]
+    got = spark.createDataFrame(rows, "s string, t string, want string").select("want", taxonomy.color_from_title(F.col("s"), F.col("t")).alias("c")).collect()
+    assert [r.c for r in got] == [r.want for r in got]
+
+
+def test_attributes_need_their_category_and_the_longest_phrase_wins(spark):
+    cut = taxonomy.fit_cut(F.col("k"), F.col("t"), F.col("r"), F.col("k") == "joggers", F.col("r") == "pyjama")
+    top, bottom = taxonomy.underwear_style(F.col("k"), F.col("t"))
+    rows = [("jeans", "Extreme Wide--Leg slim", "x"), ("jeans", "plain", "Mom-Fit"), ("joggers", "slim", "cargo"), ("jeans", "slim", "pyjama"), ("shirts", "slim", "slim"), ("underwear", "unpadded bra", ""), ("underwear", "bra and thong", ""), ("underwear", "hipster brief", "")]
+    got = spark.createDataFrame(rows, "k string, t string, r string").select(cut.alias("cut"), top.alias("top"), bottom.alias("bottom")).collect()
+    assert [r.cut for r in got] == ["wide leg", "mom fit", "cargo"] + [None] * 5
+    assert [(r.top, r.bottom) for r in got[5:]] == [("unpadded", None), (None, None), (None, "hipster")]
+
+
+def test_boards_that_contradict_each_other_are_shown(spark):
+    board = spark.createDataFrame([("a", "x", "go"), ("a", "y", "watch"), ("b", "x", "buy")], "category_normalized string, subcategory string, verdict string")
+    stocks = spark.createDataFrame([("a", "stop"), ("b", "hold")], "category_normalized string, verdict string")
+    assert [r[:] for r in order_board.cross_conflicts(board, stocks).collect()] == [("a", "x", "go")]
+
+
+def test_a_table_that_stands_still_is_excused_by_a_good_run(spark):
+    old, none = spark.createDataFrame([(DAY,)], "d date"), spark.createDataFrame([], "d date")
+    runs = spark.createDataFrame([("b", dt.date(2024, 1, 30), "ok"), ("a", dt.date(2024, 1, 30), "failed")], "signal_id string, run_date date, status string")
+    got = {r.signal_id: r.status for r in quality.signal_freshness({"a": (old, "d", 3), "b": (old, "d", 3), "c": (none, "d", 3), "e": (old, "d", 22)}, runs, "2024-01-31").collect()}
+    assert got == {"a": "FAIL", "b": "OK", "c": "WARN", "e": "OK"}
