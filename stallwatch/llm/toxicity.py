@@ -1,7 +1,7 @@
 """Toxicity of whole texts, with disguised words restored first.
 
 Restoring: tokens with letter-like digits or signs, with a letter three or more times in a row, and runs of
-single letters set apart become lattices of the letters they may stand for. A Viterbi search under a character
+single letters or signs set apart become lattices of the letters they may stand for. A Viterbi search under a character
 trigram model of the whole corpus picks the likeliest reading. The words so restored join the document's own.
 Scoring: logistic regression over the words and word beginnings that tell toxic documents from others; which
 ones do is counted over a bounded sample of labelled documents by Spark.
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from stallwatch.llm.charlm import symbol, trigram_log_probs
 from stallwatch.llm.quality_rules import labelled_sample
-from stallwatch.llm.words import ALNUM, SPACED, U64, Words, chunks, hash_spans, mix
+from stallwatch.llm.words import ALNUM, SPACED, U64, Words, byte_class, chunks, hash_spans, mix
 
 # The letters that a sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c"}
@@ -30,10 +30,18 @@ SAME, SIGN, AGAIN, APART = -0.05, -1.0, -0.7, -0.3
 PREFIXES = (4, 5, 6)
 _LETTER = np.zeros(256, bool)
 _LETTER[[ord(c) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = True
+_LETTER[128:] = True  # bytes of non-ASCII characters, which may be letters
 _SIGN = np.zeros(256, bool)
-_SIGN[[ord(c) for c in "0123456789@$!|+("]] = True
-_EDGES = re.compile(r"^[^\w@$!|+(]+|[^\w@$|+]+$")
+_SIGN[[ord(c) for c in LEET if c.isascii()]] = True
+_WIDE_SIGNS = [tuple(c.encode()) for c in LEET if not c.isascii()]
+_RUN_GAPS = byte_class(" ._*~-")
+_EDGES = re.compile(r"^[^\w@$!|+(€£]+|[^\w@$|+€£]+$")
+_MARKED = re.compile(f"[{re.escape(''.join(LEET))}]|([^\\W\\d_])\\1\\1")
 _RUN = re.compile(r"(?<![^\W_])[^\W\d_](?:[ ._*~-]{1,2}[^\W\d_]){3,}(?![^\W_])")
+#: The same with signs among the letters.
+_SIGN_RUN = re.compile(r"(?<![^\W_])(?:[^\W\d_]|[0-9@$!|+€£(])(?:[ ._*~-]{1,2}(?:[^\W\d_]|[0-9@$!|+€£(])){3,}(?![^\W_])")
+#: Readings that a task remembers.
+MEMORY = 100_000
 
 
 def restore(token: str, log_probs: np.ndarray) -> str:
@@ -62,37 +70,66 @@ def restore(token: str, log_probs: np.ndarray) -> str:
     return max(((score + float(log_probs[a, b, 0]), text) for (a, b), (score, text) in states.items()), default=(0.0, ""))[1]
 
 
-def restored_words(text: str, log_probs: np.ndarray) -> list[str]:
-    """Readings of the disguised tokens of a text that differ from the tokens."""
+def restored_words(text: str, log_probs: np.ndarray, known: dict[str, str] | None = None) -> list[str]:
+    """Readings of the disguised tokens of a text that differ from the tokens. known: readings so far, which are added to."""
     out = []
     for m in _RUN.finditer(text):
         out.append(restore(m.group(), log_probs))
+    for m in _SIGN_RUN.finditer(text):
+        if any(c in LEET for c in m.group()) and any(c.isalpha() for c in m.group()):
+            out.append(restore(m.group(), log_probs))
+    known = {} if known is None else known
     for token in text.split():
+        if not _MARKED.search(token):
+            continue
         core = _EDGES.sub("", token)
-        if len(core) > 2 and any(c.isalpha() for c in core) and (any(c in LEET for c in core) or re.search(r"([^\W\d_])\1\1", core)):
-            reading = restore(core, log_probs)
+        if len(core) > 2 and any(c.isalpha() for c in core) and _MARKED.search(core):
+            reading = known.get(core)
+            if reading is None:
+                if len(known) >= MEMORY:
+                    known.clear()
+                reading = known[core] = restore(core, log_probs)
             if reading != core.lower():
                 out.append(reading)
     return out
 
 
-def _disguised(words: Words) -> np.ndarray:
-    """Which documents may hold a disguised token: signs next to letters, tripled letters, single letters set apart."""
-    d = words.data
-    n = len(words.counts)
-    flag = np.zeros(n, bool)
+def _disguised(text: pa.Array) -> np.ndarray:
+    """Which documents may hold something that restored_words reads; none that does is left out.
+
+    Words with both a letter and a sign, letters three times in a row, and two characters standing alone side by
+    side, as inside every run of four.
+    """
+    words = Words(text, SPACED)
+    d, flag = words.data, np.zeros(len(words.counts), bool)
     if len(d) < 3:
         return flag
-    letter, sign = _LETTER[d], _SIGN[d]
-    mixed = (letter[:-1] & sign[1:])[:-1] & letter[2:] | (sign[:-2] & letter[1:-1] & letter[2:])
-    mixed |= letter[:-2] & (d[:-2] | 32 == d[1:-1] | 32) & (d[1:-1] | 32 == d[2:] | 32)
-    at = np.flatnonzero(mixed)
-    flag[np.searchsorted(words.offsets, at, side="right") - 1] = True
-    single = (words.ends - words.starts == 1)
-    if len(single) > 3:
-        near = single[:-1] & single[1:] & (words.starts[1:] - words.ends[:-1] <= 2)
-        runs = np.flatnonzero(near[:-2] & near[1:-1] & near[2:])
-        flag[np.searchsorted(words.offsets, words.starts[runs], side="right") - 1] = True
+
+    def put(at: np.ndarray) -> None:
+        flag[np.searchsorted(words.offsets, at, side="right") - 1] = True
+
+    sign = _SIGN[d]
+    for wide in _WIDE_SIGNS:
+        hit = np.ones(len(d) - len(wide) + 1, bool)
+        for i, byte in enumerate(wide):
+            hit &= d[i : i + len(hit)] == byte
+        sign[: len(hit)] |= hit
+    letters, signs = (np.concatenate([[0], np.cumsum(x)]) for x in (_LETTER[d], sign))
+    put(words.starts[(letters[words.ends] > letters[words.starts]) & (signs[words.ends] > signs[words.starts])])
+    for width in range(1, 5):  # bytes of a character
+        n = len(d) - 3 * width + 1
+        if n > 0:
+            same = d[: n + 2 * width - 1] == d[width : n + 3 * width - 1]
+            first = _LETTER[d[:n]] if width == 1 else d[:n] >= 0xC0
+            for i in range(width):
+                first = first & same[i : i + n] & same[i + width : i + width + n]
+            put(np.flatnonzero(first))
+    units = Words(text, _RUN_GAPS)
+    heads = np.concatenate([[0], np.cumsum((d & 0xC0) != 0x80)])  # characters
+    single = heads[units.ends] - heads[units.starts] == 1
+    if len(single) > 1:
+        near = single[:-1] & single[1:] & (units.starts[1:] - units.ends[:-1] <= 2)
+        put(units.starts[:-1][near])
     return flag
 
 
@@ -108,12 +145,12 @@ def features(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out_doc), np.concatenate(out)
 
 
-def document_features(text: pa.Array, log_probs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (document number, feature) of texts and of what is restored in them."""
+def document_features(text: pa.Array, log_probs: np.ndarray, known: dict[str, str] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (document number, feature) of texts and of what is restored in them. known: see restored_words."""
     doc, value = features(text)
-    flagged = np.flatnonzero(_disguised(Words(text, SPACED)) | _disguised(Words(text, ALNUM)))
+    flagged = np.flatnonzero(_disguised(text))
     if len(flagged):
-        readings = pa.array([" ".join(restored_words(text[int(i)].as_py() or "", log_probs)) for i in flagged], pa.string())
+        readings = pa.array([" ".join(restored_words(text[int(i)].as_py() or "", log_probs, known)) for i in flagged], pa.string())
         more_doc, more = features(readings)
         doc, value = np.concatenate([doc, flagged[more_doc]]), np.concatenate([value, more])
     return doc, value
@@ -126,8 +163,8 @@ class ToxicityModel:
     weights: np.ndarray
     bias: float
 
-    def score(self, text: pa.Array) -> np.ndarray:
-        doc, value = document_features(text, self.log_probs)
+    def score(self, text: pa.Array, known: dict[str, str] | None = None) -> np.ndarray:
+        doc, value = document_features(text, self.log_probs, known)
         total = np.full(len(text), self.bias)
         if len(self.known):
             at = np.minimum(np.searchsorted(self.known, value), len(self.known) - 1)
@@ -167,8 +204,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max
     sample = labelled_sample(docs, labels.where(~held_out(id_col)), ["toxic"], max_rows, id_col).withColumn("toxic", (F.col("toxic") > 0).cast("int"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        readings: dict[str, str] = {}
         for batch in chunks(batches, "text", 1 << 22):
-            doc, value = document_features(batch.column(0), log_probs)
+            doc, value = document_features(batch.column(0), log_probs, readings)
             toxic = batch.column(1).to_numpy().astype(np.int64)
             order = np.lexsort((doc, value))
             doc, value = doc[order], value[order]
@@ -194,8 +232,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max
     counts.unpersist()
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        readings: dict[str, str] = {}
         for batch in chunks(batches, "text"):
-            doc, value = document_features(batch.column(0), log_probs)
+            doc, value = document_features(batch.column(0), log_probs, readings)
             at = np.minimum(np.searchsorted(known, value), max(len(known) - 1, 0))
             hit = np.flatnonzero(known[at] == value) if len(known) else np.zeros(0, np.int64)
             pairs = np.unique(doc[hit] * max(len(known), 1) + at[hit])
@@ -221,8 +260,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        readings: dict[str, str] = {}
         for batch in chunks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(batch.column(1)))], names=[id_col, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(batch.column(1), readings))], names=[id_col, "score"])
 
     schema = T.StructType([docs.schema[id_col], T.StructField("score", T.DoubleType())])
     scored = docs.select(id_col, F.col(text_col).alias("text")).mapInArrow(run, schema)

@@ -191,6 +191,22 @@ def test_toxicity(docs, none, labels, spark):
     assert toxicity.fit_toxicity(none, labels).score is not None
 
 
+def test_toxicity_reads_every_disguise(monkeypatch):
+    import pyarrow as pa
+
+    flat = np.zeros((28, 28, 28))
+    flat[np.arange(28), np.arange(28), np.arange(28)] = -5  # no letter goes three times
+    heavy = ["1d10t", "l053r", "7r45h", "f00l", "h473", "a$$", "€v1l", "f££l", "nooo", "nöööö", "m 0 r 0 n", "é d 1 o t", "(s.h.!.t)", "$ h i t", "i.d.i.o.t"]
+    rng = np.random.default_rng(6)
+    texts = [f"plain words {x} go on" for x in heavy] + ["".join(rng.choice(list("aab01$€ö .(!\n"), 12)) for _ in range(3000)]
+    told = [bool(toxicity.restored_words(t, flat)) for t in texts]
+    assert all(told[: len(heavy)]) and not (np.array(told) & ~toxicity._disguised(pa.array(texts))).any()
+    assert toxicity._disguised(pa.array([None, "", "plain words go on", "f00l"])).tolist() == [False, False, False, True]
+    got = {*zip(*(x.tolist() for x in toxicity.document_features(pa.array(texts), flat)))}
+    monkeypatch.setattr(toxicity, "_disguised", lambda text: np.ones(len(text), bool))
+    assert got == {*zip(*(x.tolist() for x in toxicity.document_features(pa.array(texts), flat)))}
+
+
 def test_grades(docs, none, labels):
     model = quality_grades.fit_grades(docs, labels)
     rows = quality_grades.grade_documents(docs, model, keep=["doc_id"]).collect()
