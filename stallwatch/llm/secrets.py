@@ -31,12 +31,14 @@ FORMATS = {
     "aws_key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "github_token": r"\bgh[pousr]_[0-9A-Za-z]{36}\b",
     "slack_token": r"\bxox[abprs]-[0-9A-Za-z-]{10,}",
-    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
+    # To the END line, or without one as far as lines of a key follow; never over another BEGIN line.
+    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?P<body>(?:[^-]|-(?!----(?:BEGIN|END) ))*+)-----END [A-Z ]*PRIVATE KEY-----|(?:(?:\s|\\[nr])++[A-Za-z-]+: [^\n\\]+)*+(?:(?:\s|\\[nr])++[0-9A-Za-z+/=]{40,}+)*+(?:(?:\s|\\[nr])++[0-9A-Za-z+/=]++(?=\s*\Z))?)",
     "jwt": r"\beyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}",
 }
-_KEYED = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)[\"']?[ \t]*[:=][ \t]*[\"']?(?P<value>[^\s\"',;]{6,256})"
-_LONG = r"(?<![0-9A-Za-z+/_-])[0-9A-Za-z+/_-]{20,256}(?![0-9A-Za-z+/_-])"
+_KEYED = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)[\"']?[ \t]*[:=][ \t]*[\"']?(?P<value>[^\s\"',;]{6,})"
+_LONG = r"(?<![0-9A-Za-z+/_-])[0-9A-Za-z+/_-]{20,}(?![0-9A-Za-z+/_-])"
 _CANDIDATE = re.compile("|".join([*(f"(?P<{k}>{v})" for k, v in FORMATS.items()), f"(?P<keyed>{_KEYED})", f"(?P<long>{_LONG})"]))
+_KEY_VALUE = re.compile(_KEYED)
 _TOKEN = re.compile(r"[^\W_]+")
 _RUNS = re.compile(r"[A-Za-z]{3,}")
 NUMBERS = ("length", "transition", "digit_share", "upper_share", "entropy", "n_classes", "coverage", "path_hash", "before_hash", "after_hash", "key_before", "line_place")
@@ -46,11 +48,20 @@ CANDIDATE = "doc_id long, kind string, start int, end int, value string, length
 
 
 def candidates(text: str) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of each candidate value, in order, apart from one another."""
-    out = []
-    for m in _CANDIDATE.finditer(text):
-        kind = m.lastgroup if m.lastgroup != "value" else "keyed"
-        out.append((kind, *m.span("value" if kind == "keyed" else kind)))
+    """(kind, start, end) of each candidate value, in order, apart from one another. Values are whole, however long."""
+    out, at = [], 0
+    while m := _CANDIDATE.search(text, at):
+        kind = next(k for k in (*FORMATS, "keyed", "long") if m.group(k) is not None)
+        start, end = m.span("value" if kind == "keyed" else kind)
+        at = m.end()
+        if kind == "private_key" and m.group("body") and any(k != "long" for k, _, _ in candidates(m.group("body"))):
+            at = end = text.index("-----", start + 5) + 5  # other secrets between the two lines: not the body of a key
+        out.append((kind, start, end))
+        if kind == "long" and text[end : end + 1] in {*"\"' \t:="}:  # the string may end with the key of a value
+            found = next((v for k in range(3, 11) if (v := _KEY_VALUE.match(text, end - k)) and v.start("value") > end), None)
+            if found:
+                out.append(("keyed", *found.span("value")))
+                at = found.end()
     return out
 
 

@@ -237,6 +237,27 @@ def test_secrets(docs, none, spark):
     assert secrets.scan_secrets(docs).count() == 0
 
 
+def test_secrets_are_whole(spark):
+    rng = np.random.default_rng(8)
+    blob = "".join(rng.choice(list("abcdefXYZ0123456789+/"), 5000))
+    body = "\n".join(blob[i : i + 64] for i in range(0, 1600, 64))
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n{body}\n-----END RSA PRIVATE KEY-----"
+    one_line = pem.replace("\n", "\\n")
+    cut = pem[: pem.index("\n-----END")]
+    path = "/dir" * 80 + "_password"
+    cases = [
+        (f"x token={blob} y", [("keyed", blob)]), (f"x {blob} y", [("long", blob)]), (f"a {pem} b", [("private_key", pem)]), (f'{{"k": "{one_line}"}}', [("private_key", one_line)]),
+        (cut, [("private_key", cut)]), (f"{cut}\n{pem}", [("private_key", cut), ("private_key", pem)]), (f"{path}=hunter22 z", [("long", path), ("keyed", "hunter22")]),
+        ("from -----BEGIN PRIVATE KEY----- and password=hunter22 to -----END PRIVATE KEY-----", [("private_key", "-----BEGIN PRIVATE KEY-----"), ("keyed", "hunter22")]),
+    ]
+    for text, want in cases:
+        assert [(k, text[a:b]) for k, a, b in secrets.candidates(text)] == want
+    rows = secrets.scan_secrets(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.kind, r.value) for r in rows) == sorted((i, k, v) for i, (_, want) in enumerate(cases) for k, v in want)
+    for text in ("-----BEGIN PRIVATE KEY-----\nabc " * 30_000, "token=" * 200_000, "a" * 2_000_000, "-----BEGIN PRIVATE KEY-----" + "-" * 1_000_000):
+        assert secrets.candidates(text)
+
+
 def test_warc(spark, none):
     big = "x" * 200
     rows = [(3, "u", big), (1, "http://a b/\r\né", big), (2, None, "short"), (4, None, "short"), (5, "u", None), (6, "u", "é" * 60), (7, "u", "é" * 60), (None, "u", big), (1, "u", big)]
