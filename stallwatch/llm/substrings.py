@@ -25,6 +25,8 @@ from stallwatch.llm.words import SPACED, U64, Words, _powers, chunks, mix, rolli
 GRAM = 8
 #: Words in one FM-index; a single anchor's segments may exceed it.
 INDEX_WORDS = 400_000
+#: Of the two hashes of a window of a hot anchor.
+BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
 def segment(text: pa.Array, window: int) -> tuple[Words, np.ndarray, dict[str, np.ndarray]]:
@@ -69,27 +71,42 @@ def _occurrences(window: int):
     return run
 
 
+def _wanted_segments(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int, int, int]]]]:
+    """For each chunk its word hashes, and (first word, windows, anchor, key, n) of the wanted segments of each document."""
+    for batch in chunks(batches, "text"):
+        _, h, s = segment(batch.column(2), window)
+        wanted: list[dict] = [{x["segment"]: x["n"] for x in row} for row in batch.column(3).to_pylist()]
+        rows = []
+        for doc, at, windows, anchor, key in zip(s["doc"].tolist(), s["at"].tolist(), s["windows"].tolist(), s["anchor"].view(np.int64).tolist(), s["key"].view(np.int64).tolist()):
+            n = wanted[doc].pop(key, None)
+            if n:
+                rows.append((at, windows, anchor, key, n))
+        yield h, rows
+
+
 def _contents(window: int):
-    """Words of the wanted segments of each document. A hot anchor's segments are cut into their windows, filed each under its own hash."""
+    """Words of the wanted segments of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            words, h, s = segment(batch.column(2), window)
-            wanted: list[dict] = [{x["segment"]: x for x in row} for row in batch.column(3).to_pylist()]
-            rows = []
-            for doc, at, windows, anchor, key in zip(*(s[k].tolist() for k in ("doc", "at", "windows", "anchor", "key"))):
-                key = key - (1 << 64) if key >> 63 else key
-                found = wanted[doc].pop(key, None)
-                if not found:
-                    continue
-                if found["hot"]:
-                    for i in range(windows):
-                        part = h[at + i : at + i + window]
-                        rows.append((int(mix(rolling(part, window)).view(np.int64)[0]), key, i, found["n"], part.tobytes()))
-                else:
-                    rows.append((anchor - (1 << 64) if anchor >> 63 else anchor, key, 0, found["n"], h[at : at + windows + window - 1].tobytes()))
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 5, types)], names=["anchor", "segment", "moved", "n", "words"])
+        for h, found in _wanted_segments(batches, window):
+            rows = [(anchor, key, n, h[at : at + windows + window - 1].tobytes()) for at, windows, anchor, key, n in found]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 4, types)], names=["anchor", "segment", "n", "words"])
+
+    return run
+
+
+def _windows(window: int):
+    """Two hashes of each window of the wanted segments of each document, and its place in the segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h, found in _wanted_segments(batches, window):
+            at, windows, _, key, n = (np.array(c, np.int64) for c in (list(zip(*found)) or [[]] * 5))
+            moved = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+            place = np.repeat(at, windows) + moved
+            hashes = [rolling(h, window, base)[place].view(np.int64) for base in BASES] if len(place) else [place, place]
+            columns = [*map(pa.array, hashes), pa.array(np.repeat(key, windows)), pa.array(moved, pa.int32()), pa.array(np.repeat(n, windows))]
+            yield pa.RecordBatch.from_arrays(columns, names=["one", "two", "segment", "moved", "n"])
 
     return run
 
@@ -104,7 +121,7 @@ def _shard(window: int):
         def search() -> pa.RecordBatch:
             place: dict[bytes, int] = {}
             counts: list[int] = []
-            for _, _, _, n, content in held:
+            for _, _, n, content in held:
                 i = place.setdefault(content, len(place))
                 if i == len(counts):
                     counts.append(0)
@@ -112,10 +129,10 @@ def _shard(window: int):
             segments = [np.frombuffer(c, dtype=U64) for c in place]
             index = FMIndex(segments + [s for s, n in zip(segments, counts) if n > 1])
             spans = index.repeated(segments, window)
-            out = [(key, moved, [x for span in spans[place[content]] for x in span]) for _, key, moved, _, content in held]
-            out = [x for x in out if x[2]]
-            columns = list(zip(*out)) or [[]] * 3
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.list_(pa.int32()))], names=["segment", "moved", "spans"])
+            out = [(key, [x for span in spans[place[content]] for x in span]) for _, key, _, content in held]
+            out = [x for x in out if x[1]]
+            columns = list(zip(*out)) or [[]] * 2
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.list_(pa.int32()))], names=["segment", "spans"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -123,7 +140,7 @@ def _shard(window: int):
                     yield search()
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4]) // 8
+                size += len(row[3]) // 8
         if held:
             yield search()
 
@@ -155,8 +172,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     words and an empty kept_text. Repeated rows are places of their own, so they lose all their windows.
     Null ids are rows like others. Extra columns are ignored; an empty table gives no rows.
 
-    hot_segments: an anchor with more different segments than this is split into single windows, filed each
-    under its own hash; the result is the same.
+    hot_segments: an anchor with more different segments than this is split into single windows, which are
+    counted by two 64-bit hashes, map-side first; the result is the same.
     """
     scratch = Scratch(docs.sparkSession, "repeats")
     docs = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -165,15 +182,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     places = scratch.table(occurrences.join(often, "anchor"), "places")
     scratch.drop("occurrences")
 
-    different = places.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.min("row_key").alias("row_key"))
-    hot = different.groupBy("anchor").agg(F.count("*").alias("m")).where(F.col("m") > hot_segments).select("anchor", F.lit(True).alias("hot"))
-    different = different.join(hot, "anchor", "left")
-    item = F.struct("segment", F.least("n", F.lit(2)).alias("n"), F.coalesce("hot", F.lit(False)).alias("hot"))
-    wanted = different.groupBy("row_key").agg(F.collect_list(item).alias("wanted"))  # within one document
-    # All of row_key, id and text, dealt out by row_key: the join at the end then reads the same shuffled copy of the texts.
-    contents = docs.join(wanted, "row_key").select("row_key", "id", "text", "wanted").mapInArrow(_contents(window), "anchor long, segment long, moved int, n long, words binary")
-    covered = contents.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shard(window), "segment long, moved int, spans array<int>")
-    found = places.join(covered, "segment").select("row_key", "id", (F.col("first") + F.col("moved")).alias("first"), "spans")
+    different = scratch.table(places.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.min("row_key").alias("row_key")), "different")
+    hot = scratch.table(different.groupBy("anchor").agg(F.count("*").alias("m")).where(F.col("m") > hot_segments).select("anchor"), "hot")
+    any_hot = not hot.isEmpty()
+
+    def texts(segments: DataFrame) -> DataFrame:
+        wanted = segments.groupBy("row_key").agg(F.collect_list(F.struct("segment", F.least("n", F.lit(2)).alias("n"))).alias("wanted"))  # within one document
+        # All of row_key, id and text, dealt out by row_key: the join at the end then reads the same shuffled copy of the texts.
+        return docs.join(wanted, "row_key").select("row_key", "id", "text", "wanted")
+
+    contents = texts(different.join(hot, "anchor", "left_anti") if any_hot else different).mapInArrow(_contents(window), "anchor long, segment long, n long, words binary")
+    covered = contents.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shard(window), "segment long, spans array<int>")
+    if any_hot:
+        windows = texts(different.join(hot, "anchor", "left_semi")).mapInArrow(_windows(window), "one long, two long, segment long, moved int, n long")
+        windows = scratch.table(windows, "windows")
+        repeated = windows.groupBy("one", "two").agg(F.sum("n").alias("n")).where("n > 1").select("one", "two")
+        starts = windows.join(repeated, ["one", "two"], "left_semi").groupBy("segment").agg(F.sort_array(F.collect_set("moved")).alias("moved"))  # fewer than window
+        spans = F.flatten(F.transform("moved", lambda m: F.array(m, (m + window).cast("int"))))
+        covered = covered.unionByName(starts.select("segment", spans.alias("spans")))
+    found = places.join(covered, "segment").select("row_key", "id", "first", "spans")
     # One list per text hash; ids are told apart inside it, so that both joins deal the texts out by row_key alone.
     found = found.distinct().groupBy("row_key").agg(F.collect_list(F.struct("id", "first", "spans")).alias("found"))
     both = docs.join(found, "row_key", "left").select("id", "text", "found")

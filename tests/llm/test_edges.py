@@ -83,6 +83,25 @@ def test_substrings_inside_one_document(spark, hot):
         assert r.n_removed == len(gone)
 
 
+def test_substrings_sends_no_copies_of_hot_windows(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    passage = " ".join(f"p{i}" for i in range(45))
+    texts = [" ".join(f"c{x}" for x in rng.integers(0, 1 << 40, 40)) + f" {passage} " + " ".join(f"c{x}" for x in rng.integers(0, 1 << 40, 40)) for _ in range(60)]
+    shard = substrings._shard
+
+    def few(window):
+        def run(batches):
+            batches = list(batches)
+            assert max(Counter(x for b in batches for x in b.column(0).to_pylist()).values(), default=0) <= 10
+            yield from shard(window)(batches)
+
+        return run
+
+    monkeypatch.setattr(substrings, "_shard", few)
+    rows = substrings.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), hot_segments=10).collect()
+    assert len(rows) == 60 and all(r.n_removed == 45 and r.kept_text == " ".join(texts[r.doc_id].replace(passage, "").split()) for r in rows)
+
+
 def test_packing(docs, none):
     from tokenizers import Tokenizer
 
