@@ -5,6 +5,10 @@ every piece, where it came from: homoglyphs and wide forms become ASCII, invisib
 digits become digits, and "at"/"dot" disguises become signs. The same detectors run on the copy, and their
 spans are mapped back to the source characters they were made from. They add to the base spans; a span that
 lies inside a base span of its kind adds nothing.
+
+Left out, as plain prose looks the same: a bare "at" before a plain domain unless the word before it reads like
+a mailbox ("jane.doe at example.com" counts, "jane at example.com" does not), numbers above nine in words, and digits
+spelled in other languages than the four listed.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallwatch.llm.frames import add_columns
+from stallwatch.llm.frames import add_columns, free_name
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
@@ -90,9 +94,9 @@ _LOOKALIKES = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "ӏ": "l", "м": "m", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "т": "t", "у": "y", "х": "x", "ѵ": "v", "ԝ": "w", "к": "k", "г": "r", "п": "n",
     "А": "A", "В": "B", "С": "C", "Е": "E", "Н": "H", "І": "I", "Ј": "J", "К": "K", "М": "M", "О": "O", "Р": "P", "Ѕ": "S", "Т": "T", "У": "Y", "Х": "X", "З": "3", "б": "6", "з": "3",
     "α": "a", "ο": "o", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "ι": "i", "κ": "k", "ε": "e", "η": "n", "χ": "x", "γ": "y", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
-    "ı": "i", "ɑ": "a", "ɡ": "g", "ⅼ": "l", "։": ":", "․": ".", "。": ".", "｡": ".", "‧": ".", "∙": ".",
+    "ı": "i", "İ": "I", "ſ": "s", "K": "K", "ɑ": "a", "ɡ": "g", "ⅼ": "l", "։": ":", "․": ".", "。": ".", "｡": ".", "‧": ".", "∙": ".",
 }
-_ODD = re.compile("[^\x00-ɏḀ-ỿ‘-‟…€]|[ ­²³¹ı]")
+_ODD = re.compile("[^\x00-ɏḀ-ỿ‘-‟…€]|[ ­²³¹ıİſ]")
 _HIDDEN = {"Cf", "Mn"}
 # The words of the digits 0 to 9 in four languages.
 _DIGIT_WORDS = {
@@ -102,21 +106,29 @@ _DIGIT_WORDS = {
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
     "oh": "0",
 }
+#: Letters that a case-blind pattern takes for ASCII ones.
+_CASE_TWINS = str.maketrans("ſıİK", "siik")
 _WORDS = "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True))
 # A spelled number: digit words, perhaps with digits among them, at least two words in all.
 _SPELLED_ONE = re.compile(rf"(?<![^\W_])(?:{_WORDS})(?![^\W_])", re.I)
 _SPELLED = re.compile(rf"(?<![^\W_])(?:{_WORDS}|[0-9]+)(?:[ ,\t_-]{{1,3}}(?:{_WORDS}|[0-9]+)(?![^\W_]))+", re.I)
 # A single digit word as a part of a dotted number.
-_SPELLED_PART = re.compile(rf"(?:(?<=[0-9]\.)|(?<![^\W_])(?=\w+\.[0-9])|(?<=\.)(?=\w+(?:\.|\Z|\W)))({_WORDS})(?![^\W_])", re.I)
+_SPELLED_PART = re.compile(rf"(?:(?<=[0-9]\.)|(?<![^\W_])(?=\w+\.(?:[0-9]|{_WORDS}))|(?<=\.)(?=\w+(?:\.|\Z|\W)))({_WORDS})(?![^\W_])", re.I)
 # A disguised number has one of these words, a disguised address one of those; looking for plain strings is fast.
-_HINTS = tuple(w for w in _DIGIT_WORDS if len(w) > 3 and w not in ("eins", "zwei")) + ("two", "six", "zwei", "dos ")
+_HINTS = tuple(sorted({w for w in _DIGIT_WORDS if not any(v != w and v in w for v in _DIGIT_WORDS)}))
 _DOT_HINTS = ("dot", "punkt", "point", "punto")
+_AT_HINTS = ("at ", "at\t", "at_", "at-", "arroba", "arobase", "klammeraffe")
 _AT = r"(?:at|ät|arroba|arobase|klammeraffe|@)"
 _DOT = r"(?:dot|punkt|point|punto|\.)"
-_BRACKETED_AT = re.compile(rf"[ \t]*[\[({{<]{{1,2}}[ \t]*{_AT}[ \t]*[\])}}>]{{1,2}}[ \t]*", re.I)
-_BRACKETED_DOT = re.compile(rf"[ \t]*[\[({{<]{{1,2}}[ \t]*{_DOT}[ \t]*[\])}}>]{{1,2}}[ \t]*", re.I)
+_BLANKS = r"(?:(?<![ \t])[ \t]++)?"  # a whole run or nothing, so that long runs are read once
+_BRACKETED_AT = re.compile(rf"{_BLANKS}[\[({{<]{{1,2}}[ \t]*{_AT}[ \t]*[\])}}>]{{1,2}}[ \t]*", re.I)
+_BRACKETED_DOT = re.compile(rf"{_BLANKS}[\[({{<]{{1,2}}[ \t]*{_DOT}[ \t]*[\])}}>]{{1,2}}[ \t]*", re.I)
 _BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])(?:[ \t]+(?:dot|punkt|point|punto)[ \t]+|[_-](?:dot|punkt|punto)[_-])(?=[A-Za-z0-9])", re.I)
 _BARE_AT = re.compile(r"(?<=[A-Za-z0-9])(?:[ \t]+(?:at|arroba|arobase|klammeraffe)[ \t]+|[_-]at[_-]|[ \t]+@[ \t]*|@[ \t]+)(?=[A-Za-z0-9-]+\.[A-Za-z0-9])", re.I)
+# Before a bare "at", what reads like the name of a mailbox: parts joined by a dot, a line or a sign, or letters and digits.
+_MAILBOX = re.compile(r"(?:[A-Za-z][A-Za-z0-9]*[._+-])+[A-Za-z0-9]+|[A-Za-z]+[0-9]+")
+# Top-level names that a bare "at" needs in its domain.
+_TOP_LEVEL = frozenset("com org net edu gov mil int info biz name io co ai app dev me eu uk de fr es it nl be ch at pl pt se no dk fi ie us ca au nz br mx ar jp cn in ru".split())
 _PLUS = re.compile(r"(?<![^\W_])(?:plus|más|mas)[ \t]+(?=[0-9])", re.I)
 # Letters that stand for digits inside long numbers: next to a digit, or a whole part of a dotted number.
 _DIGIT_LIKE = re.compile(r"(?<![A-Za-z0-9.])[0-9OoIl](?:[ .-]?[0-9OoIl]){6,30}(?![A-Za-z0-9])")
@@ -124,6 +136,17 @@ _DIGIT_PART = re.compile(r"(?<=\.)[OoIl]+(?![0-9OoIl])|[OoIl]+(?=\.)|[0-9OoIl]*[
 _AS_DIGIT = str.maketrans("OoIl", "0011")
 
 
+def _digit(word: str) -> str:
+    return _DIGIT_WORDS.get(word.translate(_CASE_TWINS).lower(), word)
+
+
+def _mailbox_before(text: str, end: int) -> bool:
+    start = end
+    while start > 0 and end - start < 64 and text[start - 1] in _LOCAL:  # the longest that mail allows
+        start -= 1
+    return _MAILBOX.fullmatch(text, start, end) is not None
+
+
 @lru_cache(maxsize=65536)
 def plain_letter(c: str) -> str:
     """ASCII form of a character that looks like ASCII, "" for an invisible one, else the character."""
@@ -207,7 +230,7 @@ def normalise(text: str) -> Rewritten | None:
         edits = []
         for m in _SPELLED.finditer(out.text):
             if _SPELLED_ONE.search(m.group()):
-                edits.append((m.start(), m.end(), re.sub(r"[ ,\t_-]", "", _SPELLED_ONE.sub(lambda w: _DIGIT_WORDS[w.group().lower()], m.group()))))
+                edits.append((m.start(), m.end(), re.sub(r"[ ,\t_-]", "", _SPELLED_ONE.sub(lambda w: _digit(w.group()), m.group()))))
         out.replace(edits)
         out.replace([(m.start(), m.end(), "+") for m in _PLUS.finditer(out.text)])
     if _DIGITS.search(out.text):
@@ -221,16 +244,19 @@ def normalise(text: str) -> Rewritten | None:
     if spelled:
         out.replace([(m.start(), m.end(), ".") for m in _BRACKETED_DOT.finditer(out.text)])
         out.replace([(m.start(), m.end(), ".") for m in _BARE_DOT.finditer(out.text)])
-        out.replace([(m.start(), m.end(), _DIGIT_WORDS[m.group(1).lower()]) for m in _SPELLED_PART.finditer(out.text)])
+        out.replace([(m.start(), m.end(), _digit(m.group(1))) for m in _SPELLED_PART.finditer(out.text)])
     if any(c in out.text for c in "[({<"):
         out.replace([(m.start(), m.end(), "@") for m in _BRACKETED_AT.finditer(out.text)])
-    if spelled or "@" in out.text:
-        # A bare "at" counts only before a domain with a disguised dot; a spaced "@" before any domain.
+    if "@" in out.text or any(w in lower for w in _AT_HINTS):
+        # A bare "at" counts before a domain with a disguised dot, and between a mailbox name and a domain of a
+        # common top-level name; a spaced "@" before any domain.
         edits = []
         for m in _BARE_AT.finditer(out.text):
             domain = _DOMAIN.match(out.text, m.end())
             if "@" in m.group() or domain and any(not p[2] for p in out.pieces[bisect_right(out.starts, m.end()) - 1 : bisect_right(out.starts, domain.end() - 1)]):
                 edits.append((m.start(), m.end(), "@"))
+            elif domain and domain.group().rpartition(".")[2].lower() in _TOP_LEVEL and _mailbox_before(out.text, m.start()):
+                edits.append((m.start(), m.end(), "@"))
         out.replace(edits)
     return None if out.text == text else out
 
@@ -244,9 +270,11 @@ def find(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     every = {}
     for kind, spans in detect(changed.text).items():
         own = set(base[kind])
+        starts = [s for s, _ in base[kind]]
         for s, e in spans:
             lo, hi = changed.source(s, e)
-            if not any(a <= lo and hi <= b for a, b in base[kind]):
+            k = bisect_right(starts, lo) - 1  # base spans of a kind do not overlap
+            if k < 0 or hi > base[kind][k][1]:
                 own.add((lo, hi))
         every[kind] = sorted(own)
     return base, every
@@ -300,9 +328,17 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", keep: list[str]
 
 
 def redact_personal_data(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
-    """``docs`` with its own columns, all spans in the text replaced; size_col, if there, tells the new length."""
-    found = find_personal_data(docs, text_col, redacted=True)
-    new = {text_col: F.col("redacted_text")}
+    """``docs`` with its own columns, whatever their names, and all spans in the text replaced.
+
+    size_col, if there, tells the new length. A null text stays null, an empty one empty; an empty table gives none.
+    """
+
+    def compute(column: pa.Array) -> list[pa.Array]:
+        return [pa.array([text and redact(text, find(text)[1]) for text in column.to_pylist()], pa.string())]
+
+    redacted = free_name("redacted_text", docs.columns)
+    found = add_columns(docs, text_col, None, f"{redacted} string", compute)
+    new = {text_col: F.col(redacted)}
     if size_col in docs.columns:
-        new[size_col] = F.length("redacted_text").cast(docs.schema[size_col].dataType)
+        new[size_col] = F.length(redacted).cast(docs.schema[size_col].dataType)
     return found.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
