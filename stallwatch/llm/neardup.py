@@ -8,12 +8,20 @@ under every chunk with every one of its places left out (64 keys), and any two s
 the distance share a key. A pair at Jaccard similarity 0.8 differs in 12.8 places on average with
 a deviation of 3.2; it lies beyond 27 with a probability of about 2 in 100,000.
 
-Documents with equal sets are one class and never paired. Under each key every class is held against a
-leader, the smallest id in one of four orders; pairs within the distance join classes into families. All
-pairs of a family are then judged on the full sets, by counting common shingles over an inverted list; a
-large family is dealt out in blocks, each pair of blocks to one task, and only links that join something are
-written. Keys that hold more than one family give the pairs across families, which are confirmed on the full
-sets too. So every pair within the distance is judged unless a chain of links joins it already.
+Documents with equal sets are one class, a node of its own whatever the ids, and never paired. The work goes on
+in rounds that move each class a bounded number of times:
+
+1. Under each key every class is held against a leader, the first class in one of four orders. Pairs within the
+   distance join classes into families.
+2. Each class is held against its hub, the leader of the largest key that it is near to, on the full sets. A hub
+   with many members is dealt out; its set goes to each part.
+3. What a hub has not joined is judged against the whole family on the full sets, by counting common shingles over
+   inverted lists. A large family is dealt out in blocks: pairs of blocks of which one holds rows outside the
+   family's largest group. Rows of that group are not held against one another.
+4. Keys that hold more than one family give the pairs across families, again in pairs of blocks that leave out those
+   inside the key's largest family. They are confirmed on the full sets.
+
+So every pair within the distance is judged unless a chain of links joins it already.
 """
 
 from __future__ import annotations
@@ -26,12 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallwatch.llm.components import connected_components
+from stallwatch.llm.frames import free_name
 from stallwatch.llm.scratch import Scratch
 from stallwatch.llm.words import SPACED, U64, Words, chunks, mix
 
 PLACES, CHUNKS, RADIUS, LEADERS = 64, 14, 27, 4
-#: Shingles of a block of a large family; a task holds two blocks.
+#: Shingles of a block of a large family or of a part of a hub's members; a task holds two blocks.
 BLOCK_SHINGLES = 500_000
+#: Signatures of a block of a large key; a task holds two blocks.
+BLOCK_ROWS = 512
 #: Multipliers of the 64 hash functions and of the second set fingerprint.
 _ODD = mix(np.arange(101, 101 + PLACES, dtype=U64)) | U64(1)
 _ADD = mix(np.arange(501, 501 + PLACES, dtype=U64))
@@ -75,10 +86,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in range(PLACES):
                 least = np.minimum.reduceat(values * _ODD[k] + _ADD[k], starts)
                 signature[full, k] = (mix(least) >> U64(48)).astype(np.uint16)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array([r.tobytes() for r in signature], pa.binary())],
-            names=["id", "text_hash", "n_shingles", "set_a", "set_b", "signature"],
-        )
+        made = [pa.array(counts, pa.int64()), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array([r.tobytes() for r in signature], pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *made], names=["id", "row_a", "row_b", "n_shingles", "set_a", "set_b", "signature"])
 
 
 def _as_matrix(column: pa.Array) -> np.ndarray:
@@ -97,17 +106,22 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             keys = signature_keys(_as_matrix(batch.column(1)))
-            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), PLACES)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(ids)], names=["key", "id"])
+            nodes = np.repeat(batch.column(0).to_numpy(), PLACES)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(nodes)], names=["key", "node"])
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within the radius."""
-    for batch in batches:
-        if batch.num_rows:
-            a, b = (_as_matrix(batch.column(i)) for i in (2, 3))
-            near = (a != b).sum(axis=1) <= RADIUS
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(near)) for i in (0, 1)], names=["a", "b"])
+def _near(percent: int):
+    """Rows (node, leader, n) whose signatures are within the radius and whose sizes allow the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (_as_matrix(batch.column(i)) for i in (3, 4))
+                x, y = (batch.column(i).to_numpy() for i in (5, 6))
+                near = ((a != b).sum(axis=1) <= RADIUS) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+                yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(near)) for i in range(3)], names=["node", "leader", "n"])
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,52 +129,70 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, values = shingles(batch.column(1))
         ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
         sets = [values[ends[i] : ends[i + 1]].tobytes() for i in range(batch.num_rows)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * |intersection| >= percent * |union|."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x) or 100 * len(x) < percent * len(y):
+        return False
+    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
 def _similar(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
-            keep = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(c[i].as_buffer(), dtype=U64) for c in (left, right))
-                if len(x) > len(y):
-                    x, y = y, x
-                if 100 * len(x) >= percent * len(y) and len(x):
-                    at = np.searchsorted(y, x)
-                    common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                    keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"])
+            keep = [similar(*(np.frombuffer(c[i].as_buffer(), dtype=U64) for c in (left, right)), percent) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["a", "b"])
 
     return confirm
 
 
-def _pairs_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Within each key, the pairs of different families, within the radius, that meet under this key first.
+def _star_links(percent: int):
+    """(a, b): members similar to their hub. Rows (hub, part, member, node, shingles) come with the hub's own first in each part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = np.zeros(0, U64)
+        for batch in batches:
+            out = []
+            for i, (name, member, node) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)))):
+                own = np.frombuffer(batch.column(4)[i].as_py(), dtype=U64)
+                if not member:
+                    hub = own
+                elif similar(hub, own, percent):
+                    out.append((name, node))
+            yield _pairs(out)
+
+    return run
+
+
+def _pairs_across(percent: int):
+    """Within each (key, first, second), the pairs of different families, within the radius, that meet under this key first.
 
-    Rows come sorted by key and family.
+    Rows (key, first, second, family, node, n_shingles, signature) come sorted by the first four.
     """
-    rest: pa.Table | None = None
 
     def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = table.column("key").to_numpy()
-        ids = table.column("id").to_numpy()
-        family = table.column("family").to_numpy()
+        key, family, node, size = (table.column(c).to_numpy() for c in ("key", "family", "node", "n_shingles"))
         signature = _as_matrix(table.column("signature").combine_chunks())
-        bounds = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        bounds = _bounds(table)
         out_a, out_b, held = [], [], 0
         for lo, hi in zip(bounds, np.append(bounds[1:], len(key))):
             for i in range(lo, hi - 1):
                 after = int(np.searchsorted(family[lo:hi], family[i], side="right")) + lo
                 if after >= hi:
                     break
-                differ = signature[after:hi] != signature[i]
+                fits = (100 * np.minimum(size[after:hi], size[i]) >= percent * np.maximum(size[after:hi], size[i])).nonzero()[0] + after
+                differ = signature[fits] != signature[i]
                 near = np.flatnonzero(differ.sum(axis=1) <= RADIUS)
                 if len(near):
                     near = near[_first_key(differ[near], signature[i]) == key[i]]
-                    out_a.append(np.full(len(near), ids[i]))
-                    out_b.append(ids[after:hi][near])
+                    out_a.append(np.full(len(near), node[i]))
+                    out_b.append(node[fits][near])
                     held += len(near)
             if held > 100_000:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_a, out_b)], names=["a", "b"])
@@ -168,16 +200,32 @@ def _pairs_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_a, out_b)], names=["a", "b"])
 
-    for batch in batches:
-        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-        key = table.column("key").to_numpy()
-        if not len(key):
-            continue
-        cut = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
-        yield from pairs(table.slice(0, cut))
-        rest = table.slice(cut)
-    if rest is not None:
-        yield from pairs(rest)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rest.append(batch)
+            if sum(b.num_rows for b in rest) < 4 * BLOCK_ROWS:
+                continue
+            table = pa.Table.from_batches(rest)
+            cut = int(_bounds(table)[-1])  # the last group may go on in the next batch
+            yield from pairs(table.slice(0, cut))
+            rest = table.slice(cut).combine_chunks().to_batches()
+        if rest:
+            yield from pairs(pa.Table.from_batches(rest))
+
+    return run
+
+
+def _bounds(table: pa.Table) -> np.ndarray:
+    """Where the groups (key, first, second) begin."""
+    new = np.zeros(table.num_rows, bool)
+    new[:1] = True
+    for name in ("key", "first", "second"):
+        column = table.column(name).to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
 
 
 def _first_key(differ: np.ndarray, signature: np.ndarray) -> np.ndarray:
@@ -197,140 +245,211 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone; a row without an id takes part, gets its group's component_id, and is kept only if no row of
     its group has an id (component_id is null then). Extra columns are ignored. An empty table gives none.
     """
-    out = _judged(docs, id_col, text_col, percent)
-    return out.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"), "kept")
+    signed, members = _judged(docs, id_col, text_col, percent, Scratch(docs.sparkSession, "neardup"))
+    out = signed.select("id", "n_shingles", "set_a", "set_b").join(members.select("set_a", "set_b", "n_shingles", F.col("head.id").alias("least")), ["set_a", "set_b", "n_shingles"], "left")
+    component = F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("least"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, component.isNull()).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """The kept documents with their own columns: one of each group. Of rows with equal id and text one stays."""
-    kept = _judged(docs, id_col, text_col, percent).where("kept").select("id", "text_hash").distinct()
-    own = docs.withColumns({"__id": F.col(id_col).cast("long"), "__hash": F.xxhash64(F.col(text_col))})
-    same = F.col("__id").eqNullSafe(F.col("id")) & (F.col("__hash") == F.col("text_hash"))
-    return own.join(kept, same, "left_semi").dropDuplicates(["__id", "__hash"]).select(*docs.columns)
-
-
-def _judged(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """(id, text_hash, n_shingles, component, kept) per row."""
-    scratch = Scratch(docs.sparkSession, "neardup")
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
-    signed = scratch.table(docs.mapInArrow(_signatures, "id long, text_hash long, n_shingles long, set_a long, set_b long, signature binary"), "signed")
-    classes = signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min("id").alias("id"), F.first("signature").alias("signature"))
-    classes = scratch.table(classes, "classes")
-    known = classes.where("id is not null")
-    signature = known.select("id", "signature")
-    keys = signature.mapInArrow(_keys, "key long, id long")
+    """One document of each group, that with the smallest id, with its own columns, whatever their names.
+
+    Documents without words stay. Of rows with equal id and text one stays. A group of rows without ids keeps one
+    of them. The texts are dealt out once, by (id, text), and copies of a row meet map-side before that.
+    """
+    signed, members = _judged(docs, id_col, text_col, percent, Scratch(docs.sparkSession, "neardup"))
+    kept = members.select("head.row_a", "head.row_b").unionByName(signed.where("n_shingles = 0").select("row_a", "row_b")).distinct()
+    row_a, row_b = (free_name(c, docs.columns) for c in ("row_a", "row_b"))
+    own = docs.withColumns(dict(zip((row_a, row_b), _row_key(id_col, text_col)))).dropDuplicates([row_a, row_b])
+    return own.join(kept.select(F.col("row_a").alias(row_a), F.col("row_b").alias(row_b)), [row_a, row_b], "left_semi").select(*docs.columns)
+
+
+def _row_key(id_col: str, text_col: str) -> tuple["F.Column", "F.Column"]:
+    """Two 64-bit hashes of a row's id and text."""
+    id, text = F.col(id_col).cast("long"), F.col(text_col)
+    missing = F.concat(id.isNull().cast("string"), text.isNull().cast("string"))  # hashes pass over nulls
+    return F.xxhash64(missing, id, text), F.xxhash64(F.lit("again"), text, id, missing)
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(id, row_a, row_b, n_shingles, set_a, set_b) per row, and (set_a, set_b, n_shingles, head) per class.
+
+    head is the first row (id, row_a, row_b) of the class's component: the smallest id, a null id last.
+    """
+    row_a, row_b = _row_key(id_col, text_col)
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), row_a.alias("row_a"), row_b.alias("row_b"))
+    signed = scratch.table(docs.mapInArrow(_signatures, "id long, row_a long, row_b long, n_shingles long, set_a long, set_b long, signature binary"), "signed")
+    head = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_a", "row_b")
+    classes = signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(head).alias("head"), F.first("signature").alias("signature"))
+    classes = scratch.table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")  # the written numbers stand
+    links = _links(docs, classes, percent, scratch)
+    labels = connected_components(links, scratch, "links")
+    scratch.drop("near", "families", "families_nodes", "members", "sets", "stars", "grouped", "inside", "labelled", "across", "sets_across")
+
+    members = classes.join(labels, "node", "left").select("set_a", "set_b", "n_shingles", "head", F.coalesce("component", "node").alias("component"))
+    first = members.groupBy("component").agg(F.min("head").alias("head"))
+    return signed.drop("signature"), members.drop("head").join(first, "component").drop("component")
 
+
+def _links(docs: DataFrame, classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between nodes that give every component of similar classes."""
+    signature = classes.select("node", "signature", "n_shingles")
+    keys = signature.mapInArrow(_keys, "key long, node long")
     order = F.element_at(F.array(*map(F.lit, _ORDERS)), (F.col("key").bitwiseAND(3) + 1).cast("int"))
-    leaders = keys.groupBy("key").agg(F.min(F.col("id").bitwiseXOR(order)).alias("m"), F.count("*").alias("n")).where("n > 1")
-    leaders = leaders.select("key", F.col("m").bitwiseXOR(order).alias("leader"))
-    tried = keys.join(leaders, "key").where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-    near = scratch.table(_within_radius(tried, signature), "near")
-    families = scratch.table(connected_components(near, scratch, "families").withColumnRenamed("node", "id").withColumnRenamed("component", "family"), "families")
-
-    # Inside families.
-    sets = _sets_of(docs, families.select("id"))
-    sizes = families.join(known.select("id", "n_shingles"), "id").groupBy("family").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    placed = families.join(sizes, "family").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 1, F.lit(0)))).alias("other")
-    placed = placed.select("id", "family", "own", "blocks", other).where("blocks = 1 or own <> other")
-    placed = placed.select("id", "family", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"))
-    tasks = placed.join(sets, "id").repartition("family", "first", "second").sortWithinPartitions("family", "first", "second", "id")
-    inside = scratch.table(tasks.select("family", "first", "second", "id", "shingles").mapInArrow(_family_links(percent), "a long, b long"), "inside")
-
-    # Keys that hold more than one family.
-    labelled = signature.join(families, "id", "left").select("id", F.coalesce("family", "id").alias("family"), "signature")
+    leaders = keys.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(order)).alias("m"), F.count("*").alias("n")).where("n > 1")
+    leaders = leaders.select("key", F.col("m").bitwiseXOR(order).alias("leader"), "n")
+    tried = keys.join(leaders, "key").where("node <> leader").groupBy("node", "leader").agg(F.max("n").alias("n"))
+    first = signature.select("node", F.col("signature").alias("s"), F.col("n_shingles").alias("x"))
+    second = signature.select(F.col("node").alias("leader"), F.col("signature").alias("t"), F.col("n_shingles").alias("y"))
+    both = tried.join(first, "node").join(second, "leader").select("node", "leader", "n", "s", "t", "x", "y")
+    near = scratch.table(both.mapInArrow(_near(percent), "node long, leader long, n long"), "near")
+    families = connected_components(near.select(F.col("node").alias("a"), F.col("leader").alias("b")), scratch, "families").withColumnRenamed("component", "family")
+    families = scratch.table(families, "families")
+
+    hubs = near.groupBy("node").agg(F.max(F.struct("n", (-F.col("leader")).alias("m"))).alias("best")).select("node", (-F.col("best.m")).alias("hub"))
+    members = families.join(hubs, "node", "left").join(classes.select("node", "n_shingles", "head.row_a", "head.row_b"), "node")
+    members = scratch.table(members, "members")
+    sets = scratch.table(_sets_of(docs, members), "sets")
+
+    stars = scratch.table(_stars(members, sets, percent), "stars")
+    inside = scratch.table(_inside(members, stars, sets, scratch, percent), "inside")
+    labelled = signature.join(families, "node", "left").select("node", F.coalesce("family", "node").alias("family"), "n_shingles", "signature")
     labelled = scratch.table(labelled, "labelled")
-    filed = labelled.mapInArrow(_keys_placed, "key long, id long, family long")
-    mixed = filed.groupBy("key").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select("key")
-    rows = filed.join(mixed, "key").join(labelled.select("id", "signature"), "id")
-    across = rows.repartition("key").sortWithinPartitions("key", "family", "id").mapInArrow(_pairs_across, "a long, b long")
-    across = scratch.table(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "across")
-    links = inside.unionByName(_confirmed(across, docs, scratch, percent))
-    labels = connected_components(links, scratch, "links")
+    across = scratch.table(_across(labelled, percent), "across")
+    return stars.unionByName(inside).unionByName(_confirmed(across, docs, classes, scratch, percent))
+
+
+def _stars(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of members to their hubs."""
+    held = members.where("hub is not null").select("hub", "node", "n_shingles")
+    load = held.groupBy("hub").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    rows = held.join(load, "hub").select("hub", part.alias("part"), F.lit(True).alias("member"), "node")
+    own = load.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"), F.col("hub").alias("node"))
+    tasks = rows.unionByName(own).join(sets, "node").select("hub", "part", "member", "node", "shingles")
+    return tasks.repartition("hub", "part").sortWithinPartitions("hub", "part", "member").mapInArrow(_star_links(percent), "a long, b long")
+
+
+def _inside(members: DataFrame, stars: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Links inside families between what their hubs have not joined and the rest."""
+    joined = stars.select(F.col("b").alias("node"), F.col("a").alias("joined"))
+    one = scratch.table(members.join(joined, "node", "left").select("node", "family", "n_shingles", F.coalesce("joined", "node").alias("label")), "one")
+    # A hub may be joined to another hub, or two to each other: labels are followed once more, and of two the smaller one stands.
+    up = one.select(F.col("node").alias("label"), F.col("label").alias("up"))
+    two = one.join(up, "label").withColumn("label", F.when(F.col("up") == F.col("node"), F.least("node", "label")).otherwise(F.col("label"))).drop("up")
+    two = scratch.table(two.select("node", "family", "n_shingles", "label"), "two")
+    up = two.select(F.col("node").alias("label"), F.col("label").alias("up"))
+    grouped = scratch.table(two.join(up, "label").select("node", "family", "n_shingles", F.col("up").alias("label")), "grouped")
+    scratch.drop("one", "two")
+    sizes = grouped.groupBy("family", "label").agg(F.sum("n_shingles").alias("n"))
+    sizes = sizes.groupBy("family").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("total"), F.count("*").alias("labels")).where("labels > 1")
+    single = F.col("total") <= BLOCK_SHINGLES
+    blocks = lambda n: F.ceil(n / BLOCK_SHINGLES).cast("int")
+    sizes = sizes.select("family", F.col("main.label").alias("main"), single.alias("single"), blocks(F.col("total") - F.col("main.n")).alias("rest_blocks"), blocks(F.col("main.n")).alias("main_blocks"))
+    placed = _placed(grouped.join(sizes, "family"), F.col("label") == F.col("main"), "family", "label", "node")
+    tasks = placed.join(sets, "node").select("family", "first", "second", "label", "node", "shingles")
+    return tasks.repartition("family", "first", "second").sortWithinPartitions("family", "first", "second", "node").mapInArrow(_group_links(percent), "a long, b long")
+
+
+def _placed(rows: DataFrame, in_main: "F.Column", *keep: str) -> DataFrame:
+    """``rows`` once for each pair of blocks (first, second) of their group that they are needed in.
+
+    Rows outside the group's main part have blocks 0 to rest_blocks - 1, those of the main part the next main_blocks. Each
+    block of the former meets every other block; blocks of the main part do not meet one another. A single group has one pair.
+    """
+    spread = F.xxhash64("node")
+    rest, main = F.col("rest_blocks"), F.col("main_blocks")
+    own = F.when(F.col("single"), 0).when(in_main, rest + F.pmod(spread, F.greatest(main, F.lit(1)))).otherwise(F.pmod(spread, F.greatest(rest, F.lit(1)))).cast("int")
+    last = F.when(F.col("single"), 0).when(in_main, rest - 1).otherwise(rest + main - 1).cast("int")
+    rows = rows.select(*keep, "single", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other")).where("single or own <> other")
+    return rows.select(*keep, F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"))
+
 
-    member = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component"))
-    out = signed.select("id", "text_hash", "n_shingles", "set_a", "set_b").join(member, ["set_a", "set_b", "n_shingles"], "left")
-    out = out.withColumn("component", F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component")))
-    return out.select("id", "text_hash", "n_shingles", "component", F.coalesce(F.col("id") == F.col("component"), F.col("component").isNull()).alias("kept"))
+def _across(labelled: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different families within the radius, from keys that hold more than one family."""
+    filed = labelled.select("node", "family", "signature").mapInArrow(_keys_placed, "key long, node long, family long")
+    mixed = filed.groupBy("key").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select("key")
+    sizes = filed.join(mixed, "key").groupBy("key", "family").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("key").agg(F.max(F.struct("n", "family")).alias("main"), F.sum("n").alias("total"))
+    blocks = lambda n: F.ceil(n / BLOCK_ROWS).cast("int")
+    sizes = sizes.select("key", F.col("main.family").alias("main"), (F.col("total") <= BLOCK_ROWS).alias("single"), blocks(F.col("total") - F.col("main.n")).alias("rest_blocks"), blocks(F.col("main.n")).alias("main_blocks"))
+    placed = _placed(filed.join(sizes, "key"), F.col("family") == F.col("main"), "key", "family", "node")
+    rows = placed.join(labelled.select("node", "n_shingles", "signature"), "node").select("key", "first", "second", "family", "node", "n_shingles", "signature")
+    found = rows.repartition("key", "first", "second").sortWithinPartitions("key", "first", "second", "family").mapInArrow(_pairs_across(percent), "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _keys_placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             keys = signature_keys(_as_matrix(batch.column(2)))
-            ids, family = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), PLACES) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(ids), pa.array(family)], names=["key", "id", "family"])
-
-
-def _within_radius(pairs: DataFrame, signature: DataFrame) -> DataFrame:
-    first = signature.select(F.col("id").alias("a"), F.col("signature").alias("signature_a"))
-    second = signature.select(F.col("id").alias("b"), F.col("signature").alias("signature_b"))
-    both = pairs.join(first, "a").join(second, "b").select("a", "b", "signature_a", "signature_b")
-    return both.mapInArrow(_near, "a long, b long")
+            nodes, family = (np.repeat(batch.column(i).to_numpy(), PLACES) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(nodes), pa.array(family)], names=["key", "node", "family"])
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, shingles): the full sets of some documents; one row for each different text of an id."""
-    return docs.where("id is not null").join(wanted, "id", "left_semi").dropDuplicates(["id", "text_hash"]).select("id", "text").mapInArrow(_sets, "id long, shingles binary")
+    """(node, shingles): the full sets of the wanted (node, row_a, row_b), one row each."""
+    rows = docs.select("row_a", "row_b", "text").join(wanted.select("row_a", "row_b", "node"), ["row_a", "row_b"])
+    return rows.dropDuplicates(["row_a", "row_b"]).select("node", "text").mapInArrow(_sets, "node long, shingles binary")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough; only the sets of documents in pairs are made."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = scratch.table(_sets_of(docs, wanted), "sets_across")
-    first = sets.select(F.col("id").alias("a"), F.col("shingles").alias("shingles_a"))
-    second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("shingles_b"))
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = scratch.table(_sets_of(docs, classes.select("node", "head.row_a", "head.row_b").join(wanted, "node")), "sets_across")
+    first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("shingles_a"))
+    second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("shingles_b"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "shingles_a", "shingles_b")
-    return both.mapInArrow(_similar(percent), "a long, b long").distinct()
+    return both.mapInArrow(_similar(percent), "a long, b long")
 
 
-def _family_links(percent: int):
-    """Links that join the rows of each (family, first, second); rows come sorted by these."""
+def _group_links(percent: int):
+    """Links that join the rows of each (family, first, second); rows come sorted by these. Rows of one label are joined already."""
 
-    def links(ids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-        n = len(ids)
+    def links(nodes: list[int], labels: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        n = len(nodes)
         sizes = np.array([len(s) for s in sets])
-        numbers, shingle, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        _, shingle, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         owner = np.repeat(np.arange(n), sizes)
         posting = owner[np.argsort(shingle, kind="stable")]
         begin = np.cumsum(df) - df
         starts = np.cumsum(sizes) - sizes
-        group = np.arange(n)  # component of each row
+        group = np.unique(labels, return_inverse=True)[1]
         centre = np.add.reduceat(df[shingle], starts) / sizes  # rows that share most go first
-        out, main = [], -1
+        largest = lambda: int(np.argmax(group == np.argmax(np.bincount(group, minlength=n))))
+        main, out = -1, []
         for step, x in enumerate(np.argsort(-centre, kind="stable")):
             if step == 3:
-                main = int(np.argmax(np.bincount(group, minlength=n)))  # from now on its rows are only met by others
-                main = int(np.flatnonzero(group == main)[0])
-            if main >= 0 and group[x] == group[main]:
+                main = largest()  # from now on the rows of its group are only met by others
+            if step >= 3 and group[x] == group[main]:
                 continue
             own = shingle[starts[x] : starts[x] + sizes[x]]
             count = df[own]
             at = np.repeat(begin[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
             common = np.bincount(posting[at], minlength=n)
-            similar = np.flatnonzero(100 * common >= percent * (sizes + sizes[x] - common))
-            for g in np.unique(group[similar]):
+            alike = np.flatnonzero(100 * common >= percent * (sizes + sizes[x] - common))
+            for g in np.unique(group[alike]):
                 if g != group[x]:
-                    y = similar[group[similar] == g][0]
-                    out.append((ids[x], ids[y]))
+                    y = alike[group[alike] == g][0]
+                    out.append((nodes[x], nodes[y]))
                     group[group == g] = group[x]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, sets = None, [], []
+        now, nodes, labels, sets = None, [], [], []
 
         def done() -> list[tuple[int, int]]:
-            return links(ids, sets) if len(ids) > 1 else []
+            return links(nodes, labels, sets) if len(nodes) > 1 else []
 
         for batch in batches:
             out: list[tuple[int, int]] = []
-            column = batch.column(4)
-            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
+            for key, label, node, own in zip(zip(*(batch.column(c).to_pylist() for c in range(3))), *(batch.column(c).to_pylist() for c in (3, 4, 5))):
                 if key != now:
                     out += done()
-                    now, ids, sets = key, [], []
-                ids.append(batch.column(3)[i].as_py())
-                sets.append(np.frombuffer(column[i].as_py(), dtype=U64))
+                    now, nodes, labels, sets = key, [], [], []
+                nodes.append(node)
+                labels.append(label)
+                sets.append(np.frombuffer(own, dtype=U64))
             yield _pairs(out)
         yield _pairs(done())
 

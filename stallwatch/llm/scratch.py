@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a fresh temporary folder only where it is unset (tests)."""
+    """The cluster's spark.checkpoint.dir. Only where a single machine runs all, as in tests, an unset one gets a fresh folder."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="stallwatch-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -20,12 +23,16 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Written tables that cut lineage: a lost executor re-reads files instead of recomputing.
 
-    Tables of one Scratch lie under one folder; ``drop`` removes those that nothing reads any more.
+    Tables of one Scratch lie under one folder; ``drop`` removes those that nothing reads any more. A result that
+    is still to be read keeps its tables; who has written it elsewhere calls ``release``.
     """
 
+    made: list["Scratch"] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/stallwatch/{name}-{uuid.uuid4().hex}"
+        Scratch.made.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -35,7 +42,16 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
-        jvm = self.spark._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(self.path(name))
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    @classmethod
+    def release(cls, since: int) -> None:
+        """Removes the folders of all Scratches but the first ``since``; their results must have been written elsewhere."""
+        for scratch in cls.made[since:]:
+            scratch._delete(scratch.root)
+        del cls.made[since:]
