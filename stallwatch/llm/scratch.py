@@ -8,6 +8,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def write_file(uri: str, data: bytes) -> None:
+    """Writes a file from inside a task; it appears whole or not at all."""
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(uri)
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(f"{path}.tmp", compression=None) as out:
+        out.write(data)
+    system.move(f"{path}.tmp", path)
+
+
+def open_file(uri: str):
+    """A stream of a file's bytes, inside a task."""
+    from pyarrow import fs
+
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
+    system, path = fs.FileSystem.from_uri(uri)
+    return system.open_input_stream(path, compression=None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's spark.checkpoint.dir. Only where a single machine runs all, as in tests, an unset one gets a fresh folder."""
     path = spark.conf.get("spark.checkpoint.dir", None)

@@ -15,10 +15,10 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwatch.llm.scratch import Scratch
+from stallwatch.llm.scratch import Scratch, open_file, write_file
 
 READ_BYTES = 1 << 16
 #: A task starts a new archive once this much is written.
@@ -91,20 +91,14 @@ def payload_of(headers: dict[str, str], block: bytes) -> tuple[int, str, bytes |
 
 def _writer(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        system, path = fs.FileSystem.from_uri(folder)
-        system.create_dir(path, recursive=True)
         context = TaskContext.get()
-        held, size, made = io.BytesIO(), 0, []
+        held, made = io.BytesIO(), []
 
         def close() -> None:
             nonlocal held
-            # A repeated task writes the same bytes under the same name; the rename makes each archive appear whole.
-            name = f"{path}/part-{context.partitionId():06d}-{len(made):04d}.warc.gz"
-            with system.open_output_stream(f"{name}.{context.taskAttemptId()}.tmp", compression=None) as out:
-                out.write(held.getvalue())
-            system.move(f"{name}.{context.taskAttemptId()}.tmp", name)
+            # Names belong to one attempt: what an attempt leaves behind that is not the last one, no reader is told of.
+            name = f"{folder}/part-{context.partitionId():06d}-{context.taskAttemptId()}-{len(made):04d}.warc.gz"
+            write_file(name, held.getvalue())
             made.append((name, held.tell()))
             held = io.BytesIO()
 
@@ -134,21 +128,36 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch, min_bytes: i
 
     Null html is empty. Of rows whose payloads are equal and have ``min_bytes`` or more, those with the
     smallest page_id are responses, all others revisits of it. A null page_id is never the smallest.
+    Archives are named by attempt, and those named in the result hold each record once: a task that ran
+    twice leaves files that the result does not name. ``folder`` is a URI that pyarrow opens (file, hdfs, s3, gs).
+    Smaller payloads are written where they are read; larger ones move once, to meet their digest's smallest id
+    (a plain join, which Spark splits where one digest has many pages).
     """
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     payload = F.coalesce(F.col("html"), F.lit(""))
-    signed = pages.withColumn("digest", F.sha2(payload, 256))
-    groups = signed.where(F.octet_length(payload) >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    groups = groups.where("n > 1 and first is not null").select("digest", "first")
-    linked = signed.join(groups, "digest", "left")
-    refers = F.when((F.col("page_id") == F.col("first")) | (F.octet_length(payload) < min_bytes), None).otherwise(F.col("first"))
-    rows = linked.select("page_id", "url", "html", "digest", refers.alias("first"))
+    signed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha2(payload, 256).alias("digest"))
+    large, small = signed.where(F.octet_length(payload) >= min_bytes), signed.where(F.octet_length(payload) < min_bytes)
+    groups = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    groups = scratch.table(groups.where("n > 1 and first is not null").select("digest", "first"), "groups")
+    linked = large.join(groups, "digest", "left").withColumn("first", F.when(F.col("page_id") == F.col("first"), None).otherwise(F.col("first")))
+    columns = ["page_id", "url", "html", "digest", "first"]
+    rows = linked.select(columns).unionByName(small.withColumn("first", F.lit(None).cast("long")).select(columns))
     return scratch.table(rows.mapInArrow(_writer(folder), "archive string, bytes long"), "archives")
 
 
-def read_archives(spark, folder: str, with_payload: bool = False) -> DataFrame:
-    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to[, html]) of all archives in a folder."""
-    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", html string" * with_payload
+def list_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """(archive) of all archives in a folder."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select(F.col("path").alias("archive"))
+
+
+PAGE = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+
+
+def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
+    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to[, html]) of the records of ``archives`` (archive).
+
+    Tasks read archives as streams, a record at a time. Without archives there are no rows.
+    """
+    schema = PAGE + ", html string" * with_payload
     names = [x.split()[0] for x in schema.split(", ")]
     types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
 
@@ -158,27 +167,25 @@ def read_archives(spark, folder: str, with_payload: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
+            for archive in batch.column(0).to_pylist():
                 rows: list[tuple] = []
-                for headers, block in read_records(pa.BufferReader(batch.column(0)[i].as_buffer())):
-                    size, digest, body = payload_of(headers, block)
-                    row = (page(headers["warc-record-id"]), headers.get("warc-target-uri"), size, digest, headers["warc-type"], page(headers.get("warc-refers-to")))
-                    rows.append(row + (((body or b"").decode() if body is not None else None,) if with_payload else ()))
-                    if len(rows) >= 2000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-                        rows = []
+                held = 0
+                with open_file(archive) as stream:
+                    for headers, block in read_records(stream):
+                        size, digest, body = payload_of(headers, block)
+                        row = (page(headers["warc-record-id"]), headers.get("warc-target-uri"), size, digest, headers["warc-type"], page(headers.get("warc-refers-to")))
+                        rows.append(row + ((None if body is None else body.decode(),) if with_payload else ()))
+                        held += len(block)
+                        if len(rows) >= 2000 or with_payload and held >= ARCHIVE_BYTES:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+                            rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
-    return files.select("content").mapInArrow(run, schema)
+    return archives.select("archive").repartition("archive").mapInArrow(run, schema)
 
 
 def round_trip(pages: DataFrame, with_payload: bool = False, min_bytes: int = 100) -> DataFrame:
-    """Writes archives into the shared folder and reads them back. An empty table gives no rows."""
+    """Writes archives into the shared folder and reads those of the finished attempts back. An empty table gives no rows."""
     scratch = Scratch(pages.sparkSession, "warc")
-    folder = scratch.path("files")
-    made = write_archives(pages, folder, scratch, min_bytes)
-    if made.limit(1).count() == 0:
-        return pages.sparkSession.createDataFrame([], "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", html string" * with_payload)
-    return read_archives(pages.sparkSession, folder, with_payload)
+    return read_archives(write_archives(pages, scratch.path("files"), scratch, min_bytes), with_payload)
