@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 
 from stallwatch.llm.words import chunks
 
-#: Entries of a task's memory of words and their ids; it only saves time.
-REMEMBERED = 300_000
+#: Entries of a task's memory of words and their ids, and the longest word in it; it only saves time.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 48
 #: Words whose ids do not need the tokenizer's normaliser: printable ASCII and Latin-1 letters.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 #: The tokenizer's own pattern, for such words in lower case.
@@ -69,7 +69,8 @@ class WordTokenizer:
                 ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
                 if len(self.pieces) >= REMEMBERED:
                     self.pieces.clear()
-                self.pieces[piece] = ids
+                if len(piece) <= REMEMBERED_CHARS:
+                    self.pieces[piece] = ids
             out += ids
         return out
 
@@ -85,7 +86,9 @@ class WordTokenizer:
             part = self.known.get(word)
             if part is None:
                 part = self.before.get(word)
-                self.known[word] = part = self.ids(word) if part is None else part
+                part = self.ids(word) if part is None else part
+                if len(word) <= REMEMBERED_CHARS:
+                    self.known[word] = part
             parts[at] = part
         return b"".join(parts)
 
