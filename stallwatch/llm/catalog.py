@@ -57,7 +57,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     trees = fit_quality_rules(docs, _table(spark, sf_dir, "labels"))
-    return apply_quality_rules(docs, trees).select("doc_id", *BASE, "base_failed", "score", "kept")
+    return apply_quality_rules(docs, trees).select("doc_id", *BASE, "base_failed", "kept", "score")
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallwatch.llm.frames import add_columns
+from stallwatch.llm.frames import add_columns, free_name
 from stallwatch.llm.quality_rules import labelled_sample
 from stallwatch.llm.words import ALNUM, U64, Words, chunks, mix
 
@@ -84,10 +84,10 @@ def fit_cumulative_link(x: np.ndarray, y: np.ndarray, grades: int, l2: float = 1
     return GradeModel(w, theta + float(mean @ w))
 
 
-def fit_grades(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: str = "doc_id") -> GradeModel:
+def fit_grades(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> GradeModel:
     """A model of three grades from about ``max_rows`` labelled documents: 0 poor quality, 1 good but toxic, 2 good."""
     grade = F.when(F.col("quality") <= 0, 0).when(F.col("toxic") > 0, 1).otherwise(2)
-    sample = labelled_sample(docs, labels.withColumn("grade", grade), ["quality", "toxic", "grade"], max_rows, id_col).select("text", "grade")
+    sample = labelled_sample(docs, labels.withColumn("grade", grade), ["quality", "toxic", "grade"], max_rows, id_col, text_col).select("text", "grade")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
@@ -103,6 +103,13 @@ def fit_grades(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, id_col:
 GRADED = "expected_grade double, tail_probability double, selected boolean"
 
 
+def _judged(model: GradeModel, text: pa.Array, least_grade: int, min_probability: float, min_words: int) -> list[pa.Array]:
+    tails = model.tails(text)
+    tail = tails[:, least_grade - 1]
+    enough = Words(text, ALNUM).counts >= min_words
+    return [pa.array(tails.sum(1)), pa.array(tail), pa.array((tail >= min_probability) & enough)]
+
+
 def grade_documents(docs: DataFrame, model: GradeModel, text_col: str = "text", keep: list[str] | None = None, least_grade: int = 1, min_probability: float = 0.5, min_words: int = 1) -> DataFrame:
     """``docs`` with expected_grade, tail_probability (of ``least_grade`` or better) and selected.
 
@@ -110,16 +117,11 @@ def grade_documents(docs: DataFrame, model: GradeModel, text_col: str = "text",
     get the probabilities of a text without content. Each row is judged alone, so repeated rows do no harm.
     ``keep`` names the columns to carry along; one named like a new column gives way.
     """
-
-    def compute(text: pa.Array) -> list[pa.Array]:
-        tails = model.tails(text)
-        tail = tails[:, least_grade - 1]
-        enough = Words(text, ALNUM).counts >= min_words
-        return [pa.array(tails.sum(1)), pa.array(tail), pa.array((tail >= min_probability) & enough)]
-
-    return add_columns(docs, text_col, keep, GRADED, compute)
+    return add_columns(docs, text_col, keep, GRADED, lambda text: _judged(model, text, least_grade, min_probability, min_words))
 
 
-def select_documents(docs: DataFrame, model: GradeModel, **options) -> DataFrame:
-    """The selected documents with their own columns."""
-    return grade_documents(docs, model, **options).where("selected").select(*docs.columns)
+def select_documents(docs: DataFrame, model: GradeModel, text_col: str = "text", least_grade: int = 1, min_probability: float = 0.5, min_words: int = 1) -> DataFrame:
+    """The selected documents with their own columns, whatever their names."""
+    selected = free_name("selected", docs.columns)
+    judged = add_columns(docs, text_col, None, f"{selected} boolean", lambda text: _judged(model, text, least_grade, min_probability, min_words)[2:])
+    return judged.where(F.col(selected)).select(*docs.columns)

@@ -171,16 +171,22 @@ def _flat(nodes: list, roots: list, depth: int, start: float) -> Trees:
     return Trees(np.array(f, np.int64), np.array(t, float), np.array(lo, np.int64), np.array(hi, np.int64), np.array(v, float), np.array(roots, np.int64), depth, start)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_cols: list[str], max_rows: int, id_col: str = "doc_id") -> DataFrame:
-    """(id_col, text, labels): about ``max_rows`` labelled documents at most, chosen by a hash of the id."""
-    known = labels.where(F.col(id_col).isNotNull()).dropna(subset=label_cols).select(id_col, *label_cols)
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_cols: list[str], max_rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, text, labels): about ``max_rows`` labelled documents at most, chosen by a hash of the id.
+
+    An id counts once: of repeated labels the largest stands, of repeated documents the one with the smallest text hash.
+    Rows without an id or a label are left out.
+    """
+    known = labels.where(F.col(id_col).isNotNull()).dropna(subset=label_cols).groupBy(id_col).agg(*[F.max(c).alias(c) for c in label_cols])
     n = known.count()
     if n > max_rows:
         known = known.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(1_000_000 * max_rows / n))
-    return docs.select(id_col, F.col("text")).join(F.broadcast(known), id_col)
+    found = docs.select(F.col(id_col), F.col(text_col).alias("__text")).join(F.broadcast(known), id_col)
+    one = found.groupBy(id_col, *label_cols).agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"))
+    return one.select(id_col, F.col("__text").alias("text"), *label_cols)
 
 
-def fit_quality_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, **options) -> Trees:
+def fit_quality_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text", **options) -> Trees:
     """Trees fitted to labels.quality on a bounded sample of ``max_rows`` labelled documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +194,7 @@ def fit_quality_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000
             x = statistics(batch.column(1))[1]
             yield pa.RecordBatch.from_arrays([batch.column(2).cast(pa.float64()), *(pa.array(c) for c in x.T)], names=["y", *FEATURES])
 
-    sample = labelled_sample(docs, labels, ["quality"], max_rows)
+    sample = labelled_sample(docs, labels, ["quality"], max_rows, id_col, text_col)
     rows = sample.mapInArrow(run, T.StructType([T.StructField(c, T.DoubleType()) for c in ("y", *FEATURES)])).toPandas()
     rows = rows.sort_values(list(rows.columns))
     return fit_trees(rows[list(FEATURES)].to_numpy(float), (rows["y"].to_numpy(float) > 0).astype(float), **options)

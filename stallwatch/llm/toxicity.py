@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from stallwatch.llm.charlm import symbol, trigram_log_probs
 from stallwatch.llm.quality_rules import labelled_sample
+from stallwatch.llm.scratch import Scratch
 from stallwatch.llm.words import ALNUM, SPACED, U64, Words, byte_class, chunks, hash_spans, mix
 
 # The letters that a sign may stand for.
@@ -194,14 +195,16 @@ def held_out(id_col: str = "doc_id") -> F.Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 3000, id_col: str = "doc_id") -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 3000, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """A model of labels.toxic from about ``max_rows`` labelled documents that are not held out.
 
     The character model is counted over all documents. A feature is kept if its likelihood ratio, as a sign
     of toxic documents, is beyond what the number of features tried would give by chance.
     """
-    log_probs = trigram_log_probs(docs)
-    sample = labelled_sample(docs, labels.where(~held_out(id_col)), ["toxic"], max_rows, id_col).withColumn("toxic", (F.col("toxic") > 0).cast("int"))
+    log_probs = trigram_log_probs(docs, text_col)
+    sample = labelled_sample(docs, labels.where(~held_out(id_col)), ["toxic"], max_rows, id_col, text_col).withColumn("toxic", (F.col("toxic") > 0).cast("int"))
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    sample = scratch.table(sample, "sample")  # read three times
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         readings: dict[str, str] = {}
@@ -247,6 +250,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max
     lengths = rows["found"].map(len).to_numpy()
     order = np.repeat(np.arange(len(rows)), lengths)
     cols = np.concatenate([np.asarray(x, np.int64) for x in rows["found"]]) if len(rows) else np.zeros(0, np.int64)
+    scratch.drop("sample")
     weights, bias = _logistic(order, cols, rows["toxic"].to_numpy(float), len(known))
     return ToxicityModel(log_probs, known, weights, bias)
 
