@@ -3,21 +3,22 @@
 Candidates are strings in a known format, values given to a key such as ``password=``, and long strings of
 letters, digits and a few signs. Features: length, how likely the string's characters follow one another under a
 character model of the corpus, how much of it is covered by words that the corpus uses, its make-up, the path
-it was found under, and the words next to it. The forest is Spark's, trained on labelled findings.
+it was found under, and the words next to it (path and words as indicators, hashed). The forest is Spark's, trained on
+labelled findings. Where none are given, a rule labels the candidates and the forest can learn no more than its
+generalisation over the features; reviewed findings are what makes it better than the rule.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,10 +42,13 @@ _CANDIDATE = re.compile("|".join([*(f"(?P<{k}>{v})" for k, v in FORMATS.items())
 _KEY_VALUE = re.compile(_KEYED)
 _TOKEN = re.compile(r"[^\W_]+")
 _RUNS = re.compile(r"[A-Za-z]{3,}")
-NUMBERS = ("length", "transition", "digit_share", "upper_share", "entropy", "n_classes", "coverage", "path_hash", "before_hash", "after_hash", "key_before", "line_place")
+NUMBERS = ("length", "transition", "digit_share", "upper_share", "entropy", "n_classes", "coverage", "key_before", "line_place")
+WORDS = ("path", "before", "after")
+#: Indicators of path and neighbouring words.
+INDICATORS = 128
 #: Size of the fixed table that keeps words which no candidate has out of the dictionary's shuffle.
 SIEVE = 1 << 20
-CANDIDATE = "doc_id long, kind string, start int, end int, value string, length double, transition double, digit_share double, upper_share double, entropy double, n_classes double, path_hash double, before_hash double, after_hash double, key_before double, line_place double, runs array<string>"
+CANDIDATE = "doc_id long, kind string, start int, end int, value string, length double, transition double, digit_share double, upper_share double, entropy double, n_classes double, key_before double, line_place double, path string, before string, after string, runs array<string>"
 
 
 def candidates(text: str) -> list[tuple[str, int, int]]:
@@ -65,11 +69,8 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _bucket(word: str) -> float:
-    return float(zlib.crc32(word.lower().encode()) % 32)
-
-
-def describe(text: str, path: str, start: int, end: int, log_probs: np.ndarray) -> list[float]:
+def describe(text: str, start: int, end: int, log_probs: np.ndarray) -> list:
+    """The features of one candidate from length to the word after it, in the order of CANDIDATE but for the path."""
     value = text[start:end]
     n = len(value)
     symbols = [0, 0, *map(symbol, value), 0]
@@ -80,7 +81,7 @@ def describe(text: str, path: str, start: int, end: int, log_probs: np.ndarray)
     classes = (digits > 0) + (upper > 0) + (lower > 0) + (digits + upper + lower < n)
     key = bool(before) and re.fullmatch("(?i)password|passwd|pwd|secret|token|key|auth", before[-1]) is not None
     line = start - (text.rfind("\n", 0, start) + 1)
-    return [float(n), transition, digits / n, upper / n, entropy, float(classes), float(zlib.crc32(path.encode()) % 32), _bucket(before[-1]) if before else -1.0, _bucket(after[0]) if after else -1.0, float(key), float(min(line, 1000))]
+    return [float(n), transition, digits / n, upper / n, entropy, float(classes), float(key), float(min(line, 1000)), before[-1].lower() if before else "", after[0].lower() if after else ""]
 
 
 def find_candidates(docs: DataFrame, log_probs: np.ndarray) -> DataFrame:
@@ -92,8 +93,9 @@ def find_candidates(docs: DataFrame, log_probs: np.ndarray) -> DataFrame:
             for doc, text, path in zip(*(c.to_pylist() for c in batch.columns)):
                 for kind, start, end in candidates(text or ""):
                     value = text[start:end]
-                    rows.append((doc, kind, start, end, value, *describe(text, path or "", start, end, log_probs), [r.lower() for r in _RUNS.findall(value)]))
-            kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), *[pa.float64()] * 11, pa.list_(pa.string())]
+                    *numbers, before, after = describe(text, start, end, log_probs)
+                    rows.append((doc, kind, start, end, value, *numbers, path or "", before, after, [r.lower() for r in _RUNS.findall(value)]))
+            kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), *[pa.float64()] * 8, *[pa.string()] * 3, pa.list_(pa.string())]
             names = [x.split()[0] for x in CANDIDATE.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * len(names), kinds)], names=names)
 
@@ -106,11 +108,12 @@ def _string_hash(words: list[str]) -> np.ndarray:
     return hash_spans(data, ends - np.array([len(w) for w in words]), ends, True).view(np.int64) if words else np.zeros(0, np.int64)
 
 
-def with_coverage(found: DataFrame, docs: DataFrame, min_uses: int) -> DataFrame:
+def with_coverage(found: DataFrame, docs: DataFrame, scratch: Scratch, per_million: float, least_uses: int) -> DataFrame:
     """``found`` with coverage: the share of a value's characters in letter runs that the corpus uses as words.
 
-    Word uses are counted over all documents. Only words whose hash falls where some candidate's run does are
-    sent on; the rest cannot matter. The table that tells is of fixed size.
+    A word counts from ``per_million`` uses in a million words of all documents on, and from ``least_uses``. Coverage
+    depends on the value alone, so it is made once for each different value. Only words whose hash falls where some
+    candidate's run does are sent on; the rest cannot matter. The table that tells is of fixed size.
     """
 
     def hash_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,24 +121,31 @@ def with_coverage(found: DataFrame, docs: DataFrame, min_uses: int) -> DataFrame
             runs = batch.column(0).to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array(_string_hash(runs), pa.int64())], names=["run", "word"])
 
-    runs = found.select(F.explode("runs").alias("run")).distinct().mapInArrow(hash_runs, "run string, word long")
-    wanted = np.zeros(SIEVE, bool)
-    wanted[[r[0] for r in runs.select(F.pmod("word", F.lit(SIEVE)).alias("b")).distinct().collect()]] = True
-    sieve = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+    values = found.select("value", "runs").dropDuplicates(["value"])
+    part = values.select("value", F.explode(F.array_distinct("runs")).alias("run"))
+    runs = scratch.table(part.select("run").distinct().mapInArrow(hash_runs, "run string, word long"), "runs")
+    place = F.pmod("word", F.lit(SIEVE))
+    bits = runs.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(word, {SIEVE}) % 64 AS INT))")).alias("bits"))  # SIEVE / 64 rows at most
+    wanted = np.zeros(SIEVE // 64, np.int64)
+    for at, word in zip(*(c.to_pylist() for c in bits.toArrow().columns)):
+        wanted[at] = word
+    sieve = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(sieve.value).astype(bool)
+        table = np.unpackbits(sieve.value.view(np.uint8), bitorder="little").astype(bool)
+        total = 0
         for batch in chunks(batches, "text", 1 << 22):
             h = Words(batch.column(0), ALNUM).hashes(fold_case=True).view(np.int64)
+            total += len(h)
             word, n = np.unique(h[table[h % SIEVE]], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n, pa.int64())], names=["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total], pa.int64())], names=["word", "n"])  # all words
 
-    uses = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_uses)
-    known = runs.join(uses, "word", "left_semi").select("run")
-    place = ["doc_id", "start", "end", "value"]
-    part = found.select(*place, F.explode(F.array_distinct("runs")).alias("run"))
-    covered = part.join(known, "run").groupBy(*place).agg(F.collect_set("run").alias("known"))  # of one value
-    out = found.join(covered, place, "left")
+    uses = scratch.table(docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "uses")
+    total = uses.where("word is null").agg(F.sum("n")).first()[0] or 0
+    known = runs.join(uses.where((F.col("n") >= least_uses) & (F.col("n") * 1e6 >= per_million * total)), "word", "left_semi").select("run")
+    covered = part.join(known, "run").groupBy("value").agg(F.collect_set("run").alias("known"))  # of one value
+    out = found.join(covered, "value", "left")
     inside = F.filter("runs", lambda r: F.array_contains(F.coalesce("known", F.array().cast("array<string>")), r))
     size = F.aggregate(F.transform(inside, F.length), F.lit(0), lambda a, x: a + x)
     return out.withColumn("coverage", size / F.greatest(F.length("value"), F.lit(1))).drop("runs", "known")
@@ -148,41 +158,50 @@ def weak_labels(found: DataFrame) -> DataFrame:
     return found.withColumn("label", F.when(F.col("kind").isin(*FORMATS), 1.0).when(F.col("kind") == "keyed", mixed.cast("double")).otherwise(0.0))
 
 
+def _vectors(found: DataFrame) -> DataFrame:
+    """``found`` with features: the numbers, and indicators of path and neighbouring words."""
+    hasher = FeatureHasher(inputCols=list(WORDS), outputCol="words", numFeatures=INDICATORS)
+    return VectorAssembler(inputCols=[*NUMBERS, "words"], outputCol="features").transform(hasher.transform(found)).drop("words")
+
+
 def fit_forest(findings: DataFrame, max_rows: int = 20_000, n_trees: int = 40, depth: int = 6, seed: int = 7) -> RandomForestClassificationModel | None:
     """A forest from labelled findings (label and the features), about ``max_rows`` of them chosen by hash. None if all labels agree."""
     n = findings.count()
     if n > max_rows:
         findings = findings.where(F.pmod(F.xxhash64("doc_id", "start", "value"), F.lit(1_000_000)) < int(1_000_000 * max_rows / n))
     findings = findings.cache()
-    if findings.select("label").distinct().limit(2).count() < 2:
-        return None
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=n_trees, maxDepth=depth, seed=seed)
-    model = forest.fit(VectorAssembler(inputCols=list(NUMBERS), outputCol="features").transform(findings))
-    findings.unpersist()
-    return model
+    try:
+        if findings.select("label").distinct().limit(2).count() < 2:
+            return None
+        forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=n_trees, maxDepth=depth, seed=seed)
+        return forest.fit(_vectors(findings))
+    finally:
+        findings.unpersist()
 
 
-def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", min_uses: int = 20, min_score: float = 0.5) -> DataFrame:
+def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", per_million: float = 1.0, least_uses: int = 20, min_score: float = 0.5) -> DataFrame:
     """One row per candidate: doc_id, kind, start, end (code points), value, features, score, kept.
 
-    findings: reviewed findings (doc_id, start, end, label 0 or 1) to train on; without them the labels come by
-    rule. kept: the forest's probability is min_score or more; where all labels agree the label decides. Null
-    and empty texts have no candidates. Repeated rows give repeated findings; a null id stays null. Extra
-    columns are ignored; an empty table gives no rows.
+    findings: reviewed findings (doc_id, start, end, label 0 or 1) to train on; a repeated one counts once, by its
+    largest label; without any the labels come by rule. kept: the forest's probability is min_score or more; where all
+    labels agree the label decides. Null and empty texts have no candidates. Repeated rows give repeated findings; a
+    null id stays null and is reviewed like others. Extra columns are ignored; an empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "secrets")
     path = F.col(path_col).cast("string") if path_col and path_col in docs.columns else F.lit("")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), path.alias("path"))
     raw = scratch.table(find_candidates(docs, trigram_log_probs(docs)), "raw")
-    found = scratch.table(with_coverage(raw, docs, min_uses), "found")
+    found = scratch.table(with_coverage(raw, docs, scratch, per_million, least_uses), "found")
+    scratch.drop("raw", "runs", "uses")
     if findings is None:
         labelled = weak_labels(found)
     else:
-        labelled = found.join(findings.select("doc_id", "start", "end", F.col("label").cast("double").alias("label")), ["doc_id", "start", "end"])
+        known = findings.groupBy(F.col("doc_id").alias("d"), F.col("start").alias("s"), F.col("end").alias("e")).agg(F.max(F.col("label").cast("double")).alias("label"))
+        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("start") == F.col("s")) & (F.col("end") == F.col("e"))
+        labelled = found.join(known.where("label is not null"), same).drop("d", "s", "e")
     model = fit_forest(labelled)
     if model is None:
         scored = weak_labels(found).withColumnRenamed("label", "score")
     else:
-        scored = model.transform(VectorAssembler(inputCols=list(NUMBERS), outputCol="features").transform(found))
-        scored = scored.withColumn("score", vector_to_array("probability")[1])
-    return scored.select("doc_id", "kind", "start", "end", "value", *NUMBERS, "score", (F.col("score") >= min_score).alias("kept"))
+        scored = model.transform(_vectors(found)).withColumn("score", vector_to_array("probability")[1])
+    return scored.select("doc_id", "kind", "start", "end", "value", *NUMBERS, *WORDS, "score", (F.col("score") >= min_score).alias("kept"))

@@ -247,7 +247,7 @@ def test_secrets(docs, none, spark):
     assert secrets.scan_secrets(none).count() == 0
     texts = [(i, f"the key is here password={hashlib.md5(str(i).encode()).hexdigest()} and words go on {'abcdefghij' * 3} end") for i in range(30)] + [(99, None), (98, "")]
     frame = spark.createDataFrame(texts, "doc_id long, text string")
-    rows = secrets.scan_secrets(frame, min_uses=5).collect()
+    rows = secrets.scan_secrets(frame, least_uses=5).collect()
     assert {(r.kind, r.kept) for r in rows} == {("keyed", True), ("long", False)} and len(rows) == 60
     assert {r.coverage for r in rows if r.kind == "long"} == {1.0}
     text = dict(texts)
