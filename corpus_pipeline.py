@@ -48,7 +48,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
+        made = len(Scratch.made)
         docs = scratch.table(stage(spark, docs, sf_dir), name)
+        Scratch.release(made)  # what the stage wrote for itself
+        if before:
+            scratch.drop(before)
+        before = name
     return docs
