@@ -6,6 +6,9 @@ Anchors that occur once cannot hold a repeated window and go no further. The dif
 the other anchors are sharded by anchor; each shard builds a compressed FM-index of its segments and
 streams them through it, which gives the covered word spans. Spans go back to the documents by the
 segments' keys. Equal segments are counted before they move and indexed once.
+
+Words are told apart by 64-bit hashes, segments by the hashes of their words and of their anchor, single windows by
+two hashes: 128 bits in all, so that equal keys mean equal words also among 1e13 segments.
 """
 
 from __future__ import annotations
@@ -75,10 +78,10 @@ def _wanted_segments(batches: Iterator[pa.RecordBatch], window: int) -> Iterator
     """For each chunk its word hashes, and (first word, windows, anchor, key, n) of the wanted segments of each document."""
     for batch in chunks(batches, "text"):
         _, h, s = segment(batch.column(2), window)
-        wanted: list[dict] = [{x["segment"]: x["n"] for x in row} for row in batch.column(3).to_pylist()]
+        wanted: list[dict] = [{(x["anchor"], x["segment"]): x["n"] for x in row} for row in batch.column(3).to_pylist()]
         rows = []
         for doc, at, windows, anchor, key in zip(s["doc"].tolist(), s["at"].tolist(), s["windows"].tolist(), s["anchor"].view(np.int64).tolist(), s["key"].view(np.int64).tolist()):
-            n = wanted[doc].pop(key, None)
+            n = wanted[doc].pop((anchor, key), None)
             if n:
                 rows.append((at, windows, anchor, key, n))
         yield h, rows
@@ -101,12 +104,12 @@ def _windows(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for h, found in _wanted_segments(batches, window):
-            at, windows, _, key, n = (np.array(c, np.int64) for c in (list(zip(*found)) or [[]] * 5))
+            at, windows, anchor, key, n = (np.array(c, np.int64) for c in (list(zip(*found)) or [[]] * 5))
             moved = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
             place = np.repeat(at, windows) + moved
             hashes = [rolling(h, window, base)[place].view(np.int64) for base in BASES] if len(place) else [place, place]
-            columns = [*map(pa.array, hashes), pa.array(np.repeat(key, windows)), pa.array(moved, pa.int32()), pa.array(np.repeat(n, windows))]
-            yield pa.RecordBatch.from_arrays(columns, names=["one", "two", "segment", "moved", "n"])
+            columns = [*map(pa.array, hashes), *(pa.array(np.repeat(c, windows)) for c in (anchor, key)), pa.array(moved, pa.int32()), pa.array(np.repeat(n, windows))]
+            yield pa.RecordBatch.from_arrays(columns, names=["one", "two", "anchor", "segment", "moved", "n"])
 
     return run
 
@@ -129,10 +132,10 @@ def _shard(window: int):
             segments = [np.frombuffer(c, dtype=U64) for c in place]
             index = FMIndex(segments + [s for s, n in zip(segments, counts) if n > 1])
             spans = index.repeated(segments, window)
-            out = [(key, [x for span in spans[place[content]] for x in span]) for _, key, _, content in held]
-            out = [x for x in out if x[1]]
-            columns = list(zip(*out)) or [[]] * 2
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.list_(pa.int32()))], names=["segment", "spans"])
+            out = [(anchor, key, [x for span in spans[place[content]] for x in span]) for anchor, key, _, content in held]
+            out = [x for x in out if x[2]]
+            columns = list(zip(*out)) or [[]] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int32())))], names=["anchor", "segment", "spans"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -178,29 +181,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = Scratch(docs.sparkSession, "repeats")
     docs = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     occurrences = scratch.table(docs.select("row_key", "id", "text").mapInArrow(_occurrences(window), "anchor long, segment long, row_key long, id long, first int"), "occurrences")
-    often = occurrences.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Counted map-side and written, so that the join reads two shuffles and Spark can split an anchor with very many places.
+    often = scratch.table(occurrences.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "often")
     places = scratch.table(occurrences.join(often, "anchor"), "places")
-    scratch.drop("occurrences")
+    scratch.drop("occurrences", "often")
 
     different = scratch.table(places.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.min("row_key").alias("row_key")), "different")
     hot = scratch.table(different.groupBy("anchor").agg(F.count("*").alias("m")).where(F.col("m") > hot_segments).select("anchor"), "hot")
     any_hot = not hot.isEmpty()
 
     def texts(segments: DataFrame) -> DataFrame:
-        wanted = segments.groupBy("row_key").agg(F.collect_list(F.struct("segment", F.least("n", F.lit(2)).alias("n"))).alias("wanted"))  # within one document
+        wanted = segments.groupBy("row_key").agg(F.collect_list(F.struct("anchor", "segment", F.least("n", F.lit(2)).alias("n"))).alias("wanted"))  # within one document
         # All of row_key, id and text, dealt out by row_key: the join at the end then reads the same shuffled copy of the texts.
         return docs.join(wanted, "row_key").select("row_key", "id", "text", "wanted")
 
     contents = texts(different.join(hot, "anchor", "left_anti") if any_hot else different).mapInArrow(_contents(window), "anchor long, segment long, n long, words binary")
-    covered = contents.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shard(window), "segment long, spans array<int>")
+    covered = contents.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shard(window), "anchor long, segment long, spans array<int>")
     if any_hot:
-        windows = texts(different.join(hot, "anchor", "left_semi")).mapInArrow(_windows(window), "one long, two long, segment long, moved int, n long")
+        windows = texts(different.join(hot, "anchor", "left_semi")).mapInArrow(_windows(window), "one long, two long, anchor long, segment long, moved int, n long")
         windows = scratch.table(windows, "windows")
         repeated = windows.groupBy("one", "two").agg(F.sum("n").alias("n")).where("n > 1").select("one", "two")
-        starts = windows.join(repeated, ["one", "two"], "left_semi").groupBy("segment").agg(F.sort_array(F.collect_set("moved")).alias("moved"))  # fewer than window
+        starts = windows.join(repeated, ["one", "two"], "left_semi").groupBy("anchor", "segment").agg(F.sort_array(F.collect_set("moved")).alias("moved"))  # fewer than window
         spans = F.flatten(F.transform("moved", lambda m: F.array(m, (m + window).cast("int"))))
-        covered = covered.unionByName(starts.select("segment", spans.alias("spans")))
-    found = places.join(covered, "segment").select("row_key", "id", "first", "spans")
+        covered = covered.unionByName(starts.select("anchor", "segment", spans.alias("spans")))
+    covered = scratch.table(covered, "covered")
+    scratch.drop("different", "hot", "windows")
+    found = places.join(covered, ["anchor", "segment"]).select("row_key", "id", "first", "spans")
     # One list per text hash; ids are told apart inside it, so that both joins deal the texts out by row_key alone.
     found = found.distinct().groupBy("row_key").agg(F.collect_list(F.struct("id", "first", "spans")).alias("found"))
     both = docs.join(found, "row_key", "left").select("id", "text", "found")
