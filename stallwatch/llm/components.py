@@ -23,7 +23,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str, max_roun
     for i in range(1, max_rounds + 1):
         # Large star: every larger neighbour of a node gets that node's smallest neighbour.
         around = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Written first, so that the join reads two shuffles and Spark can split a node with very many neighbours.
+        least = scratch.table(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), f"{name}_{i}_least")
         large = around.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = scratch.table(large, f"{name}_{i}_large")
         # Small star: a node and its smaller neighbours get its smallest neighbour.
@@ -33,7 +34,7 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str, max_roun
         # Stars: no node is both a child and a centre, and every child has one centre.
         counts = after.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("m"))
         tangled = after.select(F.col("b").alias("a")).distinct().join(after, "a", "left_semi").limit(1).count() + counts.where("n > 1").limit(1).count()
-        scratch.drop(f"{name}_{i - 1}", f"{name}_{i}_large")
+        scratch.drop(f"{name}_{i - 1}", f"{name}_{i}_large", f"{name}_{i}_least")
         now = after
         if not tangled:
             break

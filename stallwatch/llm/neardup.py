@@ -13,11 +13,11 @@ in rounds that move each class a bounded number of times:
 
 1. Under each key every class is held against a leader, the first class in one of four orders. Pairs within the
    distance join classes into families.
-2. Each class is held against its hub, the leader of the largest key that it is near to, on the full sets. A hub
-   with many members is dealt out; its set goes to each part.
-3. What a hub has not joined is judged against the whole family on the full sets, by counting common shingles over
-   inverted lists. A large family is dealt out in blocks: pairs of blocks of which one holds rows outside the
-   family's largest group. Rows of that group are not held against one another.
+2. Each class is held against its hub, the leader that it is nearest to, on the full sets, and leaders against all
+   leaders that they are near to. A hub with many members is dealt out; its set goes to each part.
+3. What that has not joined is judged inside each family on the full sets, by counting common shingles over inverted
+   lists. A large family is dealt out in blocks: pairs of blocks of which one holds rows outside the family's largest
+   group. Rows of that group are not held against one another.
 4. Keys that hold more than one family give the pairs across families, again in pairs of blocks that leave out those
    inside the key's largest family. They are confirmed on the full sets.
 
@@ -111,20 +111,22 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _near(percent: int):
-    """Rows (node, leader, n) whose signatures are within the radius and whose sizes allow the similarity."""
+    """Rows (node, leader, distance) whose signatures are within the radius and whose sizes allow the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = (_as_matrix(batch.column(i)) for i in (3, 4))
-                x, y = (batch.column(i).to_numpy() for i in (5, 6))
-                near = ((a != b).sum(axis=1) <= RADIUS) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
-                yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(near)) for i in range(3)], names=["node", "leader", "n"])
+                distance = (_as_matrix(batch.column(2)) != _as_matrix(batch.column(3))).sum(axis=1)
+                x, y = (batch.column(i).to_numpy() for i in (4, 5))
+                near = pa.array((distance <= RADIUS) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y)))
+                columns = [batch.column(0), batch.column(1), pa.array(distance, pa.int32())]
+                yield pa.RecordBatch.from_arrays([c.filter(near) for c in columns], names=["node", "leader", "distance"])
 
     return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text of each row replaced by its set."""
     for batch in chunks(batches, "text"):
         doc, values = shingles(batch.column(1))
         ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
@@ -282,65 +284,70 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, percent: int, scratch:
     head = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_a", "row_b")
     classes = signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(head).alias("head"), F.first("signature").alias("signature"))
     classes = scratch.table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")  # the written numbers stand
-    links = _links(docs, classes, percent, scratch)
-    labels = connected_components(links, scratch, "links")
-    scratch.drop("near", "families", "families_nodes", "members", "sets", "stars", "grouped", "inside", "labelled", "across", "sets_across")
+    labels = scratch.table(_components(docs, classes, percent, scratch), "labels")
+    scratch.drop("shared", "near", "families", "sets", "stars", "grouped", "inside", "labelled", "across", "merged")
 
     members = classes.join(labels, "node", "left").select("set_a", "set_b", "n_shingles", "head", F.coalesce("component", "node").alias("component"))
-    first = members.groupBy("component").agg(F.min("head").alias("head"))
+    first = scratch.table(members.groupBy("component").agg(F.min("head").alias("head")), "heads")
     return signed.drop("signature"), members.drop("head").join(first, "component").drop("component")
 
 
-def _links(docs: DataFrame, classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Links (a, b) between nodes that give every component of similar classes."""
+def _components(docs: DataFrame, classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(node, component) of the nodes that are similar to others, and perhaps of more."""
     signature = classes.select("node", "signature", "n_shingles")
-    keys = signature.mapInArrow(_keys, "key long, node long")
+    keys = signature.select("node", "signature").mapInArrow(_keys, "key long, node long")
     order = F.element_at(F.array(*map(F.lit, _ORDERS)), (F.col("key").bitwiseAND(3) + 1).cast("int"))
     leaders = keys.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(order)).alias("m"), F.count("*").alias("n")).where("n > 1")
-    leaders = leaders.select("key", F.col("m").bitwiseXOR(order).alias("leader"), "n")
-    tried = keys.join(leaders, "key").where("node <> leader").groupBy("node", "leader").agg(F.max("n").alias("n"))
+    leaders = scratch.table(leaders.select("key", F.col("m").bitwiseXOR(order).alias("leader")), "leaders")
+    shared = scratch.table(keys.join(leaders, "key"), "shared")  # few keys are shared
+    scratch.drop("leaders")
+    tried = shared.where("node <> leader").select("node", "leader").distinct()
     first = signature.select("node", F.col("signature").alias("s"), F.col("n_shingles").alias("x"))
     second = signature.select(F.col("node").alias("leader"), F.col("signature").alias("t"), F.col("n_shingles").alias("y"))
-    both = tried.join(first, "node").join(second, "leader").select("node", "leader", "n", "s", "t", "x", "y")
-    near = scratch.table(both.mapInArrow(_near(percent), "node long, leader long, n long"), "near")
+    both = tried.join(first, "node").join(second, "leader").select("node", "leader", "s", "t", "x", "y")
+    near = scratch.table(both.mapInArrow(_near(percent), "node long, leader long, distance int"), "near")
     families = connected_components(near.select(F.col("node").alias("a"), F.col("leader").alias("b")), scratch, "families").withColumnRenamed("component", "family")
-    families = scratch.table(families, "families")
-
-    hubs = near.groupBy("node").agg(F.max(F.struct("n", (-F.col("leader")).alias("m"))).alias("best")).select("node", (-F.col("best.m")).alias("hub"))
-    members = families.join(hubs, "node", "left").join(classes.select("node", "n_shingles", "head.row_a", "head.row_b"), "node")
-    members = scratch.table(members, "members")
-    sets = scratch.table(_sets_of(docs, members), "sets")
-
-    stars = scratch.table(_stars(members, sets, percent), "stars")
-    inside = scratch.table(_inside(members, stars, sets, scratch, percent), "inside")
-    labelled = signature.join(families, "node", "left").select("node", F.coalesce("family", "node").alias("family"), "n_shingles", "signature")
-    labelled = scratch.table(labelled, "labelled")
-    across = scratch.table(_across(labelled, percent), "across")
-    return stars.unionByName(inside).unionByName(_confirmed(across, docs, classes, scratch, percent))
-
-
-def _stars(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of members to their hubs."""
-    held = members.where("hub is not null").select("hub", "node", "n_shingles")
+    families = scratch.table(families.join(classes.select("node", "n_shingles"), "node"), "families")
+
+    labelled = shared.select("node").distinct().join(families.select("node", "family"), "node", "left").join(signature, "node")
+    labelled = scratch.table(labelled.select("node", F.coalesce("family", "node").alias("family"), "n_shingles", "signature"), "labelled")
+    across = scratch.table(_across(shared, labelled, percent), "across")
+
+    # The texts are dealt out once, for all that is judged on full sets.
+    wanted = families.select("node").unionByName(across.select(F.col("a").alias("node"))).unionByName(across.select(F.col("b").alias("node"))).distinct()
+    sets = scratch.table(_sets_of(docs, classes.select("node", "head.row_a", "head.row_b").join(wanted, "node")), "sets")
+    stars = scratch.table(_stars(near, families, sets, percent), "stars")
+    labels = connected_components(stars, scratch, "star").withColumnRenamed("component", "label")
+    grouped = families.join(labels, "node", "left").select("node", "family", "n_shingles", F.coalesce("label", "node").alias("label"))
+    grouped = scratch.table(grouped, "grouped")
+    inside = scratch.table(_inside(grouped, sets, percent), "inside")
+    links = inside.unionByName(_confirmed(across, sets, percent))
+
+    # Labels are joined by the links between them; a node without one is its own.
+    named = grouped.select("node", "label")
+    for end in ("a", "b"):
+        links = links.join(named.select(F.col("node").alias(end), F.col("label").alias("to")), end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    merged = connected_components(links, scratch, "merged").select(F.col("node").alias("label"), "component")
+    inner = named.join(merged, "label", "left").select("node", F.coalesce("component", "label").alias("component"))
+    outer = merged.withColumnRenamed("label", "node").join(named, "node", "left_anti")  # nodes of no family
+    return inner.unionByName(outer)
+
+
+def _stars(near: DataFrame, families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (hub, member): each class is held against the leader nearest to it, a leader against all leaders near to it."""
+    nearest = near.groupBy("node").agg(F.min(F.struct("distance", "leader")).alias("best")).select("node", F.col("best.leader").alias("hub"))
+    hubs = nearest.select(F.col("hub").alias("node")).distinct()
+    between = near.join(hubs, "node", "left_semi").join(hubs.withColumnRenamed("node", "leader"), "leader", "left_semi").select("node", F.col("leader").alias("hub"))
+    held = nearest.unionByName(between).distinct().join(families.select("node", "n_shingles"), "node")
     load = held.groupBy("hub").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    rows = held.join(load, "hub").select("hub", part.alias("part"), F.lit(True).alias("member"), "node")
-    own = load.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"), F.col("hub").alias("node"))
+    rows = held.join(load, "hub").select("node", "hub", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("member"))
+    own = load.select(F.col("hub").alias("node"), "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"))
     tasks = rows.unionByName(own).join(sets, "node").select("hub", "part", "member", "node", "shingles")
     return tasks.repartition("hub", "part").sortWithinPartitions("hub", "part", "member").mapInArrow(_star_links(percent), "a long, b long")
 
 
-def _inside(members: DataFrame, stars: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """Links inside families between what their hubs have not joined and the rest."""
-    joined = stars.select(F.col("b").alias("node"), F.col("a").alias("joined"))
-    one = scratch.table(members.join(joined, "node", "left").select("node", "family", "n_shingles", F.coalesce("joined", "node").alias("label")), "one")
-    # A hub may be joined to another hub, or two to each other: labels are followed once more, and of two the smaller one stands.
-    up = one.select(F.col("node").alias("label"), F.col("label").alias("up"))
-    two = one.join(up, "label").withColumn("label", F.when(F.col("up") == F.col("node"), F.least("node", "label")).otherwise(F.col("label"))).drop("up")
-    two = scratch.table(two.select("node", "family", "n_shingles", "label"), "two")
-    up = two.select(F.col("node").alias("label"), F.col("label").alias("up"))
-    grouped = scratch.table(two.join(up, "label").select("node", "family", "n_shingles", F.col("up").alias("label")), "grouped")
-    scratch.drop("one", "two")
+def _inside(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the labels of a family."""
     sizes = grouped.groupBy("family", "label").agg(F.sum("n_shingles").alias("n"))
     sizes = sizes.groupBy("family").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("total"), F.count("*").alias("labels")).where("labels > 1")
     single = F.col("total") <= BLOCK_SHINGLES
@@ -365,12 +372,11 @@ def _placed(rows: DataFrame, in_main: "F.Column", *keep: str) -> DataFrame:
     return rows.select(*keep, F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"))
 
 
-def _across(labelled: DataFrame, percent: int) -> DataFrame:
+def _across(shared: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different families within the radius, from keys that hold more than one family."""
-    filed = labelled.select("node", "family", "signature").mapInArrow(_keys_placed, "key long, node long, family long")
-    mixed = filed.groupBy("key").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select("key")
-    sizes = filed.join(mixed, "key").groupBy("key", "family").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("key").agg(F.max(F.struct("n", "family")).alias("main"), F.sum("n").alias("total"))
+    filed = shared.select("key", "node").join(labelled.select("node", "family"), "node")
+    counts = filed.groupBy("key", "family").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("key").agg(F.max(F.struct("n", "family")).alias("main"), F.sum("n").alias("total"), F.count("*").alias("families")).where("families > 1")
     blocks = lambda n: F.ceil(n / BLOCK_ROWS).cast("int")
     sizes = sizes.select("key", F.col("main.family").alias("main"), (F.col("total") <= BLOCK_ROWS).alias("single"), blocks(F.col("total") - F.col("main.n")).alias("rest_blocks"), blocks(F.col("main.n")).alias("main_blocks"))
     placed = _placed(filed.join(sizes, "key"), F.col("family") == F.col("main"), "key", "family", "node")
@@ -379,24 +385,14 @@ def _across(labelled: DataFrame, percent: int) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _keys_placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            keys = signature_keys(_as_matrix(batch.column(2)))
-            nodes, family = (np.repeat(batch.column(i).to_numpy(), PLACES) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(nodes), pa.array(family)], names=["key", "node", "family"])
-
-
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles): the full sets of the wanted (node, row_a, row_b), one row each."""
     rows = docs.select("row_a", "row_b", "text").join(wanted.select("row_a", "row_b", "node"), ["row_a", "row_b"])
     return rows.dropDuplicates(["row_a", "row_b"]).select("node", "text").mapInArrow(_sets, "node long, shingles binary")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough; only the sets of documents in pairs are made."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = scratch.table(_sets_of(docs, classes.select("node", "head.row_a", "head.row_b").join(wanted, "node")), "sets_across")
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
     first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("shingles_a"))
     second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("shingles_b"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "shingles_a", "shingles_b")
