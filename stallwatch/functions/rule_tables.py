@@ -69,6 +69,36 @@ COLORS = [
     ("burgundy", "red"), ("maroon", "red"), ("wine", "red"), ("crimson", "red"), ("bordeaux", "red"), ("red", "red"), ("mustard", "yellow"), ("gold", "yellow"), ("yellow", "yellow"), ("peach", "orange"), ("coral", "orange"), ("apricot", "orange"), ("orange", "orange"),
     ("lilac", "purple"), ("lavender", "purple"), ("mauve", "purple"), ("violet", "purple"), ("plum", "purple"), ("purple", "purple"), ("multi", "multi"), ("colored", "multi"), ("colour", "multi"), ("print", "multi"), ("floral", "multi"), ("striped", "multi"),
 ]
+# Colour families of the colour map, the special words before the general ones.
+COLOR_FAMILIES = [
+    ("اسود", "black"), ("ابيض", "white"), ("black", "black"), ("off white", "white"), ("offwhite", "white"), ("ecru", "white"), ("cream", "white"), ("ivory", "white"), ("white", "white"),
+    ("anthracite", "grey"), ("charcoal", "grey"), ("silver", "grey"), ("grey", "grey"), ("gray", "grey"),
+    ("vison", "beige"), ("nude", "beige"), ("sand", "beige"), ("tan", "beige"), ("stone", "beige"), ("biscuit", "beige"), ("caramel", "beige"), ("beige", "beige"),
+    ("coffee", "brown"), ("camel", "brown"), ("chocolate", "brown"), ("mink", "brown"), ("taupe", "brown"), ("mocha", "brown"), ("brown", "brown"),
+    ("teal", "teal"), ("turquoise", "teal"), ("navy", "blue"), ("denim", "blue"), ("indigo", "blue"), ("cobalt", "blue"), ("petrol", "blue"), ("sky", "blue"), ("blue", "blue"),
+    ("khaki", "green"), ("olive", "green"), ("mint", "green"), ("emerald", "green"), ("sage", "green"), ("green", "green"), ("mustard", "yellow"), ("gold", "yellow"), ("lemon", "yellow"), ("yellow", "yellow"),
+    ("peach", "orange"), ("coral", "orange"), ("apricot", "orange"), ("rust", "orange"), ("terracotta", "orange"), ("orange", "orange"),
+    ("burgundy", "burgundy"), ("maroon", "burgundy"), ("wine", "burgundy"), ("bordeaux", "burgundy"), ("crimson", "red"), ("red", "red"),
+    ("rose", "pink"), ("fuchsia", "pink"), ("fuschia", "pink"), ("magenta", "pink"), ("salmon", "pink"), ("blush", "pink"), ("pink", "pink"),
+    ("lilac", "purple"), ("lavender", "purple"), ("mauve", "purple"), ("violet", "purple"), ("plum", "purple"), ("purple", "purple"),
+    ("metallic", "metallic"), ("chrome", "metallic"), ("copper", "metallic"), ("bronze", "metallic"),
+    ("multi", "multi"), ("colored", "multi"), ("colour", "multi"), ("print", "multi"), ("floral", "multi"), ("striped", "multi"), ("pattern", "multi"), ("tie dye", "multi"), ("camo", "multi"),
+]
+# Arabic colours, in the spellings that shops use, and their English names.
+ARABIC_COLORS = {
+    "أسود": "black", "اسود": "black", "أبيض": "white", "ابيض": "white", "اوف وايت": "off-white", "أوف وايت": "off-white", "رمادي": "grey", "رصاصي": "grey", "جراي": "grey", "أحمر": "red", "احمر": "red",
+    "أزرق": "blue", "ازرق": "blue", "لبني": "light blue", "سماوي": "sky blue", "بترولي": "petrol", "كحلي": "navy", "نيفي": "navy", "أخضر": "green", "اخضر": "green", "زيتي": "olive", "زيتوني": "olive",
+    "أصفر": "yellow", "اصفر": "yellow", "وردي": "pink", "زهري": "pink", "روز": "rose", "بمبي": "pink", "بنفسجي": "purple", "موف": "mauve", "موفي": "mauve", "ليلكي": "lilac", "لافندر": "lavender",
+    "برتقالي": "orange", "مشمشي": "apricot", "بني": "brown", "جملي": "camel", "كاميل": "camel", "عسلي": "tan", "ترابي": "taupe", "بيج": "beige", "كريمي": "cream", "كريم": "cream",
+    "ذهبي": "gold", "جولد": "gold", "فضي": "silver", "سيلفر": "silver", "نحاسي": "copper", "تركواز": "turquoise", "تيفاني": "teal",
+    "خمري": "burgundy", "نبيتي": "burgundy", "عنابي": "burgundy", "بوردو": "burgundy", "ماروني": "maroon", "كاكي": "khaki", "خاكي": "khaki", "فوشيا": "fuchsia", "مرجاني": "coral", "كورال": "coral",
+    "نعناعي": "mint", "منت": "mint", "ملون": "multicolor", "متعدد الألوان": "multicolor", "مطبوع": "printed", "مشجر": "floral",
+}
+# Turkish colours and their English names.
+TURKISH_COLORS = {
+    "siyah": "black", "beyaz": "white", "gri": "grey", "antrasit": "anthracite", "kirmizi": "red", "bordo": "burgundy", "pembe": "pink", "fusya": "fuchsia", "mercan": "coral", "turuncu": "orange", "sari": "yellow", "ekru": "ecru",
+    "bej": "beige", "kahve": "brown", "haki": "khaki", "yesil": "green", "petrol": "petrol", "turkuaz": "turquoise", "mavi": "blue", "lacivert": "navy", "indigo": "indigo", "mor": "purple", "murdum": "plum", "lila": "lilac", "cokrenkli": "multicolor",
+}
 # Sizes.
 LETTERS = {"xxs": "XXS", "xs": "XS", "s": "S", "m": "M", "l": "L", "xl": "XL", "xxl": "2XL", "2xl": "2XL", "xxxl": "3XL", "3xl": "3XL", "4xl": "4XL", "5xl": "5XL", "6xl": "6XL", "7xl": "7XL", "small": "S", "medium": "M", "large": "L"}
 EU_LETTERS = {"34": "XXS", "36": "XS", "38": "S", "40": "M", "42": "L", "44": "L", "46": "XL", "48": "2XL", "50": "3XL", "52": "3XL", "54": "4XL", "56": "4XL", "58": "5XL", "60": "5XL"}
@@ -81,10 +111,12 @@ SIZE_REVIEWS = [
     ("^beden *[0-9]+ *- *boy *[0-9]+$", "turkish_dual_size_height"), ("^[0-9]{2,3}[ _-][0-9]{2,3}$", "possible_waist_inseam_combo"), ("^(xs|s|m|l|xl|2xl|3xl)[ /-](xs|s|m|l|xl|2xl|3xl)$", "dual_letter_range"),
     ("^(xs|s|m|l|xl)[ /-][0-9]{2,3}$", "letter_plus_eu_combo"), ("^[0-9]{2,3} */ *[ab]$", "possible_bra_band_size"), ("^x/xx$", "ambiguous_dual_notation"), ("^[0-9]{1,2}[ _-][0-9]{1,2}$", "bare_numeric_range_unclear_domain"),
 ]
-SLEEVES = {
-    "short sleeve": ["short sleeve", "short-sleeve", "short sleeves", "short-sleeves"], "long sleeve": ["long sleeve", "long-sleeve", "long sleeves", "long-sleeves", "full sleeve", "full-sleeve", "full sleeves"],
-    "half sleeve": ["half sleeve", "half-sleeve", "half sleeves"], "sleeveless": ["sleeveless"], "elbow sleeve": ["elbow sleeve", "elbow-sleeve"], "three-quarter sleeve": ["3/4 sleeve", "three-quarter sleeve"],
-}
+# Sleeve lengths; of phrases of one length the first stands.
+SLEEVES = [
+    ("short sleeve", "short sleeve"), ("short-sleeve", "short sleeve"), ("short sleeves", "short sleeve"), ("short-sleeves", "short sleeve"), ("long sleeve", "long sleeve"), ("long-sleeve", "long sleeve"), ("long sleeves", "long sleeve"), ("long-sleeves", "long sleeve"),
+    ("half sleeve", "half sleeve"), ("half-sleeve", "half sleeve"), ("half sleeves", "half sleeve"), ("full sleeve", "long sleeve"), ("full-sleeve", "long sleeve"), ("full sleeves", "long sleeve"),
+    ("sleeveless", "sleeveless"), ("elbow sleeve", "elbow sleeve"), ("elbow-sleeve", "elbow sleeve"), ("3/4 sleeve", "three-quarter sleeve"), ("three-quarter sleeve", "three-quarter sleeve"),
+]
 # Colours that titles name, longest first when several fit.
 TITLE_COLORS = [
     "off-white", "off white", "light blue", "sky blue", "baby blue", "navy blue", "mid blue", "dark blue", "ocean blue", "marine blue", "acid blue", "bright mid blue", "powder blue", "midnight navy",
@@ -92,19 +124,22 @@ TITLE_COLORS = [
     "black", "white", "grey", "gray", "anthracite", "red", "burgundy", "pink", "fuchsia", "coral", "orange", "yellow", "ecru", "beige", "brown", "khaki", "green", "olive", "petrol", "turquoise", "blue", "navy", "indigo", "purple", "plum", "lilac",
     "multicolor", "cream", "gold", "silver", "copper", "camel", "tan", "taupe", "mauve", "lavender", "apricot", "maroon", "mint", "chocolate", "honey", "lemon", "rose",
 ]
+# Metals.
 METALS = ["gold", "silver", "copper"]
-# Cuts of trousers and the phrases that name them.
-CUTS = {
-    "wide leg": ["extreme wide leg", "wide leg", "wide-leg", "wideleg", "wide tailored"], "baggy": ["super baggy", "loose baggy", "baggy", "loose"], "skinny": ["skinny fit", "skinny"], "slim": ["slim fit", "slim-fit", "slim"],
-    "regular": ["regular fit"], "relaxed": ["relaxed fit", "relaxed"], "straight": ["straight fit", "straight"], "tapered": ["tapered fit", "tapered"], "high waist": ["high waist", "high-waist"], "boyfriend": ["boyfriend"], "mom fit": ["mom fit", "mom-fit", "momfit", "mom jeans"],
-    "bootcut": ["bootcut", "boot cut"], "flare": ["flare", "flared"], "jogger": ["jogger", "joggers"], "cargo": ["cargo"], "chino": ["chino", "chinos"], "sweatpants": ["sweatpants", "sweatpant"], "curvy fit": ["curvy fit"], "skater": ["skater"],
-}
+# Cuts of trousers by phrase; of phrases of one length the first stands.
+CUTS = [
+    ("extreme wide leg", "wide leg"), ("super baggy", "baggy"), ("loose baggy", "baggy"), ("wide leg", "wide leg"), ("wide-leg", "wide leg"), ("wideleg", "wide leg"), ("wide tailored", "wide leg"), ("skinny fit", "skinny"), ("slim fit", "slim"), ("slim-fit", "slim"),
+    ("regular fit", "regular"), ("relaxed fit", "relaxed"), ("straight fit", "straight"), ("tapered fit", "tapered"), ("high waist", "high waist"), ("high-waist", "high waist"), ("boyfriend", "boyfriend"), ("mom fit", "mom fit"), ("mom-fit", "mom fit"), ("momfit", "mom fit"),
+    ("mom jeans", "mom fit"), ("bootcut", "bootcut"), ("boot cut", "bootcut"), ("flare", "flare"), ("flared", "flare"), ("baggy", "baggy"), ("skinny", "skinny"), ("slim", "slim"), ("straight", "straight"), ("tapered", "tapered"), ("relaxed", "relaxed"), ("loose", "baggy"),
+    ("jogger", "jogger"), ("joggers", "jogger"), ("cargo", "cargo"), ("chino", "chino"), ("chinos", "chino"), ("sweatpants", "sweatpants"), ("sweatpant", "sweatpants"), ("curvy fit", "curvy fit"), ("skater", "skater"),
+]
 # Dresses, jackets, underwear, swimwear and bags.
 DRESS_LENGTHS = {"mini": ["mini dress", "mini"], "midi": ["midi dress", "midi"], "maxi": ["maxi dress", "maxi"], "knee-length": ["knee length", "knee-length"], "ankle-length": ["ankle length", "ankle-length"]}
 DRESS_SHAPES = {"fit and flare": ["fit and flare", "fit-and-flare", "fit & flare"], "a-line": ["a-line", "a line"], "bodycon": ["bodycon"], "shirt dress": ["shirt dress"], "wrap": ["wrap dress"], "shift": ["shift dress"], "slip": ["slip dress"], "bandage": ["bandage"]}
-JACKETS = {
-    "denim": ["denim jacket"], "leather": ["leather jacket"], "puffer": ["puffer jacket", "puffer"], "bomber": ["bomber jacket", "bomber"], "blazer": ["blazer"], "parka": ["parka"], "trench": ["trench"], "quilted": ["quilted"], "windbreaker": ["windbreaker"], "biker": ["biker jacket", "biker"], "varsity": ["varsity"],
-}
+JACKETS = [
+    ("denim jacket", "denim"), ("leather jacket", "leather"), ("bomber jacket", "bomber"), ("puffer jacket", "puffer"), ("biker jacket", "biker"), ("puffer", "puffer"), ("bomber", "bomber"), ("blazer", "blazer"), ("parka", "parka"), ("trench", "trench"),
+    ("quilted", "quilted"), ("windbreaker", "windbreaker"), ("biker", "biker"), ("varsity", "varsity"),
+]
 TOP_HINTS = ["bra", "bralette", "lingerie top", "corset", "bustier"]
 BOTTOM_HINTS = ["panty", "panties", "brief", "knicker", "boxer", "thong"]
 TOP_STYLES = {"push-up": ["push-up", "push up"], "padded": ["padded"], "unpadded": ["unpadded"], "wireless": ["wireless", "wire-free", "non-wired"], "wired": ["wired"], "strapless": ["strapless"], "seamless": ["seamless"], "bralette": ["bralette"]}

@@ -52,9 +52,12 @@ def seed_first_prices(variants: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def delist_stale(products: DataFrame, as_of: str, days: int = 14) -> DataFrame:
-    """One delisted event per product that was active and not seen for ``days``; witnessed stays null."""
+    """One delisted event per product that is_active and was not seen for ``days``; witnessed stays null.
+
+    Products delisted before are not active any more, so a second run gives nothing for them.
+    """
     day = F.lit(as_of).cast("date")
-    rows = products.where(F.col("last_seen") < F.date_sub(day, days))
+    rows = products.where(F.col("is_active") & (F.col("last_seen") < F.date_sub(day, days)))
     return rows.select("product_id", "brand", F.lit("delisted").alias("event_type"), F.lit(None).cast("boolean").alias("witnessed"), F.lit("not_a_stock_transition").alias("seed_reason"), day.alias("event_date"), "last_seen")
 
 
@@ -146,10 +149,11 @@ def statistical_deals(events: DataFrame, snapshots: DataFrame, as_of: str, min_r
 
 
 def with_fx(events: DataFrame, rates: DataFrame) -> DataFrame:
-    """The last rate on or before the event's day. Rates are one row per day; their span covers each event's day."""
-    w = Window.orderBy("rate_date")
-    spans = rates.withColumn("until", F.coalesce(F.date_sub(F.lead("rate_date").over(w), 1), F.lit("9999-12-31").cast("date")))
-    days = events.select("event_date").distinct().join(F.broadcast(spans), F.col("event_date").between(F.col("rate_date"), F.col("until")), "left").select("event_date", "rate")
+    """The last rate on or before the event's day. Rates are one row per day; each distinct event day meets those before it.
+
+    Both sides of that join are calendar days; the events themselves move once, by day.
+    """
+    days = events.select("event_date").distinct().join(rates, F.col("rate_date") <= F.col("event_date"), "left").groupBy("event_date").agg(F.max_by("rate", "rate_date").alias("rate"))
     return events.join(days, "event_date", "left")
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stallwatch.operators.lake import days_available, merge_days, replace_days
@@ -28,7 +29,8 @@ def archive_days(hot: DataFrame, root: str, staging: str, id_col: str, as_of: st
 
 def archive_results(df: DataFrame, root: str, as_of: str, keep_days: int, unique_on: list[str] | None = None, day: str = "snapshot_date") -> DataFrame:
     """Archives whole days of a result table. Tables whose rows carry the event's own day are merged on unique_on,
-    as later runs rewrite earlier days; others overwrite the day. Returns the rows that stay."""
+    as later runs rewrite earlier days; others overwrite the day. Returns the rows that stay, once the archive, read
+    again, holds as many rows of those days as were to be written; raises if it does not."""
     old = df.where(F.col(day) < F.date_sub(F.lit(as_of).cast("date"), keep_days))
     if old.isEmpty():
         return df
@@ -43,7 +45,12 @@ def archive_results(df: DataFrame, root: str, as_of: str, keep_days: int, unique
         old.write.mode("overwrite").parquet(staged)
         old = spark.read.parquet(staged)
     replace_days(old, root, day)
-    return df.where(F.col(day) >= F.date_sub(F.lit(as_of).cast("date"), keep_days))
+    days = old.groupBy(day).agg(F.count("*").alias("want"))
+    have = df.sparkSession.read.parquet(root).groupBy(day).agg(F.count("*").alias("have"))
+    short = days.join(have, day, "left").where(~F.col("want").eqNullSafe(F.col("have")))
+    if not short.isEmpty():
+        raise RuntimeError(f"the archive of {short.count()} days is not whole")
+    return df.where(F.col(day).isNull() | (F.col(day) >= F.date_sub(F.lit(as_of).cast("date"), keep_days)))
 
 
 def repartition_by_day(source: DataFrame, root: str, id_cols: list[str] | None, day: str = "snapshot_date") -> int:
@@ -82,14 +89,30 @@ def runnable(signals: list[Signal]) -> list[Signal]:
     return [s for s in signals if s.enabled and not s.blocked_by]
 
 
-def run_signals(spark: SparkSession, signals: list[Signal], snapshots: DataFrame, root: str, log: str, day: str = "snapshot_date") -> DataFrame:
+def good_runs(spark: SparkSession, logs: list[str], run_day: date) -> set[str]:
+    """Signals with a good run on a day, by the logs that exist."""
+    found: set[str] = set()
+    for log in logs:
+        try:
+            runs = spark.read.parquet(log)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            found |= {r[0] for r in runs.where((F.col("status") == "ok") & (F.to_date("run_at") == F.lit(run_day))).select("signal_id").distinct().collect()}  # one per registered signal
+    return found
+
+
+def run_signals(spark: SparkSession, signals: list[Signal], snapshots: DataFrame, root: str, log: str, day: str = "snapshot_date", gates: list[str] | None = None) -> DataFrame:
     """Runs each signal on its own and logs it, also when it writes nothing; one that fails stops no other.
 
-    A signal is skipped with a reason if it is off, blocked, short of days, or a requirement has no good run.
-    Raises only if all that ran failed.
+    A signal is skipped with a reason if it is off, blocked, short of days, or a requirement has no good run: in this
+    call, or today by the run logs named in ``gates`` (products wait for the day's signals so). rows_written counts the
+    rows of this run. Raises only if all that ran failed.
     """
     days = days_available(snapshots)
-    rows, good, failed = [], set(), 0
+    rows, failed = [], 0
+    good, ran = good_runs(spark, gates or [], datetime.now(timezone.utc).date()), 0
     for s in signals:
         status, reason, written, held = "ok", None, 0, None
         missing = [r for r in s.requires if r not in good]
@@ -103,19 +126,18 @@ def run_signals(spark: SparkSession, signals: list[Signal], snapshots: DataFrame
             status, reason = "skipped", "needs " + ", ".join(missing)
         else:
             try:
-                replace_days(s.build(), f"{root}/{s.signal_id}", day)
-                try:
-                    written = spark.read.parquet(f"{root}/{s.signal_id}").count()
-                except Exception as e:  # an empty result writes no files
-                    if "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                        raise
+                frame, seen = s.build(), Observation()
+                if day not in frame.columns or not frame.isEmpty():  # an empty plan leaves nothing to observe
+                    replace_days(frame.observe(seen, F.count(F.lit(1)).alias("n")), f"{root}/{s.signal_id}", day)
+                    written = seen.get["n"]
                 held = s.suppressed().first()[0] if s.suppressed else None
                 good.add(s.signal_id)
+                ran += 1
             except Exception as e:
                 status, reason, failed = "failed", str(e)[:500], failed + 1
         rows.append((s.signal_id, status, reason, written, held, datetime.now(timezone.utc)))
-    frame = spark.createDataFrame(rows, "signal_id string, status string, reason string, rows_written long, suppressed long, run_at timestamp")
-    frame.write.mode("append").parquet(log)
-    if failed and not good:
+    runs = spark.createDataFrame(rows, "signal_id string, status string, reason string, rows_written long, suppressed long, run_at timestamp")
+    runs.write.mode("append").parquet(log)
+    if failed and not ran:
         raise RuntimeError("all signals failed")
-    return frame
+    return runs

@@ -84,11 +84,11 @@ def share_of_launch(shelf: DataFrame, as_of: str, window_days: int = 30, min_cat
 
 
 def size_demand_curve(stock: DataFrame, as_of: str, window_days: int = 90, min_brands: int = 3, min_events: int = 20) -> DataFrame:
-    """Share of stock-outs by size, within the system of the size (letters or numbers)."""
+    """Share of stock-outs by size among all of the size's system (letters or numbers), those of sizes below the floors included."""
     rows = window_of(stock, "event_date", as_of, window_days).where("witnessed and event_type = 'stockout' and size is not null")
     rows = rows.withColumn("size_system", F.when(F.col("size").rlike("^[0-9]+$"), "eu_numeric").otherwise("letter"))
     sizes = rows.groupBy("size_system", F.col("size").alias("size_family")).agg(F.count("*").alias("stockouts"), F.countDistinct("brand").alias("brands")).where((F.col("brands") >= min_brands) & (F.col("stockouts") >= min_events))
-    total = sizes.groupBy("size_system").agg(F.sum("stockouts").alias("total"))
+    total = rows.groupBy("size_system").agg(F.count("*").alias("total"))
     return sizes.join(total, "size_system").select("size_system", "size_family", "stockouts", "brands", percent(F.col("stockouts"), F.col("total")).alias("demand_share_pct"), _day(as_of))
 
 

@@ -86,31 +86,44 @@ def canonical_color(raw: Column) -> Column:
     return F.when(low == "", "other").otherwise(first_match([(low.contains(w), c) for w, c in R.COLORS], "other"))
 
 
+def color_family(raw: Column) -> Column:
+    low = F.lower(F.trim(raw))
+    return first_match([(low.contains(w), family) for w, family in R.COLOR_FAMILIES])
+
+
 def seed_colors(variants: DataFrame, known: DataFrame) -> DataFrame:
-    """Distinct colours that are not mapped yet, with their class: junk, a family, or unclassified."""
+    """Distinct colours that are not mapped yet, with their class: junk, a family and the name as its shade, or unclassified."""
     raw = F.lower(F.trim("color"))
     rows = variants.select(raw.alias("color_raw")).where("color_raw is not null").distinct().join(known.select("color_raw"), "color_raw", "left_anti")
-    junk = (F.length("color_raw") <= 1) | F.col("color_raw").rlike("size|cm|ml|kg|pcs|/|x |0x") | F.col("color_raw").rlike("^[0-9.-]+$")
-    family = F.nullif(canonical_color(F.col("color_raw")), F.lit("other"))
-    return rows.select("color_raw", F.when(~junk, family).alias("family"), F.when(junk, "junk").when(family.isNotNull(), "classified").otherwise("unclassified").alias("status"))
+    junk = (F.length("color_raw") <= 1) | F.col("color_raw").rlike("size|cm|ml|kg|pcs|/|x |0x") | F.col("color_raw").rlike("^[.-]*[0-9][0-9.-]*$")
+    family = F.when(~junk, color_family(F.col("color_raw")))
+    return rows.select("color_raw", family.alias("family"), F.when(family.isNotNull(), F.col("color_raw")).alias("shade"), F.when(junk, "junk").when(family.isNotNull(), "classified").otherwise("unclassified").alias("status"))
 
 
 def stamp_colors(variants: DataFrame, mapping: DataFrame) -> DataFrame:
-    known = mapping.where("status = 'classified'").select("color_raw", F.col("family").alias("__family"))
+    """color_family and color_shade by the classified colours of a map, where the family is missing or another."""
+    known = mapping.where("status = 'classified'").select("color_raw", F.col("family").alias("__family"), F.col("shade").alias("__shade"))
     rows = variants.withColumn("color_raw", F.lower(F.trim("color"))).join(known, "color_raw", "left")
-    return rows.withColumn("color_family", F.coalesce("__family", "color_family")).drop("__family", "color_raw")
+    new = F.col("__family").isNotNull() & ~F.col("color_family").eqNullSafe(F.col("__family"))
+    rows = rows.withColumn("color_shade", F.when(new, F.col("__shade")).otherwise(F.col("color_shade")))
+    return rows.withColumn("color_family", F.when(new, F.col("__family")).otherwise(F.col("color_family"))).drop("__family", "__shade", "color_raw")
 
 
-def translate_color(df: DataFrame, mapping: DataFrame, col: str = "color") -> DataFrame:
-    """Colours by dictionary (raw, english); unknown ones pass through in lower case."""
-    known = mapping.select(F.col("raw").alias("__raw"), F.col("english").alias("__english"))
-    return df.join(known, F.lower(F.trim(col)) == F.col("__raw"), "left").withColumn(col, F.coalesce("__english", F.lower(F.trim(col)))).drop("__raw", "__english")
+def translate_color(raw: Column, language: str) -> Column:
+    """English names of Arabic ("ar") or Turkish ("tr") colours; unknown ones pass through in lower case, empty ones are null."""
+    key = F.lower(F.trim(raw))
+    return F.when(key != "", F.coalesce(_lookup(key, {"ar": R.ARABIC_COLORS, "tr": R.TURKISH_COLORS}[language]), key))
 
 
-def longest_phrase(text: Column, phrases: dict[str, list[str]]) -> Column:
+def longest_phrase(text: Column, phrases: dict[str, list[str]] | list[tuple[str, str]]) -> Column:
     """The label of the longest phrase found anywhere: an ordered chain, as one alternation would take the leftmost."""
-    ordered = sorted(((p, label) for label, ps in phrases.items() for p in ps), key=lambda x: -len(x[0]))
-    return first_match([(text.contains(p), label) for p, label in ordered])
+    return first_match([(text.contains(p), label) for p, label in by_length(phrases)])
+
+
+def by_length(phrases: dict[str, list[str]] | list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """(phrase, label), the longest first, else in the given order."""
+    pairs = [(p, label) for label, ps in phrases.items() for p in ps] if isinstance(phrases, dict) else phrases
+    return sorted(pairs, key=lambda x: -len(x[0]))
 
 
 def sleeve_length(category: Column, title: Column, raw: Column | None = None, raw_first: Column | None = None) -> Column:

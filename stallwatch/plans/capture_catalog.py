@@ -63,7 +63,7 @@ QUERIES = {
     "c06_stock_transitions": lambda s: C.stock_transitions(_flags(s)),
     "c07_needs_write": lambda s: C.needs_write(*_variants(s)).groupBy("needs_write").agg(F.count("*").alias("variants")),
     "c08_seed_first_prices": lambda s: C.seed_first_prices(s.snapshots, s.first_prices.where("product_id % 2 = 0").select("product_id", "first_observed_price")),
-    "c09_delist_stale": lambda s: C.delist_stale(s.shelf, DELIST_AS_OF).drop("witnessed"),
+    "c09_delist_stale": lambda s: C.delist_stale(s.shelf.withColumn("is_active", F.col("product_id") % 7 != 0), DELIST_AS_OF).drop("witnessed"),
     "c10_reclassify_witnessed": lambda s: C.reclassify_witnessed(s.stock_events, AS_OF),
     "c11_fill_department": lambda s: C.fill_department(s.catalogue.withColumn("department", F.when(F.col("p_size") % 2 == 0, F.col("department"))), s.spark.createDataFrame([("standard", "basics"), ("promo", "offers")], "category_normalized string, department string")).groupBy("category_normalized", "department").agg(F.count("*").alias("products")),
     "c12_match_alerts": _alerts,
@@ -92,7 +92,7 @@ SQL = {
         FROM (SELECT *, lag(s) OVER (PARTITION BY product_id ORDER BY recorded_at, event_id) AS was FROM (SELECT *, event_type = 'signup' AS s FROM observations WHERE event_type IN ('error', 'signup')) JOIN (SELECT product_id, arg_min(price, (recorded_at, event_id)) AS first_observed_price FROM observations GROUP BY 1) USING (product_id)) WHERE was <> s"""),
     "c07_needs_write": twin("""SELECT p.variant_id IS NULL OR p.delisted_at IS NOT NULL OR n.is_in_stock IS DISTINCT FROM p.is_in_stock OR (n.first_observed_price IS NULL) <> (p.first_observed_price IS NULL) OR coalesce(abs(n.first_observed_price - p.first_observed_price) > 0.001::DOUBLE, false) AS needs_write, count(*) AS variants FROM n LEFT JOIN p USING (variant_id) GROUP BY 1""", n=_STATE.format(""), p=_STATE.format("WHERE l_shipdate < '2001-06-01'")),
     "c08_seed_first_prices": twin("SELECT product_id, coalesce(f, m) AS first_observed_price FROM (SELECT product_id, min(price) AS m FROM snapshots WHERE price > 0 GROUP BY 1) FULL JOIN (SELECT product_id, arg_min(price, (recorded_at, event_id)) AS f FROM observations WHERE product_id % 2 = 0 GROUP BY 1) USING (product_id)"),
-    "c09_delist_stale": twin(f"SELECT product_id, brand, 'delisted' AS event_type, 'not_a_stock_transition' AS seed_reason, DATE '{DELIST_AS_OF}' AS event_date, last_seen FROM shelf WHERE last_seen < DATE '{DELIST_AS_OF}' - 14"),
+    "c09_delist_stale": twin(f"SELECT product_id, brand, 'delisted' AS event_type, 'not_a_stock_transition' AS seed_reason, DATE '{DELIST_AS_OF}' AS event_date, last_seen FROM shelf WHERE last_seen < DATE '{DELIST_AS_OF}' - 14 AND product_id % 7 <> 0"),
     "c10_reclassify_witnessed": twin(f"""SELECT event_id, variant_id, event_type, CASE WHEN reason IS NOT NULL THEN false ELSE witnessed END AS witnessed, reason, event_date FROM (SELECT *, CASE WHEN event_date > {D} - 9 AND witnessed THEN CASE WHEN event_type = 'delisted' THEN NULL WHEN event_type = 'restock' AND before = 'delisted' THEN 'delist_cycle' WHEN event_type = 'restock' AND coalesce(had, 0) = 0 THEN 'orphan_restock' WHEN event_type = before THEN 'duplicate_transition' END END AS reason
         FROM (SELECT *, lag(event_type) OVER w AS before, max(CAST(event_type = 'stockout' AS INTEGER)) OVER (PARTITION BY variant_id ORDER BY recorded_at, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS had FROM stock_events WINDOW w AS (PARTITION BY variant_id ORDER BY recorded_at, event_id)))"""),
     "c11_fill_department": twin("SELECT category_normalized, CASE WHEN p_size % 2 = 0 THEN department WHEN category_normalized = 'standard' THEN 'basics' WHEN category_normalized = 'promo' THEN 'offers' END AS department, count(*) AS products FROM catalogue GROUP BY 1, 2"),

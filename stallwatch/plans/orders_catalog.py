@@ -19,7 +19,7 @@ from stallwatch.plans.boards_catalog import SQL as BOARD
 from stallwatch.plans.capture_catalog import _variants
 from stallwatch.plans.market_catalog import SQL as MARKET
 from stallwatch.plans.products_catalog import Signals
-from stallwatch.plans.quality_catalog import _chain
+from stallwatch.plans.quality_catalog import FAMILY_OF, _chain
 from stallwatch.plans.signals_catalog import SQL as SIGNAL
 from stallwatch.plans.signals_catalog import _in
 from stallwatch.sources.shop import AS_OF, CATALOGUE_AS_OF, Shop
@@ -76,6 +76,12 @@ def _attributes(s: Shop) -> DataFrame:
     return _titles(s).select("doc_id", F.to_json(found).alias("attributes"))
 
 
+def _foreign(names: dict[str, str]) -> "F.Column":
+    """A colour name of another language for each product, in upper case and with a blank; one in so many is unknown."""
+    known = F.array(*map(F.lit, [*names, "Mystery"]))
+    return F.concat(F.lit(" "), F.upper(F.element_at(known, (F.col("product_id") % F.size(known) + 1).cast("int"))))
+
+
 QUERIES = {
     "i13_size_skew": lambda s: O.size_skew(Signals(s).asymmetry),
     "i13_clearance_wave": lambda s: O.clearance_wave(Signals(s).bursts),
@@ -94,8 +100,8 @@ QUERIES = {
     "i44_conflicts": lambda s: O.cross_conflicts(_board(s), _stock_board(s)),
     "i45_weekly_diff": lambda s: O.weekly_diff(_launches(s), _moves(s), B.market_temperature(s.stock_events, AS_OF), 3, 10, 5.0),
     "d03_breadcrumb_category": lambda s: s.table("documents").select("doc_id", T.breadcrumb_category(F.col("lang"), F.col("source"), F.col("text")).alias("category")),
-    "d10_stamp_colors": lambda s: T.stamp_colors(s.catalogue.select("product_id", F.col("product_name").alias("color"), F.lit(None).cast("string").alias("color_family")), T.seed_colors(s.catalogue.select(F.col("product_name").alias("color")), s.spark.createDataFrame([], "color_raw string"))).select("product_id", "color_family"),
-    "d12_translate_color": lambda s: T.translate_color(s.catalogue.select("product_id", F.concat(F.lit(" "), F.upper(F.element_at(F.split("product_name", " "), 1))).alias("color")), s.spark.createDataFrame([("blue", "azure"), ("red", "crimson")], "raw string, english string")),
+    "d10_stamp_colors": lambda s: T.stamp_colors(s.catalogue.select("product_id", F.col("product_name").alias("color"), F.lit(None).cast("string").alias("color_family"), F.lit(None).cast("string").alias("color_shade")), T.seed_colors(s.catalogue.select(F.col("product_name").alias("color")), s.spark.createDataFrame([], "color_raw string"))).select("product_id", "color_family", "color_shade"),
+    "d12_translate_color": lambda s: s.catalogue.select("product_id", *[T.translate_color(_foreign(names), language).alias(language) for language, names in (("ar", R.ARABIC_COLORS), ("tr", R.TURKISH_COLORS))]),
     "d13_color_from_title": lambda s: _titles(s).select("doc_id", T.color_from_title(F.col("strategy"), F.col("text")).alias("color")),
     "d22_attributes": _attributes,
     "d23_true_shirts": lambda s: T.true_shirts(s.table("documents").select("doc_id", F.lit("shirts").alias("category_normalized"), F.col("text").alias("product_name"))).select("doc_id"),
@@ -137,7 +143,7 @@ _MOVE = f"SELECT brand, category_normalized, count(*) AS changes, count(*) FILTE
 
 
 def _longest(text: str, phrases: dict[str, list[str]], spaced: bool = False) -> str:
-    ordered = sorted(((p.replace("-", " ") if spaced else p, label) for label, ps in phrases.items() for p in ps), key=lambda x: -len(x[0]))
+    ordered = [(p.replace("-", " ") if spaced else p, label) for p, label in T.by_length(phrases)]
     return _chain(text, [([p], label) for p, label in ordered], "").replace("ELSE ''", "ELSE NULL")
 
 
@@ -167,6 +173,9 @@ _ATTRIBUTES = {
 }
 _CATEGORY = {c: _chain(f"lower(coalesce({c}, ''))", [(w, n) for n, w in R.CATEGORIES.items()], "uncategorized") for c in ("lang", "source", "text")}
 _COLOR_RAW = "lower(trim(product_name))"
+# English names of the Arabic and Turkish colours in the order of the rule tables, written out, and of an unknown one.
+_ARABIC = """string_split('black,black,white,white,off-white,off-white,grey,grey,grey,red,red,blue,blue,light blue,sky blue,petrol,navy,navy,green,green,olive,olive,yellow,yellow,pink,pink,rose,pink,purple,mauve,mauve,lilac,lavender,orange,apricot,brown,camel,camel,tan,taupe,beige,cream,cream,gold,gold,silver,silver,copper,turquoise,teal,burgundy,burgundy,burgundy,burgundy,maroon,khaki,khaki,fuchsia,coral,coral,mint,mint,multicolor,multicolor,printed,floral,mystery', ',')"""
+_TURKISH = "string_split('black,white,grey,anthracite,red,burgundy,pink,fuchsia,coral,orange,yellow,ecru,beige,brown,khaki,green,petrol,turquoise,blue,navy,indigo,purple,plum,lilac,multicolor,mystery', ',')"
 
 SQL = {
     "i13_size_skew": f"SELECT stocked_out_size, count(*) AS cases FROM ({SIGNAL['l1_11_size_asymmetry']}) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3",
@@ -188,8 +197,8 @@ SQL = {
         UNION ALL SELECT CASE WHEN increases >= 0.9::DOUBLE * changes AND increases >= 10 THEN 'prices_up' WHEN decreases >= 0.9::DOUBLE * changes AND decreases >= 10 THEN 'prices_down' END, brand, category_normalized, increases::DOUBLE, decreases::DOUBLE FROM ({_MOVE})
         UNION ALL SELECT CASE WHEN 100 * (n - b) / b > 5 THEN 'market_heating' WHEN 100 * (n - b) / b < -5 THEN 'market_cooling' END, NULL, NULL, n, b FROM (SELECT arg_max(ratio, week_start) AS n, arg_min(ratio, week_start) AS b FROM ({BOARD['i42_market_temperature']}))) WHERE kind IS NOT NULL"""),
     "d03_breadcrumb_category": f"SELECT doc_id, CASE WHEN s <> 'uncategorized' THEN s WHEN t <> 'uncategorized' THEN t ELSE l END AS category FROM (SELECT doc_id, {_CATEGORY['source']} AS s, {_CATEGORY['text']} AS t, {_CATEGORY['lang']} AS l FROM documents)",
-    "d10_stamp_colors": twin(f"SELECT product_id, CASE WHEN NOT (length({_COLOR_RAW}) <= 1 OR regexp_matches({_COLOR_RAW}, 'size|cm|ml|kg|pcs|/|x |0x|^[0-9.-]+$')) THEN nullif({_chain(_COLOR_RAW, [([w], c) for w, c in R.COLORS], 'other')}, 'other') END AS color_family FROM catalogue"),
-    "d12_translate_color": twin("SELECT product_id, CASE c WHEN 'blue' THEN 'azure' WHEN 'red' THEN 'crimson' ELSE c END AS color FROM (SELECT product_id, lower(split_part(product_name, ' ', 1)) AS c FROM catalogue)"),
+    "d10_stamp_colors": twin(f"SELECT product_id, family AS color_family, CASE WHEN family IS NOT NULL THEN raw END AS color_shade FROM (SELECT product_id, raw, {FAMILY_OF.format('raw')} AS family FROM (SELECT product_id, {_COLOR_RAW} AS raw FROM catalogue))"),
+    "d12_translate_color": twin(f"SELECT product_id, {_ARABIC}[product_id % 67 + 1] AS ar, {_TURKISH}[product_id % 26 + 1] AS tr FROM catalogue"),
     "d13_color_from_title": f"""SELECT doc_id, CASE strategy WHEN 'tail' THEN coalesce(CASE WHEN tail IN ({', '.join(f"'{c}'" for c in R.TITLE_COLORS)}) THEN tail END, {_colors('low')}) WHEN 'scan' THEN {_not_metal('cloth')} WHEN 'dash' THEN CASE WHEN contains(low, ' - ') AND length(dash) BETWEEN 1 AND 30 THEN dash END ELSE coalesce({_ENDS}, {_not_metal('low')}) END AS color
         FROM (SELECT *, trim(regexp_extract(low, '[-–—|]([^-–—|]*)\\z', 1)) AS tail, regexp_replace(regexp_replace(low, '\\b(raw\\s+)?denim\\b', ' ', 'g'), '\\bice\\b', ' ', 'g') AS cloth, trim(string_split(low, ' - ')[-1]) AS dash, trim(low) AS whole
         FROM (SELECT doc_id, lower(text) AS low, ['tail', 'scan', 'dash', 'end'][doc_id // {len(KINDS)} % 4 + 1] AS strategy FROM documents))""",

@@ -54,6 +54,16 @@ _CLASSED = f"""SELECT *, CASE WHEN p_size % 8 = 0 THEN 'XL' WHEN p_size % 8 = 3
     CASE p_size % 8 WHEN 4 THEN 'bare_numeric_range_unclear_domain' WHEN 7 THEN 'dual_letter_range' WHEN 1 THEN CASE WHEN category_normalized = 'jeans' AND p_size BETWEEN 20 AND 60 THEN NULL WHEN category_normalized = 'dresses' THEN CASE WHEN MAP {{{_EU}}}[size] IS NULL THEN 'numeric_outside_eu_ladder_possible_kids' END ELSE 'unrecognized_pattern' END END AS reason FROM sized"""
 _STATUS = "CASE WHEN size_family IS NOT NULL THEN 'classified' WHEN reason IS NOT NULL THEN 'review' ELSE 'excluded' END AS size_status"
 
+# Words of the colour families, written out: the first that the name holds stands.
+_FAMILIES = (
+    "اسود=black|ابيض=white|black=black|off white=white|offwhite=white|ecru=white|cream=white|ivory=white|white=white|anthracite=grey|charcoal=grey|silver=grey|grey=grey|gray=grey|vison=beige|nude=beige|sand=beige|tan=beige|stone=beige|biscuit=beige|caramel=beige|beige=beige"
+    "|coffee=brown|camel=brown|chocolate=brown|mink=brown|taupe=brown|mocha=brown|brown=brown|teal=teal|turquoise=teal|navy=blue|denim=blue|indigo=blue|cobalt=blue|petrol=blue|sky=blue|blue=blue|khaki=green|olive=green|mint=green|emerald=green|sage=green|green=green"
+    "|mustard=yellow|gold=yellow|lemon=yellow|yellow=yellow|peach=orange|coral=orange|apricot=orange|rust=orange|terracotta=orange|orange=orange|burgundy=burgundy|maroon=burgundy|wine=burgundy|bordeaux=burgundy|crimson=red|red=red|rose=pink|fuchsia=pink|fuschia=pink|magenta=pink|salmon=pink|blush=pink|pink=pink"
+    "|lilac=purple|lavender=purple|mauve=purple|violet=purple|plum=purple|purple=purple|metallic=metallic|chrome=metallic|copper=metallic|bronze=metallic|multi=multi|colored=multi|colour=multi|print=multi|floral=multi|striped=multi|pattern=multi|tie dye=multi|camo=multi"
+)
+COLOR_JUNK = "(length({0}) <= 1 OR regexp_matches({0}, 'size|cm|ml|kg|pcs|/|x |0x|^[.-]*[0-9][0-9.-]*$'))"
+FAMILY_OF = f"CASE WHEN NOT {COLOR_JUNK} THEN split_part(list_filter(string_split('{_FAMILIES}', '|'), lambda x: contains({{0}}, split_part(x, '=', 1)))[1], '=', 2) END"
+
 SQL = {
     "d01_normalize_category": f"SELECT doc_id, {_chain('lower(text)', [(w, n) for n, w in R.CATEGORIES.items()], 'uncategorized')} AS category, {_chain('lower(text)', [(w, n) for n, w in R.GENDERS.items()], 'unisex')} AS gender FROM documents",
     "d04_rescue_category": f"SELECT doc_id, {_chain('lower(text || chr(10) || source)', [([w], c) for w, c in R.RESCUES.items()], 'uncategorized')} AS category FROM documents",
@@ -61,7 +71,7 @@ SQL = {
     "d06_subcategory_progress": twin(f"SELECT category_normalized, count(*) AS total, count(*) FILTER (p_size > 20) AS filled, {pct('count(*) FILTER (p_size > 20)', 'count(*)', 1)} AS filled_pct FROM catalogue GROUP BY 1"),
     "d07_classify_size": twin(f"SELECT size_family, size_system, {_STATUS}, reason, count(*) AS variants FROM ({_CLASSED}) GROUP BY ALL", sized=_SIZES),
     "d08_size_review_queue": twin(f"SELECT size AS size_raw, category_normalized, brand, reason, count(*) AS sample_count FROM ({_CLASSED}) WHERE size_family IS NULL AND reason IS NOT NULL GROUP BY ALL", sized=_SIZES),
-    "d09_seed_colors": twin(f"SELECT color_raw, CASE WHEN NOT junk AND f <> 'other' THEN f END AS family, CASE WHEN junk THEN 'junk' WHEN f <> 'other' THEN 'classified' ELSE 'unclassified' END AS status FROM (SELECT *, length(color_raw) <= 1 OR regexp_matches(color_raw, 'size|cm|ml|kg|pcs|/|x |0x|^[0-9.-]+$') AS junk, {_chain('color_raw', [([w], c) for w, c in R.COLORS], 'other')} AS f FROM (SELECT DISTINCT lower(trim(product_name)) AS color_raw FROM catalogue) WHERE color_raw <> 'small ring')"),
+    "d09_seed_colors": twin(f"SELECT color_raw, family, CASE WHEN family IS NOT NULL THEN color_raw END AS shade, CASE WHEN junk THEN 'junk' WHEN family IS NOT NULL THEN 'classified' ELSE 'unclassified' END AS status FROM (SELECT color_raw, {COLOR_JUNK.format('color_raw')} AS junk, {FAMILY_OF.format('color_raw')} AS family FROM (SELECT DISTINCT lower(trim(product_name)) AS color_raw FROM catalogue) WHERE color_raw <> 'small ring')"),
     "d11_canonical_color": f"SELECT doc_id, {_chain('lower(trim(text))', [([w], c) for w, c in R.COLORS], 'other')} AS color FROM documents",
     "d24_drop_excluded": twin("SELECT brand, count(*) AS products FROM catalogue WHERE brand NOT IN ('Brand#11', 'Brand#12') GROUP BY 1"),
     "j01_freshness": twin(f"SELECT *, CASE WHEN days_old >= 3 THEN 'FAIL' WHEN days_old >= 2 THEN 'WARN' ELSE 'OK' END AS status FROM (SELECT brand, max(event_date) AS last_day, CAST({D} - max(event_date) AS INTEGER) AS days_old FROM stock_events GROUP BY 1)"),

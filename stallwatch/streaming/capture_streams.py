@@ -19,13 +19,22 @@ def _ordered(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(list(batches)).sort_values(["recorded_at", "event_id"], kind="stable")
 
 
-def stream_price_events(observations: DataFrame, ttl_days: int = 14, min_change: float = 0.01) -> DataFrame:
+def _expire(state: GroupState, seen: int, ttl_days: int) -> None:
+    """State goes once the watermark is ttl_days past what was seen last (microseconds)."""
+    state.setTimeoutTimestamp(max((seen + ttl_days * DAY) // 1000, state.getCurrentWatermarkMs() + 1))
+
+
+def stream_price_events(observations: DataFrame, ttl_days: int = 14, min_change: float = 0.01, late: str = "1 day") -> DataFrame:
     """A row when a product's price moves by more than min_change. After ttl_days unseen a product starts anew.
 
-    observations: product_id, event_id, recorded_at, price. The state of a product is its last price and time.
+    observations: product_id, event_id, recorded_at, price. The state of a product is its last price and time; it
+    goes when the watermark, ``late`` behind, passes ttl_days after that time.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last, seen = state.get if state.exists else (None, 0)
         out = []
         for row in _ordered(batches).itertuples(index=False):
@@ -36,19 +45,25 @@ def stream_price_events(observations: DataFrame, ttl_days: int = 14, min_change:
                 out.append((key[0], row.event_id, row.recorded_at, last, row.price, "up" if row.price > last else "down"))
             last, seen = row.price, now
         state.update((last, seen))
+        _expire(state, seen, ttl_days)
         if out:
             yield pd.DataFrame(out, columns=["product_id", "event_id", "recorded_at", "price_before", "price_after", "direction"])
 
-    return observations.groupBy("product_id").applyInPandasWithState(step, PRICE_EVENT, "last double, seen long", "append", GroupStateTimeout.NoTimeout)
+    rows = observations.withWatermark("recorded_at", late)
+    return rows.groupBy("product_id").applyInPandasWithState(step, PRICE_EVENT, "last double, seen long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def stream_stock_transitions(observations: DataFrame) -> DataFrame:
+def stream_stock_transitions(observations: DataFrame, ttl_days: int = 400, late: str = "1 day") -> DataFrame:
     """A row per change of a variant's stock flag, with the reason to distrust it: a restock before any stock-out.
 
-    observations: variant_id, event_id, recorded_at, is_in_stock.
+    observations: variant_id, event_id, recorded_at, is_in_stock. A variant unseen for ttl_days past the watermark,
+    ``late`` behind, starts anew.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         flag, out_before = state.get if state.exists else (None, False)
         out = []
         for row in _ordered(batches).itertuples(index=False):
@@ -56,12 +71,14 @@ def stream_stock_transitions(observations: DataFrame) -> DataFrame:
                 kind = "restock" if row.is_in_stock else "stockout"
                 out.append((key[0], row.event_id, row.recorded_at, kind, "orphan_restock" if kind == "restock" and not out_before else None))
                 out_before = out_before or kind == "stockout"
-            flag = bool(row.is_in_stock)
+            flag, seen = bool(row.is_in_stock), row.recorded_at.value // 1000
         state.update((flag, out_before))
+        _expire(state, seen, ttl_days)
         if out:
             yield pd.DataFrame(out, columns=["variant_id", "event_id", "recorded_at", "event_type", "reason"])
 
-    return observations.groupBy("variant_id").applyInPandasWithState(step, STOCK_EVENT, "flag boolean, out_before boolean", "append", GroupStateTimeout.NoTimeout)
+    rows = observations.withWatermark("recorded_at", late)
+    return rows.groupBy("variant_id").applyInPandasWithState(step, STOCK_EVENT, "flag boolean, out_before boolean", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_discount_bursts(events: DataFrame, bucket: str = "6 hours", late: str = "1 day") -> DataFrame:
@@ -77,10 +94,11 @@ def stream_dedupe(events: DataFrame, id_col: str, late: str = "2 days", time: st
 
 
 def alert_batches(match, path: str):
-    """A foreachBatch function: match(batch) joins a batch of drops with the subscriber tables; appended to path."""
+    """A foreachBatch function: match(batch) joins a batch of drops with the subscriber tables. Each batch has a folder of
+    its own under path, which a batch that runs again writes anew."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        match(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
+        match(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallwatch.functions.columns import round_to, upper_median
-from stallwatch.operators import boards, capture, lake, maintenance, order_board, quality, signals, taxonomy
+from stallwatch.operators import boards, capture, lake, maintenance, market, order_board, quality, signals, taxonomy
 
 DAY = dt.date(2024, 1, 10)
 
@@ -159,3 +159,63 @@ def test_a_table_that_stands_still_is_excused_by_a_good_run(spark):
     runs = spark.createDataFrame([("b", dt.date(2024, 1, 30), "ok"), ("a", dt.date(2024, 1, 30), "failed")], "signal_id string, run_date date, status string")
     got = {r.signal_id: r.status for r in quality.signal_freshness({"a": (old, "d", 3), "b": (old, "d", 3), "c": (none, "d", 3), "e": (old, "d", 22)}, runs, "2024-01-31").collect()}
     assert got == {"a": "FAIL", "b": "OK", "c": "WARN", "e": "OK"}
+
+
+def test_colours_have_the_families_of_the_map(spark):
+    want = {"Burgundy": "burgundy", "khaki": "green", "navy": "blue", "copper": "metallic", "bronze": "metallic", "camo print": "multi", "mocha": "brown", "caramel": "beige", "lemon": "yellow", "ابيض": "white", "Off White": "white", "zzz": None, "40 cm": None, "12.5": None, "..": None}
+    frame = spark.createDataFrame([(c,) for c in [*want, "NAVY ", None]], "color string")
+    got = {r.color_raw: (r.family, r.shade, r.status) for r in taxonomy.seed_colors(frame, spark.createDataFrame([], "color_raw string")).collect()}
+    junk = {"40 cm", "12.5"}
+    assert got == {c.lower(): (f, c.lower() if f else None, "junk" if c in junk else "classified" if f else "unclassified") for c, f in want.items()}
+    rows = spark.createDataFrame([(1, "NAVY", "red", "old"), (2, "navy", "blue", "deep"), (3, "zzz", "red", "old"), (4, None, None, None)], "id int, color string, color_family string, color_shade string")
+    mapping = taxonomy.seed_colors(frame, spark.createDataFrame([], "color_raw string"))
+    assert sorted((r.id, r.color_family, r.color_shade) for r in taxonomy.stamp_colors(rows, mapping).collect()) == [(1, "blue", "navy"), (2, "blue", "deep"), (3, "red", "old"), (4, None, None)]
+    names = spark.createDataFrame([("ar", " أسود ", "black"), ("ar", "نبيتي", "burgundy"), ("tr", " Lacivert", "navy"), ("tr", "Kahve", "brown"), ("tr", "Ocean", "ocean"), ("ar", "  ", None), ("tr", None, None)], "l string, c string, want string")
+    for language in ("ar", "tr"):
+        assert all(r.got == r.want for r in names.where(F.col("l") == language).withColumn("got", taxonomy.translate_color(F.col("c"), language)).collect())
+
+
+def test_phrases_of_one_length_keep_their_order(spark):
+    rows = [("relaxed tapered jeans", "tapered"), ("straight boot cut jeans", "bootcut"), ("slim wide leg", "wide leg"), ("loose chino", "baggy"), ("super baggy skinny fit", "baggy")]
+    got = spark.createDataFrame(rows, "t string, want string").withColumn("c", taxonomy.fit_cut(F.lit("jeans"), F.col("t"), F.lit(""))).collect()
+    assert [r.c for r in got] == [r.want for r in got]
+    row = spark.range(1).select(taxonomy.longest_phrase(F.lit("half sleeve or full sleeve"), taxonomy.R.SLEEVES).alias("s"), taxonomy.longest_phrase(F.lit("puffer bomber"), taxonomy.R.JACKETS).alias("j")).first()
+    assert (row.s, row.j) == ("half sleeve", "puffer")
+
+
+def test_runs_count_their_own_rows_and_wait_for_the_day(spark, tmp_path):
+    snaps = spark.createDataFrame([(1, DAY), (2, DAY)], "id long, snapshot_date date")
+    root, log, other = (str(tmp_path / x) for x in ("out", "log", "other"))
+    later = lambda: snaps.where("id > 1").withColumn("snapshot_date", F.date_add("snapshot_date", 1))
+    first = maintenance.run_signals(spark, [maintenance.Signal("a", lambda: snaps), maintenance.Signal("z", lambda: snaps, requires=["later"])], snaps, root, log)
+    assert {r.signal_id: r.rows_written for r in first.collect()} == {"a": 2, "z": 0}
+    second = maintenance.run_signals(spark, [maintenance.Signal("a", later)], snaps, root, log)
+    assert second.first().rows_written == 1 and spark.read.parquet(f"{root}/a").count() == 3
+    products = [maintenance.Signal("p", lambda: snaps, requires=["a"]), maintenance.Signal("q", lambda: snaps, requires=["z"])]
+    assert {r.signal_id: r.status for r in maintenance.run_signals(spark, products, snaps, root, other).collect()} == {"p": "skipped", "q": "skipped"}
+    assert {r.signal_id: r.status for r in maintenance.run_signals(spark, products, snaps, root, other, gates=[log, str(tmp_path / "none")]).collect()} == {"p": "ok", "q": "skipped"}
+
+
+def test_results_leave_only_when_the_archive_is_whole(spark, tmp_path, monkeypatch):
+    day = lambda n: DAY - dt.timedelta(days=n)
+    rows = spark.createDataFrame([(i, day(i * 10)) for i in range(6)], "id long, snapshot_date date")
+    root = str(tmp_path / "archive")
+    left = maintenance.archive_results(rows, root, str(DAY), 25)
+    assert sorted(r.id for r in left.collect()) == [0, 1, 2] and sorted(r.id for r in spark.read.parquet(root).collect()) == [3, 4, 5]
+    monkeypatch.setattr(maintenance, "replace_days", lambda df, path, day: lake.replace_days(df.where("id <> 4"), path, day))
+    with pytest.raises(RuntimeError):
+        maintenance.archive_results(rows, str(tmp_path / "other"), str(DAY), 25)
+
+
+def test_repartition_and_recompress_keep_all_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(1, DAY), (1, DAY), (2, DAY)], "id long, snapshot_date date")
+    assert maintenance.repartition_by_day(rows, str(tmp_path / "days"), ["id"]) == 2
+    assert maintenance.recompress(spark, str(tmp_path / "days"), str(tmp_path / "snappy")) == 2
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "snappy")).collect()) == [1, 2]
+
+
+def test_size_shares_are_of_all_stock_outs(spark):
+    rows = [(b, "M", "stockout", True, DAY) for b in "abc" for _ in range(10)] + [("a", "XS", "stockout", True, DAY)] * 10
+    stock = spark.createDataFrame(rows, "brand string, size string, event_type string, witnessed boolean, event_date date")
+    got = [(r.size_family, r.stockouts, r.demand_share_pct) for r in market.size_demand_curve(stock, str(DAY)).collect()]
+    assert got == [("M", 30, 75.0)]
