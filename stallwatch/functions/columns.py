@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,11 @@ def first_match(rules: list[tuple[Column, object]], default: object = None) -> C
     return F.coalesce(*[F.when(cond, F.lit(value)) for cond, value in rules], F.lit(default))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once a row however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def read_bands(x: Column, bands: list[tuple[float, str]], default: str, at_most: bool = False) -> Column:
     """The first label whose bound x reaches (or, with at_most, does not exceed)."""
     return first_match([((x <= b) if at_most else (x >= b), label) for b, label in bands], default)

@@ -46,6 +46,8 @@ CATEGORIES = {
 }
 # Genders.
 GENDERS = {"women": ["women", "woman", "female", "ladies", "girl", "نسائي"], "men": ["men", "man", "male", "gents", "رجالي"], "kids": ["kid", "child", "baby", "infant", "أطفال"]}
+# Genders of the first level of a breadcrumb.
+BREADCRUMB_GENDERS = {"men": "men", "man": "men", "رجال": "men", "رجالي": "men", "women": "women", "woman": "women", "نساء": "women", "نسائي": "women", "kids": "kids", "children": "kids", "أطفال": "kids"}
 # Words that rescue products without a category.
 RESCUES = {"cardigan": "cardigans", "pullover": "sweaters", "sweatshirt": "shirts", "blouse": "shirts", "tunic": "shirts", "henley": "t-shirts", "tank": "tank-tops", "vest": "vests", "long-sleeve": "shirts", "long sleeve": "shirts"}
 # Subcategories by category, pattern, label and priority (lower first).

@@ -6,14 +6,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallwatch.functions.columns import first_match, latest_per, percent, read_bands, round_to, window_of
+from stallwatch.operators.taxonomy import cell_color
 
 
 def confidence(brands: Column, days: Column, events: Column) -> Column:
     return first_match([((brands >= 10) & (days >= 21) | (events >= 500), "confirmed"), ((brands >= 5) & (days >= 7) | (events >= 100), "directional")], "maturing")
 
 
-def cell_tier(brands: Column) -> Column:
-    return read_bands(brands, [(10, "strong"), (5, "medium")], "thin")
+def cell_tier(events: Column) -> Column:
+    """Maturity of one cell by its own number of events, in the words of ``confidence``."""
+    return read_bands(events, [(10, "confirmed"), (5, "directional")], "maturing")
+
+
+def pct_reliable(events: Column, floor: int = 5) -> Column:
+    """Whether a share rests on enough observations to be shown."""
+    return F.coalesce(events, F.lit(0)) >= floor
 
 
 def conf_level(brands: Column, products: Column, sellouts: Column, bounds: tuple = ((12, 500, 200), (8, 200, 50))) -> Column:
@@ -29,10 +36,12 @@ def ci95(p: Column, n: Column, legacy: bool = False) -> Column:
 
 
 def demand_grid(stock: DataFrame, cols: list[str], min_events: int, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """Witnessed stock-outs per cell of any columns; rows with a null in one of them are left out."""
-    rows = stock.where("witnessed and event_type = 'stockout'").where(~F.col("brand").isin(*exclude)).dropna(subset=cols)
-    cells = rows.groupBy(*cols).agg(F.countDistinct("brand").alias("brands"), F.countDistinct("product_id").alias("products"), F.count("*").alias("events")).where(F.col("events") >= min_events)
-    return cells.withColumn("tier", cell_tier(F.col("brands")))
+    """Witnessed stock-outs per cell of any columns; rows with a null in one of them are left out. Colours are families, else canonical."""
+    rows = stock.where("witnessed and event_type = 'stockout'").where(~F.col("brand").isin(*exclude))
+    if "color" in cols:
+        rows = rows.withColumn("color", cell_color(stock))
+    cells = rows.dropna(subset=cols).groupBy(*cols).agg(F.countDistinct("brand").alias("brands"), F.countDistinct("product_id").alias("products"), F.count("*").alias("events")).where(F.col("events") >= min_events)
+    return cells.withColumn("confidence", cell_tier(F.col("events")))
 
 
 def market_undersupply(stock: DataFrame, blueprint: DataFrame, min_events: int = 5) -> DataFrame:
@@ -41,12 +50,16 @@ def market_undersupply(stock: DataFrame, blueprint: DataFrame, min_events: int =
     return cells.join(calls, ["category_normalized", "size"], "left").withColumn("increase_calls", F.coalesce("increase_calls", F.lit(0)))
 
 
-def color_price(snapshots: DataFrame, min_n: int = 25) -> DataFrame:
-    """Median price by colour on the market's latest day, one price per product and colour."""
+def color_price(snapshots: DataFrame, variants: DataFrame, min_n: int = 25, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """Median price by category and colour on the market's latest day, one price per product and colour.
+
+    ``variants``: (product_id, color, color_family); those without a colour or with one outside the map are left out.
+    """
     day = snapshots.agg(F.max("snapshot_date").alias("snapshot_date"))
-    rows = snapshots.join(F.broadcast(day), "snapshot_date", "left_semi").withColumn("color", F.element_at(F.split("product_name", " "), 1)).where("price > 0 and color <> 'other'")
-    rows = latest_per(rows, ["product_id", "color"], [F.desc("recorded_at")])
-    return rows.groupBy("color").agg(F.count("*").alias("n"), round_to(F.percentile("price", F.lit(0.5))).alias("median_price")).where(F.col("n") >= min_n)
+    rows = snapshots.join(F.broadcast(day), "snapshot_date", "left_semi").where("price > 0").where(~F.col("brand").isin(*exclude))
+    colors = variants.where("color <> ''").select("product_id", cell_color(variants).alias("color")).where("color <> 'other'").distinct()
+    rows = latest_per(rows, ["product_id"], [F.desc("recorded_at")]).join(colors, "product_id")
+    return rows.groupBy("category_normalized", "color").agg(F.count("*").alias("n"), round_to(F.percentile("price", F.lit(0.5))).alias("median_price")).where(F.col("n") >= min_n)
 
 
 def demand_trend(stock: DataFrame, cols: list[str], weeks: int = 8, min_total: int = 20, min_weeks: int = 3) -> DataFrame:
@@ -69,15 +82,22 @@ def bestseller_cells(weekly: DataFrame, cols: list[str], rank_max: int = 30, min
     return rows.groupBy(*cols).agg(F.countDistinct("product_id").alias("bestsellers")).where(F.col("bestsellers") >= min_products)
 
 
-def order_verdicts(stock: DataFrame, weekly: DataFrame, cols: list[str], min_events: int = 30, proven: int = 3) -> DataFrame:
-    """What to order: demand cells, with whether bestsellers prove them and where they are heading."""
-    rows = demand_grid(stock, cols, min_events).join(bestseller_cells(weekly, cols), cols, "left").join(demand_trend(stock, cols).select(*cols, "trend"), cols, "left")
-    sure = F.coalesce("bestsellers", F.lit(0)) >= proven
-    trend = F.coalesce("trend", F.lit("steady"))
+def order_verdicts(stock: DataFrame, weekly: DataFrame, min_events: int = 30, proven: int = 3, min_coverage: float = 0.5, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """What to order, by category and subcategory: demand cells, with whether bestsellers prove them and where they are heading.
+
+    Only categories of whose demand the given share names its subcategory.
+    """
+    cols = ["category_normalized", "subcategory"]
+    sold = stock.where("witnessed and event_type = 'stockout' and category_normalized not in ('uncategorized', '')").where(~F.col("brand").isin(*exclude))
+    covered = sold.groupBy("category_normalized").agg((F.count_if(F.col("subcategory") != "") / F.count("*")).alias("coverage")).where(F.col("coverage") >= min_coverage)
+    cells = demand_grid(stock, cols, min_events, exclude).where("subcategory <> ''").join(covered, "category_normalized")
+    rows = cells.join(bestseller_cells(weekly, cols), cols, "left").join(demand_trend(stock, cols).select(*cols, "trend"), cols, "left")
+    best, trend = F.coalesce("bestsellers", F.lit(0)), F.coalesce("trend", F.lit("steady"))
+    sure = best >= proven
     score = F.col("events") * F.when(sure, 1.6).otherwise(1.0) * F.when(trend == "warming", 1.25).when(trend == "cooling", 0.7).otherwise(1.0)
     verdict = first_match([(sure & (trend != "cooling"), "STRONG BUY"), (sure | (trend == "warming"), "BUY")], "WATCH")
-    why = F.array_join(F.array_compact(F.array(F.when(sure, "proven"), F.when(trend != "steady", trend), F.when(F.col("tier") == "strong", "broad"))), ",")
-    return rows.select(*cols, "brands", "products", "events", "tier", verdict.alias("verdict"), round_to(score, 1).alias("score"), why.alias("why"))
+    why = F.concat_ws(",", F.lit("under-supplied"), F.when(sure, F.concat(F.lit("proven seller ("), best.cast("string"), F.lit(")"))), F.when(trend == "steady", "steady demand").otherwise(trend))
+    return rows.select(*cols, "brands", "products", "events", "confidence", "coverage", verdict.alias("verdict"), round_to(score, 1).alias("score"), why.alias("why"))
 
 
 def discount_verdicts(clear: DataFrame, distress: DataFrame, min_products: int = 20, clears: float = 15.0) -> DataFrame:

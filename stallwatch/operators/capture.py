@@ -80,6 +80,13 @@ def fill_department(products: DataFrame, mapping: DataFrame) -> DataFrame:
     return products.join(known, "category_normalized", "left").withColumn("department", F.coalesce("department", "__department")).drop("__department")
 
 
+def fill_report(products: DataFrame, mapping: DataFrame) -> DataFrame:
+    """How many departments the mapping fills, and how many stay null: one row."""
+    rows = fill_department(products.withColumn("__before", F.col("department")), mapping)
+    gone = F.col("department").isNull()
+    return rows.agg(F.count_if(F.col("__before").isNull() & ~gone).alias("filled"), F.count_if(gone).alias("still_null"))
+
+
 def match_alerts(drops: DataFrame, users: DataFrame, user_sizes: DataFrame, user_brands: DataFrame, min_discount: int = 10) -> DataFrame:
     """Active users to tell of a drop: the discount, their size in stock in that category, their ceiling, a brand they follow."""
     wanted = user_brands.select("user_id", "brand").distinct().join(users.where("is_active"), "user_id").join(user_sizes, "user_id")
@@ -138,13 +145,19 @@ def resolve_compare_at(badge_price: Column, list_price: Column, prior: Column, p
     return F.when(found > 1.01 * price, found)
 
 
-def statistical_deals(events: DataFrame, snapshots: DataFrame, as_of: str, min_rows: int = 10, days: int = 30, recent: int = 2, k: float = 1.5) -> DataFrame:
-    """Recent cuts under the fence of nearest-rank quartiles of the last month; the quartiles are not interpolated."""
-    day = F.lit(as_of).cast("date")
-    past = snapshots.where((F.col("snapshot_date") > F.date_sub(day, days)) & (F.col("snapshot_date") <= day)).groupBy("product_id").agg(F.array_sort(F.collect_list("price")).alias("p")).where(F.size("p") >= min_rows)
+def statistical_deals(events: DataFrame, snapshots: DataFrame, now: str, min_rows: int = 10, days: int = 30, recent_hours: int = 8, k: float = 1.5) -> DataFrame:
+    """Cuts of the last hours, not flagged yet, under the fence of nearest-rank quartiles of the last month.
+
+    Nothing while the snapshots reach back less than the month. The quartiles are not interpolated.
+    """
+    at = F.lit(now).cast("timestamp")
+    day = F.to_date(at)
+    past = snapshots.where((F.col("snapshot_date") >= F.date_sub(day, days)) & (F.col("snapshot_date") <= day)).groupBy("product_id").agg(F.array_sort(F.collect_list("price")).alias("p")).where(F.size("p") >= min_rows)
     n = F.size("p")
     past = past.select("product_id", F.element_at("p", (F.floor(n / 4) + 1).cast("int")).alias("q1"), F.element_at("p", (F.floor(3 * n / 4) + 1).cast("int")).alias("q3"))
-    cuts = events.where((F.col("direction") == "down") & (F.col("event_date") > F.date_sub(day, recent)))
+    oldest = snapshots.agg(F.min("snapshot_date").alias("__oldest"))
+    cuts = events.where((F.col("direction") == "down") & ~F.col("is_statistical_deal") & (F.col("recorded_at") > at - F.expr(f"INTERVAL {recent_hours} HOURS")))
+    cuts = cuts.crossJoin(F.broadcast(oldest)).where(F.datediff(day, "__oldest") >= days)  # one row
     return cuts.join(past, "product_id").where(F.col("price_after") < F.col("q1") - k * (F.col("q3") - F.col("q1"))).select("event_id", "product_id", "brand", "price_after", "q1", "q3", "event_date")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallwatch.functions.columns import round_to
+from stallwatch.functions.columns import latest_per, round_to
 
 
 def scan_days(spark: SparkSession, root: str, start: str, end: str, schema: T.StructType, day: str = "snapshot_date", defaults: dict | None = None) -> DataFrame:
@@ -20,9 +20,10 @@ def scan_days(spark: SparkSession, root: str, start: str, end: str, schema: T.St
     return rows.select(*[F.coalesce(F.col(f.name), F.lit((defaults or {}).get(f.name)).cast(f.dataType)).alias(f.name) for f in schema])
 
 
-def stitch(hot: DataFrame, cold: DataFrame, id_col: str) -> DataFrame:
+def stitch(hot: DataFrame, cold: DataFrame, id_col: str | list[str]) -> DataFrame:
     """Both tiers; of a row that is in both, the hot one. An anti join keeps filters pushable into either scan."""
-    return cold.join(hot.select(id_col), id_col, "left_anti").unionByName(hot, allowMissingColumns=True)
+    keys = [id_col] if isinstance(id_col, str) else id_col
+    return cold.join(hot.select(*keys), keys, "left_anti").unionByName(hot, allowMissingColumns=True)
 
 
 def between(df: DataFrame, day: str, end: str, days: int) -> DataFrame:
@@ -51,6 +52,36 @@ def price_history(snapshots: DataFrame, end: str, days: int = 45) -> DataFrame:
     return between(snapshots.where("price > 0"), "snapshot_date", end, days).select("product_id", "brand", "category_normalized", "snapshot_date", "price")
 
 
+def tiered_price_history(hot: DataFrame, cold: DataFrame | None, end: str, days: int = 45) -> DataFrame:
+    """Prices of both tiers, or of the hot one alone where there is no archive; ``source`` says which."""
+    rows = price_history(hot, end, days) if cold is None else stitch(price_history(hot, end, days), price_history(cold, end, days), ["product_id", "snapshot_date"])
+    return rows.withColumn("source", F.lit("hot" if cold is None else "hot+cold"))
+
+
+def hot_snapshots(snapshots: DataFrame, products: DataFrame, variants: DataFrame, rules: DataFrame) -> DataFrame:
+    """The whole hot tier with its products' and variants' context, less what is quarantined; rows without context stay."""
+    about, own = products.select("product_id", "product_name", "category_normalized", "gender"), variants.select("variant_id", "size", "color")
+    rows = quarantine(snapshots, rules, "snapshot_date").join(about, "product_id", "left").join(own, "variant_id", "left")
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("price", "compare_at_price")})
+
+
+def _one_per_event(hot: DataFrame, cold: DataFrame, end: str, days: int) -> DataFrame:
+    """Events of the window from both tiers, one row per id: a hot one if there is one. The day bound reaches both scans."""
+    tiers = [between(df, "event_date", end, days).withColumn("__tier", F.lit(k)) for k, df in enumerate((hot, cold))]
+    return latest_per(tiers[0].unionByName(tiers[1], allowMissingColumns=True), ["event_id"], [F.asc("__tier")]).drop("__tier")
+
+
+def stock_history(hot: DataFrame, cold: DataFrame, end: str, days: int = 90) -> DataFrame:
+    """Stock events of both tiers that are witnessed or open. Archived rows that do not say so are taken as unwitnessed."""
+    flag = F.coalesce("witnessed", F.lit(False)) if "witnessed" in cold.columns else F.lit(False)
+    return _one_per_event(hot, cold.withColumn("witnessed", flag), end, days).where("witnessed is null or witnessed")
+
+
+def price_event_history(hot: DataFrame, cold: DataFrame, rules: DataFrame, end: str, days: int = 90) -> DataFrame:
+    """Price events of both tiers, less what is quarantined."""
+    return quarantine(_one_per_event(hot, cold, end, days), rules, "event_date")
+
+
 def coverage(df: DataFrame, start: str, end: str, day: str = "snapshot_date") -> DataFrame:
     """Rows and brands of every calendar day; days without rows have 0."""
     days = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias(day))
@@ -58,6 +89,13 @@ def coverage(df: DataFrame, start: str, end: str, day: str = "snapshot_date") ->
     return days.join(seen, day, "left").select(day, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_brands", F.lit(0)).alias("n_brands"), F.col("n_rows").isNull().alias("missing"))
 
 
+def seam_check(df: DataFrame, id_col: str, dead: tuple[str, ...] = ()) -> DataFrame:
+    """One row: rows, ids that occur more than once (none after stitching), and values in columns that should hold none."""
+    ids = df.groupBy(id_col).agg(F.count("*").alias("n"), *[F.count(c).alias(c) for c in dead])
+    total = [F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count_if(F.col("n") > 1).alias("duplicate_ids")]
+    return ids.agg(*total, *[F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_values") for c in dead])
+
+
 def days_available(df: DataFrame, day: str = "snapshot_date") -> int:
     """How many days have rows: one small aggregate, used as a precondition."""
     return df.agg(F.countDistinct(day)).first()[0]
@@ -72,6 +110,13 @@ def latest(df: DataFrame, day: str) -> DataFrame:
     return df.join(F.broadcast(df.agg(F.max(day).alias(day))), day, "left_semi")
 
 
+def archive_table(spark: SparkSession, folder: str, name: str = "archive") -> DataFrame:
+    """Every Parquet file under a folder as one table, at whatever depth, under a name for SQL; columns that a file lacks are null."""
+    rows = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(folder)
+    rows.createOrReplaceTempView(name)
+    return rows
+
+
 def ad_hoc(spark: SparkSession, frames: dict[str, DataFrame], query: str, max_rows: int = 500) -> tuple[DataFrame, bool]:
     """Runs a SELECT over named frames; at most max_rows rows, and whether there were more."""
     for name, frame in frames.items():

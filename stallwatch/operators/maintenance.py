@@ -141,3 +141,12 @@ def run_signals(spark: SparkSession, signals: list[Signal], snapshots: DataFrame
     if failed and not ran:
         raise RuntimeError("all signals failed")
     return runs
+
+
+def write_report(df: DataFrame, root: str, run: str, formats: tuple[str, ...] = ("csv", "json")) -> None:
+    """A report's frame as one file per format in the run's folder, and again under latest/. Reports are small; the frame is made once."""
+    rows = df.coalesce(1).persist()
+    for kind in formats:
+        for place in (run, "latest"):
+            rows.write.mode("overwrite").option("header", True).option("escape", '"').format(kind).save(f"{root}/{place}/{kind}")
+    rows.unpersist()

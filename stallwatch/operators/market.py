@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallwatch.functions.columns import first_match, percent, read_bands, round_to, window_of
+from stallwatch.operators.taxonomy import classify_size
 
 
 def _day(as_of: str):
@@ -83,13 +84,17 @@ def share_of_launch(shelf: DataFrame, as_of: str, window_days: int = 30, min_cat
     return own.join(every, "category_normalized").withColumn("share_pct", share).select("*", read_bands(F.col("share_pct"), [(reads[0], "dominant"), (reads[1], "active")], "minor").alias("launch_read"), _day(as_of))
 
 
-def size_demand_curve(stock: DataFrame, as_of: str, window_days: int = 90, min_brands: int = 3, min_events: int = 20) -> DataFrame:
-    """Share of stock-outs by size among all of the size's system (letters or numbers), those of sizes below the floors included."""
-    rows = window_of(stock, "event_date", as_of, window_days).where("witnessed and event_type = 'stockout' and size is not null")
-    rows = rows.withColumn("size_system", F.when(F.col("size").rlike("^[0-9]+$"), "eu_numeric").otherwise("letter"))
-    sizes = rows.groupBy("size_system", F.col("size").alias("size_family")).agg(F.count("*").alias("stockouts"), F.countDistinct("brand").alias("brands")).where((F.col("brands") >= min_brands) & (F.col("stockouts") >= min_events))
+def size_demand_curve(stock: DataFrame, as_of: str, window_days: int = 90, min_brands: int = 3, min_events: int = 20, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """Share of stock-outs by size among all of the size's system (letters, waists or numbers), those of sizes below the floors included.
+
+    Numbers are read by the category where there is one; other systems and sizes in review are left out.
+    """
+    rows = window_of(stock, "event_date", as_of, window_days).where("witnessed and event_type = 'stockout'").where(~F.col("brand").isin(*exclude))
+    category = F.col("category_normalized") if "category_normalized" in stock.columns else F.lit(None).cast("string")
+    rows = rows.select("brand", classify_size(F.col("size"), category).alias("s")).where("s.size_status = 'classified' and s.size_system in ('letter', 'waist_numeric', 'eu_numeric')").select("brand", "s.size_system", "s.size_family")
+    sizes = rows.groupBy("size_system", "size_family").agg(F.count("*").alias("stockouts"), F.countDistinct("brand").alias("brands")).where((F.col("brands") >= min_brands) & (F.col("stockouts") >= min_events))
     total = rows.groupBy("size_system").agg(F.count("*").alias("total"))
-    return sizes.join(total, "size_system").select("size_system", "size_family", "stockouts", "brands", percent(F.col("stockouts"), F.col("total")).alias("demand_share_pct"), _day(as_of))
+    return sizes.join(total, "size_system").select("size_system", "size_family", "stockouts", "brands", percent(F.col("stockouts"), F.col("total"), 1).alias("demand_share_pct"), _day(as_of))
 
 
 def depth_bucket(depth):

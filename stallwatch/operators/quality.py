@@ -23,12 +23,19 @@ def volume_drop(snapshots: DataFrame, as_of: str, days: int = 14, min_days: int
     return rows.withColumn("status", first_match([(ratio < 0.5, "FAIL"), (ratio < 0.75, "WARN")], "OK"))
 
 
-def integrity(snapshots: DataFrame, products: DataFrame, limit: int = 100) -> DataFrame:
-    """Counts that must be zero: one row per check."""
-    orphans = snapshots.join(products.select("product_id"), "product_id", "left_anti").agg(F.lit("orphan_snapshots").alias("check"), F.count("*").alias("n"))
-    prices = snapshots.agg(F.lit("bad_prices").alias("check"), F.count_if(F.col("price").isNull() | (F.col("price") <= 0)).alias("n"))
-    bases = products.agg(F.lit("null_baselines").alias("check"), F.count_if(F.col("first_observed_price").isNull()).alias("n"))
-    rows = orphans.unionByName(prices).unionByName(bases)
+def integrity(snapshots: DataFrame, products: DataFrame, variants: DataFrame, limit: int = 100) -> DataFrame:
+    """Counts that must be zero: one row per check. A variant that is written after it was delisted should have lost the mark."""
+    known = products.select("product_id")
+
+    def orphans(df: DataFrame, check: str) -> DataFrame:
+        return df.join(known, "product_id", "left_anti").agg(F.lit(check).alias("check"), F.count("*").alias("n"))
+
+    def broken(df: DataFrame, **bad: Column) -> DataFrame:
+        return df.agg(*[F.count_if(cond).alias(name) for name, cond in bad.items()]).unpivot([], list(bad), "check", "n")
+
+    rows = orphans(snapshots, "orphan_snapshots").unionByName(orphans(variants, "orphan_variants"))
+    rows = rows.unionByName(broken(snapshots, bad_prices=F.col("price").isNull() | (F.col("price") <= 0)))
+    rows = rows.unionByName(broken(variants, null_baselines=F.col("first_observed_price").isNull() & F.col("delisted_at").isNull(), written_after_delist=F.col("last_updated_at") > F.col("delisted_at")))
     return rows.withColumn("status", first_match([(F.col("n") > limit, "FAIL"), (F.col("n") > 0, "WARN")], "OK"))
 
 
@@ -42,27 +49,55 @@ def event_liveness(events: DataFrame, as_of: str, days: int = 3) -> DataFrame:
     return rows.withColumn("status", F.when(F.col("recent") == 0, "FAIL").otherwise("OK"))
 
 
-def frozen_prices(snapshots: DataFrame, events: DataFrame, min_products: int = 500, min_days: int = 5) -> DataFrame:
-    """Brands whose prices do not move and are not on sale."""
-    own = snapshots.groupBy("brand", "product_id").agg(F.countDistinct("snapshot_date").alias("days"), F.countDistinct("price").alias("prices"), F.max(F.coalesce(F.col("compare_at_price") > 1.01 * F.col("price"), F.lit(False)).cast("int")).alias("sale")).where(F.col("days") >= min_days)
-    rows = own.groupBy("brand").agg(F.count("*").alias("products"), F.count_if(F.col("prices") == 1).alias("still"), F.sum("sale").alias("on_sale")).where(F.col("products") > min_products)
-    moves = events.groupBy("brand").agg(F.countDistinct("product_id").alias("moved"))
-    rows = rows.join(moves, "brand", "left").withColumn("moved", F.coalesce("moved", F.lit(0)))
+def frozen_prices(snapshots: DataFrame, events: DataFrame, as_of: str, min_products: int = 500, min_days: int = 5, alive: int = 10) -> DataFrame:
+    """Brands whose prices stand still for a week and that show no sale either.
+
+    Not frozen: a tenth of the products rose within a month (a sale that ended), or some of them moved at all (quiet, not blind).
+    """
+    sale = F.coalesce(F.col("compare_at_price") > 1.01 * F.col("price"), F.lit(False))
+    own = window_of(snapshots, "snapshot_date", as_of, 8).groupBy("brand", "product_id").agg(F.countDistinct("snapshot_date").alias("days"), F.countDistinct("price").alias("prices")).where(F.col("days") >= min_days)
+    rows = own.groupBy("brand").agg(F.count("*").alias("products"), F.count_if(F.col("prices") == 1).alias("still"), F.max("days").alias("days")).where(F.col("products") > min_products)
+    now = window_of(snapshots, "snapshot_date", as_of, 3).groupBy("brand", "product_id").agg(F.max_by(sale, "snapshot_date").alias("sale")).groupBy("brand").agg(F.count("*").alias("seen"), F.count_if("sale").alias("on_sale"))
+    moves = window_of(events, "event_date", as_of, 30).groupBy("brand").agg(F.countDistinct(F.when(F.col("direction") == "up", F.col("product_id"))).alias("ups"), F.countDistinct("product_id").alias("moved"))
+    counts = ("seen", "on_sale", "ups", "moved")
+    rows = rows.join(now, "brand", "left").join(moves, "brand", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
     n = F.col("products")
-    frozen = (F.col("still") >= 0.95 * n) & (F.col("on_sale") < 0.05 * n) & (F.col("moved") < 0.1 * n)
-    return rows.withColumn("frozen", frozen)
+    quiet = (F.col("ups") >= 0.1 * n) | (F.col("moved") >= alive)
+    return rows.withColumn("frozen", (F.col("still") >= 0.95 * n) & ((F.col("seen") == 0) | (F.col("on_sale") < 0.05 * F.col("seen"))) & ~quiet)
+
 
+def table_health(name: str, df: DataFrame, day: str, as_of: str, metrics: list[str], expected_brands: int | None, runs: DataFrame, stale_at: int = 4) -> DataFrame:
+    """Score and flags of a result table, from one pass over it and the latest run of the signal of its name.
 
-def table_health(df: DataFrame, day: str, as_of: str, expected_brands: int, ran: bool = True) -> DataFrame:
-    """Score of a result table from one pass: freshness, run, nulls, coverage and history."""
-    columns = [c for c in df.columns if c != day]
-    nulls = sum(F.count_if(F.col(c).isNull()).cast("double") for c in columns)
-    row = df.agg(F.count("*").alias("n_rows"), F.max(day).alias("last_day"), F.countDistinct(day).alias("days"), F.countDistinct("brand").alias("brands"), nulls.alias("nulls"))
-    fresh = F.when(F.datediff(F.lit(as_of).cast("date"), "last_day") <= 3, 1.0).otherwise(0.0)
-    filled = 1.0 - F.col("nulls") / F.greatest(F.col("n_rows") * float(len(columns)), F.lit(1.0))
-    cover, past = F.least(F.lit(1.0), F.col("brands") / float(expected_brands)), F.least(F.lit(1.0), F.col("days") / 30.0)
-    score = 100.0 * (0.3 * fresh + (0.2 if ran else 0.0) + 0.2 * filled + 0.15 * cover + 0.15 * past)
-    return row.withColumn("score", round_to(score, 1))
+    ``metrics``: the columns that carry its numbers, less those that are null by design. ``expected_brands``: None for a
+    table of the whole market. A table without rows scores 0; one without a run counts 0.7 for it.
+    """
+    absent = [F.col(m).isNull() for m in metrics]
+    every = absent[0]
+    for a in absent[1:]:
+        every = every & a
+    orphan = F.count_if(F.col(day).isNull()) + (F.lit(0) if expected_brands is None else F.count_if(F.col("brand").isNull()))
+    brands = F.lit(0).cast("long") if expected_brands is None else F.countDistinct("brand")
+    row = df.agg(F.lit(name).alias("table"), F.count("*").alias("n_rows"), F.max(day).alias("last_day"), F.countDistinct(day).alias("days"), brands.alias("brands"), orphan.alias("orphan_rows"), F.count_if(every).alias("empty_rows"), F.array(*[F.count_if(a) for a in absent]).alias("nulls"))
+    last = run_health(runs.where(F.col("signal_id") == name)).select(F.col("signal_id").alias("table"), F.col("status").alias("run_status"), "empty_rerun")
+    row = row.join(last, "table", "left")  # one row each
+    n, worst = F.greatest(F.col("n_rows"), F.lit(1)), F.array_max("nulls")
+    dead = first_match([((F.col("nulls")[i] == worst) & (worst > 0), m) for i, m in enumerate(metrics)])
+    row = row.withColumns({"empty_rate": F.col("empty_rows") / n, "worst_rate": worst / n, "worst_column": dead, "days_old": F.datediff(F.lit(as_of).cast("date"), "last_day"), "share": F.lit(1.0) if expected_brands is None else F.least(F.col("brands") / F.lit(float(expected_brands)), F.lit(1.0))})
+    old, rerun = F.col("days_old"), F.coalesce("empty_rerun", F.lit(False))
+    fresh = first_match([(old.isNull(), 0.5), (old >= stale_at, 0.0), (old >= max(2, stale_at - 2), 0.5)], 1.0)
+    run = F.least(first_match([(F.col("run_status").isNull(), 0.7), (F.col("run_status") == "error", 0.0), (F.col("run_status") == "skipped", 0.4)], 1.0), F.when(rerun, 0.7).otherwise(1.0))
+    whole = F.when(F.col("orphan_rows") > 0, 0.0).otherwise(1.0 - F.least(F.col("empty_rate") / 0.25, F.lit(1.0)))
+    whole = F.when(F.col("worst_rate") >= 0.9, F.least(whole, F.lit(0.8))).otherwise(whole)
+    score = 100.0 * (0.3 * fresh + 0.2 * run + 0.2 * whole + 0.15 * F.col("share") + 0.15 * F.least(F.col("days") / 30.0, F.lit(1.0)))
+    flags = [
+        (F.col("n_rows") == 0, "critical: no rows"), (old >= stale_at, "critical: stale"), ((old < stale_at) & (old >= max(2, stale_at - 2)), "warn: stale"), (F.col("share") < 0.4, "warn: few brands"), (F.col("orphan_rows") > 0, "critical: orphan rows"),
+        (F.col("empty_rate") >= 0.05, "critical: empty rows"), (F.col("worst_rate") >= 0.9, "warn: dead column"), (F.col("run_status") == "error", "critical: run failed"), (F.col("run_status") == "skipped", "warn: run skipped"), (rerun, "warn: a later run wrote nothing"),
+    ]
+    return row.select(
+        "table", "n_rows", "last_day", "days", "brands", "orphan_rows", "empty_rows", "worst_column", round_to(F.col("worst_rate"), 3).alias("worst_rate"), "run_status",
+        F.concat_ws("; ", *[F.when(cond, text) for cond, text in flags]).alias("flags"), F.when(F.col("n_rows") == 0, 0.0).otherwise(round_to(score, 0)).alias("score"),
+    )
 
 
 def run_health(runs: DataFrame) -> DataFrame:
@@ -73,12 +108,23 @@ def run_health(runs: DataFrame) -> DataFrame:
     return rows.select("signal_id", "status", "rows_written", "run_at", ((F.col("rows_written") == 0) & (F.col("most") > 0)).alias("empty_rerun"))
 
 
+def _against_baseline(snapshots: DataFrame, variants: DataFrame) -> DataFrame:
+    first = snapshots.where("price > 0").groupBy("product_id").agg(F.min_by("price", F.struct("snapshot_date", "recorded_at")).alias("earliest"), F.min("snapshot_date").alias("first_day"))
+    base = variants.where("first_observed_price > 0").groupBy("product_id").agg(F.min("first_observed_price").alias("base"))
+    return first.join(base, "product_id")
+
+
 def baseline_immutability(snapshots: DataFrame, variants: DataFrame) -> DataFrame:
     """The earliest price of each product against its stored baseline."""
-    first = snapshots.groupBy("product_id").agg(F.min_by("price", F.struct("snapshot_date", "recorded_at")).alias("earliest"))
-    base = variants.where("first_observed_price > 0").groupBy("product_id").agg(F.min("first_observed_price").alias("base"))
-    gap = F.col("earliest") - F.col("base")
-    return first.join(base, "product_id").agg(F.count("*").alias("products"), F.count_if(F.abs(gap) < 0.01).alias("match"), F.count_if(gap <= -0.01).alias("base_higher"), F.count_if(gap >= 0.01).alias("base_lower")).withColumn("match_pct", percent(F.col("match"), F.col("products")))
+    base, seen = F.col("base"), F.col("earliest")
+    row = _against_baseline(snapshots, variants).agg(F.count("*").alias("products"), F.count_if(F.abs(base - seen) < 0.01).alias("match"), F.count_if(base > seen + 0.01).alias("base_higher"), F.count_if(base < seen - 0.01).alias("base_lower"))
+    return row.withColumn("match_pct", percent(F.col("match"), F.col("products")))
+
+
+def baseline_mismatches(snapshots: DataFrame, variants: DataFrame, top: int = 10) -> DataFrame:
+    """The products whose baseline is farthest from their earliest price."""
+    gap = F.abs(F.col("base") - F.col("earliest"))
+    return _against_baseline(snapshots, variants).where(gap >= 0.01).orderBy(F.desc(gap), "product_id").limit(top)
 
 
 def empty_run_guard(crawls: DataFrame) -> DataFrame:

@@ -24,10 +24,12 @@ def weekly_product_summary(snapshots: DataFrame, events: DataFrame, stock: DataF
     return rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts}).withColumns({"iso_week": F.weekofyear("week_start"), "iso_year": F.year(F.date_add("week_start", 3))})
 
 
-def weekly_variant_exception(stock: DataFrame) -> DataFrame:
-    """Variant weeks with transitions."""
-    rows = stock.where("witnessed").groupBy("variant_id", "product_id", _week("recorded_at").alias("week_start")).agg(F.count_if(F.col("event_type") == "stockout").alias("stockout_count"), F.count_if(F.col("event_type") == "restock").alias("restock_count"), F.min("price_at_event").alias("price_min"), F.max("price_at_event").alias("price_max"))
-    return rows.withColumn("price_diverged", F.col("price_max") - F.col("price_min") > 0.01)
+def weekly_variant_exception(stock: DataFrame, observed: DataFrame) -> DataFrame:
+    """Variant weeks with transitions, or whose prices differ within the week. ``observed``: every price seen of a variant."""
+    rows = stock.where("witnessed").select("variant_id", "product_id", "recorded_at", F.col("price_at_event").alias("price"), "event_type")
+    rows = rows.unionByName(observed.select("variant_id", "product_id", "recorded_at", "price", F.lit(None).cast("string").alias("event_type")))
+    weeks = rows.groupBy("variant_id", "product_id", _week("recorded_at").alias("week_start")).agg(F.count_if(F.col("event_type") == "stockout").alias("stockout_count"), F.count_if(F.col("event_type") == "restock").alias("restock_count"), F.min("price").alias("price_min"), F.max("price").alias("price_max"))
+    return weeks.withColumn("price_diverged", F.col("price_max") - F.col("price_min") > 0.01).where("stockout_count > 0 or restock_count > 0 or price_diverged")
 
 
 def weekly_bestseller_summary(ranks: DataFrame) -> DataFrame:

@@ -217,6 +217,12 @@ def flash_events(events: DataFrame, horizon: str = "24 hours") -> DataFrame:
     return rows.where((F.col("direction") == "down") & (F.col("next_up") < micros + hours * 3_600_000_000)).drop("next_up")
 
 
+def flag_flash_sales(events: DataFrame, now: str, lookback_hours: int = 48, horizon: str = "24 hours") -> DataFrame:
+    """Cuts of the last hours, not flagged yet, that are flash sales. What makes one so comes after it, so older events are not read."""
+    recent = F.col("recorded_at") > F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {lookback_hours} HOURS")
+    return flash_events(events.where(recent), horizon).where(~F.col("is_flash_sale"))
+
+
 def intraday_flash_sale(events: DataFrame, as_of: str, window_days: int = 90, horizon: str = "24 hours") -> DataFrame:
     rows = window_of(flash_events(events, horizon), "event_date", as_of, window_days)
     return rows.groupBy(*WHO, F.col("event_date").alias("snapshot_date")).agg(F.count("*").alias("flash_events"), F.max("discount_pct").alias("deepest_pct"), F.min("recorded_at").alias("first_at"), F.max("recorded_at").alias("last_at"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallwatch.functions import rule_tables as R
-from stallwatch.functions.columns import first_match, percent
+from stallwatch.functions.columns import bound, first_match, percent
 
 
 def _contains(text: Column, words: list[str]) -> Column:
@@ -17,8 +17,7 @@ def _contains(text: Column, words: list[str]) -> Column:
 
 
 def normalize_category(text: Column, default: str | None = "uncategorized") -> Column:
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return first_match([(_contains(low, words), name) for name, words in R.CATEGORIES.items()], default)
+    return bound(F.lower(F.coalesce(text, F.lit(""))), lambda low: first_match([(_contains(low, words), name) for name, words in R.CATEGORIES.items()], default))
 
 
 def breadcrumb_category(level2: Column, level3: Column, level4: Column) -> Column:
@@ -26,20 +25,28 @@ def breadcrumb_category(level2: Column, level3: Column, level4: Column) -> Colum
     return F.coalesce(*[normalize_category(x, None) for x in (level3, level4, level2)], F.lit("uncategorized"))
 
 
-def normalize_gender(text: Column) -> Column:
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return first_match([(_contains(low, words), name) for name, words in R.GENDERS.items()], "unisex")
+def normalize_gender(text: Column, brand: Column | None = None, women_only: tuple[str, ...] = ()) -> Column:
+    """The gender that words of the text name, else unisex; brands that sell to women only are women's whatever the text says."""
+    read = bound(F.lower(F.coalesce(text, F.lit(""))), lambda low: first_match([(_contains(low, words), name) for name, words in R.GENDERS.items()], "unisex"))
+    return read if brand is None else F.when(brand.isin(*women_only), "women").otherwise(read)
+
+
+def breadcrumb_gender(level1: Column, fallback: Column) -> Column:
+    """The gender of the first level, else the fallback."""
+    return F.coalesce(_lookup(F.trim(F.lower(level1)), R.BREADCRUMB_GENDERS), fallback)
 
 
 def rescue_category(category: Column, name: Column, raw: Column) -> Column:
     """A category for products without one, from words in the name or the raw category."""
-    both = F.lower(F.concat_ws("\n", name, raw))
-    return F.when(category == "uncategorized", first_match([(both.contains(w), c) for w, c in R.RESCUES.items()], "uncategorized")).otherwise(category)
+    found = bound(F.lower(F.concat_ws("\n", name, raw)), lambda both: first_match([(both.contains(w), c) for w, c in R.RESCUES.items()], "uncategorized"))
+    return F.when(category == "uncategorized", found).otherwise(category)
 
 
-def subcategory(category: Column, title: Column) -> Column:
+def subcategory(category: Column, title: Column, known: Column | None = None) -> Column:
+    """The subcategory of the first rule of the category that the title meets; one that is known stays."""
     rules = sorted(enumerate(R.SUBCATEGORIES), key=lambda x: (x[1][3], x[0]))
-    return first_match([((category == c) & title.rlike(f"(?i){p}"), label) for _, (c, p, label, _) in rules])
+    found = first_match([((category == c) & title.rlike(f"(?i){p}"), label) for _, (c, p, label, _) in rules])
+    return found if known is None else F.coalesce(known, found)
 
 
 def subcategory_progress(products: DataFrame) -> DataFrame:
@@ -82,13 +89,17 @@ def apply_sizes(variants: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def canonical_color(raw: Column) -> Column:
-    low = F.lower(F.trim(F.coalesce(raw, F.lit(""))))
-    return F.when(low == "", "other").otherwise(first_match([(low.contains(w), c) for w, c in R.COLORS], "other"))
+    return bound(F.lower(F.trim(F.coalesce(raw, F.lit("")))), lambda low: first_match([(low.contains(w), c) for w, c in R.COLORS], "other"))
+
+
+def cell_color(df: DataFrame) -> Column:
+    """The colour that boards group by: the family where it is known, else the canonical colour of the raw name."""
+    named = canonical_color(F.col("color"))
+    return F.coalesce("color_family", named) if "color_family" in df.columns else named
 
 
 def color_family(raw: Column) -> Column:
-    low = F.lower(F.trim(raw))
-    return first_match([(low.contains(w), family) for w, family in R.COLOR_FAMILIES])
+    return bound(F.lower(F.trim(raw)), lambda low: first_match([(low.contains(w), family) for w, family in R.COLOR_FAMILIES]))
 
 
 def seed_colors(variants: DataFrame, known: DataFrame) -> DataFrame:
@@ -117,7 +128,7 @@ def translate_color(raw: Column, language: str) -> Column:
 
 def longest_phrase(text: Column, phrases: dict[str, list[str]] | list[tuple[str, str]]) -> Column:
     """The label of the longest phrase found anywhere: an ordered chain, as one alternation would take the leftmost."""
-    return first_match([(text.contains(p), label) for p, label in by_length(phrases)])
+    return bound(text, lambda t: first_match([(t.contains(p), label) for p, label in by_length(phrases)]))
 
 
 def by_length(phrases: dict[str, list[str]] | list[tuple[str, str]]) -> list[tuple[str, str]]:

@@ -33,16 +33,32 @@ def _clear(s: Shop) -> DataFrame:
     return M.clear_rate_by_depth(s.snapshots, s.stock_events, AS_OF, horizon=7, min_products=3)
 
 
+def _colored(df: DataFrame) -> DataFrame:
+    """Raw colours as shops write them, one per product; every fourth product has a family already."""
+    raw = F.array(*map(F.lit, ("Navy blue", " Off White", "burgundy", "Khaki", "اسود", "zq 7", "")))
+    return df.withColumns({"color": F.element_at(raw, (F.col("product_id") % 7 + 1).cast("int")), "color_family": F.when(F.col("product_id") % 4 == 0, "metallic")})
+
+
+def _tagged(df: DataFrame) -> DataFrame:
+    """Some products without a subcategory: most of one category, few of the others."""
+    gone = F.when(F.col("category_normalized") == "promo", F.col("product_id") % 4 > 0).otherwise(F.col("product_id") % 7 == 0)
+    return df.withColumn("subcategory", F.when(F.col("product_id") % 11 == 0, "").when(~gone, F.col("subcategory")))
+
+
+def _ranked_cells(s: Shop) -> DataFrame:
+    return _weekly(s).join(_tagged(s.catalogue).select("product_id", "subcategory"), "product_id")
+
+
 CAT = ["category_normalized"]
 QUERIES = {
-    "i01_demand_grid": lambda s: B.demand_grid(s.stock_events, ["category_normalized", "subcategory", "color"], 5, ("Brand#11",)),
+    "i01_demand_grid": lambda s: B.demand_grid(_colored(s.stock_events), ["category_normalized", "subcategory", "color"], 5, ("Brand#11",)),
     "i02_market_undersupply": lambda s: B.market_undersupply(s.stock_events, PRODUCTS["p02_production_blueprint"](Signals(s))),
-    "i03_color_price": lambda s: B.color_price(s.snapshots, 5),
+    "i03_color_price": lambda s: B.color_price(s.snapshots, _colored(s.catalogue), 5),
     "i04_demand_trend": lambda s: B.demand_trend(s.stock_events, CAT),
     "i05_bestsellers": lambda s: B.bestseller_cells(_weekly(s), CAT, rank_max=3),
-    "i06_order_verdicts": lambda s: B.order_verdicts(s.stock_events, _weekly(s), CAT),
+    "i06_order_verdicts": lambda s: B.order_verdicts(_tagged(s.stock_events), _ranked_cells(s), 10),
     "i07_discount_verdicts": lambda s: B.discount_verdicts(_clear(s), PRODUCTS["p12_liquidation_calendar"](Signals(s)), min_products=5),
-    "i08_confidence": lambda s: s.stock_events.where("witnessed").groupBy("category_normalized", "gender").agg(F.countDistinct("brand").alias("brands"), F.countDistinct("event_date").alias("days"), F.count("*").alias("events")).select("*", B.confidence(F.col("brands"), F.col("days"), F.col("events")).alias("confidence"), B.cell_tier(F.col("brands")).alias("tier"), B.ci95(F.col("days") / F.lit(31.0), F.lit(31)).alias("ci")),
+    "i08_confidence": lambda s: s.stock_events.where("witnessed").groupBy("category_normalized", "gender").agg(F.countDistinct("brand").alias("brands"), F.countDistinct("event_date").alias("days"), F.count("*").alias("events")).select("*", B.confidence(F.col("brands"), F.col("days"), F.col("events")).alias("confidence"), B.cell_tier(F.col("events")).alias("tier"), B.pct_reliable(F.col("events")).alias("reliable"), B.ci95(F.col("days") / F.lit(31.0), F.lit(31)).alias("ci")),
     "i10_stale_brands": lambda s: B.stale_brands(s.stock_events.where("event_type = 'restock'"), "event_date", 0),
     "i11_price_ladder": lambda s: B.price_ladder(s.snapshots, 10),
     "i12_reorder_chase": lambda s: B.reorder_chase(S.variant_stockout(s.stock_events, AS_OF), S.variant_restock(s.stock_events, AS_OF)),
@@ -67,7 +83,7 @@ QUERIES = {
     "i43_stock_board": lambda s: B.stock_board(B.sellthrough_by_depth(B.latest_price(s.snapshots, AS_OF), s.stock_events, AS_OF, min_products=2)),
     "i46_live_deals": lambda s: B.live_deals(s.price_events),
     "h01_weekly_product_summary": lambda s: R.weekly_product_summary(s.snapshots, s.price_events, s.stock_events),
-    "h02_weekly_variant_exception": lambda s: R.weekly_variant_exception(s.stock_events),
+    "h02_weekly_variant_exception": lambda s: R.weekly_variant_exception(s.stock_events, s.observations.select(F.col("product_id").alias("variant_id"), "product_id", "recorded_at", "price").join(s.catalogue.select("product_id"), "product_id", "left_semi")),
     "h03_weekly_bestseller_summary": _weekly,
     "h05_purge_rolled_up": lambda s: R.purge_rolled_up(_ranks(s), _weekly(s).where("week_start <> DATE'2024-01-01'"), AS_OF),
 }
@@ -77,9 +93,12 @@ _WEEKLY = f"""SELECT * EXCLUDE prev, CASE WHEN date_diff('day', prev.w, week_sta
     SELECT product_id, brand, category_normalized, CAST(date_trunc('week', snapshot_date) AS DATE) AS week_start, min(rank) AS rank_best, max(rank) AS rank_worst, {r('sum(rank)::DOUBLE / count(*)', 1)} AS rank_avg, arg_max(rank, snapshot_date) AS rank_close, count(*) AS sample_days FROM ranks GROUP BY 1, 2, 3, 4))"""
 _TREND = """SELECT category_normalized, weeks, total, late, early, ratio, CASE WHEN ratio >= 1.15::DOUBLE THEN 'warming' WHEN ratio <= 0.85::DOUBLE THEN 'cooling' ELSE 'steady' END AS trend FROM (SELECT *, """ + r("late / greatest(early, 1)::DOUBLE") + """ AS ratio FROM (
     SELECT category_normalized, count(*) AS weeks, CAST(sum(n) AS BIGINT) AS total, CAST(sum(CASE WHEN k <= m // 2 THEN n ELSE 0 END) AS BIGINT) AS late, CAST(sum(CASE WHEN k > m - m // 2 THEN n ELSE 0 END) AS BIGINT) AS early FROM (SELECT *, count(*) OVER (PARTITION BY category_normalized) AS m FROM (SELECT *, row_number() OVER (PARTITION BY category_normalized ORDER BY week DESC) AS k FROM (
-    SELECT category_normalized, date_trunc('week', recorded_at) AS week, count(*) AS n FROM stock_events WHERE witnessed AND event_type = 'stockout' GROUP BY 1, 2)) WHERE k <= 8) GROUP BY 1) WHERE weeks >= 3 AND total >= 20)"""
-_GRID = "SELECT {0}, count(DISTINCT brand) AS brands, count(DISTINCT product_id) AS products, count(*) AS events, CASE WHEN count(DISTINCT brand) >= 10 THEN 'strong' WHEN count(DISTINCT brand) >= 5 THEN 'medium' ELSE 'thin' END AS tier FROM stock_events WHERE witnessed AND event_type = 'stockout' {1} GROUP BY {0} HAVING count(*) >= {2}"
-_BEST = "SELECT category_normalized, count(DISTINCT product_id) AS bestsellers FROM weekly WHERE week_start = (SELECT max(week_start) FROM weekly) AND rank_best <= {} GROUP BY 1"
+    SELECT category_normalized, date_trunc('week', recorded_at) AS week, count(*) AS n FROM stock_events WHERE witnessed AND event_type = 'stockout' GROUP BY ALL)) WHERE k <= 8) GROUP BY ALL) WHERE weeks >= 3 AND total >= 20)"""
+_GRID = "SELECT {0}, count(DISTINCT brand) AS brands, count(DISTINCT product_id) AS products, count(*) AS events, CASE WHEN count(*) >= 10 THEN 'confirmed' WHEN count(*) >= 5 THEN 'directional' ELSE 'maturing' END AS confidence FROM stock_events WHERE witnessed AND event_type = 'stockout' {1} GROUP BY {0} HAVING count(*) >= {2}"
+_CELL = "category_normalized, subcategory"
+_BEST = "SELECT category_normalized, count(DISTINCT product_id) AS bestsellers FROM weekly WHERE week_start = (SELECT max(week_start) FROM weekly) AND rank_best <= {} GROUP BY ALL"
+_COLORED = "SELECT * REPLACE (CASE WHEN product_id % 4 = 0 THEN 'metallic' ELSE ['navy', 'white', 'red', 'olive', 'black', 'other', 'other'][product_id % 7 + 1] END AS color) FROM stock_events"
+_TAG = "CASE WHEN product_id % 11 = 0 THEN '' WHEN category_normalized = 'promo' AND product_id % 4 > 0 OR category_normalized <> 'promo' AND product_id % 7 = 0 THEN NULL ELSE subcategory END"
 _PRICE = f"SELECT product_id, brand, category_normalized, subcategory, first_observed_price, arg_max(price, snapshot_date) AS price FROM snapshots WHERE {_in('snapshot_date', 8)} GROUP BY 1, 2, 3, 4, 5"
 _GONE = f"SELECT DISTINCT product_id, 1 AS hit FROM stock_events WHERE witnessed AND event_type = 'stockout' AND {_in('event_date', 21)}"
 _DEPTH = "CASE WHEN first_observed_price > price THEN 100::DOUBLE * (first_observed_price - price) / first_observed_price ELSE 0 END"
@@ -92,17 +111,21 @@ def _ratio(col: str, top: int) -> str:
 
 
 SQL = {
-    "i01_demand_grid": twin(_GRID.format("category_normalized, subcategory, color", "AND brand <> 'Brand#11'", 5)),
+    "i01_demand_grid": twin(_GRID.format("category_normalized, subcategory, color", "AND brand <> 'Brand#11'", 5).replace("stock_events", "colored"), colored=_COLORED),
     "i02_market_undersupply": twin(f"SELECT g.*, coalesce(c, 0) AS increase_calls FROM ({_GRID.format('category_normalized, size', '', 5)}) g LEFT JOIN (SELECT category_normalized, stocked_out_size AS size, count(*) FILTER (production_signal LIKE 'increase production%') AS c FROM ({PRODUCT['p02_production_blueprint']}) GROUP BY 1, 2) USING (category_normalized, size)"),
-    "i03_color_price": twin(f"SELECT split_part(product_name, ' ', 1) AS color, count(*) AS n, {r('quantile_cont(price, 0.5)')} AS median_price FROM snapshots WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshots) AND price > 0 GROUP BY 1 HAVING count(*) >= 5"),
+    "i03_color_price": twin(f"""SELECT category_normalized, color, count(*) AS n, {r('quantile_cont(price, 0.5)')} AS median_price FROM (SELECT category_normalized, price, CASE WHEN product_id % 4 = 0 THEN 'metallic' ELSE ['navy', 'white', 'red', 'olive', 'black', NULL, NULL][product_id % 7 + 1] END AS color
+        FROM snapshots WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshots) AND price > 0 AND product_id % 7 <> 6) WHERE color IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 5"""),
     "i04_demand_trend": twin(_TREND),
     "i05_bestsellers": twin(_BEST.format(3), ranks=_RANKS, weekly=_WEEKLY),
-    "i06_order_verdicts": twin(f"""SELECT category_normalized, brands, products, events, tier, CASE WHEN sure AND t <> 'cooling' THEN 'STRONG BUY' WHEN sure OR t = 'warming' THEN 'BUY' ELSE 'WATCH' END AS verdict,
-        {r("events * CASE WHEN sure THEN 1.6::DOUBLE ELSE 1 END * CASE t WHEN 'warming' THEN 1.25::DOUBLE WHEN 'cooling' THEN 0.7::DOUBLE ELSE 1 END", 1)} AS score, concat_ws(',', CASE WHEN sure THEN 'proven' END, CASE WHEN t <> 'steady' THEN t END, CASE WHEN tier = 'strong' THEN 'broad' END) AS why
-        FROM (SELECT g.*, coalesce(bestsellers, 0) >= 3 AS sure, coalesce(trend, 'steady') AS t FROM ({_GRID.format('category_normalized', '', 30)}) g LEFT JOIN ({_BEST.format(30)}) USING (category_normalized) LEFT JOIN ({_TREND}) USING (category_normalized))""", ranks=_RANKS, weekly=_WEEKLY),
+    "i06_order_verdicts": twin(f"""SELECT category_normalized, subcategory, brands, products, events, confidence, coverage, CASE WHEN sure AND t <> 'cooling' THEN 'STRONG BUY' WHEN sure OR t = 'warming' THEN 'BUY' ELSE 'WATCH' END AS verdict,
+        {r("events * CASE WHEN sure THEN 1.6::DOUBLE ELSE 1 END * CASE t WHEN 'warming' THEN 1.25::DOUBLE WHEN 'cooling' THEN 0.7::DOUBLE ELSE 1 END", 1)} AS score, concat_ws(',', 'under-supplied', CASE WHEN sure THEN 'proven seller (' || b || ')' END, CASE t WHEN 'steady' THEN 'steady demand' ELSE t END) AS why
+        FROM (SELECT g.*, coverage, coalesce(bestsellers, 0) AS b, coalesce(bestsellers, 0) >= 3 AS sure, coalesce(trend, 'steady') AS t FROM ({_GRID.format(_CELL, '', 10).replace('stock_events', 'tagged')}) g
+            JOIN (SELECT category_normalized, count(*) FILTER (subcategory <> '') / count(*)::DOUBLE AS coverage FROM tagged WHERE witnessed AND event_type = 'stockout' GROUP BY 1) USING (category_normalized)
+            LEFT JOIN ({_BEST.format(30).replace('category_normalized', _CELL).replace('FROM weekly WHERE week', 'FROM ranked WHERE week')}) USING ({_CELL}) LEFT JOIN ({_TREND.replace('category_normalized', _CELL).replace('stock_events', 'tagged')}) USING ({_CELL}) WHERE coverage >= 0.5::DOUBLE AND subcategory <> '')""",
+        ranks=_RANKS, weekly=_WEEKLY, tagged=f"SELECT * REPLACE ({_TAG} AS subcategory) FROM stock_events", ranked=f"SELECT w.*, {_TAG} AS subcategory FROM weekly w JOIN (SELECT product_id, subcategory FROM catalogue) USING (product_id)"),
     "i07_discount_verdicts": f"""SELECT category_normalized, products, cleared, clear_pct, coalesce(x, 0) AS distress, CASE WHEN coalesce(x, 0) > 0 AND clear_pct >= 15 THEN 'ACTIVE CLEARANCE' WHEN coalesce(x, 0) > 0 THEN 'STICKY DISTRESS' WHEN clear_pct >= 15 THEN 'HEALTHY MARKDOWN' ELSE 'FIRM' END AS verdict FROM (
         SELECT category_normalized, CAST(sum(products) AS BIGINT) AS products, CAST(sum(cleared) AS BIGINT) AS cleared, {pct('sum(cleared)', 'sum(products)', 1)} AS clear_pct FROM ({MARKET['l2_clear_rate_by_depth']}) GROUP BY 1 HAVING sum(products) >= 5) LEFT JOIN (SELECT category_normalized, max(CASE distress_level WHEN 'urgent' THEN 2 WHEN 'watch' THEN 1 ELSE 0 END) AS x FROM ({PRODUCT['p12_liquidation_calendar']}) GROUP BY 1) USING (category_normalized)""",
-    "i08_confidence": twin(f"""SELECT *, CASE WHEN brands >= 10 AND days >= 21 OR events >= 500 THEN 'confirmed' WHEN brands >= 5 AND days >= 7 OR events >= 100 THEN 'directional' ELSE 'maturing' END AS confidence, CASE WHEN brands >= 10 THEN 'strong' WHEN brands >= 5 THEN 'medium' ELSE 'thin' END AS tier,
+    "i08_confidence": twin(f"""SELECT *, CASE WHEN brands >= 10 AND days >= 21 OR events >= 500 THEN 'confirmed' WHEN brands >= 5 AND days >= 7 OR events >= 100 THEN 'directional' ELSE 'maturing' END AS confidence, CASE WHEN events >= 10 THEN 'confirmed' WHEN events >= 5 THEN 'directional' ELSE 'maturing' END AS tier, events >= 5 AS reliable,
         {r('196::DOUBLE * sqrt(greatest(0.5::DOUBLE / 31, least(1 - 0.5::DOUBLE / 31, days / 31::DOUBLE)) * (1 - greatest(0.5::DOUBLE / 31, least(1 - 0.5::DOUBLE / 31, days / 31::DOUBLE))) / 31)', 1)} AS ci FROM (SELECT category_normalized, gender, count(DISTINCT brand) AS brands, count(DISTINCT event_date) AS days, count(*) AS events FROM stock_events WHERE witnessed GROUP BY 1, 2)"""),
     "i10_stale_brands": twin("SELECT brand, last_day, CAST(market_day - last_day AS INTEGER) AS days_behind FROM (SELECT brand, max(event_date) AS last_day, max(max(event_date)) OVER () AS market_day FROM stock_events WHERE event_type = 'restock' GROUP BY 1) WHERE market_day - last_day > 0"),
     "i11_price_ladder": twin(f"SELECT *, {r('p75 - p25')} AS spread FROM (SELECT category_normalized, count(*) AS n, {r('quantile_cont(price, 0.25)')} AS p25, {r('quantile_cont(price, 0.5)')} AS median, {r('quantile_cont(price, 0.75)')} AS p75 FROM snapshots WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshots) AND price > 0 GROUP BY 1 HAVING count(*) >= 10)"),
@@ -137,7 +160,8 @@ SQL = {
         SELECT product_id, brand, category_normalized, gender, first_observed_price, CAST(date_trunc('week', snapshot_date) AS DATE) AS week_start, {r('quantile_cont(price, 0.5)')} AS price_median, min(price) AS price_min, max(price) AS price_max, arg_min(price, snapshot_date) AS price_open, arg_max(price, snapshot_date) AS price_close, count(*) AS sample_days FROM snapshots GROUP BY 1, 2, 3, 4, 5, 6) p
         LEFT JOIN (SELECT product_id, CAST(date_trunc('week', recorded_at) AS DATE) AS week_start, count(*) AS discount_event_count, max(discount_pct) AS max_discount_pct, count(DISTINCT event_date) AS days_on_discount FROM price_events WHERE direction = 'down' AND discount_pct > 0 GROUP BY 1, 2) USING (product_id, week_start)
         LEFT JOIN (SELECT product_id, CAST(date_trunc('week', recorded_at) AS DATE) AS week_start, count(*) FILTER (event_type = 'stockout') AS stockout_count, count(*) FILTER (event_type = 'restock') AS restock_count FROM stock_events WHERE witnessed GROUP BY 1, 2) USING (product_id, week_start)"""),
-    "h02_weekly_variant_exception": twin("SELECT *, price_max - price_min > 0.01::DOUBLE AS price_diverged FROM (SELECT variant_id, product_id, CAST(date_trunc('week', recorded_at) AS DATE) AS week_start, count(*) FILTER (event_type = 'stockout') AS stockout_count, count(*) FILTER (event_type = 'restock') AS restock_count, min(price_at_event) AS price_min, max(price_at_event) AS price_max FROM stock_events WHERE witnessed GROUP BY 1, 2, 3)"),
+    "h02_weekly_variant_exception": twin("""SELECT *, price_max - price_min > 0.01::DOUBLE AS price_diverged FROM (SELECT product_id AS variant_id, product_id, CAST(date_trunc('week', recorded_at) AS DATE) AS week_start, count(*) FILTER (kind = 'error') AS stockout_count, count(*) FILTER (kind = 'signup') AS restock_count, min(price) AS price_min, max(price) AS price_max
+        FROM (SELECT *, event_type AS kind FROM observations SEMI JOIN catalogue USING (product_id)) GROUP BY 1, 2, 3) WHERE stockout_count > 0 OR restock_count > 0 OR price_max - price_min > 0.01::DOUBLE"""),
     "h03_weekly_bestseller_summary": twin(_WEEKLY, ranks=_RANKS),
     "h05_purge_rolled_up": twin(f"SELECT * FROM ranks WHERE NOT (snapshot_date < {D} - 21 AND date_trunc('week', snapshot_date) <> DATE '2024-01-01')", ranks=_RANKS),
 }

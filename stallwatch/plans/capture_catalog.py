@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stallwatch.operators import capture as C
 from stallwatch.operators import lake as L
-from stallwatch.operators.signals import flash_events
+from stallwatch.operators.signals import flag_flash_sales
 from stallwatch.plans.base_sql import AS_OF as D
 from stallwatch.plans.base_sql import pct, r, twin
 from stallwatch.sources.shop import AS_OF, DELIST_AS_OF, Shop
@@ -20,6 +20,46 @@ def _tiers(shop: Shop):
     return hot, cold
 
 
+def _event_tiers(shop: Shop, events):
+    """The same tiers of an event frame."""
+    day, end = F.col("event_date"), F.lit(AS_OF).cast("date")
+    return events.where(day > F.date_sub(end, 9)), events.where(day <= F.date_sub(end, 7))
+
+
+def _stock_tiers(shop: Shop):
+    """Archived rows of the first days do not say whether they were witnessed."""
+    hot, cold = _event_tiers(shop, shop.stock_events)
+    return hot, cold.withColumn("witnessed", F.when(F.col("event_date") >= "2024-01-10", F.col("witnessed")))
+
+
+def _price_tiers(shop: Shop):
+    hot, cold = _event_tiers(shop, shop.price_events)
+    return hot, cold.withColumn("price_after", F.col("price_after") + 1)
+
+
+def _held(shop: Shop):
+    return shop.spark.createDataFrame([("Brand#11", "2024-01-26"), ("Brand#12", "2024-01-20")], "brand string, until string").withColumn("until", F.to_date("until"))
+
+
+def _hot_parts(shop: Shop):
+    """Snapshots of the last days with prices as decimals; products and variants of which some are unknown."""
+    rows = shop.snapshots.where(F.col("snapshot_date") > F.date_sub(F.lit(AS_OF).cast("date"), 9)).select("product_id", F.col("product_id").alias("variant_id"), "brand", "snapshot_date", *[F.col(c).cast("decimal(12,2)").alias(c) for c in ("price", "compare_at_price")])
+    variants = shop.catalogue.where("p_size > 10").select(F.col("product_id").alias("variant_id"), F.lit("M").alias("size"), F.split("product_name", " ")[0].alias("color"))
+    return rows, shop.catalogue.where("p_size > 5"), variants, _held(shop)
+
+
+def _seam(shop: Shop):
+    """Both tiers as they lie, with two days in each, and stitched."""
+    hot, cold = _tiers(shop)
+    both = {"as they lie": L.union_all([hot, cold]), "stitched": L.stitch(hot, cold, "event_id")}
+    return L.union_all([L.seam_check(df.withColumn("discount_pct", F.when(F.col("price") < 0, 0.0)), "event_id", ("discount_pct",)).withColumn("tiers", F.lit(name)) for name, df in both.items()])
+
+
+def _departments(shop: Shop):
+    products = shop.catalogue.withColumn("department", F.when(F.col("p_size") % 2 == 0, F.col("department")))
+    return products, shop.spark.createDataFrame([("standard", "basics"), ("promo", "offers")], "category_normalized string, department string")
+
+
 def _flags(shop: Shop):
     return shop.observations.where("event_type in ('error', 'signup')").join(shop.first_prices.select("product_id", "first_observed_price"), "product_id").select("event_id", F.col("product_id").alias("variant_id"), "product_id", "price", "first_observed_price", "recorded_at", (F.col("event_type") == "signup").alias("is_in_stock"))
 
@@ -51,7 +91,10 @@ QUERIES = {
     "b02_discounts": lambda s: s.snapshots.select("product_id", "snapshot_date", "honest_discount_pct", "brand_claimed_discount_pct"),
     "b04_quarantine": lambda s: L.quarantine(s.snapshots, s.catalogue.where("p_size > 40").select("brand", F.lit("2024-01-12").cast("date").alias("until")), "snapshot_date").groupBy("brand").agg(F.count("*").alias("n_rows")),
     "b05_variant_baselines": lambda s: L.variant_baselines(_variants(s)[0], s.shelf.withColumn("is_active", F.col("last_seen") >= F.lit("2001-06-01").cast("date")), ("Brand#11",)).select("variant_id", "product_id", "brand", "first_observed_price", "size_level_reliable"),
-    "b06_stock_history": lambda s: s.stock_events.where("witnessed is null or witnessed").select("event_id", "variant_id", "event_type", "witnessed", "was_on_discount"),
+    "a02_hot_snapshots": lambda s: L.hot_snapshots(*_hot_parts(s)),
+    "b06_stock_history": lambda s: L.stock_history(*_stock_tiers(s), AS_OF).select("event_id", "variant_id", "event_type", "witnessed", "was_on_discount"),
+    "b07_price_event_history": lambda s: L.price_event_history(*_price_tiers(s), _held(s), AS_OF).select("event_id", "product_id", "brand", "price_after", "event_date"),
+    "b10_seam_check": _seam,
     "b09_price_history": lambda s: L.price_history(s.snapshots, AS_OF, 20),
     "b10_coverage": lambda s: L.coverage(s.snapshots, "2023-12-28", AS_OF),
     "a07_archive_summary": lambda s: L.archive_summary(s.snapshots),
@@ -61,14 +104,15 @@ QUERIES = {
     "c04_last_prices": lambda s: C.last_prices(s.snapshots, AS_OF),
     "c05_price_events": lambda s: s.price_events.select("event_id", "product_id", "price_before", "price_after", "direction", "discount_pct"),
     "c06_stock_transitions": lambda s: C.stock_transitions(_flags(s)),
-    "c07_needs_write": lambda s: C.needs_write(*_variants(s)).groupBy("needs_write").agg(F.count("*").alias("variants")),
+    "c07_needs_write": lambda s: C.needs_write(*_variants(s)).select("variant_id", "needs_write"),
     "c08_seed_first_prices": lambda s: C.seed_first_prices(s.snapshots, s.first_prices.where("product_id % 2 = 0").select("product_id", "first_observed_price")),
     "c09_delist_stale": lambda s: C.delist_stale(s.shelf.withColumn("is_active", F.col("product_id") % 7 != 0), DELIST_AS_OF).drop("witnessed"),
     "c10_reclassify_witnessed": lambda s: C.reclassify_witnessed(s.stock_events, AS_OF),
-    "c11_fill_department": lambda s: C.fill_department(s.catalogue.withColumn("department", F.when(F.col("p_size") % 2 == 0, F.col("department"))), s.spark.createDataFrame([("standard", "basics"), ("promo", "offers")], "category_normalized string, department string")).groupBy("category_normalized", "department").agg(F.count("*").alias("products")),
+    "c11_fill_department": lambda s: C.fill_department(*_departments(s)).select("product_id", "category_normalized", "department"),
+    "c11_fill_report": lambda s: C.fill_report(*_departments(s)),
     "c12_match_alerts": _alerts,
-    "c18_flash_sales": lambda s: flash_events(s.price_events).select("event_id", "product_id"),
-    "c19_statistical_deals": lambda s: C.statistical_deals(s.price_events, s.snapshots, AS_OF, recent=30),
+    "c18_flash_sales": lambda s: flag_flash_sales(s.price_events.withColumn("is_flash_sale", F.col("event_id") % 7 == 0), AS_OF).select("event_id", "product_id"),
+    "c19_statistical_deals": lambda s: C.statistical_deals(s.price_events.withColumn("is_statistical_deal", F.col("event_id") % 9 == 0), s.snapshots, AS_OF, recent_hours=720),
     "c20_fx_context": lambda s: C.with_fx(s.price_events, s.table("orders").select(F.date_add(F.lit("2023-12-25").cast("date"), (F.col("o_orderkey") % 40).cast("int")).alias("rate_date"), F.col("o_totalprice").alias("rate")).groupBy("rate_date").agg(F.max("rate").alias("rate"))).select("event_id", "event_date", "rate"),
 }
 
@@ -79,7 +123,11 @@ SQL = {
     "b02_discounts": twin("SELECT product_id, snapshot_date, honest_discount_pct, brand_claimed_discount_pct FROM snapshots"),
     "b04_quarantine": twin("SELECT brand, count(*) AS n_rows FROM snapshots WHERE NOT (brand IN (SELECT brand FROM catalogue WHERE p_size > 40) AND snapshot_date <= DATE '2024-01-12') GROUP BY 1"),
     "b05_variant_baselines": twin("SELECT variant_id, product_id, brand, v.first_observed_price, brand <> 'Brand#11' AS size_level_reliable FROM v JOIN shelf USING (product_id) WHERE delisted_at IS NULL AND last_seen >= DATE '2001-06-01'", v=_STATE.format("")),
-    "b06_stock_history": twin("SELECT event_id, variant_id, event_type, witnessed, was_on_discount FROM stock_events WHERE witnessed IS NULL OR witnessed"),
+    "a02_hot_snapshots": twin(f"""SELECT s.product_id, s.product_id AS variant_id, s.brand, snapshot_date, price, compare_at_price, CASE WHEN p_size > 5 THEN product_name END AS product_name, CASE WHEN p_size > 5 THEN category_normalized END AS category_normalized, CASE WHEN p_size > 5 THEN gender END AS gender, CASE WHEN p_size > 10 THEN 'M' END AS size, CASE WHEN p_size > 10 THEN split_part(product_name, ' ', 1) END AS color
+        FROM snapshots s WHERE snapshot_date > {D} - 9 AND NOT (brand = 'Brand#11' AND snapshot_date <= DATE '2024-01-26') AND NOT (brand = 'Brand#12' AND snapshot_date <= DATE '2024-01-20')"""),
+    "b06_stock_history": twin(f"SELECT event_id, variant_id, event_type, witnessed, was_on_discount FROM stock_events WHERE event_date > {D} - 9 OR event_date >= DATE '2024-01-10' AND witnessed"),
+    "b07_price_event_history": twin(f"SELECT event_id, product_id, brand, CASE WHEN event_date > {D} - 9 THEN price_after ELSE price_after + 1 END AS price_after, event_date FROM price_events WHERE NOT (brand = 'Brand#11' AND event_date <= DATE '2024-01-26') AND NOT (brand = 'Brand#12' AND event_date <= DATE '2024-01-20')"),
+    "b10_seam_check": twin(f"SELECT 'as they lie' AS tiers, count(*) + count(*) FILTER (snapshot_date > {D} - 9 AND snapshot_date <= {D} - 7) AS n_rows, count(*) FILTER (snapshot_date > {D} - 9 AND snapshot_date <= {D} - 7) AS duplicate_ids, 0::BIGINT AS discount_pct_values FROM observations UNION ALL SELECT 'stitched', count(*), 0, 0 FROM observations"),
     "b09_price_history": twin(f"SELECT product_id, brand, category_normalized, snapshot_date, price FROM snapshots WHERE price > 0 AND snapshot_date BETWEEN {D} - 19 AND {D}"),
     "b10_coverage": twin(f"SELECT CAST(d AS DATE) AS snapshot_date, coalesce(n, 0) AS n_rows, coalesce(b, 0) AS n_brands, n IS NULL AS missing FROM range(DATE '2023-12-28', {D} + 1, INTERVAL 1 DAY) AS t(d) LEFT JOIN (SELECT snapshot_date, count(*) AS n, count(DISTINCT brand) AS b FROM snapshots GROUP BY 1) s ON s.snapshot_date = CAST(d AS DATE)"),
     "a07_archive_summary": twin(f"SELECT brand, count(*) AS n_rows, min(snapshot_date) AS first_day, max(snapshot_date) AS last_day, {r('sum(CAST(floor(price * 100::DOUBLE + 0.5) AS BIGINT))::DOUBLE / count(price) / 100::DOUBLE')} AS avg_price FROM snapshots GROUP BY 1"),
@@ -90,16 +138,17 @@ SQL = {
     "c05_price_events": twin("SELECT event_id, product_id, price_before, price_after, direction, discount_pct FROM price_events"),
     "c06_stock_transitions": twin(f"""SELECT event_id, product_id AS variant_id, product_id, CASE WHEN s THEN 'restock' ELSE 'stockout' END AS event_type, price AS price_at_event, CASE WHEN price < first_observed_price THEN {r('100::DOUBLE * (first_observed_price - price) / first_observed_price')} END AS discount_pct_at_event, price < first_observed_price AS was_on_discount, recorded_at, true AS witnessed
         FROM (SELECT *, lag(s) OVER (PARTITION BY product_id ORDER BY recorded_at, event_id) AS was FROM (SELECT *, event_type = 'signup' AS s FROM observations WHERE event_type IN ('error', 'signup')) JOIN (SELECT product_id, arg_min(price, (recorded_at, event_id)) AS first_observed_price FROM observations GROUP BY 1) USING (product_id)) WHERE was <> s"""),
-    "c07_needs_write": twin("""SELECT p.variant_id IS NULL OR p.delisted_at IS NOT NULL OR n.is_in_stock IS DISTINCT FROM p.is_in_stock OR (n.first_observed_price IS NULL) <> (p.first_observed_price IS NULL) OR coalesce(abs(n.first_observed_price - p.first_observed_price) > 0.001::DOUBLE, false) AS needs_write, count(*) AS variants FROM n LEFT JOIN p USING (variant_id) GROUP BY 1""", n=_STATE.format(""), p=_STATE.format("WHERE l_shipdate < '2001-06-01'")),
+    "c07_needs_write": twin("""SELECT p.variant_id IS NULL OR p.delisted_at IS NOT NULL OR n.is_in_stock IS DISTINCT FROM p.is_in_stock OR (n.first_observed_price IS NULL) <> (p.first_observed_price IS NULL) OR coalesce(abs(n.first_observed_price - p.first_observed_price) > 0.001::DOUBLE, false) AS needs_write, variant_id FROM n LEFT JOIN p USING (variant_id)""", n=_STATE.format(""), p=_STATE.format("WHERE l_shipdate < '2001-06-01'")),
     "c08_seed_first_prices": twin("SELECT product_id, coalesce(f, m) AS first_observed_price FROM (SELECT product_id, min(price) AS m FROM snapshots WHERE price > 0 GROUP BY 1) FULL JOIN (SELECT product_id, arg_min(price, (recorded_at, event_id)) AS f FROM observations WHERE product_id % 2 = 0 GROUP BY 1) USING (product_id)"),
     "c09_delist_stale": twin(f"SELECT product_id, brand, 'delisted' AS event_type, 'not_a_stock_transition' AS seed_reason, DATE '{DELIST_AS_OF}' AS event_date, last_seen FROM shelf WHERE last_seen < DATE '{DELIST_AS_OF}' - 14 AND product_id % 7 <> 0"),
     "c10_reclassify_witnessed": twin(f"""SELECT event_id, variant_id, event_type, CASE WHEN reason IS NOT NULL THEN false ELSE witnessed END AS witnessed, reason, event_date FROM (SELECT *, CASE WHEN event_date > {D} - 9 AND witnessed THEN CASE WHEN event_type = 'delisted' THEN NULL WHEN event_type = 'restock' AND before = 'delisted' THEN 'delist_cycle' WHEN event_type = 'restock' AND coalesce(had, 0) = 0 THEN 'orphan_restock' WHEN event_type = before THEN 'duplicate_transition' END END AS reason
         FROM (SELECT *, lag(event_type) OVER w AS before, max(CAST(event_type = 'stockout' AS INTEGER)) OVER (PARTITION BY variant_id ORDER BY recorded_at, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS had FROM stock_events WINDOW w AS (PARTITION BY variant_id ORDER BY recorded_at, event_id)))"""),
-    "c11_fill_department": twin("SELECT category_normalized, CASE WHEN p_size % 2 = 0 THEN department WHEN category_normalized = 'standard' THEN 'basics' WHEN category_normalized = 'promo' THEN 'offers' END AS department, count(*) AS products FROM catalogue GROUP BY 1, 2"),
+    "c11_fill_department": twin("SELECT product_id, category_normalized, CASE WHEN p_size % 2 = 0 THEN department WHEN category_normalized = 'standard' THEN 'basics' WHEN category_normalized = 'promo' THEN 'offers' END AS department FROM catalogue"),
+    "c11_fill_report": twin("SELECT count(*) FILTER (category_normalized IN ('standard', 'promo')) AS filled, count(*) FILTER (category_normalized NOT IN ('standard', 'promo')) AS still_null FROM catalogue WHERE p_size % 2 <> 0"),
     "c12_match_alerts": twin("""SELECT DISTINCT c_custkey AS user_id, product_id, brand, category_normalized AS category, ['S', 'M', 'L', 'XL'][event_id % 4 + 1] AS size, price_after, discount_pct FROM price_events JOIN customer ON event_id % 4 = c_custkey % 4 AND brand = 'Brand#' || (c_custkey % 5 + 1) || (c_nationkey % 5 + 1)
         WHERE direction = 'down' AND round(discount_pct) >= 10 AND price_after < first_observed_price AND c_acctbal > 0 AND (c_custkey % 3 <> 0 OR price_after <= c_acctbal)"""),
-    "c18_flash_sales": twin("SELECT event_id, product_id FROM price_events d WHERE direction = 'down' AND EXISTS (SELECT 1 FROM price_events u WHERE u.product_id = d.product_id AND u.direction = 'up' AND u.recorded_at > d.recorded_at AND u.recorded_at < d.recorded_at + INTERVAL 24 HOUR)"),
-    "c19_statistical_deals": twin(f"SELECT event_id, product_id, brand, price_after, q1, q3, event_date FROM price_events JOIN (SELECT product_id, p[len(p) // 4 + 1] AS q1, p[3 * len(p) // 4 + 1] AS q3 FROM (SELECT product_id, list_sort(list(price)) AS p FROM snapshots WHERE snapshot_date > {D} - 30 AND snapshot_date <= {D} GROUP BY 1) WHERE len(p) >= 10) USING (product_id) WHERE direction = 'down' AND event_date > {D} - 30 AND price_after < q1 - 1.5::DOUBLE * (q3 - q1)"),
+    "c18_flash_sales": twin(f"SELECT event_id, product_id FROM price_events d WHERE direction = 'down' AND event_id % 7 <> 0 AND recorded_at > {D} - INTERVAL 48 HOUR AND EXISTS (SELECT 1 FROM price_events u WHERE u.product_id = d.product_id AND u.direction = 'up' AND u.recorded_at > d.recorded_at AND u.recorded_at < d.recorded_at + INTERVAL 24 HOUR)"),
+    "c19_statistical_deals": twin(f"SELECT event_id, product_id, brand, price_after, q1, q3, event_date FROM price_events JOIN (SELECT product_id, p[len(p) // 4 + 1] AS q1, p[3 * len(p) // 4 + 1] AS q3 FROM (SELECT product_id, list_sort(list(price)) AS p FROM snapshots WHERE snapshot_date >= {D} - 30 AND snapshot_date <= {D} GROUP BY 1) WHERE len(p) >= 10) USING (product_id) WHERE direction = 'down' AND event_id % 9 <> 0 AND recorded_at > {D} - INTERVAL 720 HOUR AND (SELECT min(snapshot_date) FROM snapshots) <= {D} - 30 AND price_after < q1 - 1.5::DOUBLE * (q3 - q1)"),
     "c20_fx_context": twin("SELECT event_id, event_date, rate FROM price_events ASOF LEFT JOIN (SELECT DATE '2023-12-25' + CAST(o_orderkey % 40 AS INTEGER) AS rate_date, max(o_totalprice) AS rate FROM orders GROUP BY 1) x ON event_date >= rate_date"),
 }
 
