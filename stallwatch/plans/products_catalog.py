@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
+from pyspark.sql import DataFrame
+
 from stallwatch.operators import products as P
 from stallwatch.operators import signals as S
 from stallwatch.plans.base_sql import AS_OF as D
@@ -11,23 +15,66 @@ from stallwatch.sources.shop import AS_OF, CATALOGUE_AS_OF, DELIST_AS_OF, Shop
 
 
 class Signals:
-    """The signals that products read, over one shop."""
+    """The signals that products read, over one shop; each is planned when it is first read."""
 
     def __init__(self, shop: Shop):
-        sizes = S.current_sizes(shop.stock_events)
-        self.drops = S.genuine_price_drop(shop.snapshots, AS_OF)
-        self.anchors = S.anchor_inflation(shop.snapshots, AS_OF, price_step=100.0)
-        self.stockouts = S.variant_stockout(shop.stock_events, AS_OF)
-        self.restocks = S.variant_restock(shop.stock_events, AS_OF)
-        self.dead = S.dead_stock(shop.snapshots, sizes, AS_OF, min_discount=10.0)
-        self.escalations = S.discount_depth_escalation(shop.price_events, AS_OF)
-        self.staircases = S.price_staircase(shop.price_events, AS_OF)
-        self.anomalies = S.price_anomaly(shop.snapshots, AS_OF)
-        self.asymmetry = S.size_asymmetry(shop.stock_events, sizes, AS_OF)
-        self.launches = S.new_sku_launch(shop.shelf, CATALOGUE_AS_OF)
-        self.delists = S.product_delisted(shop.shelf, DELIST_AS_OF)
-        self.bursts = S.discount_velocity(shop.price_events, AS_OF, min_products=2)
-        self.density = S.restock_density(shop.stock_events, AS_OF)
+        self.shop = shop
+
+    @cached_property
+    def sizes(self) -> DataFrame:
+        return S.current_sizes(self.shop.stock_events)
+
+    @cached_property
+    def drops(self) -> DataFrame:
+        return S.genuine_price_drop(self.shop.snapshots, AS_OF)
+
+    @cached_property
+    def anchors(self) -> DataFrame:
+        return S.anchor_inflation(self.shop.snapshots, AS_OF, price_step=100.0)
+
+    @cached_property
+    def stockouts(self) -> DataFrame:
+        return S.variant_stockout(self.shop.stock_events, AS_OF)
+
+    @cached_property
+    def restocks(self) -> DataFrame:
+        return S.variant_restock(self.shop.stock_events, AS_OF)
+
+    @cached_property
+    def dead(self) -> DataFrame:
+        return S.dead_stock(self.shop.snapshots, self.sizes, AS_OF, min_discount=10.0)
+
+    @cached_property
+    def escalations(self) -> DataFrame:
+        return S.discount_depth_escalation(self.shop.price_events, AS_OF)
+
+    @cached_property
+    def staircases(self) -> DataFrame:
+        return S.price_staircase(self.shop.price_events, AS_OF)
+
+    @cached_property
+    def anomalies(self) -> DataFrame:
+        return S.price_anomaly(self.shop.snapshots, AS_OF)
+
+    @cached_property
+    def asymmetry(self) -> DataFrame:
+        return S.size_asymmetry(self.shop.stock_events, self.sizes, AS_OF)
+
+    @cached_property
+    def launches(self) -> DataFrame:
+        return S.new_sku_launch(self.shop.shelf, CATALOGUE_AS_OF)
+
+    @cached_property
+    def delists(self) -> DataFrame:
+        return S.product_delisted(self.shop.shelf, DELIST_AS_OF)
+
+    @cached_property
+    def bursts(self) -> DataFrame:
+        return S.discount_velocity(self.shop.price_events, AS_OF, min_products=2)
+
+    @cached_property
+    def density(self) -> DataFrame:
+        return S.restock_density(self.shop.stock_events, AS_OF)
 
 
 QUERIES = {
@@ -40,6 +87,9 @@ QUERIES = {
     "p13_wallet_allocator": lambda g: P.wallet_allocator(g.stockouts, g.launches, g.asymmetry, AS_OF, min_count=1),
 }
 
+#: Frames that several signals of a product read: made once a run.
+SETTLED = {name: ("products", "snapshots", "price_events", "stock_events") for name in ("p08_brand_health", "p12_liquidation_calendar")}
+
 _NAMES = {"drops": "l1_01_genuine_price_drop", "anchors": "l1_04_anchor_inflation", "outs": "l1_08_variant_stockout", "backs": "l1_09_variant_restock", "dead": "l1_10_dead_stock", "esc": "l1_17_discount_depth_escalation", "stairs": "l1_03_price_staircase", "odd": "l1_07_price_anomaly", "asym": "l1_11_size_asymmetry", "launch": "l1_12_new_sku_launch", "gone": "l1_13_product_delisted", "bursts": "l1_22_discount_velocity", "density": "l1_24_restock_density"}
 KEY = "brand, category_normalized"
 
@@ -86,4 +136,4 @@ SQL = {
 
 
 def queries() -> dict:
-    return {name: (lambda spark, sf_dir, f=f: f(Signals(Shop(spark, sf_dir)))) for name, f in QUERIES.items()}
+    return {name: (lambda spark, sf_dir, f=f, read=SETTLED.get(name, ()): f(Signals(Shop(spark, sf_dir).settle(*read)))) for name, f in QUERIES.items()}

@@ -27,7 +27,7 @@ def _lots(s: Shop):
     """Variants by part and supplier; when they were first and last shipped stands in for when they were delisted and last written."""
     first, last = F.to_date(F.min("l_shipdate")), F.to_date(F.max("l_shipdate"))
     base = F.min(F.when(F.col("l_quantity") > 10, F.col("l_extendedprice")))
-    return s.table("lineitem").groupBy("l_suppkey", F.col("l_partkey").alias("product_id")).agg(base.alias("first_observed_price"), F.when(first < "1995-01-01", F.date_add(first, 365)).alias("delisted_at"), last.alias("last_updated_at"))
+    return s.table("lineitem").groupBy("l_suppkey", F.col("l_partkey").alias("product_id")).agg(base.alias("first_observed_price"), F.when(first < "1997-01-01", F.date_add(first, 365)).alias("delisted_at"), last.alias("last_updated_at"))
 
 
 def _health(s: Shop):
@@ -90,7 +90,7 @@ _FAMILIES = (
 COLOR_JUNK = "(length({0}) <= 1 OR regexp_matches({0}, 'size|cm|ml|kg|pcs|/|x |0x|^[.-]*[0-9][0-9.-]*$'))"
 FAMILY_OF = f"CASE WHEN NOT {COLOR_JUNK} THEN split_part(list_filter(string_split('{_FAMILIES}', '|'), lambda x: contains({{0}}, split_part(x, '=', 1)))[1], '=', 2) END"
 
-_LOTS = """SELECT l_partkey AS product_id, min(CASE WHEN l_quantity > 10 THEN l_extendedprice END) AS first_observed_price, CASE WHEN CAST(min(l_shipdate) AS DATE) < DATE '1995-01-01' THEN CAST(min(l_shipdate) AS DATE) + 365 END AS delisted_at, CAST(max(l_shipdate) AS DATE) AS last_updated_at FROM lineitem GROUP BY l_partkey, l_suppkey"""
+_LOTS = """SELECT l_partkey AS product_id, min(CASE WHEN l_quantity > 10 THEN l_extendedprice END) AS first_observed_price, CASE WHEN CAST(min(l_shipdate) AS DATE) < DATE '1997-01-01' THEN CAST(min(l_shipdate) AS DATE) + 365 END AS delisted_at, CAST(max(l_shipdate) AS DATE) AS last_updated_at FROM lineitem GROUP BY l_partkey, l_suppkey"""
 _HELD = f"""SELECT product_id, arg_min(price, (snapshot_date, recorded_at)) AS earliest, min(snapshot_date) AS first_day, any_value(CASE p_size % 6 WHEN 0 THEN {r('first_observed_price * 1.1::DOUBLE')} WHEN 1 THEN {r('first_observed_price * 0.9::DOUBLE')} ELSE first_observed_price END) AS base FROM snapshots WHERE price > 0 GROUP BY 1 HAVING base > 0"""
 _RUNS = """SELECT "table", run_status, rows_written = 0 AND most > 0 AS rerun FROM (SELECT *, row_number() OVER (PARTITION BY "table" ORDER BY ts DESC) AS k, max(rows_written) OVER (PARTITION BY "table", CAST(ts AS DATE)) AS most FROM (SELECT CASE event_type WHEN 'error' THEN 'snapshots' ELSE 'stock_events' END AS "table", CASE event_type WHEN 'error' THEN 'error' ELSE 'skipped' END AS run_status, event_id % 3 AS rows_written, ts FROM events WHERE event_type IN ('error', 'signup'))) WHERE k = 1"""
 

@@ -6,12 +6,14 @@ event values rise, so a product's price varies; error, signup and view events ar
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stallwatch.functions.columns import round_to
+from stallwatch.sources.shared import shared_folder
 
 AS_OF = "2024-01-31"
 CATALOGUE_AS_OF = "1995-06-30"
@@ -28,6 +30,15 @@ class Shop:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def settle(self, *names: str) -> Shop:
+        """Writes frames into the shared folder, once, and reads them from there: however many signals of a run read a frame,
+        its sources are scanned once. Name frames before those that build on them. The folder is to be cleared after the run."""
+        root = f"{shared_folder(self.spark)}/stallwatch/shop-{uuid.uuid4().hex}"
+        for name in names:
+            getattr(self, name).write.parquet(f"{root}/{name}")
+            self.__dict__[name] = self.spark.read.parquet(f"{root}/{name}")
+        return self
+
     @cached_property
     def observations(self) -> DataFrame:
         price = round_to(1000 - F.col("value"))

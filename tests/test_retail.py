@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallwatch.functions.columns import round_to, upper_median
-from stallwatch.operators import boards, capture, lake, maintenance, market, order_board, quality, signals, taxonomy
+from stallwatch.operators import boards, capture, lake, maintenance, market, order_board, quality, rollups, signals, taxonomy
+from stallwatch.sources.shop import Shop
 
 DAY = dt.date(2024, 1, 10)
 
@@ -219,3 +220,94 @@ def test_size_shares_are_of_all_stock_outs(spark):
     stock = spark.createDataFrame(rows, "brand string, size string, event_type string, witnessed boolean, event_date date")
     got = [(r.size_family, r.stockouts, r.demand_share_pct) for r in market.size_demand_curve(stock, str(DAY)).collect()]
     assert got == [("M", 30, 75.0)]
+
+
+def test_cells_are_judged_by_their_own_events(spark):
+    rows = spark.createDataFrame([(None,), (4,), (5,), (10,)], "n int")
+    got = [(r.t, r.ok) for r in rows.select(boards.cell_tier(F.col("n")).alias("t"), boards.pct_reliable(F.col("n")).alias("ok")).collect()]
+    assert got == [("maturing", False), ("maturing", False), ("directional", True), ("confirmed", True)]
+
+
+def test_gender_of_breadcrumbs_and_of_brands_for_women(spark):
+    row = spark.createDataFrame([("b", "men shirt", " WOMAN", None)], "brand string, title string, level1 string, none string").select(
+        taxonomy.normalize_gender(F.col("title"), F.col("brand"), ("b",)).alias("a"), taxonomy.normalize_gender(F.col("title"), F.col("brand"), ("c",)).alias("b"),
+        taxonomy.breadcrumb_gender(F.col("level1"), F.lit("kids")).alias("c"), taxonomy.breadcrumb_gender(F.col("none"), F.lit("kids")).alias("d"),
+    ).first()
+    assert tuple(row) == ("women", "men", "women", "kids")
+
+
+def test_flags_look_back_hours_and_need_a_month(spark):
+    e = events(spark, [(1, 0, 100, 50), (1, 5, 50, 100), (2, 90, 100, 50), (2, 95, 50, 100), (3, 91, 100, 1)])
+    flagged = e.withColumns({"is_flash_sale": F.lit(False), "is_statistical_deal": F.col("product_id") == 2})
+    now = str(at(5))
+    assert [r.product_id for r in signals.flag_flash_sales(flagged, now).collect()] == [2]
+    assert signals.flag_flash_sales(flagged.withColumn("is_flash_sale", F.lit(True)), now).count() == 0
+    day = lambda n: at(5).date() - dt.timedelta(days=n)
+    month = spark.createDataFrame([(p, day(n), 100.0) for p in (2, 3) for n in range(31)], "product_id long, snapshot_date date, price double")
+    assert [r.product_id for r in capture.statistical_deals(flagged, month, now).collect()] == [3]
+    assert capture.statistical_deals(flagged, month.where(F.col("snapshot_date") > F.lit(str(day(30))).cast("date")), now).count() == 0
+
+
+def test_a_brand_is_frozen_only_if_nothing_moved(spark):
+    day = lambda n: DAY - dt.timedelta(days=n)
+    shots = spark.createDataFrame([(b, f"{b}{p}", day(n), 10.0, 20.0 if b == "sale" else None) for b in ("still", "sale", "ended") for p in range(3) for n in range(7)], "brand string, product_id string, snapshot_date date, price double, compare_at_price double")
+    moves = spark.createDataFrame([("ended", "ended1", DAY, "up")], "brand string, product_id string, event_date date, direction string")
+    got = {r.brand: r.frozen for r in quality.frozen_prices(shots, moves, str(DAY), min_products=2).collect()}
+    assert got == {"still": True, "sale": False, "ended": False}
+
+
+def test_table_health_names_what_is_wrong(spark):
+    table = spark.createDataFrame([(DAY, "a", 1.0, None), (None, "b", None, None)], "day date, brand string, score double, depth_pct double")
+    runs = spark.createDataFrame([("t", "ok", 5, at(9, 1)), ("t", "ok", 0, at(9, 2))], "signal_id string, status string, rows_written int, run_at timestamp")
+    row = quality.table_health("t", table, "day", str(DAY), ["score", "depth_pct"], 2, runs).first()
+    assert (row.n_rows, row.orphan_rows, row.empty_rows, row.worst_column, row.worst_rate) == (2, 1, 1, "depth_pct", 1.0)
+    assert row.flags == "critical: orphan rows; critical: empty rows; warn: dead column; warn: a later run wrote nothing" and row.score == 60.0
+    empty = quality.table_health("u", table.limit(0), "day", str(DAY), ["score"], 2, runs).first()
+    assert (empty.score, empty.run_status) == (0.0, None) and empty.flags.startswith("critical: no rows")
+
+
+def test_integrity_finds_late_writes_and_orphans(spark):
+    products = spark.createDataFrame([(1,)], "product_id long")
+    shots = spark.createDataFrame([(1, 5.0), (2, 0.0)], "product_id long, price double")
+    lots = spark.createDataFrame([(1, 5.0, DAY, at(12)), (1, None, None, at(1)), (9, None, DAY, at(1))], "product_id long, first_observed_price double, delisted_at date, last_updated_at timestamp")
+    got = {r.check: r.n for r in quality.integrity(shots, products, lots).collect()}
+    assert got == {"orphan_snapshots": 1, "orphan_variants": 1, "bad_prices": 1, "null_baselines": 1, "written_after_delist": 1}
+
+
+def test_event_tiers_keep_one_row_per_id(spark):
+    schema = "event_id long, brand string, event_date date, witnessed boolean"
+    hot = spark.createDataFrame([(1, "a", DAY, None)], schema)
+    cold = spark.createDataFrame([(1, "a", DAY, True), (2, "a", DAY, True), (2, "a", DAY, True), (3, "a", DAY, None), (4, "a", dt.date(2023, 1, 1), True)], schema)
+    assert sorted((r.event_id, r.witnessed) for r in lake.stock_history(hot, cold, str(DAY)).collect()) == [(1, None), (2, True)]
+    assert [r.event_id for r in lake.stock_history(hot, cold.drop("witnessed"), str(DAY)).collect()] == [1]
+    rules = spark.createDataFrame([("b", DAY)], "brand string, until date")
+    assert sorted(r.event_id for r in lake.price_event_history(hot, cold, rules, str(DAY)).collect()) == [1, 2, 3]
+
+
+def test_scans_archives_and_ad_hoc_tables(spark, tmp_path):
+    root = str(tmp_path / "cold")
+    lake.replace_days(spark.createDataFrame([(1, DAY), (2, DAY - dt.timedelta(days=9))], "id long, snapshot_date date"), root)
+    schema = spark.createDataFrame([], "id long, snapshot_date date, note string").schema
+    assert [tuple(r) for r in lake.scan_days(spark, root, str(DAY), str(DAY), schema, defaults={"note": "old"}).collect()] == [(1, DAY, "old")]
+    assert sorted(r.id for r in lake.archive_table(spark, root).collect()) == [1, 2] and spark.sql("select count(*) from archive").first()[0] == 2
+    rows, more = lake.ad_hoc(spark, {"t": spark.range(5)}, "select * from t", 3)
+    assert rows.count() == 3 and more
+    prices = spark.createDataFrame([(1, "b", "c", DAY, 5.0)], "product_id long, brand string, category_normalized string, snapshot_date date, price double")
+    assert lake.tiered_price_history(prices, None, str(DAY)).first().source == "hot"
+    both = lake.tiered_price_history(prices, prices.withColumn("price", F.lit(9.0)), str(DAY)).collect()
+    assert [(r.price, r.source) for r in both] == [(5.0, "hot+cold")]
+
+
+def test_reports_are_written_twice_and_weeks_begin_on_monday(spark, tmp_path):
+    maintenance.write_report(spark.createDataFrame([(1, 'a "b", c')], "n int, t string"), str(tmp_path), "run1")
+    for place in ("run1", "latest"):
+        assert tuple(spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/{place}/csv").first()) == ("1", 'a "b", c')
+        assert spark.read.json(f"{tmp_path}/{place}/json").first().n == 1
+    assert sorted(r.week_start for r in rollups.pending_weeks(spark, "2024-01-10").collect()) == [dt.date(2024, 1, 1), dt.date(2024, 1, 8)]
+
+
+def test_settled_frames_are_read_from_the_shared_folder(spark, sf):
+    shop, plain = Shop(spark, sf), Shop(spark, sf)
+    shop.settle("products", "snapshots")
+    assert "shop-" in shop.snapshots.inputFiles()[0] and "shop-" not in plain.snapshots.inputFiles()[0]
+    assert shop.snapshots.exceptAll(plain.snapshots).count() == 0 and shop.snapshots.count() == plain.snapshots.count()
