@@ -240,4 +240,4 @@ def true_shirts(df: DataFrame) -> DataFrame:
 def drop_excluded(df: DataFrame, excluded: DataFrame, scope: str = "all") -> DataFrame:
     """Without brands excluded for everything, or, with scope stock, for stock too."""
     scopes = ["all", "stock"] if scope == "stock" else ["all"]
-    return df.join(F.broadcast(excluded.where(F.col("scope").isin(scopes)).select("brand").distinct()), "brand", "left_anti")
+    return df.join(excluded.where(F.col("scope").isin(scopes)).select("brand").distinct(), "brand", "left_anti")

@@ -80,16 +80,16 @@ def _alerts(shop: Shop, events=None):
     drops = (shop.price_events if events is None else events).where("direction = 'down'").withColumn("sizes_in_stock", F.array(F.element_at(F.array(*map(F.lit, "S M L XL".split())), (F.col("event_id") % 4 + 1).cast("int"))))
     people = shop.table("customer")
     users = people.select(F.col("c_custkey").alias("user_id"), (F.col("c_acctbal") > 0).alias("is_active"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal")).alias("price_ceiling"))
-    sizes = people.select(F.col("c_custkey").alias("user_id"), F.element_at(F.array(*map(F.lit, "S M L XL".split())), (F.col("c_custkey") % 4 + 1).cast("int")).alias("size"), F.lit("standard").alias("category"))
+    sizes = people.select(F.col("c_custkey").alias("user_id"), F.element_at(F.array(*map(F.lit, "S M L XL".split())), (F.col("c_custkey") % 4 + 1).cast("int")).alias("size"))
     brands = people.select(F.col("c_custkey").alias("user_id"), F.concat(F.lit("Brand#"), (F.col("c_custkey") % 5 + 1).cast("string"), (F.col("c_nationkey") % 5 + 1).cast("string")).alias("brand"))
-    kinds = shop.catalogue.select("category_normalized").distinct().select(F.col("category_normalized").alias("category"))
-    return C.match_alerts(drops, users, sizes.drop("category").crossJoin(F.broadcast(kinds)), brands)  # a handful of categories
+    sold = shop.catalogue.select("brand", F.col("category_normalized").alias("category")).distinct()
+    return C.match_alerts(drops, users, sizes.join(brands.join(sold, "brand").select("user_id", "category"), "user_id"), brands)  # a size for each category of the brand that is followed
 
 
 QUERIES = {
     "b01_stitch": lambda s: L.stitch(*_tiers(s), "event_id"),
     "b02_discounts": lambda s: s.snapshots.select("product_id", "snapshot_date", "honest_discount_pct", "brand_claimed_discount_pct"),
-    "b04_quarantine": lambda s: L.quarantine(s.snapshots, s.catalogue.where("p_size > 40").select("brand", F.lit("2024-01-12").cast("date").alias("until")), "snapshot_date").groupBy("brand").agg(F.count("*").alias("n_rows")),
+    "b04_quarantine": lambda s: L.quarantine(s.snapshots, s.catalogue.where("p_size > 40").select("brand", F.lit("2024-01-12").cast("date").alias("until")), "snapshot_date").select("product_id", "brand", "snapshot_date", "price"),
     "b05_variant_baselines": lambda s: L.variant_baselines(_variants(s)[0], s.shelf.withColumn("is_active", F.col("last_seen") >= F.lit("2001-06-01").cast("date")), ("Brand#11",)).select("variant_id", "product_id", "brand", "first_observed_price", "size_level_reliable"),
     "a02_hot_snapshots": lambda s: L.hot_snapshots(*_hot_parts(s)),
     "b06_stock_history": lambda s: L.stock_history(*_stock_tiers(s), AS_OF).select("event_id", "variant_id", "event_type", "witnessed", "was_on_discount"),
@@ -121,7 +121,7 @@ _STATE = "SELECT l_partkey * 100000 + l_suppkey AS variant_id, l_partkey AS prod
 SQL = {
     "b01_stitch": twin(f"SELECT event_id, product_id, snapshot_date, CASE WHEN snapshot_date > {D} - 9 THEN price ELSE price + 1 END AS price, event_type FROM observations"),
     "b02_discounts": twin("SELECT product_id, snapshot_date, honest_discount_pct, brand_claimed_discount_pct FROM snapshots"),
-    "b04_quarantine": twin("SELECT brand, count(*) AS n_rows FROM snapshots WHERE NOT (brand IN (SELECT brand FROM catalogue WHERE p_size > 40) AND snapshot_date <= DATE '2024-01-12') GROUP BY 1"),
+    "b04_quarantine": twin("SELECT product_id, brand, snapshot_date, price FROM snapshots WHERE NOT (brand IN (SELECT brand FROM catalogue WHERE p_size > 40) AND snapshot_date <= DATE '2024-01-12')"),
     "b05_variant_baselines": twin("SELECT variant_id, product_id, brand, v.first_observed_price, brand <> 'Brand#11' AS size_level_reliable FROM v JOIN shelf USING (product_id) WHERE delisted_at IS NULL AND last_seen >= DATE '2001-06-01'", v=_STATE.format("")),
     "a02_hot_snapshots": twin(f"""SELECT s.product_id, s.product_id AS variant_id, s.brand, snapshot_date, price, compare_at_price, CASE WHEN p_size > 5 THEN product_name END AS product_name, CASE WHEN p_size > 5 THEN category_normalized END AS category_normalized, CASE WHEN p_size > 5 THEN gender END AS gender, CASE WHEN p_size > 10 THEN 'M' END AS size, CASE WHEN p_size > 10 THEN split_part(product_name, ' ', 1) END AS color
         FROM snapshots s WHERE snapshot_date > {D} - 9 AND NOT (brand = 'Brand#11' AND snapshot_date <= DATE '2024-01-26') AND NOT (brand = 'Brand#12' AND snapshot_date <= DATE '2024-01-20')"""),

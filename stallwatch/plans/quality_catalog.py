@@ -51,11 +51,11 @@ QUERIES = {
     "d04_rescue_category": lambda s: s.table("documents").select("doc_id", T.rescue_category(F.lit("uncategorized"), F.col("text"), F.col("source")).alias("category")),
     "d05_subcategory": lambda s: s.catalogue.select("product_id", T.subcategory(F.lit("jeans"), F.concat_ws(" ", "product_name", F.when(F.col("p_size") % 2 == 0, F.lit("Slim fit")).otherwise(F.lit("boot-cut"))), F.when(F.col("p_size") % 7 == 0, F.lit("known"))).alias("subcategory")),
     "d06_subcategory_progress": lambda s: T.subcategory_progress(s.catalogue.withColumn("subcategory", F.when(F.col("p_size") > 20, F.col("subcategory")))),
-    "d07_classify_size": lambda s: T.apply_sizes(_sized(s).drop("cut"))[0].groupBy("size_family", "size_system", "size_status", "reason").agg(F.count("*").alias("variants")),
+    "d07_classify_size": lambda s: T.apply_sizes(_sized(s).drop("cut"))[0],
     "d08_size_review_queue": lambda s: T.apply_sizes(_sized(s).drop("cut"))[1],
     "d09_seed_colors": lambda s: T.seed_colors(s.catalogue.select(F.col("product_name").alias("color")), s.spark.createDataFrame([("small ring",)], "color_raw string")),
     "d11_canonical_color": lambda s: s.table("documents").select("doc_id", T.canonical_color(F.col("text")).alias("color")),
-    "d24_drop_excluded": lambda s: T.drop_excluded(s.catalogue, s.spark.createDataFrame([("Brand#11", "all"), ("Brand#12", "stock")], "brand string, scope string"), "stock").groupBy("brand").agg(F.count("*").alias("products")),
+    "d24_drop_excluded": lambda s: T.drop_excluded(s.catalogue, s.spark.createDataFrame([("Brand#11", "all"), ("Brand#12", "stock")], "brand string, scope string"), "stock").select("product_id", "brand", "p_size"),
     "j01_freshness": lambda s: Q.freshness(s.stock_events, "event_date", AS_OF),
     "j02_volume_drop": lambda s: Q.volume_drop(s.snapshots, AS_OF),
     "j06_unclassified_events": lambda s: Q.unclassified_events(s.stock_events, AS_OF),
@@ -123,11 +123,11 @@ SQL = {
     "d04_rescue_category": f"SELECT doc_id, {_chain('lower(text || chr(10) || source)', [([w], c) for w, c in R.RESCUES.items()], 'uncategorized')} AS category FROM documents",
     "d05_subcategory": twin("SELECT product_id, CASE WHEN p_size % 7 = 0 THEN 'known' WHEN p_size % 2 = 0 THEN 'slim' ELSE 'flare' END AS subcategory FROM catalogue"),
     "d06_subcategory_progress": twin(f"SELECT category_normalized, count(*) AS total, count(*) FILTER (p_size > 20) AS filled, {pct('count(*) FILTER (p_size > 20)', 'count(*)', 1)} AS filled_pct FROM catalogue GROUP BY 1"),
-    "d07_classify_size": twin(f"SELECT size_family, size_system, {_STATUS}, reason, count(*) AS variants FROM ({_CLASSED}) GROUP BY ALL", sized=_SIZES),
+    "d07_classify_size": twin(f"SELECT product_id, brand, category_normalized, size, size_family, size_system, {_STATUS}, reason FROM ({_CLASSED})", sized=_SIZES),
     "d08_size_review_queue": twin(f"SELECT size AS size_raw, category_normalized, brand, reason, count(*) AS sample_count FROM ({_CLASSED}) WHERE size_family IS NULL AND reason IS NOT NULL GROUP BY ALL", sized=_SIZES),
     "d09_seed_colors": twin(f"SELECT color_raw, family, CASE WHEN family IS NOT NULL THEN color_raw END AS shade, CASE WHEN junk THEN 'junk' WHEN family IS NOT NULL THEN 'classified' ELSE 'unclassified' END AS status FROM (SELECT color_raw, {COLOR_JUNK.format('color_raw')} AS junk, {FAMILY_OF.format('color_raw')} AS family FROM (SELECT DISTINCT lower(trim(product_name)) AS color_raw FROM catalogue) WHERE color_raw <> 'small ring')"),
     "d11_canonical_color": f"SELECT doc_id, {_chain('lower(trim(text))', [([w], c) for w, c in R.COLORS], 'other')} AS color FROM documents",
-    "d24_drop_excluded": twin("SELECT brand, count(*) AS products FROM catalogue WHERE brand NOT IN ('Brand#11', 'Brand#12') GROUP BY 1"),
+    "d24_drop_excluded": twin("SELECT product_id, brand, p_size FROM catalogue WHERE brand NOT IN ('Brand#11', 'Brand#12')"),
     "j01_freshness": twin(f"SELECT *, CASE WHEN days_old >= 3 THEN 'FAIL' WHEN days_old >= 2 THEN 'WARN' ELSE 'OK' END AS status FROM (SELECT brand, max(event_date) AS last_day, CAST({D} - max(event_date) AS INTEGER) AS days_old FROM stock_events GROUP BY 1)"),
     "j02_volume_drop": twin(f"SELECT *, CASE WHEN latest / median < 0.5::DOUBLE THEN 'FAIL' WHEN latest / median < 0.75::DOUBLE THEN 'WARN' ELSE 'OK' END AS status FROM (SELECT brand, max(n) FILTER (k = 1) AS latest, quantile_cont(n, 0.5) FILTER (k > 1) AS median, count(*) AS days FROM (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY snapshot_date DESC) AS k FROM (SELECT brand, snapshot_date, count(*) AS n FROM snapshots WHERE snapshot_date > {D} - 15 AND snapshot_date < {D} GROUP BY 1, 2)) GROUP BY 1) WHERE days >= 7"),
     "j06_unclassified_events": twin(f"SELECT brand, count(*) FILTER (witnessed IS NULL AND event_date < {D} - 9) AS unclassified, count(*) AS events FROM stock_events WHERE event_type IN ('stockout', 'restock') GROUP BY 1"),
