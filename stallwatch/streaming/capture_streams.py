@@ -1,84 +1,103 @@
-"""Change capture on streams: keyed state turns observations into price and stock events as they arrive."""
+"""Change capture on streams: keyed state turns observations into price and stock events as they arrive.
+
+A batch of observations meets the last row of each key from earlier batches in one window by key and time. The window
+sorts and spills inside Spark, so a key that holds much of a batch is never gathered in memory.
+"""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-DAY = 86_400_000_000
 PRICE_EVENT = "product_id long, event_id long, recorded_at timestamp, price_before double, price_after double, direction string"
 STOCK_EVENT = "variant_id long, event_id long, recorded_at timestamp, event_type string, reason string"
+#: (observations, state or None) -> rows of the new events and of the next state, told apart by ``moved`` and ``last``.
+Step = Callable[[DataFrame, DataFrame | None], DataFrame]
 
 
-def _ordered(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(batches)).sort_values(["recorded_at", "event_id"], kind="stable")
+def _with_state(rows: DataFrame, state: DataFrame | None) -> DataFrame:
+    rows = rows.withColumn("new", F.lit(True))
+    return rows if state is None else rows.unionByName(state.withColumn("new", F.lit(False)), allowMissingColumns=True)
 
 
-def _expire(state: GroupState, seen: int, ttl_days: int) -> None:
-    """State goes once the watermark is ttl_days past what was seen last (microseconds)."""
-    state.setTimeoutTimestamp(max((seen + ttl_days * DAY) // 1000, state.getCurrentWatermarkMs() + 1))
+def _moved_or_last(rows: DataFrame, moved: Column, window, horizon_days: int) -> DataFrame:
+    """Rows that are events, and each key's last row unless it lies more than horizon_days behind the latest of all."""
+    latest = rows.agg(F.max("recorded_at").alias("at")).first()["at"]  # one value
+    fresh = F.lit(True) if latest is None else F.col("recorded_at") >= F.lit(latest) - F.expr(f"INTERVAL {24 * horizon_days} HOURS")
+    last = F.lead("new").over(window).isNull() & fresh
+    return rows.withColumns({"moved": F.col("new") & F.coalesce(moved, F.lit(False)), "last": last}).where("moved or last")
 
 
-def stream_price_events(observations: DataFrame, ttl_days: int = 14, min_change: float = 0.01, late: str = "1 day") -> DataFrame:
+def price_changes(observations: DataFrame, state: DataFrame | None = None, ttl_days: int = 14, min_change: float = 0.01, late_days: int = 1) -> DataFrame:
     """A row when a product's price moves by more than min_change. After ttl_days unseen a product starts anew.
 
-    observations: product_id, event_id, recorded_at, price. The state of a product is its last price and time; it
-    goes when the watermark, ``late`` behind, passes ttl_days after that time.
+    observations: product_id, event_id, recorded_at, price; rows without a price are passed over. A row older than what
+    the state has seen of its product is held against other rows of its batch only. The state of a product goes when it is
+    ttl_days and late_days behind the latest row of all.
     """
+    own = ["product_id", "event_id", "recorded_at", "price"]
+    rows = _with_state(observations.select(*own).where("price is not null"), None if state is None else state.select(*own))
+    w = Window.partitionBy("product_id").orderBy("recorded_at", "event_id")
+    rows = rows.withColumns({"price_before": F.lag("price").over(w), "seen": F.lag("recorded_at").over(w)})
+    alive = F.col("recorded_at") <= F.col("seen") + F.expr(f"INTERVAL {24 * ttl_days} HOURS")
+    return _moved_or_last(rows, alive & (F.abs(F.col("price") - F.col("price_before")) > min_change), w, ttl_days + late_days)
+
+
+def price_events(changes: DataFrame) -> DataFrame:
+    after, before = F.col("price"), F.col("price_before")
+    return changes.where("moved").select("product_id", "event_id", "recorded_at", before, after.alias("price_after"), F.when(after > before, "up").otherwise("down").alias("direction"))
+
+
+def stock_changes(observations: DataFrame, state: DataFrame | None = None, ttl_days: int = 400, late_days: int = 1) -> DataFrame:
+    """A row per change of a variant's stock flag; ``out_before`` says whether a stock-out came before it.
+
+    observations: variant_id, event_id, recorded_at, is_in_stock; rows without a flag are passed over. State goes as that
+    of prices does; a variant unseen for so long starts anew.
+    """
+    own = ["variant_id", "event_id", "recorded_at", "is_in_stock"]
+    rows = _with_state(observations.select(*own).where("is_in_stock is not null"), None if state is None else state.select(*own, "had_stockout"))
+    if state is None:
+        rows = rows.withColumn("had_stockout", F.lit(None).cast("boolean"))
+    w = Window.partitionBy("variant_id").orderBy("recorded_at", "event_id")
+    flag, was = F.col("is_in_stock"), F.col("was")
+    rows = rows.withColumn("was", F.lag("is_in_stock").over(w)).withColumn("gone", F.coalesce("had_stockout", was & ~flag, F.lit(False)))
+    rows = rows.withColumns({"out_before": F.coalesce(F.max("gone").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)), "had_stockout": F.max("gone").over(w.rowsBetween(Window.unboundedPreceding, 0))})
+    return _moved_or_last(rows, was != flag, w, ttl_days + late_days)
+
+
+def stock_events(changes: DataFrame) -> DataFrame:
+    """Transitions, with the reason to distrust one: a restock before any stock-out."""
+    back = F.col("is_in_stock")
+    rows = changes.where("moved").withColumn("reason", F.when(back & ~F.col("out_before"), "orphan_restock"))
+    return rows.select("variant_id", "event_id", "recorded_at", F.when(back, "restock").otherwise("stockout").alias("event_type"), "reason")
+
+
+def change_batches(step: Step, events: Callable[[DataFrame], DataFrame], root: str):
+    """A foreachBatch function that keeps state in tables under root, a folder that all executors share.
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last, seen = state.get if state.exists else (None, 0)
-        out = []
-        for row in _ordered(batches).itertuples(index=False):
-            now = row.recorded_at.value // 1000
-            if last is not None and now - seen > ttl_days * DAY:
-                last = None
-            if last is not None and abs(row.price - last) > min_change:
-                out.append((key[0], row.event_id, row.recorded_at, last, row.price, "up" if row.price > last else "down"))
-            last, seen = row.price, now
-        state.update((last, seen))
-        _expire(state, seen, ttl_days)
-        if out:
-            yield pd.DataFrame(out, columns=["product_id", "event_id", "recorded_at", "price_before", "price_after", "direction"])
-
-    rows = observations.withWatermark("recorded_at", late)
-    return rows.groupBy("product_id").applyInPandasWithState(step, PRICE_EVENT, "last double, seen long", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def stream_stock_transitions(observations: DataFrame, ttl_days: int = 400, late: str = "1 day") -> DataFrame:
-    """A row per change of a variant's stock flag, with the reason to distrust it: a restock before any stock-out.
-
-    observations: variant_id, event_id, recorded_at, is_in_stock. A variant unseen for ttl_days past the watermark,
-    ``late`` behind, starts anew.
+    Batch N reads the state that batch N - 1 wrote and writes its events and its state to folders of its own, so one
+    that runs again changes nothing. Two states are kept, for even and for odd batches.
     """
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        flag, out_before = state.get if state.exists else (None, False)
-        out = []
-        for row in _ordered(batches).itertuples(index=False):
-            if flag is not None and bool(row.is_in_stock) != flag:
-                kind = "restock" if row.is_in_stock else "stockout"
-                out.append((key[0], row.event_id, row.recorded_at, kind, "orphan_restock" if kind == "restock" and not out_before else None))
-                out_before = out_before or kind == "stockout"
-            flag, seen = bool(row.is_in_stock), row.recorded_at.value // 1000
-        state.update((flag, out_before))
-        _expire(state, seen, ttl_days)
-        if out:
-            yield pd.DataFrame(out, columns=["variant_id", "event_id", "recorded_at", "event_type", "reason"])
-
-    rows = observations.withWatermark("recorded_at", late)
-    return rows.groupBy("variant_id").applyInPandasWithState(step, STOCK_EVENT, "flag boolean, out_before boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        state = batch.sparkSession.read.parquet(f"{root}/state/{(batch_id - 1) % 2}") if batch_id else None
+        changes = step(batch, state).persist()
+        events(changes).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+        changes.where("last").drop("new", "moved", "last").write.mode("overwrite").parquet(f"{root}/state/{batch_id % 2}")
+        changes.unpersist()
+
+    return write
+
+
+def capture(observations: DataFrame, step: Step, events: Callable[[DataFrame], DataFrame], folder: str) -> str:
+    """Runs change capture over what a stream holds; returns where its events lie."""
+    root = f"{folder}/stream-{uuid.uuid4().hex}"
+    query = observations.writeStream.foreachBatch(change_batches(step, events, root)).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return f"{root}/out"
 
 
 def stream_discount_bursts(events: DataFrame, bucket: str = "6 hours", late: str = "1 day") -> DataFrame:
@@ -110,12 +129,7 @@ def day_sink(stream: DataFrame, path: str, checkpoint: str, day: str = "day", ti
 
 def run_to_end(stream: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     """Runs a stream over what is there and returns what it wrote. folder is shared by all executors."""
-    return spark.read.schema(stream.schema).parquet(written(stream, folder))
-
-
-def written(stream: DataFrame, folder: str) -> str:
-    """As run_to_end, but returns where the rows lie, for another stream to read."""
     root = f"{folder}/stream-{uuid.uuid4().hex}"
     query = stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return f"{root}/out"
+    return spark.read.schema(stream.schema).parquet(f"{root}/out")
