@@ -59,7 +59,7 @@ def _stock_board(s: Shop) -> DataFrame:
 def _titles(s: Shop) -> DataFrame:
     """Texts as titles, filed under a category and a brand's strategy by number; the source stands for the raw category."""
     kinds = F.array(*map(F.lit, KINDS))
-    return s.table("documents").select("doc_id", "text", "source", F.element_at(kinds, (F.col("doc_id") % len(KINDS) + 1).cast("int")).alias("kind"), F.element_at(F.array(*map(F.lit, STRATEGIES)), (F.floor(F.col("doc_id") / len(KINDS)) % 4 + 1).cast("int")).alias("strategy"))
+    return s.dealt("documents", "doc_id", "text", "source").select("*", F.element_at(kinds, (F.col("doc_id") % len(KINDS) + 1).cast("int")).alias("kind"), F.element_at(F.array(*map(F.lit, STRATEGIES)), (F.floor(F.col("doc_id") / len(KINDS)) % 4 + 1).cast("int")).alias("strategy"))
 
 
 KINDS = ["shirts", "jeans", "dresses", "jackets", "underwear", "swimwear", "bags"]
@@ -99,7 +99,7 @@ QUERIES = {
     "i38_supply_gaps": lambda s: O.supply_gaps(_board(s)),
     "i44_conflicts": lambda s: O.cross_conflicts(_board(s), _stock_board(s)),
     "i45_weekly_diff": lambda s: O.weekly_diff(_launches(s), _moves(s), B.market_temperature(s.stock_events, AS_OF), 3, 10, 5.0),
-    "d03_breadcrumb_category": lambda s: s.table("documents").select("doc_id", T.breadcrumb_category(F.col("lang"), F.col("source"), F.col("text")).alias("category")),
+    "d03_breadcrumb_category": lambda s: s.dealt("documents", "doc_id", "lang", "source", "text").select("doc_id", T.breadcrumb_category(F.col("lang"), F.col("source"), F.col("text")).alias("category")),
     "d10_stamp_colors": lambda s: T.stamp_colors(s.catalogue.select("product_id", F.col("product_name").alias("color"), F.lit(None).cast("string").alias("color_family"), F.lit(None).cast("string").alias("color_shade")), T.seed_colors(s.catalogue.select(F.col("product_name").alias("color")), s.spark.createDataFrame([], "color_raw string"))).select("product_id", "color_family", "color_shade"),
     "d12_translate_color": lambda s: s.catalogue.select("product_id", *[T.translate_color(_foreign(names), language).alias(language) for language, names in (("ar", R.ARABIC_COLORS), ("tr", R.TURKISH_COLORS))]),
     "d13_color_from_title": lambda s: _titles(s).select("doc_id", T.color_from_title(F.col("strategy"), F.col("text")).alias("color")),

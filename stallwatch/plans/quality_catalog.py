@@ -46,7 +46,7 @@ def _rebased(s: Shop):
 
 
 QUERIES = {
-    "d01_normalize_category": lambda s: s.table("documents").select("doc_id", T.normalize_category(F.col("text")).alias("category"), T.normalize_gender(F.col("text"), F.col("source"), ("src1", "src2")).alias("gender")),
+    "d01_normalize_category": lambda s: s.dealt("documents", "doc_id", "text", "source").select("doc_id", T.normalize_category(F.col("text")).alias("category"), T.normalize_gender(F.col("text"), F.col("source"), ("src1", "src2")).alias("gender")),
     "d03_breadcrumb_gender": lambda s: s.catalogue.select("product_id", T.breadcrumb_gender(F.element_at(F.array(*map(F.lit, (" Man", "WOMAN", "children", "home", None))), (F.col("p_size") % 5 + 1).cast("int")), F.col("gender")).alias("gender")),
     "d04_rescue_category": lambda s: s.table("documents").select("doc_id", T.rescue_category(F.lit("uncategorized"), F.col("text"), F.col("source")).alias("category")),
     "d05_subcategory": lambda s: s.catalogue.select("product_id", T.subcategory(F.lit("jeans"), F.concat_ws(" ", "product_name", F.when(F.col("p_size") % 2 == 0, F.lit("Slim fit")).otherwise(F.lit("boot-cut"))), F.when(F.col("p_size") % 7 == 0, F.lit("known"))).alias("subcategory")),
@@ -54,7 +54,7 @@ QUERIES = {
     "d07_classify_size": lambda s: T.apply_sizes(_sized(s).drop("cut"))[0],
     "d08_size_review_queue": lambda s: T.apply_sizes(_sized(s).drop("cut"))[1],
     "d09_seed_colors": lambda s: T.seed_colors(s.catalogue.select(F.col("product_name").alias("color")), s.spark.createDataFrame([("small ring",)], "color_raw string")),
-    "d11_canonical_color": lambda s: s.table("documents").select("doc_id", T.canonical_color(F.col("text")).alias("color")),
+    "d11_canonical_color": lambda s: s.dealt("documents", "doc_id", "text").select("doc_id", T.canonical_color(F.col("text")).alias("color")),
     "d24_drop_excluded": lambda s: T.drop_excluded(s.catalogue, s.spark.createDataFrame([("Brand#11", "all"), ("Brand#12", "stock")], "brand string, scope string"), "stock").select("product_id", "brand", "p_size"),
     "j01_freshness": lambda s: Q.freshness(s.stock_events, "event_date", AS_OF),
     "j02_volume_drop": lambda s: Q.volume_drop(s.snapshots, AS_OF),
