@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from stallwatch.llm import oracle
 from stallwatch.llm.decontamination import contaminated, find_contamination
+from stallwatch.llm.lexical_search import search
 from stallwatch.llm.neardup import near_duplicates
+from stallwatch.llm.order_minhash import fingerprint_documents
 from stallwatch.llm.packing import pack
 from stallwatch.llm.pii import find_personal_data
 from stallwatch.llm.quality_grades import fit_grades, grade_documents
@@ -17,6 +19,7 @@ from stallwatch.llm.secrets import scan_secrets
 from stallwatch.llm.substrings import remove_repeats
 from stallwatch.llm.toxicity import fit_toxicity, score_toxicity
 from stallwatch.llm.warc import round_trip
+from stallwatch.llm.whitening import whiten
 
 #: A vocabulary file installed on every machine.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -74,6 +77,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(docs, fit_grades(docs, _table(spark, sf_dir, "labels")), keep=["doc_id"])
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -37,4 +37,18 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN n >= 100
 FROM f
 """
 
-SQL = {"op3_substring_dedup": OP3, "op4_decontamination": OP4, "op6_warc": OP6}
+OP11 = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce({_LOWER.format('text')}, ''), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+q AS (SELECT item_id, row_number() OVER () AS i, regexp_extract_all(coalesce({_LOWER.format('text')}, ''), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+size AS (SELECT count(*) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM d WHERE len(ws) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY ALL),
+asked AS (SELECT i, term, count(*) AS k FROM (SELECT i, unnest(ws) AS term FROM q) GROUP BY ALL),
+weight AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, size WHERE term IN (SELECT term FROM asked) GROUP BY term, n_docs),
+part AS (SELECT tf.r, tf.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * len(ws) * n_docs) // n_terms))) AS worth
+         FROM tf JOIN weight USING (term) JOIN d ON tf.r = d.r, size),
+score AS (SELECT i, r, CAST(sum(k * worth) AS BIGINT) AS score FROM asked JOIN part USING (term) GROUP BY i, r),
+ranked AS (SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM score JOIN d USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN q USING (i) WHERE rank <= 20
+"""
+
+SQL = {"op3_substring_dedup": OP3, "op4_decontamination": OP4, "op6_warc": OP6, "op11_lexical_search": OP11}
