@@ -13,3 +13,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not path and master != "local" and not master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return (path or "file://" + tempfile.mkdtemp(prefix="stallwatch-")).rstrip("/")
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Removes a folder, in whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

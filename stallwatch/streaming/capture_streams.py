@@ -1,102 +1,162 @@
 """Change capture on streams: keyed state turns observations into price and stock events as they arrive.
 
-A batch of observations meets the last row of each key from earlier batches in one window by key and time. The window
-sorts and spills inside Spark, so a key that holds much of a batch is never gathered in memory.
+State is Spark's own, one value per key in the RocksDB store with a changelog, so that a batch reads and writes the keys
+that it holds and no others. A key's state goes by an event-time timer once it is old.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from stallwatch.sources.shared import remove
 
 PRICE_EVENT = "product_id long, event_id long, recorded_at timestamp, price_before double, price_after double, direction string"
 STOCK_EVENT = "variant_id long, event_id long, recorded_at timestamp, event_type string, reason string"
-#: (observations, state or None) -> rows of the new events and of the next state, told apart by ``moved`` and ``last``.
-Step = Callable[[DataFrame, DataFrame | None], DataFrame]
-
-
-def _with_state(rows: DataFrame, state: DataFrame | None) -> DataFrame:
-    rows = rows.withColumn("new", F.lit(True))
-    return rows if state is None else rows.unionByName(state.withColumn("new", F.lit(False)), allowMissingColumns=True)
-
-
-def _moved_or_last(rows: DataFrame, moved: Column, window, horizon_days: int) -> DataFrame:
-    """Rows that are events, and each key's last row unless it lies more than horizon_days behind the latest of all."""
-    latest = rows.agg(F.max("recorded_at").alias("at")).first()["at"]  # one value
-    fresh = F.lit(True) if latest is None else F.col("recorded_at") >= F.lit(latest) - F.expr(f"INTERVAL {24 * horizon_days} HOURS")
-    last = F.lead("new").over(window).isNull() & fresh
-    return rows.withColumns({"moved": F.col("new") & F.coalesce(moved, F.lit(False)), "last": last}).where("moved or last")
-
-
-def price_changes(observations: DataFrame, state: DataFrame | None = None, ttl_days: int = 14, min_change: float = 0.01, late_days: int = 1) -> DataFrame:
-    """A row when a product's price moves by more than min_change. After ttl_days unseen a product starts anew.
-
-    observations: product_id, event_id, recorded_at, price; rows without a price are passed over. A row older than what
-    the state has seen of its product is held against other rows of its batch only. The state of a product goes when it is
-    ttl_days and late_days behind the latest row of all.
+#: Keyed state in RocksDB; a batch uploads what it has changed.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+_EPOCH = datetime(1970, 1, 1)
+
+
+@contextmanager
+def keyed_state(spark: SparkSession):
+    """Streams that start in here keep keyed state; the session's own settings come back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+class _Changes(StatefulProcessor):
+    """Holds a key's new rows against its last one, in the order of their times and ids.
+
+    Rows of a batch come in any order; they are kept as 25 bytes each until all of a key are there, so a key may hold much of a
+    batch, and a batch is bounded by its trigger. Rows older than the key's last one meet each other only.
     """
-    own = ["product_id", "event_id", "recorded_at", "price"]
-    rows = _with_state(observations.select(*own).where("price is not null"), None if state is None else state.select(*own))
-    w = Window.partitionBy("product_id").orderBy("recorded_at", "event_id")
-    rows = rows.withColumns({"price_before": F.lag("price").over(w), "seen": F.lag("recorded_at").over(w)})
-    alive = F.col("recorded_at") <= F.col("seen") + F.expr(f"INTERVAL {24 * ttl_days} HOURS")
-    return _moved_or_last(rows, alive & (F.abs(F.col("price") - F.col("price_before")) > min_change), w, ttl_days + late_days)
-
-
-def price_events(changes: DataFrame) -> DataFrame:
-    after, before = F.col("price"), F.col("price_before")
-    return changes.where("moved").select("product_id", "event_id", "recorded_at", before, after.alias("price_after"), F.when(after > before, "up").otherwise("down").alias("direction"))
 
-
-def stock_changes(observations: DataFrame, state: DataFrame | None = None, ttl_days: int = 400, late_days: int = 1) -> DataFrame:
-    """A row per change of a variant's stock flag; ``out_before`` says whether a stock-out came before it.
-
-    observations: variant_id, event_id, recorded_at, is_in_stock; rows without a flag are passed over. State goes as that
-    of prices does; a variant unseen for so long starts anew.
+    state_schema: str
+
+    def __init__(self, ttl_days: int):
+        self.ttl_millis = ttl_days * 86_400_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", self.state_schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        times, ids, values = array("q"), array("q"), array("d")
+        for row in rows:
+            times.append(row["micros"])
+            ids.append(row["event_id"])
+            values.append(row["value"])
+        known = self.last.get() if self.last.exists() else None
+        if known:
+            times.append(known[0])
+            ids.append(known[1])
+            values.append(known[2])
+        own = len(times) - 1 if known else -1
+        # Of equal times and ids the known row comes first.
+        order = sorted(range(len(times)), key=lambda i: (times[i], ids[i], i != own))
+        yield from self.changes(key[0], order, own, times, ids, values, known)
+        end = order[-1]
+        self.last.update((times[end], ids[end], values[end], *self.extra))
+        if not known:
+            self.handle.registerTimer(times[end] // 1000 + self.ttl_millis)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """A key has one timer. Rows that came since it was set move it on."""
+        if self.last.exists():
+            due = self.last.get()[0] // 1000 + self.ttl_millis
+            if due <= timerValues.getCurrentWatermarkInMs():
+                self.last.clear()
+            else:
+                self.handle.registerTimer(due)
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+class PriceChanges(_Changes):
+    state_schema = "micros long, event_id long, value double"
+    extra = ()
+
+    def __init__(self, ttl_days: int, min_change: float):
+        super().__init__(ttl_days)
+        self.min_change = min_change
+
+    def changes(self, key, order, own, times, ids, values, known) -> Iterator[Row]:
+        for before, i in zip(order, order[1:]):
+            fresh = times[i] - times[before] <= 1000 * self.ttl_millis
+            if i != own and fresh and abs(values[i] - values[before]) > self.min_change:
+                yield Row(product_id=key, event_id=ids[i], recorded_at=_time(times[i]), price_before=values[before], price_after=values[i], direction="up" if values[i] > values[before] else "down")
+
+
+class StockChanges(_Changes):
+    state_schema = "micros long, event_id long, value double, had_stockout boolean"
+
+    def changes(self, key, order, own, times, ids, values, known) -> Iterator[Row]:
+        gone = order[0] == own and known[3]
+        for before, i in zip(order, order[1:]):
+            if i == own:
+                gone = gone or known[3]
+            elif values[i] != values[before]:
+                back = values[i] == 1.0
+                yield Row(variant_id=key, event_id=ids[i], recorded_at=_time(times[i]), event_type="restock" if back else "stockout", reason="orphan_restock" if back and not gone else None)
+            gone = gone or (values[before] == 1.0 and values[i] == 0.0)
+        self.extra = (bool(gone),)
+
+
+def _time(micros: int) -> datetime:
+    return (_EPOCH + timedelta(microseconds=micros)).replace(tzinfo=timezone.utc)
+
+
+def _changes(observations: DataFrame, key: str, value: str, processor: StatefulProcessor, schema: str, late_days: int) -> DataFrame:
+    rows = observations.where(F.col(value).isNotNull() & F.col(key).isNotNull() & F.col("recorded_at").isNotNull()).withWatermark("recorded_at", f"{24 * late_days} hours")
+    rows = rows.select(key, "recorded_at", F.unix_micros("recorded_at").alias("micros"), F.coalesce("event_id", F.lit(0)).alias("event_id"), F.col(value).cast("double").alias("value"))
+    return rows.groupBy(key).transformWithState(processor, outputStructType=schema, outputMode="append", timeMode="EventTime")
+
+
+def price_changes(observations: DataFrame, ttl_days: int = 14, min_change: float = 0.01, late_days: int = 1) -> DataFrame:
+    """A stream of price events: a row when a product's price moves by more than min_change. After ttl_days unseen a product starts anew.
+
+    observations: a stream of product_id, event_id, recorded_at, price; rows without product, time or price are passed over. Rows
+    that are late_days or more behind the latest of the batches before are dropped; one that is late by less, but older than the product's
+    last, is held against other rows of its batch only. A product's state goes when it is ttl_days and late_days behind the latest row.
     """
-    own = ["variant_id", "event_id", "recorded_at", "is_in_stock"]
-    rows = _with_state(observations.select(*own).where("is_in_stock is not null"), None if state is None else state.select(*own, "had_stockout"))
-    if state is None:
-        rows = rows.withColumn("had_stockout", F.lit(None).cast("boolean"))
-    w = Window.partitionBy("variant_id").orderBy("recorded_at", "event_id")
-    flag, was = F.col("is_in_stock"), F.col("was")
-    rows = rows.withColumn("was", F.lag("is_in_stock").over(w)).withColumn("gone", F.coalesce("had_stockout", was & ~flag, F.lit(False)))
-    rows = rows.withColumns({"out_before": F.coalesce(F.max("gone").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)), "had_stockout": F.max("gone").over(w.rowsBetween(Window.unboundedPreceding, 0))})
-    return _moved_or_last(rows, was != flag, w, ttl_days + late_days)
-
+    return _changes(observations, "product_id", "price", PriceChanges(ttl_days, min_change), PRICE_EVENT, late_days)
 
-def stock_events(changes: DataFrame) -> DataFrame:
-    """Transitions, with the reason to distrust one: a restock before any stock-out."""
-    back = F.col("is_in_stock")
-    rows = changes.where("moved").withColumn("reason", F.when(back & ~F.col("out_before"), "orphan_restock"))
-    return rows.select("variant_id", "event_id", "recorded_at", F.when(back, "restock").otherwise("stockout").alias("event_type"), "reason")
 
+def stock_changes(observations: DataFrame, ttl_days: int = 400, late_days: int = 1) -> DataFrame:
+    """A stream of stock events: a row per change of a variant's stock flag, with the reason to distrust it, which a restock before
+    any stock-out has.
 
-def change_batches(step: Step, events: Callable[[DataFrame], DataFrame], root: str):
-    """A foreachBatch function that keeps state in tables under root, a folder that all executors share.
-
-    Batch N reads the state that batch N - 1 wrote and writes its events and its state to folders of its own, so one
-    that runs again changes nothing. Two states are kept, for even and for odd batches.
+    observations: a stream of variant_id, event_id, recorded_at, is_in_stock; rows and state go as those of prices do.
     """
+    return _changes(observations, "variant_id", "is_in_stock", StockChanges(ttl_days), STOCK_EVENT, late_days)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        state = batch.sparkSession.read.parquet(f"{root}/state/{(batch_id - 1) % 2}") if batch_id else None
-        changes = step(batch, state).persist()
-        events(changes).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
-        changes.where("last").drop("new", "moved", "last").write.mode("overwrite").parquet(f"{root}/state/{batch_id % 2}")
-        changes.unpersist()
 
-    return write
-
-
-def capture(observations: DataFrame, step: Step, events: Callable[[DataFrame], DataFrame], folder: str) -> str:
-    """Runs change capture over what a stream holds; returns where its events lie."""
-    root = f"{folder}/stream-{uuid.uuid4().hex}"
-    query = observations.writeStream.foreachBatch(change_batches(step, events, root)).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+def capture(changes: DataFrame, folder: str) -> str:
+    """Runs a stream of changes over what is there; returns where its events lie. folder is shared by all executors."""
+    root, spark = f"{folder}/stream-{uuid.uuid4().hex}", changes.sparkSession
+    with keyed_state(spark):
+        query = changes.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
+    remove(spark, f"{root}/checkpoint")
     return f"{root}/out"
 
 
@@ -132,4 +192,5 @@ def run_to_end(stream: DataFrame, spark: SparkSession, folder: str) -> DataFrame
     root = f"{folder}/stream-{uuid.uuid4().hex}"
     query = stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
+    remove(spark, f"{root}/checkpoint")
     return spark.read.schema(stream.schema).parquet(f"{root}/out")

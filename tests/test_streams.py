@@ -1,7 +1,7 @@
-"""Change capture over several batches: state carries over, batches may run again, keys go when they are old."""
+"""Change capture over several batches, with a restart from the checkpoint before each: state carries over, keys go when they are old."""
 
 import datetime as dt
-from functools import partial
+import os
 
 import numpy as np
 import pytest
@@ -50,28 +50,79 @@ def drawn():
     return rows
 
 
-@pytest.mark.parametrize("cuts", [(), (300, 600), (10, 11, 450, 899)])
+class Feed:
+    """A folder that a stream reads; each run is a query of its own that starts from the checkpoint of the one before."""
+
+    def __init__(self, spark, root, schema, changes):
+        self.spark, self.root, self.schema, self.changes, self.batches = spark, root, schema, changes, 0
+        os.makedirs(f"{root}/in")
+
+    def run(self, rows):
+        self.spark.createDataFrame(rows, self.schema).coalesce(1).write.mode("append").parquet(f"{self.root}/in")
+        stream = self.changes(self.spark.readStream.schema(self.schema).parquet(f"{self.root}/in"))
+        with C.keyed_state(self.spark):
+            query = stream.writeStream.format("parquet").option("path", f"{self.root}/out").option("checkpointLocation", f"{self.root}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query
+
+    def events(self):
+        return [tuple(r) for r in self.spark.read.parquet(f"{self.root}/out").collect()]
+
+    def state(self):
+        rows = self.spark.read.format("statestore").option("stateVarName", "last").load(f"{self.root}/checkpoint")
+        return {r["key"][0]: tuple(r["value"]) for r in rows.select("key", "value").collect()}
+
+
+@pytest.mark.parametrize("cuts", [(), (10, 450, 451)])
 def test_batches_equal_one_pass(spark, drawn, tmp_path, cuts):
     flags = [(p, e, t, None if v is None else v > 1) for p, e, t, v in drawn]
-    given = {"prices": (drawn, PRICE, C.price_changes, C.price_events, plain_prices), "stock": (flags, STOCK, C.stock_changes, C.stock_events, plain_stock)}
-    for name, (rows, schema, step, events, plain) in given.items():
-        root = f"{tmp_path}/{name}"
-        write = C.change_batches(step, events, root)
-        edges = [0, *cuts, len(rows)]
-        for k, (lo, hi) in enumerate(zip(edges, edges[1:])):
-            for _ in range(2):  # a batch that runs again
-                write(spark.createDataFrame(rows[lo:hi], schema), k)
-        got = [tuple(r) for r in spark.read.parquet(f"{root}/out").drop("batch_id").collect()]
+    for name, rows, schema, changes, plain in (("prices", drawn, PRICE, C.price_changes, plain_prices), ("stock", flags, STOCK, C.stock_changes, plain_stock)):
+        feed, edges = Feed(spark, f"{tmp_path}/{name}", schema, changes), [0, *cuts, len(rows)]
+        for lo, hi in zip(edges, edges[1:]):
+            feed.run(rows[lo:hi][::-1])  # in any order
+        got = feed.events()
         assert sorted(got, key=str) == sorted(plain(rows), key=str) and len(got) > 100
 
 
-def test_old_keys_go_and_late_rows_meet_no_state(spark):
-    step = partial(C.price_changes, ttl_days=2)
-    first = step(spark.createDataFrame([(1, 1, at(0), 5.0), (2, 2, at(90), 5.0), (3, 3, at(100), 5.0)], PRICE))
-    state = first.where("last")
-    assert {r.product_id for r in state.collect()} == {2, 3} and first.where("moved").count() == 0
-    then = step(spark.createDataFrame([(1, 4, at(101), 9.0), (2, 5, at(80), 9.0), (3, 6, at(101), 4.0)], PRICE), state)
-    assert [(r.product_id, r.price_before, r.price_after, r.direction) for r in C.price_events(then).collect()] == [(3, 5.0, 4.0, "down")]
-    assert {(r.product_id, r.price) for r in then.where("last").collect()} == {(1, 9.0), (2, 5.0), (3, 4.0)}
-    none = step(spark.createDataFrame([], PRICE))
-    assert none.count() == 0 and step(spark.createDataFrame([], PRICE), state).where("last").count() == 2
+def test_old_keys_go_and_late_rows_meet_no_state(spark, tmp_path):
+    feed = Feed(spark, str(tmp_path), PRICE, lambda rows: C.price_changes(rows, ttl_days=2))
+    feed.run([(1, 1, at(0), 5.0), (2, 2, at(90), 5.0), (3, 3, at(100), 5.0)])
+    assert feed.events() == [] and set(feed.state()) == {2, 3}  # 1 is two days and a day behind the latest
+    feed.run([(1, 4, at(101), 9.0), (2, 5, at(80), 9.0), (3, 6, at(101), 4.0)])
+    assert [(r[0], *r[3:]) for r in feed.events()] == [(3, 5.0, 4.0, "down")]  # 2's row is late and meets no state
+    assert {k: v[2] for k, v in feed.state().items()} == {1: 9.0, 2: 5.0, 3: 4.0}
+    feed.run([(2, 7, at(60), 1.0), (2, 8, at(91), 6.0), (3, 9, at(180), 4.0)])  # 60 is behind the watermark
+    assert sorted((r[0], *r[3:]) for r in feed.events()) == [(2, 5.0, 6.0, "up"), (3, 5.0, 4.0, "down")]
+    assert set(feed.state()) == {3}
+
+
+def test_had_stockout_is_kept(spark, tmp_path):
+    feed = Feed(spark, str(tmp_path), STOCK, C.stock_changes)
+    feed.run([(1, 1, at(0), False), (1, 2, at(1), True), (2, 3, at(1), True)])
+    feed.run([(1, 4, at(2), False), (2, 5, at(2), False)])
+    feed.run([(1, 6, at(3), True), (2, 7, at(3), True)])
+    got = sorted((r[0], r[1], r[3], r[4]) for r in feed.events())
+    assert got == [(1, 2, "restock", "orphan_restock"), (1, 4, "stockout", None), (1, 6, "restock", None), (2, 5, "stockout", None), (2, 7, "restock", None)]
+    assert {k: v[3] for k, v in feed.state().items()} == {1: True, 2: True}
+
+
+def test_a_batch_costs_its_own_keys(spark, tmp_path):
+    feed = Feed(spark, str(tmp_path), PRICE, C.price_changes)
+
+    def written():
+        return {f"{d}/{f}": os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(f"{tmp_path}/checkpoint/state") for f in names if f.endswith((".changelog", ".delta", ".zip", ".sst"))}
+
+    feed.run([(k, k, at(0), float(k % 7)) for k in range(20_000)])
+    before = written()
+    progress = feed.run([(k, 30_000 + k, at(5), 9.0) for k in range(50)]).lastProgress
+    grown = sum(size - before.get(path, 0) for path, size in written().items() if before.get(path) != size)
+    assert 0 < grown < sum(before.values()) / 20, (grown, sum(before.values()))
+    assert len(feed.events()) == 50 and len(feed.state()) == 20_000
+    assert "RocksDB" in str(progress["stateOperators"][0]["customMetrics"]) or any("rocksdb" in k for k in progress["stateOperators"][0]["customMetrics"])
+
+
+def test_the_session_keeps_its_own_settings(spark):
+    before = {k: spark.conf.get(k, None) for k in C.STATE_STORE}
+    with C.keyed_state(spark):
+        assert {k: spark.conf.get(k) for k in C.STATE_STORE} == C.STATE_STORE
+    assert {k: spark.conf.get(k, None) for k in C.STATE_STORE} == before
