@@ -5,12 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallwatch.functions.columns import percent, round_to, upper_median
+from stallwatch.functions.columns import percent, round_to
+from stallwatch.operators.selection import order_statistics
 
 
 def representative_prices(variants: DataFrame, keys: list[str]) -> DataFrame:
-    """Upper median of positive prices per key; the values of one product are few."""
-    return variants.groupBy(*keys).agg(upper_median(F.collect_list("price")).alias("repr_price"))
+    """Upper median of positive prices per key, not interpolated; null where a key has none."""
+    return _upper_medians(variants, keys, "price", "repr_price")
+
+
+def representative_baselines(variants: DataFrame, keys: list[str]) -> DataFrame:
+    """The same of the variants' first observed prices."""
+    return _upper_medians(variants, keys, "first_observed_price", "repr_baseline")
+
+
+def _upper_medians(variants: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    good = variants.select(*keys, F.when(F.col(value) > 0, F.col(value)).alias("value"))
+    found = order_statistics(good, keys, "value", lambda n: [F.floor(n / 2)]).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("values")[0].alias(name))
+    groups = variants.select(*keys).distinct()
+    return groups.join(found, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left").select(*keys, name)
 
 
 def daily_snapshots(observations: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallwatch.functions.columns import first_match, percent, read_bands, round_to, window_of
+from stallwatch.operators.selection import exact_percentiles
 from stallwatch.operators.taxonomy import classify_size
 
 
@@ -68,8 +69,9 @@ def replenishment_benchmark(stock: DataFrame, as_of: str, min_cycles: int = 30,
     w = Window.partitionBy("variant_id").orderBy("recorded_at", "event_id")
     rows = stock.where("witnessed and event_type in ('stockout', 'restock')").withColumns({"next_type": F.lead("event_type").over(w), "next_at": F.lead("recorded_at").over(w)})
     cycles = rows.where("event_type = 'stockout' and next_type = 'restock'").select("brand", ((F.unix_timestamp("next_at") - F.unix_timestamp("recorded_at")) / 86400.0).alias("days"))
-    market = cycles.agg(round_to(F.percentile("days", F.lit(0.5))).alias("market_median_days"))
-    own = cycles.groupBy("brand").agg(F.count("*").alias("cycles"), round_to(F.percentile("days", F.lit(0.5))).alias("median_replen_days")).where(F.col("cycles") >= min_cycles)
+    median = lambda keys: exact_percentiles(cycles, keys, "days", [0.5])
+    market = median([]).select(round_to(F.col("q")[0]).alias("market_median_days"))
+    own = median(["brand"]).where(F.col("n") >= min_cycles).select("brand", F.col("n").alias("cycles"), round_to(F.col("q")[0]).alias("median_replen_days"))
     ratio = round_to(F.col("median_replen_days") / F.nullif("market_median_days", F.lit(0.0)))
     rows = own.crossJoin(F.broadcast(market)).withColumn("vs_market_ratio", ratio)  # one row
     return rows.select("*", first_match([(F.col("vs_market_ratio") <= fast, "fast"), (F.col("vs_market_ratio") >= slow, "slow")], "typical").alias("replenishment_read"), _day(as_of))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallwatch.functions.columns import latest_per, percent, round_to, window_of
+from stallwatch.operators.selection import exact_percentiles
 
 WHO = ["product_id", "brand", "product_name", "category_normalized"]
 PLACE = ["product_id", "brand", "product_name", "department", "category_normalized", "subcategory"]
@@ -103,28 +104,29 @@ def variant_stockout_suppressed(stock: DataFrame, as_of: str, window_days: int =
     return _stockout_groups(stock, as_of, window_days).where(F.col("stockout_events") < min_events).agg(F.count("*").alias("suppressed"))
 
 
-def _restock_groups(stock: DataFrame, as_of: str, window_days: int) -> DataFrame:
+def _restock_groups(stock: DataFrame, as_of: str, window_days: int) -> tuple[DataFrame, DataFrame]:
+    """The window's stock-outs with their restock_days, and their groups."""
     w = Window.partitionBy("variant_id").orderBy("recorded_at", "event_id")
     rows = stock.where("witnessed and event_type in ('stockout', 'restock')").withColumns({"next_type": F.lead("event_type").over(w), "next_at": F.lead("recorded_at").over(w)})
     rows = window_of(rows.where("event_type = 'stockout'"), "event_date", as_of, window_days)
     days = F.when(F.col("next_type") == "restock", (F.unix_timestamp("next_at") - F.unix_timestamp("recorded_at")) / 86400.0)
-    rows = rows.withColumn("restock_days", days)
-    out = rows.groupBy("brand", F.coalesce("category_normalized", F.lit("uncategorized")).alias("category_normalized")).agg(
-        F.count("restock_days").alias("closed_pairs"), (F.count("*") - F.count("restock_days")).alias("open_stockouts"), F.percentile("restock_days", F.array(*map(F.lit, (0.5, 0.25, 0.75)))).alias("q"), F.min("restock_days").alias("fastest"), F.countDistinct("event_date").alias("observed_days"),
-    )
-    return out
+    keys = ["brand", "category_normalized"]
+    rows = rows.select("brand", F.coalesce("category_normalized", F.lit("uncategorized")).alias("category_normalized"), "event_date", days.alias("restock_days"))
+    return rows, rows.groupBy(*keys).agg(F.count("restock_days").alias("closed_pairs"), (F.count("*") - F.count("restock_days")).alias("open_stockouts"), F.min("restock_days").alias("fastest"), F.countDistinct("event_date").alias("observed_days"))
 
 
 def variant_restock(stock: DataFrame, as_of: str, window_days: int = 30, min_closed: int = 5) -> DataFrame:
     """Time from stock-out to restock; open stock-outs are counted beside the medians, as they are censored."""
-    rows = _restock_groups(stock, as_of, window_days).where(F.col("closed_pairs") >= min_closed)
+    pairs, groups = _restock_groups(stock, as_of, window_days)
+    times = exact_percentiles(pairs, ["brand", "category_normalized"], "restock_days", [0.5, 0.25, 0.75]).select(F.col("brand").alias("__brand"), F.col("category_normalized").alias("__category"), "q")
+    rows = groups.where(F.col("closed_pairs") >= min_closed).join(times, F.col("brand").eqNullSafe(F.col("__brand")) & (F.col("category_normalized") == F.col("__category")))
     names = ("median_restock_days", "p25_restock_days", "p75_restock_days")
     total = F.col("closed_pairs") + F.col("open_stockouts")
     return rows.select(F.lit(as_of).cast("date").alias("snapshot_date"), "brand", "category_normalized", "closed_pairs", "open_stockouts", percent(F.col("closed_pairs"), total).alias("completion_rate_pct"), *[round_to(F.col("q")[i]).alias(n) for i, n in enumerate(names)], round_to(F.col("fastest")).alias("fastest_restock_days"), "observed_days", F.lit(window_days).alias("window_days"))
 
 
 def variant_restock_suppressed(stock: DataFrame, as_of: str, window_days: int = 30, min_closed: int = 5) -> DataFrame:
-    return _restock_groups(stock, as_of, window_days).where(F.col("closed_pairs") < min_closed).agg(F.count("*").alias("suppressed"))
+    return _restock_groups(stock, as_of, window_days)[1].where(F.col("closed_pairs") < min_closed).agg(F.count("*").alias("suppressed"))
 
 
 def current_sizes(stock: DataFrame) -> DataFrame:
@@ -209,12 +211,19 @@ def restock_density(stock: DataFrame, as_of: str, window_days: int = 90) -> Data
 
 
 def flash_events(events: DataFrame, horizon: str = "24 hours") -> DataFrame:
-    """Cuts that some rise of the same product follows within the horizon: the next rise decides, in one pass."""
-    micros = F.unix_micros("recorded_at")
-    w = Window.partitionBy("product_id").orderBy(micros).rangeBetween(1, Window.unboundedFollowing)
-    rows = events.withColumn("next_up", F.min(F.when(F.col("direction") == "up", micros)).over(w))
-    hours = int(horizon.split()[0])
-    return rows.where((F.col("direction") == "down") & (F.col("next_up") < micros + hours * 3_600_000_000)).drop("next_up")
+    """Cuts that some rise of the same product follows within the horizon.
+
+    Time is cut into bins of the horizon's length. A rise that counts lies in the cut's own bin or in the next, so rises
+    stand in their own bin and in the one before. Within a product's bin, latest first, the least time of the rises so far is
+    that of the next rise: one pass, and a product with very many events is dealt out by its bins.
+    """
+    micros, length = F.unix_micros("recorded_at"), int(horizon.split()[0]) * 3_600_000_000
+    rows = events.withColumns({"__at": micros, "__bin": F.floor(micros / length)}).withColumn("__up", F.col("direction") == "up")
+    rows = rows.withColumn("__own", F.explode(F.when(F.col("__up"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))))
+    rows = rows.withColumn("__bin", F.when(F.col("__own"), F.col("__bin")).otherwise(F.col("__bin") - 1))
+    later = Window.partitionBy("product_id", "__bin").orderBy(F.desc("__at")).rangeBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__next", F.min(F.when(F.col("__up"), F.col("__at"))).over(later))
+    return rows.where((F.col("direction") == "down") & (F.col("__next") < F.col("__at") + length)).select(*events.columns)
 
 
 def flag_flash_sales(events: DataFrame, now: str, lookback_hours: int = 48, horizon: str = "24 hours") -> DataFrame:

@@ -1,6 +1,7 @@
 """Rules on hand-made rows: the edges that the shop tables do not have."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -311,3 +312,25 @@ def test_settled_frames_are_read_from_the_shared_folder(spark, sf):
     shop.settle("products", "snapshots")
     assert "shop-" in shop.snapshots.inputFiles()[0] and "shop-" not in plain.snapshots.inputFiles()[0]
     assert shop.snapshots.exceptAll(plain.snapshots).count() == 0 and shop.snapshots.count() == plain.snapshots.count()
+
+
+def test_flash_events_against_plain_search(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, int(rng.integers(0, 3)), start + dt.timedelta(minutes=int(rng.integers(0, 9000))), str(rng.choice(["up", "down"], p=[0.1, 0.9]))) for i in range(400)]
+    rows += [(900, 9, start, "down"), (901, 9, start + dt.timedelta(hours=24), "up"), (902, 9, start, "up"), (903, 8, start, "down"), (904, 8, start + dt.timedelta(hours=24, microseconds=-1), "up")]
+    got = {r.event_id for r in signals.flash_events(spark.createDataFrame(rows, "event_id int, product_id int, recorded_at timestamp, direction string")).collect()}
+    day = dt.timedelta(hours=24)
+    want = {i for i, p, t, d in rows if d == "down" and any(q == p and e == "up" and t < u < t + day for _, q, u, e in rows)}
+    assert got == want and 903 in want and 900 not in want and 50 < len(want) < 350
+
+
+def test_flash_events_of_one_product_take_one_pass(spark):
+    """A million events of one product, every tenth a rise: all cuts but those after the last rise."""
+    n = 1_000_000
+    rows = spark.range(n).select(F.col("id").alias("event_id"), F.lit(1).alias("product_id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 7).alias("recorded_at"), F.when(F.col("id") % 10 == 9, "up").otherwise("down").alias("direction"))
+    begun = time.monotonic()
+    assert signals.flash_events(rows).count() == n * 9 // 10
+    assert time.monotonic() - begun < 60
