@@ -4,26 +4,31 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stallwatch.functions.columns import latest_per, round_to
+from stallwatch.sources.day_files import list_days
 
 
-def scan_days(spark: SparkSession, root: str, start: str, end: str, schema: T.StructType, day: str = "snapshot_date", defaults: dict | None = None) -> DataFrame:
-    """Day partitions from start to end; days that are missing are absent. Columns that older files lack get defaults."""
-    rows = spark.read.option("mergeSchema", True).parquet(root).where(F.col(day).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    for field in schema:
-        if field.name not in rows.columns:
-            rows = rows.withColumn(field.name, F.lit((defaults or {}).get(field.name)).cast(field.dataType))
-    return rows.select(*[F.coalesce(F.col(f.name), F.lit((defaults or {}).get(f.name)).cast(f.dataType)).alias(f.name) for f in schema])
+def stitch(hot: DataFrame, cold: DataFrame, id_col: str | list[str], day: str | None = None) -> DataFrame:
+    """Both tiers; of a row that is in both, the hot one. An anti join keeps filters pushable into either scan.
 
-
-def stitch(hot: DataFrame, cold: DataFrame, id_col: str | list[str]) -> DataFrame:
-    """Both tiers; of a row that is in both, the hot one. An anti join keeps filters pushable into either scan."""
+    day: the column that says which day a row belongs to, the same in both tiers. The tiers then meet only from the first hot
+    day on; the archive's older days pass without a join, and so without a shuffle.
+    """
     keys = [id_col] if isinstance(id_col, str) else id_col
-    return cold.join(hot.select(*keys), keys, "left_anti").unionByName(hot, allowMissingColumns=True)
+    if day is None:
+        return cold.join(hot.select(*keys), keys, "left_anti").unionByName(hot, allowMissingColumns=True)
+    older, seam = _seam(hot, cold, day)
+    return older.unionByName(stitch(hot, seam, id_col), allowMissingColumns=True)
+
+
+def _seam(hot: DataFrame, cold: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
+    """The archive before the first hot day, and from it on. One value is read for it."""
+    first = hot.agg(F.min(day)).first()[0]
+    bound = F.lit(first).cast("date")
+    return (cold, cold.where(F.lit(False))) if first is None else (cold.where(F.col(day) < bound), cold.where(F.col(day) >= bound))
 
 
 def between(df: DataFrame, day: str, end: str, days: int) -> DataFrame:
@@ -66,9 +71,15 @@ def hot_snapshots(snapshots: DataFrame, products: DataFrame, variants: DataFrame
 
 
 def _one_per_event(hot: DataFrame, cold: DataFrame, end: str, days: int) -> DataFrame:
-    """Events of the window from both tiers, one row per id: a hot one if there is one. The day bound reaches both scans."""
-    tiers = [between(df, "event_date", end, days).withColumn("__tier", F.lit(k)) for k, df in enumerate((hot, cold))]
-    return latest_per(tiers[0].unionByName(tiers[1], allowMissingColumns=True), ["event_id"], [F.asc("__tier")]).drop("__tier")
+    """Events of the window from both tiers, one row per id where the tiers overlap: a hot one if there is one.
+
+    The day bound reaches both scans. Days before the first hot one are the archive's own, where an id stands once, as days are merged by
+    it (``seam_check`` counts others); they are not shuffled.
+    """
+    hot, cold = between(hot, "event_date", end, days), between(cold, "event_date", end, days)
+    older, seam = _seam(hot, cold, "event_date")
+    tiers = hot.withColumn("__tier", F.lit(0)).unionByName(seam.withColumn("__tier", F.lit(1)), allowMissingColumns=True)
+    return latest_per(tiers, ["event_id"], [F.asc("__tier")]).drop("__tier").unionByName(older, allowMissingColumns=True)
 
 
 def stock_history(hot: DataFrame, cold: DataFrame, end: str, days: int = 90) -> DataFrame:
@@ -97,7 +108,7 @@ def seam_check(df: DataFrame, id_col: str, dead: tuple[str, ...] = ()) -> DataFr
 
 
 def days_available(df: DataFrame, day: str = "snapshot_date") -> int:
-    """How many days have rows: one small aggregate, used as a precondition."""
+    """How many days of a frame have rows, a precondition of signals. Of a table kept by days, ``day_files.list_days`` tells without a scan."""
     return df.agg(F.countDistinct(day)).first()[0]
 
 
@@ -122,7 +133,8 @@ def ad_hoc(spark: SparkSession, frames: dict[str, DataFrame], query: str, max_ro
     for name, frame in frames.items():
         frame.createOrReplaceTempView(name)
     rows = spark.sql(query).limit(max_rows + 1)
-    return rows.limit(max_rows), rows.count() > max_rows
+    found = rows.collect()  # max_rows and one at most
+    return spark.createDataFrame(found[:max_rows], rows.schema), len(found) > max_rows
 
 
 def replace_days(df: DataFrame, path: str, day: str = "snapshot_date", codec: str = "zstd") -> None:
@@ -132,27 +144,62 @@ def replace_days(df: DataFrame, path: str, day: str = "snapshot_date", codec: st
     df.repartition(day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", codec).partitionBy(day).parquet(path)
 
 
-def merge_days(incoming: DataFrame, path: str, id_col: str, staging: str, day: str = "snapshot_date", schema: T.StructType | None = None) -> int:
-    """Merges rows into their day partitions, incoming first; returns the verified number of rows of those days.
+def row_digests(columns: list[str], types: dict[str, str]) -> list[Column]:
+    """Three aggregates that say, whatever the order of rows, whether two tables hold the same rows: their number, and the xor and the
+    sum of two hashes of each. Values are hashed with their places; a null is a value of its own. Maps are hashed by their sorted entries."""
+    values = [F.array_sort(F.map_entries(c)) if types[c].startswith("map") else F.col(c) for c in sorted(columns)]
+    gone = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), "1").otherwise("0") for c in sorted(columns)])
+    one, two = F.xxhash64(gone, *values), F.xxhash64(F.lit("again"), *values, gone)
+    return [F.count(F.lit(1)).alias("n_rows"), F.bit_xor(one).alias("xor_digest"), F.sum(two.cast("decimal(38,0)")).cast("string").alias("sum_digest")]
+
+
+def day_digests(df: DataFrame, day: str = "snapshot_date", columns: list[str] | None = None) -> DataFrame:
+    """day, n_rows, xor_digest, sum_digest of each day: equal digests mean equal rows, in whatever order and files they lie."""
+    columns = [c for c in columns or df.columns if c != day]
+    return df.groupBy(day).agg(*row_digests(columns, dict(df.dtypes)))
+
+
+def differing_days(want: DataFrame, have: DataFrame, day: str = "snapshot_date") -> list:
+    """Days of ``want`` whose rows ``have`` does not hold just so. Both are compared in the columns of ``want``; one row a day comes back."""
+    found = day_digests(have, day, want.columns).select(F.col(day).alias("__day"), *[F.col(c).alias(f"__{c}") for c in ("n_rows", "xor_digest", "sum_digest")])
+    same = F.lit(True)
+    for c in ("n_rows", "xor_digest", "sum_digest"):
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    rows = day_digests(want, day).join(found, F.col(day) == F.col("__day"), "left").where(~same)
+    return [r[0] for r in rows.select(day).collect()]
+
+
+def read_days(spark: SparkSession, root: str, days: list, day: str = "snapshot_date") -> DataFrame | None:
+    """Some days of a table, None if it has none of them; no other day is opened. Columns that only some of their files have are kept."""
+    paths = [p for d, p in list_days(spark, root, day) if d in set(days)]
+    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths) if paths else None
+
+
+def days_of(df: DataFrame, day: str) -> list:
+    return [r[0] for r in df.select(day).where(F.col(day).isNotNull()).distinct().collect()]  # one row a day
+
+
+def merge_days(incoming: DataFrame, path: str, id_col: str | list[str], staging: str, day: str = "snapshot_date") -> list:
+    """Merges rows into their day partitions, incoming first; returns the days whose rows were found in the table just as merged.
 
-    The merged days are written beside the table, counted again and only then swapped in.
+    The merged days are written beside the table, which counts and digests them as they pass, read again and only then swapped
+    in; the digest of each day is compared once more in the table. Only the days of ``incoming`` are read or written.
     """
-    spark = incoming.sparkSession
-    days = incoming.select(day).distinct()
-    try:
-        existing = spark.read.parquet(path).join(F.broadcast(days), day, "left_semi")
-        merged = existing.join(incoming.select(id_col), id_col, "left_anti").unionByName(incoming, allowMissingColumns=True)
-    except Exception as e:  # no table yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        merged = incoming
-    merged.write.mode("overwrite").parquet(staging)
+    spark, keys = incoming.sparkSession, [id_col] if isinstance(id_col, str) else id_col
+    days = days_of(incoming, day)
+    existing = read_days(spark, path, days, day)
+    merged = incoming if existing is None else existing.join(incoming.select(*keys), keys, "left_anti").unionByName(incoming, allowMissingColumns=True)
+    merged = merged.where(F.col(day).isNotNull())
+    if not days:
+        return []
+    passed, digests = Observation(), row_digests(merged.columns, dict(merged.dtypes))
+    merged.observe(passed, *digests).write.mode("overwrite").parquet(staging)
     staged = spark.read.parquet(staging)
-    want, have = merged.count(), staged.count()
-    if want != have:
-        raise RuntimeError(f"staged {have} rows of {want}")
+    if staged.agg(*digests).first().asDict() != passed.get:
+        raise RuntimeError(f"{staging} does not hold the rows that were merged")
     replace_days(staged, path, day)
-    return have
+    bad = set(differing_days(staged, read_days(spark, path, days, day), day))
+    return [d for d in days if d not in bad]
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -10,57 +10,67 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stallwatch.operators.lake import days_available, merge_days, replace_days
+from stallwatch.operators.lake import days_available, days_of, differing_days, merge_days, read_days, replace_days
+from stallwatch.sources.shared import remove
 
 
-def archive_days(hot: DataFrame, root: str, staging: str, id_col: str, as_of: str, keep_days: int, day: str = "snapshot_date", dry_run: bool = False) -> DataFrame:
+def archive_days(hot: DataFrame, root: str, staging: str, id_col: str, as_of: str, keep_days: int, day: str = "snapshot_date", dry_run: bool = False, context: DataFrame | None = None, context_keys: list[str] = ()) -> DataFrame:
     """Moves rows older than keep_days to their day partitions; returns the hot rows that stay.
 
-    A row leaves the hot tier only if its id is found in the archive when that is read again.
+    A day's rows leave the hot tier only if the archive, read again, holds that day just as it was merged, by the digest of its rows; rows of
+    other days stay. Rows without a day stay. context: what is archived along with each row, such as its product's name and category, by
+    context_keys, one row per key; rows without context are archived with nulls.
     """
     old = hot.where(F.col(day) < F.date_sub(F.lit(as_of).cast("date"), keep_days))
     if dry_run or old.isEmpty():
         return hot
-    merge_days(old, root, id_col, staging, day)
-    archived = hot.sparkSession.read.parquet(root).select(id_col)
-    gone = old.select(id_col).join(archived, id_col, "left_semi")
-    return hot.join(gone, id_col, "left_anti")
+    rich = old if context is None else old.join(context, list(context_keys), "left")
+    proven = merge_days(rich, root, id_col, staging, day)
+    gone = (F.col(day) < F.date_sub(F.lit(as_of).cast("date"), keep_days)) & F.col(day).isin(proven)
+    return hot.where(~F.coalesce(gone, F.lit(False)))
 
 
 def archive_results(df: DataFrame, root: str, as_of: str, keep_days: int, unique_on: list[str] | None = None, day: str = "snapshot_date") -> DataFrame:
     """Archives whole days of a result table. Tables whose rows carry the event's own day are merged on unique_on,
     as later runs rewrite earlier days; others overwrite the day. Returns the rows that stay, once the archive, read
-    again, holds as many rows of those days as were to be written; raises if it does not."""
+    again for these days, holds just the rows that were to be written; raises if it does not."""
     old = df.where(F.col(day) < F.date_sub(F.lit(as_of).cast("date"), keep_days))
-    if old.isEmpty():
+    days = days_of(old, day)
+    if not days:
         return df
+    spark = df.sparkSession
     if unique_on:
-        spark, staged = df.sparkSession, f"{root}__staged"
-        try:
-            before = spark.read.parquet(root).join(F.broadcast(old.select(day).distinct()), day, "left_semi").join(old.select(*unique_on), unique_on, "left_anti")
-            old = before.unionByName(old, allowMissingColumns=True)
-        except Exception as e:  # no archive yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        old.write.mode("overwrite").parquet(staged)
-        old = spark.read.parquet(staged)
-    replace_days(old, root, day)
-    days = old.groupBy(day).agg(F.count("*").alias("want"))
-    have = df.sparkSession.read.parquet(root).groupBy(day).agg(F.count("*").alias("have"))
-    short = days.join(have, day, "left").where(~F.col("want").eqNullSafe(F.col("have")))
-    if not short.isEmpty():
-        raise RuntimeError(f"the archive of {short.count()} days is not whole")
+        short = set(days) - set(merge_days(old, root, unique_on, f"{root}__staged", day))
+    else:
+        replace_days(old, root, day)
+        have = read_days(spark, root, days, day)
+        short = days if have is None else differing_days(old, have, day)
+    if short:
+        raise RuntimeError(f"the archive of {len(short)} days is not whole")
     return df.where(F.col(day).isNull() | (F.col(day) >= F.date_sub(F.lit(as_of).cast("date"), keep_days)))
 
 
-def repartition_by_day(source: DataFrame, root: str, id_cols: list[str] | None, day: str = "snapshot_date") -> int:
-    """Files of several days become one partition per day, without repeats: by ids, or by whole rows. Returns the verified count."""
+def repartition_by_day(source: DataFrame, root: str, id_cols: list[str] | None, day: str = "snapshot_date", legacy: list[str] = ()) -> int:
+    """Files of several days become one partition per day, without repeats: by ids, or by whole rows. Returns the number of rows.
+
+    Every day is proven by the digest of its rows before the files named in ``legacy`` are removed.
+    """
+    spark = source.sparkSession
     rows = source.dropDuplicates(id_cols) if id_cols else source.dropDuplicates()
+    staging = f"{root.rstrip('/')}__staged"
+    rows.write.mode("overwrite").parquet(staging)  # which of the repeats stays is settled here
+    rows = spark.read.parquet(staging)
+    days = days_of(rows, day)
+    if not days:
+        return 0
     replace_days(rows, root, day)
-    have, want = source.sparkSession.read.parquet(root).join(F.broadcast(rows.select(day).distinct()), day, "left_semi").count(), rows.count()
-    if have != want:
-        raise RuntimeError(f"{have} rows written of {want}")
-    return have
+    have = read_days(spark, root, days, day)
+    bad = days if have is None else differing_days(rows, have, day)
+    if bad:
+        raise RuntimeError(f"{len(bad)} days of {root} do not hold what was written")
+    for path in legacy:
+        remove(spark, path)
+    return rows.count()
 
 
 def recompress(spark: SparkSession, source: str, target: str, codec: str = "snappy") -> int:

@@ -183,12 +183,3 @@ def substrate(products: DataFrame, variants: DataFrame, snapshots: DataFrame) ->
         .unionByName(long(variants, variants=F.count("*"), delisted_in_stock=F.count_if(F.col("delisted_at").isNotNull() & F.col("is_in_stock")), missing_baseline=missing, baseline_coverage_pct=percent(F.count("*") - missing, F.count("*"))))
         .unionByName(long(snapshots, snapshots=F.count("*"), snapshot_brands=F.countDistinct("brand"), bad_prices=F.count_if(F.col("price") <= 0)))
     )
-
-
-def cold_depth(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Days that each table holds, first and last; on day-partitioned tables only the partitions are read."""
-    frames = [df.agg(F.lit(name).alias("table"), F.countDistinct(c).alias("days"), F.min(c).alias("earliest"), F.max(c).alias("latest")) for name, (df, c) in tables.items()]
-    rows = frames[0]
-    for f in frames[1:]:
-        rows = rows.unionByName(f)
-    return rows

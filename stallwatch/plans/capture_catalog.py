@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from stallwatch.operators import capture as C
 from stallwatch.operators import lake as L
+from stallwatch.operators.maintenance import archive_days
 from stallwatch.operators.signals import flag_flash_sales
 from stallwatch.plans.base_sql import AS_OF as D
 from stallwatch.plans.base_sql import pct, r, twin
+from stallwatch.sources.day_files import scan_days
+from stallwatch.sources.shared import shared_folder
 from stallwatch.sources.shop import AS_OF, DELIST_AS_OF, Shop
 
 
@@ -51,7 +56,7 @@ def _hot_parts(shop: Shop):
 def _seam(shop: Shop):
     """Both tiers as they lie, with two days in each, and stitched."""
     hot, cold = _tiers(shop)
-    both = {"as they lie": L.union_all([hot, cold]), "stitched": L.stitch(hot, cold, "event_id")}
+    both = {"as they lie": L.union_all([hot, cold]), "stitched": L.stitch(hot, cold, "event_id", "snapshot_date")}
     return L.union_all([L.seam_check(df.withColumn("discount_pct", F.when(F.col("price") < 0, 0.0)), "event_id", ("discount_pct",)).withColumn("tiers", F.lit(name)) for name, df in both.items()])
 
 
@@ -86,8 +91,43 @@ def _alerts(shop: Shop, events=None):
     return C.match_alerts(drops, users, sizes.join(brands.join(sold, "brand").select("user_id", "category"), "user_id"), brands)  # a size for each category of the brand that is followed
 
 
+def _written(shop: Shop, name: str, rows, day: str) -> str:
+    """A frame as a table of days in the shared folder."""
+    root = f"{shared_folder(shop.spark)}/stallwatch/{name}-{uuid.uuid4().hex}"
+    L.replace_days(rows, root, day)
+    return root
+
+
+def _snapshot_days(shop: Shop):
+    """The last month of an archive whose first days lack the advertised price and which misses a day."""
+    rows = shop.snapshots.select("product_id", "brand", "price", "compare_at_price", "snapshot_date").where("snapshot_date <> '2024-01-20'")
+    root = _written(shop, "snapshots", rows.where("snapshot_date >= '2024-01-15'"), "snapshot_date")
+    L.replace_days(rows.drop("compare_at_price").where("snapshot_date < '2024-01-15'"), root, "snapshot_date")
+    return scan_days(shop.spark, root, "2024-01-10", AS_OF, rows.schema, defaults={"compare_at_price": 0.0})
+
+
+def _event_days(shop: Shop):
+    """Archived stock events of which the first days do not say whether they were witnessed, nor why they are distrusted."""
+    rows = shop.stock_events.select("event_id", "variant_id", "event_type", "witnessed", "event_date").withColumn("seed_reason", F.when(F.col("event_type") == "delisted", "not_a_stock_transition"))
+    root = _written(shop, "stock-events", rows.where("event_date >= '2024-01-15'"), "event_date")
+    L.replace_days(rows.drop("witnessed", "seed_reason").where("event_date < '2024-01-15'"), root, "event_date")
+    return scan_days(shop.spark, root, "2024-01-05", AS_OF, rows.schema, "event_date", {"witnessed": False})
+
+
+def _archived(shop: Shop):
+    """What stays hot and what the archive holds after snapshots older than two weeks have moved, with their products' names."""
+    hot = shop.snapshots.select("product_id", "snapshot_date", "price")
+    root = f"{shared_folder(shop.spark)}/stallwatch/archive-{uuid.uuid4().hex}"
+    left = archive_days(hot, root, f"{root}__staged", ["product_id", "snapshot_date"], AS_OF, 14, context=shop.catalogue.where("p_size > 5").select("product_id", "product_name"), context_keys=["product_id"])
+    cold = shop.spark.read.parquet(root).select("product_id", "snapshot_date", "price", "product_name", F.lit("cold").alias("tier"))
+    return cold.unionByName(left.withColumns({"product_name": F.lit(None).cast("string"), "tier": F.lit("hot")}))
+
+
 QUERIES = {
-    "b01_stitch": lambda s: L.stitch(*_tiers(s), "event_id"),
+    "a01_scan_snapshot_days": _snapshot_days,
+    "a03_scan_event_days": _event_days,
+    "k01_archive_days": _archived,
+    "b01_stitch": lambda s: L.stitch(*_tiers(s), "event_id", "snapshot_date"),
     "b02_discounts": lambda s: s.snapshots.select("product_id", "snapshot_date", "honest_discount_pct", "brand_claimed_discount_pct"),
     "b04_quarantine": lambda s: L.quarantine(s.snapshots, s.catalogue.where("p_size > 40").select("brand", F.lit("2024-01-12").cast("date").alias("until")), "snapshot_date").select("product_id", "brand", "snapshot_date", "price"),
     "b05_variant_baselines": lambda s: L.variant_baselines(_variants(s)[0], s.shelf.withColumn("is_active", F.col("last_seen") >= F.lit("2001-06-01").cast("date")), ("Brand#11",)).select("variant_id", "product_id", "brand", "first_observed_price", "size_level_reliable"),
@@ -100,6 +140,7 @@ QUERIES = {
     "a07_archive_summary": lambda s: L.archive_summary(s.snapshots),
     "a11_latest": lambda s: L.latest(s.snapshots, "snapshot_date").select("product_id", "price", "snapshot_date"),
     "c01_representative_price": lambda s: C.representative_prices(s.snapshots, ["brand", "snapshot_date"]),
+    "c02_representative_baseline": lambda s: C.representative_baselines(s.snapshots, ["brand", "snapshot_date"]),
     "c03_daily_snapshots": lambda s: C.daily_snapshots(s.observations),
     "c04_last_prices": lambda s: C.last_prices(s.snapshots, AS_OF),
     "c05_price_events": lambda s: s.price_events.select("event_id", "product_id", "price_before", "price_after", "direction", "discount_pct"),
@@ -119,6 +160,9 @@ QUERIES = {
 _STATE = "SELECT l_partkey * 100000 + l_suppkey AS variant_id, l_partkey AS product_id, arg_max(l_returnflag, (l_shipdate, l_extendedprice, l_quantity, l_returnflag)) <> 'R' AS is_in_stock, arg_min(l_extendedprice, (l_shipdate, l_extendedprice, l_quantity, l_returnflag)) AS first_observed_price, CASE WHEN max(l_shipdate) < '1995-06-01' THEN max(l_shipdate) END AS delisted_at FROM lineitem {} GROUP BY 1, 2"
 
 SQL = {
+    "a01_scan_snapshot_days": twin("SELECT product_id, brand, price, CASE WHEN snapshot_date < DATE '2024-01-15' THEN 0 ELSE coalesce(compare_at_price, 0) END AS compare_at_price, snapshot_date FROM snapshots WHERE snapshot_date >= DATE '2024-01-10' AND snapshot_date <> DATE '2024-01-20'"),
+    "a03_scan_event_days": twin("SELECT event_id, variant_id, event_type, event_date >= DATE '2024-01-15' AND coalesce(witnessed, false) AS witnessed, event_date, CASE WHEN event_date >= DATE '2024-01-15' AND event_type = 'delisted' THEN 'not_a_stock_transition' END AS seed_reason FROM stock_events WHERE event_date >= DATE '2024-01-05'"),
+    "k01_archive_days": twin(f"SELECT product_id, snapshot_date, price, CASE WHEN snapshot_date < {D} - 14 AND p_size > 5 THEN product_name END AS product_name, CASE WHEN snapshot_date < {D} - 14 THEN 'cold' ELSE 'hot' END AS tier FROM snapshots"),
     "b01_stitch": twin(f"SELECT event_id, product_id, snapshot_date, CASE WHEN snapshot_date > {D} - 9 THEN price ELSE price + 1 END AS price, event_type FROM observations"),
     "b02_discounts": twin("SELECT product_id, snapshot_date, honest_discount_pct, brand_claimed_discount_pct FROM snapshots"),
     "b04_quarantine": twin("SELECT product_id, brand, snapshot_date, price FROM snapshots WHERE NOT (brand IN (SELECT brand FROM catalogue WHERE p_size > 40) AND snapshot_date <= DATE '2024-01-12')"),
@@ -133,6 +177,7 @@ SQL = {
     "a07_archive_summary": twin(f"SELECT brand, count(*) AS n_rows, min(snapshot_date) AS first_day, max(snapshot_date) AS last_day, {r('sum(CAST(floor(price * 100::DOUBLE + 0.5) AS BIGINT))::DOUBLE / count(price) / 100::DOUBLE')} AS avg_price FROM snapshots GROUP BY 1"),
     "a11_latest": twin("SELECT product_id, price, snapshot_date FROM snapshots WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshots)"),
     "c01_representative_price": twin("SELECT brand, snapshot_date, list_sort(list(price) FILTER (price > 0))[len(list(price) FILTER (price > 0)) // 2 + 1] AS repr_price FROM snapshots GROUP BY 1, 2"),
+    "c02_representative_baseline": twin("SELECT brand, snapshot_date, list_sort(list(first_observed_price) FILTER (first_observed_price > 0))[len(list(first_observed_price) FILTER (first_observed_price > 0)) // 2 + 1] AS repr_baseline FROM snapshots GROUP BY 1, 2"),
     "c03_daily_snapshots": twin("SELECT product_id, snapshot_date, arg_max_null(price, (recorded_at, event_id)) AS price, arg_min_null(compare_at_price, (recorded_at, event_id)) AS compare_at_price, count(*) AS sightings FROM observations GROUP BY 1, 2"),
     "c04_last_prices": twin(f"SELECT brand, product_id, snapshot_date, price FROM (SELECT *, max(snapshot_date) OVER (PARTITION BY brand) AS last FROM snapshots WHERE snapshot_date BETWEEN {D} - 14 AND {D}) WHERE snapshot_date = last"),
     "c05_price_events": twin("SELECT event_id, product_id, price_before, price_after, direction, discount_pct FROM price_events"),

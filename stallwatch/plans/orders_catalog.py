@@ -16,12 +16,13 @@ from stallwatch.plans.base_sql import AS_OF as D
 from stallwatch.plans.base_sql import pct, r, twin
 from stallwatch.plans.boards_catalog import _BYDEPTH, _GONE, _PRICE, _RANKS, _ranks
 from stallwatch.plans.boards_catalog import SQL as BOARD
-from stallwatch.plans.capture_catalog import _variants
+from stallwatch.plans.capture_catalog import _variants, _written
 from stallwatch.plans.market_catalog import SQL as MARKET
 from stallwatch.plans.products_catalog import Signals
 from stallwatch.plans.quality_catalog import FAMILY_OF, _chain
 from stallwatch.plans.signals_catalog import SQL as SIGNAL
 from stallwatch.plans.signals_catalog import _in
+from stallwatch.sources.day_files import depth
 from stallwatch.sources.shop import AS_OF, CATALOGUE_AS_OF, Shop
 
 #: Bounds that fit the size of the test tables.
@@ -109,7 +110,7 @@ QUERIES = {
     "j04_signal_freshness": lambda s: Q.signal_freshness({"l1_01": (Signals(s).drops, "snapshot_date", 3), "l1_13": (Signals(s).delists, "snapshot_date", 22), "l1_24": (Signals(s).density, "snapshot_date", 3)}, s.table("events").select(F.lit("l1_13").alias("signal_id"), F.to_date("ts").alias("run_date"), F.lit("ok").alias("status")), AS_OF),
     "j05_bestseller_feed": lambda s: Q.bestseller_feed(_ranks(s), AS_OF),
     "j12_substrate": lambda s: Q.substrate(s.shelf.withColumn("is_active", F.col("last_seen") >= F.lit("2001-06-01").cast("date")), _variants(s)[0], s.snapshots),
-    "j13_cold_depth": lambda s: Q.cold_depth({"price_snapshots": (s.snapshots, "snapshot_date"), "price_events": (s.price_events, "event_date"), "stockout_events": (s.stock_events, "event_date")}),
+    "j13_cold_depth": lambda s: depth(s.spark, {name: (_written(s, name, rows.select("product_id", day), day), day) for name, rows, day in (("price_snapshots", s.snapshots, "snapshot_date"), ("price_events", s.price_events, "event_date"), ("stockout_events", s.stock_events, "event_date"))}),
 }
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stallwatch.functions.columns import round_to, upper_median
 from stallwatch.operators import boards, capture, lake, maintenance, market, order_board, quality, rollups, signals, taxonomy
+from stallwatch.sources.day_files import depth, list_days, scan_days
 from stallwatch.sources.shop import Shop
 
 DAY = dt.date(2024, 1, 10)
@@ -111,7 +112,7 @@ def test_archive_removes_only_verified_rows(spark, tmp_path):
     assert maintenance.archive_days(hot, root, staging, "id", "2024-01-31", 14, dry_run=True).count() == 2
     left = maintenance.archive_days(hot, root, staging, "id", "2024-01-31", 14)
     assert [r.id for r in left.collect()] == [2] and [r.id for r in spark.read.parquet(root).collect()] == [1]
-    assert lake.merge_days(spark.createDataFrame([(1, DAY), (5, DAY)], "id long, snapshot_date date"), root, "id", staging) == 2
+    assert lake.merge_days(spark.createDataFrame([(1, DAY), (5, DAY)], "id long, snapshot_date date"), root, "id", staging) == [DAY]
     assert sorted(r.id for r in spark.read.parquet(root).collect()) == [1, 5]
 
 
@@ -204,7 +205,8 @@ def test_results_leave_only_when_the_archive_is_whole(spark, tmp_path, monkeypat
     root = str(tmp_path / "archive")
     left = maintenance.archive_results(rows, root, str(DAY), 25)
     assert sorted(r.id for r in left.collect()) == [0, 1, 2] and sorted(r.id for r in spark.read.parquet(root).collect()) == [3, 4, 5]
-    monkeypatch.setattr(maintenance, "replace_days", lambda df, path, day: lake.replace_days(df.where("id <> 4"), path, day))
+    # A changed value with the number of rows as it was.
+    monkeypatch.setattr(maintenance, "replace_days", lambda df, path, day: lake.replace_days(df.withColumn("id", F.when(F.col("id") == 4, 40).otherwise(F.col("id"))), path, day))
     with pytest.raises(RuntimeError):
         maintenance.archive_results(rows, str(tmp_path / "other"), str(DAY), 25)
 
@@ -289,7 +291,7 @@ def test_scans_archives_and_ad_hoc_tables(spark, tmp_path):
     root = str(tmp_path / "cold")
     lake.replace_days(spark.createDataFrame([(1, DAY), (2, DAY - dt.timedelta(days=9))], "id long, snapshot_date date"), root)
     schema = spark.createDataFrame([], "id long, snapshot_date date, note string").schema
-    assert [tuple(r) for r in lake.scan_days(spark, root, str(DAY), str(DAY), schema, defaults={"note": "old"}).collect()] == [(1, DAY, "old")]
+    assert [tuple(r) for r in scan_days(spark, root, str(DAY), str(DAY), schema, defaults={"note": "old"}).collect()] == [(1, DAY, "old")]
     assert sorted(r.id for r in lake.archive_table(spark, root).collect()) == [1, 2] and spark.sql("select count(*) from archive").first()[0] == 2
     rows, more = lake.ad_hoc(spark, {"t": spark.range(5)}, "select * from t", 3)
     assert rows.count() == 3 and more
@@ -334,3 +336,97 @@ def test_flash_events_of_one_product_take_one_pass(spark):
     begun = time.monotonic()
     assert signals.flash_events(rows).count() == n * 9 // 10
     assert time.monotonic() - begun < 60
+
+
+def test_day_files_are_known_by_name(spark, tmp_path):
+    root = str(tmp_path / "days")
+    day = lambda n: DAY + dt.timedelta(days=n)
+    lake.replace_days(spark.createDataFrame([(n, day(n), float(n)) for n in (0, 1, 3)], "id long, snapshot_date date, price double"), root)
+    lake.replace_days(spark.createDataFrame([(4, day(4))], "id long, snapshot_date date"), root)  # an old file without prices
+    for name in ("snapshot_date=soon", "snapshot_date=2024-02-31", "tmp", "_x"):
+        (tmp_path / "days" / name).mkdir()
+        (tmp_path / "days" / name / "part-0.parquet").write_bytes(b"no parquet")
+    part = next((tmp_path / "days" / f"snapshot_date={day(3)}").glob("*.parquet"))
+    (tmp_path / "days" / f"{day(5)}.parquet").write_bytes(part.read_bytes())  # a day as a single file
+    (tmp_path / "days" / f"{day(9)}.parquet").write_bytes(b"not opened")
+    schema = spark.createDataFrame([], "price double, id int, snapshot_date date, note string, witnessed boolean").schema
+    rows = scan_days(spark, root, str(day(0)), str(day(5)), schema.add("seen", "boolean"), defaults={"witnessed": False, "price": -1.0})
+    assert [d for d, _ in list_days(spark, root)] == [day(n) for n in (0, 1, 3, 4, 5, 9)]
+    assert rows.columns == ["price", "id", "snapshot_date", "note", "witnessed", "seen"]
+
+
+def test_scan_window(spark, tmp_path):
+    root = str(tmp_path / "days")
+    day = lambda n: DAY + dt.timedelta(days=n)
+    lake.replace_days(spark.createDataFrame([(n, day(n), float(n)) for n in (0, 1, 3)], "id long, snapshot_date date, price double"), root)
+    lake.replace_days(spark.createDataFrame([(4, day(4))], "id long, snapshot_date date"), root)
+    broken = next((tmp_path / "days" / f"snapshot_date={day(0)}").glob("*.parquet"))
+    broken.write_bytes(b"broken")  # outside the window: not even its footer is read
+    part = next((tmp_path / "days" / f"snapshot_date={day(3)}").glob("*.parquet"))
+    (tmp_path / "days" / f"{day(5)}.parquet").write_bytes(part.read_bytes())
+    schema = spark.createDataFrame([], "price double, id long, snapshot_date date, witnessed boolean").schema
+    rows = scan_days(spark, root, str(day(1)), str(day(5)), schema, defaults={"witnessed": False, "price": -1.0})
+    assert sorted(tuple(r) for r in rows.collect()) == [(-1.0, 4, day(4), False), (1.0, 1, day(1), False), (3.0, 3, day(3), False), (3.0, 3, day(5), False)]
+    assert {f.split("snapshot_date=")[-1][:10] for f in rows.inputFiles() if "snapshot_date=" in f} == {str(day(n)) for n in (1, 3, 4)}
+    for where in (root, str(tmp_path / "none")):
+        none = scan_days(spark, where, "2020-01-01", "2020-02-01", schema)
+        assert none.schema == schema and none.count() == 0
+    found = {r["table"]: (r.days, r.earliest, r.latest) for r in depth(spark, {"a": (root, "snapshot_date"), "b": (str(tmp_path / "none"), "day")}).collect()}
+    assert found == {"a": (5, day(0), day(5)), "b": (0, None, None)}
+
+
+def test_older_days_of_the_archive_are_not_shuffled(spark, tmp_path):
+    root = str(tmp_path / "cold")
+    day = lambda n: DAY + dt.timedelta(days=n)
+    lake.replace_days(spark.createDataFrame([(n, day(n), "b", 1.0) for n in range(6)], "event_id long, event_date date, brand string, price double"), root, "event_date")
+    hot, cold = spark.createDataFrame([(4, day(4), "b", 2.0), (7, day(5), "b", 2.0)], "event_id long, event_date date, brand string, price double"), spark.read.parquet(root)
+    want = [(0, 1.0), (1, 1.0), (2, 1.0), (3, 1.0), (4, 2.0), (5, 1.0), (7, 2.0)]
+    for rows in (lake.stitch(hot, cold, "event_id", "event_date"), lake._one_per_event(hot, cold, str(day(9)), 90)):
+        assert sorted((r.event_id, r.price) for r in rows.collect()) == want
+        lines = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].splitlines()
+        depth_of = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+        moved = []
+        for i, line in enumerate(lines):
+            if "FileScan" in line:
+                above, least = [], depth_of(line)
+                for up in reversed(lines[:i]):
+                    if depth_of(up) < least:
+                        least = depth_of(up)
+                        above.append(up)
+                moved.append(any("Exchange" in up for up in above))
+        assert sorted(moved) == [False, True]
+    assert sorted(r.event_id for r in lake.stitch(hot.limit(0), cold, "event_id", "event_date").collect()) == list(range(6))
+
+
+def test_a_changed_value_is_caught(spark, tmp_path):
+    rows = spark.createDataFrame([(i, DAY, float(i), {"a": str(i)}, [i]) for i in range(50)], "id long, snapshot_date date, price double, m map<string,string>, a array<long>")
+    assert lake.differing_days(rows, rows.orderBy(F.desc("id")).repartition(7)) == []
+    for changed in (rows.withColumn("price", F.when(F.col("id") == 7, 1.0).otherwise(F.col("price"))), rows.withColumn("price", F.when(F.col("id") != 7, F.col("price"))), rows.where("id <> 3").unionByName(rows.where("id = 4"))):
+        assert lake.differing_days(rows, changed) == [DAY]
+    swapped = spark.createDataFrame([(1, DAY, None, 5), (2, DAY, 5, None)], "id long, snapshot_date date, a int, b int")
+    assert lake.differing_days(swapped, swapped.withColumns({"a": F.col("b"), "b": F.col("a")})) == [DAY]
+
+
+def test_only_proven_days_leave_and_context_goes_along(spark, tmp_path, monkeypatch):
+    day = lambda n: DAY - dt.timedelta(days=n)
+    hot = spark.createDataFrame([(i, i % 2, day(i * 10)) for i in range(5)] + [(9, 0, None)], "id long, product_id int, snapshot_date date")
+    names = spark.createDataFrame([(0, "zero")], "product_id int, product_name string")
+    root = str(tmp_path / "cold")
+    kept = lake.replace_days
+    monkeypatch.setattr(lake, "replace_days", lambda df, path, d: kept(df.withColumn("id", F.when(F.col("id") == 3, 33).otherwise(F.col("id"))), path, d))
+    left = maintenance.archive_days(hot, root, str(tmp_path / "s"), "id", str(DAY), 14, context=names, context_keys=["product_id"])
+    assert sorted(r.id for r in left.collect()) == [0, 1, 3, 9]  # the day of 3 is not proven; 9 has no day
+    assert {(r.id, r.product_name) for r in spark.read.parquet(root).collect()} == {(2, "zero"), (33, None), (4, "zero")}
+
+
+def test_legacy_files_go_after_proof(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(1, DAY), (1, DAY), (2, DAY - dt.timedelta(days=1))], "id long, snapshot_date date")
+    old = str(tmp_path / "legacy.parquet")
+    rows.write.parquet(old)
+    with monkeypatch.context() as m:
+        m.setattr(maintenance, "replace_days", lambda df, path, day: lake.replace_days(df.where("id = 1"), path, day))
+        with pytest.raises(RuntimeError):
+            maintenance.repartition_by_day(spark.read.parquet(old), str(tmp_path / "broken"), ["id"], legacy=[old])
+    assert spark.read.parquet(old).count() == 3
+    assert maintenance.repartition_by_day(spark.read.parquet(old), str(tmp_path / "whole"), ["id"], legacy=[old]) == 2
+    assert not (tmp_path / "legacy.parquet").exists()
