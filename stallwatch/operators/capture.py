@@ -74,14 +74,33 @@ def delist_stale(products: DataFrame, as_of: str, days: int = 14) -> DataFrame:
     return rows.select("product_id", "brand", F.lit("delisted").alias("event_type"), F.lit(None).cast("boolean").alias("witnessed"), F.lit("not_a_stock_transition").alias("seed_reason"), day.alias("event_date"), "last_seen")
 
 
-def reclassify_witnessed(stock: DataFrame, as_of: str, lookback: int = 9) -> DataFrame:
+def transition_summary(stock: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """What later transitions must know of a variant's earlier ones: the last one's type, time and id, and whether any was a stock-out.
+
+    Summaries of one stretch of days and of the days after it make up that of both: pass the former as ``before``.
+    """
+    kind = F.col("event_type")
+    rows = stock.select("variant_id", "recorded_at", "event_id", "event_type", (kind == "stockout").alias("had_stockout"))
+    rows = rows if before is None else rows.unionByName(before)
+    last = F.max(F.struct("recorded_at", "event_id", "event_type"))
+    out = rows.groupBy("variant_id").agg(last.alias("last"), F.max(F.coalesce("had_stockout", F.lit(False))).alias("had_stockout"))
+    return out.select("variant_id", "last.recorded_at", "last.event_id", "last.event_type", "had_stockout")
+
+
+def reclassify_witnessed(stock: DataFrame, as_of: str, lookback: int = 9, before: DataFrame | None = None) -> DataFrame:
     """Reasons to stop trusting a transition, judged on the variant's whole history: a restock without any earlier
-    stock-out, one type twice in a row, or a restock right after a delisting. Only the lookback's rows change."""
+    stock-out, one type twice in a row, or a restock right after a delisting. Only the lookback's rows change.
+
+    before: the ``transition_summary`` of all days before those of ``stock``, which need hold no more than the lookback then.
+    """
     w = Window.partitionBy("variant_id").orderBy("recorded_at", "event_id")
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    rows = stock.withColumns({"before": F.lag("event_type").over(w), "had_stockout": F.coalesce(F.max((F.col("event_type") == "stockout").cast("int")).over(earlier), F.lit(0))})
+    rows = stock.withColumn("__out", F.col("event_type") == "stockout").withColumn("__own", F.lit(True))
+    if before is not None:
+        rows = rows.unionByName(before.withColumnRenamed("had_stockout", "__out").withColumn("__own", F.lit(False)), allowMissingColumns=True)
+    rows = rows.withColumns({"before": F.lag("event_type").over(w), "had_stockout": F.coalesce(F.max(F.col("__out")).over(earlier), F.lit(False))}).where("__own")
     kind = F.col("event_type")
-    reason = F.when(kind == "delisted", None).when((kind == "restock") & (F.col("before") == "delisted"), "delist_cycle").when((kind == "restock") & (F.col("had_stockout") == 0), "orphan_restock").when(kind == F.col("before"), "duplicate_transition")
+    reason = F.when(kind == "delisted", None).when((kind == "restock") & (F.col("before") == "delisted"), "delist_cycle").when((kind == "restock") & ~F.col("had_stockout"), "orphan_restock").when(kind == F.col("before"), "duplicate_transition")
     recent = F.col("event_date") > F.date_sub(F.lit(as_of).cast("date"), lookback)
     reason = F.when(recent & F.col("witnessed"), reason)
     return rows.withColumn("reason", reason).select("event_id", "variant_id", "event_type", F.when(F.col("reason").isNotNull(), False).otherwise(F.col("witnessed")).alias("witnessed"), "reason", "event_date")

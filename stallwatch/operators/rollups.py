@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallwatch.functions.columns import round_to
+from stallwatch.operators.lake import days_of, differing_days, read_days, replace_days
+from stallwatch.sources.day_files import list_days
+from stallwatch.sources.shared import remove
 
 
 def _week(ts: str):
@@ -38,12 +44,6 @@ def weekly_bestseller_summary(ranks: DataFrame) -> DataFrame:
     return rows.join(before, ["product_id", "week_start"], "left").withColumn("rank_change_vs_prev_week", F.col("was") - F.col("rank_close")).drop("was")
 
 
-def changed_rows(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows that are new or differ: only these are written."""
-    same = new.select(*[F.col(c) for c in new.columns]).intersect(old.select(*new.columns)).select(*keys)
-    return new.join(same, keys, "left_anti")
-
-
 def pending_weeks(spark: SparkSession, as_of: str, window: int = 7) -> DataFrame:
     days = F.sequence(F.date_sub(F.lit(as_of).cast("date"), window), F.lit(as_of).cast("date"))
     return spark.range(1).select(F.explode(days).alias("day")).select(_week("day").alias("week_start")).distinct()
@@ -55,3 +55,25 @@ def purge_rolled_up(ranks: DataFrame, summary: DataFrame, as_of: str, keep_days:
     old = rows.where(F.col("snapshot_date") < F.date_sub(F.lit(as_of).cast("date"), keep_days))
     done = old.join(summary.select("week_start").distinct(), "week_start", "left_semi").select("product_id", "snapshot_date")
     return ranks.join(done, ["product_id", "snapshot_date"], "left_anti")
+
+
+def refresh_weeks(spark: SparkSession, build: Callable[[date, date], DataFrame], root: str, as_of: str, window: int = 7, week: str = "week_start") -> list[date]:
+    """Builds the weeks that the last ``window`` days touch anew, each from all its days, and writes those that differ; returns these.
+
+    build(first day, last day): the summary of the weeks between them, from its inputs' days of that range. The table is kept by week: no
+    other week is read, and one whose rows are what they were, by the digest, keeps its files. A week whose rows are all gone goes.
+    """
+    weeks = sorted(r[0] for r in pending_weeks(spark, as_of, window).collect())  # a few
+    new = build(weeks[0], weeks[-1] + timedelta(days=6)).where(F.col(week).isin(weeks)).persist()
+    try:
+        old, there = read_days(spark, root, weeks, week), set(days_of(new, week))
+        gone = [d for d, _ in list_days(spark, root, week) if d in set(weeks) - there]
+        changed = sorted(differing_days(new, old, week) if old is not None else there)
+        if changed:
+            replace_days(new.where(F.col(week).isin(changed)), root, week)
+    finally:
+        new.unpersist()
+    for day, path in list_days(spark, root, week):
+        if day in gone:
+            remove(spark, path)
+    return sorted([*changed, *gone])

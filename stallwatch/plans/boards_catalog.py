@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from stallwatch.operators import boards as B
 from stallwatch.operators import market as M
 from stallwatch.operators import rollups as R
 from stallwatch.operators import signals as S
+from stallwatch.operators.lake import replace_days
 from stallwatch.plans.base_sql import AS_OF as D
 from stallwatch.plans.base_sql import pct, r, twin
 from stallwatch.plans.market_catalog import SQL as MARKET
@@ -17,6 +21,7 @@ from stallwatch.plans.products_catalog import QUERIES as PRODUCTS
 from stallwatch.plans.products_catalog import Signals
 from stallwatch.plans.signals_catalog import SQL as SIGNAL
 from stallwatch.plans.signals_catalog import _in
+from stallwatch.sources.shared import shared_folder
 from stallwatch.sources.shop import AS_OF, CATALOGUE_AS_OF, Shop
 
 
@@ -50,6 +55,20 @@ def _ranked_cells(s: Shop) -> DataFrame:
 
 
 CAT = ["category_normalized"]
+def _refreshed(s: Shop):
+    """The weekly table after an earlier run that saw the days up to the 24th, and one of today that builds the last weeks anew."""
+    root = f"{shared_folder(s.spark)}/stallwatch/weeks-{uuid.uuid4().hex}"
+
+    def build(first, last, seen="2024-12-31"):
+        within = lambda df, day: df.where(F.col(day).between(F.lit(first), F.lit(last)) & (F.col(day) <= seen))
+        return R.weekly_product_summary(within(s.snapshots, "snapshot_date"), within(s.price_events, "event_date"), within(s.stock_events, "event_date"))
+
+    replace_days(build(date(2023, 12, 1), date(2024, 2, 1), seen="2024-01-24"), root, "week_start")
+    R.refresh_weeks(s.spark, build, root, AS_OF)
+    columns = build(date(2024, 1, 1), date(2024, 1, 7)).schema
+    return s.spark.read.schema(columns).parquet(root)
+
+
 QUERIES = {
     "i01_demand_grid": lambda s: B.demand_grid(_colored(s.stock_events), ["category_normalized", "subcategory", "color"], 5, ("Brand#11",)),
     "i02_market_undersupply": lambda s: B.market_undersupply(s.stock_events, PRODUCTS["p02_production_blueprint"](Signals(s))),
@@ -83,6 +102,7 @@ QUERIES = {
     "i43_stock_board": lambda s: B.stock_board(B.sellthrough_by_depth(B.latest_price(s.snapshots, AS_OF), s.stock_events, AS_OF, min_products=2)),
     "i46_live_deals": lambda s: B.live_deals(s.price_events),
     "h01_weekly_product_summary": lambda s: R.weekly_product_summary(s.snapshots, s.price_events, s.stock_events),
+    "h04_refreshed_weeks": _refreshed,
     "h02_weekly_variant_exception": lambda s: R.weekly_variant_exception(s.stock_events, s.observations.select(F.col("product_id").alias("variant_id"), "product_id", "recorded_at", "price").join(s.catalogue.select("product_id"), "product_id", "left_semi")),
     "h03_weekly_bestseller_summary": _weekly,
     "h05_purge_rolled_up": lambda s: R.purge_rolled_up(_ranks(s), _weekly(s).where("week_start <> DATE'2024-01-01'"), AS_OF),
@@ -160,6 +180,7 @@ SQL = {
         SELECT product_id, brand, category_normalized, gender, first_observed_price, CAST(date_trunc('week', snapshot_date) AS DATE) AS week_start, {r('quantile_cont(price, 0.5)')} AS price_median, min(price) AS price_min, max(price) AS price_max, arg_min(price, snapshot_date) AS price_open, arg_max(price, snapshot_date) AS price_close, count(*) AS sample_days FROM snapshots GROUP BY 1, 2, 3, 4, 5, 6) p
         LEFT JOIN (SELECT product_id, CAST(date_trunc('week', recorded_at) AS DATE) AS week_start, count(*) AS discount_event_count, max(discount_pct) AS max_discount_pct, count(DISTINCT event_date) AS days_on_discount FROM price_events WHERE direction = 'down' AND discount_pct > 0 GROUP BY 1, 2) USING (product_id, week_start)
         LEFT JOIN (SELECT product_id, CAST(date_trunc('week', recorded_at) AS DATE) AS week_start, count(*) FILTER (event_type = 'stockout') AS stockout_count, count(*) FILTER (event_type = 'restock') AS restock_count FROM stock_events WHERE witnessed GROUP BY 1, 2) USING (product_id, week_start)"""),
+    "h04_refreshed_weeks": "",
     "h02_weekly_variant_exception": twin("""SELECT *, price_max - price_min > 0.01::DOUBLE AS price_diverged FROM (SELECT product_id AS variant_id, product_id, CAST(date_trunc('week', recorded_at) AS DATE) AS week_start, count(*) FILTER (kind = 'error') AS stockout_count, count(*) FILTER (kind = 'signup') AS restock_count, min(price) AS price_min, max(price) AS price_max
         FROM (SELECT *, event_type AS kind FROM observations SEMI JOIN catalogue USING (product_id)) GROUP BY 1, 2, 3) WHERE stockout_count > 0 OR restock_count > 0 OR price_max - price_min > 0.01::DOUBLE"""),
     "h03_weekly_bestseller_summary": twin(_WEEKLY, ranks=_RANKS),
@@ -167,5 +188,8 @@ SQL = {
 }
 
 
+SQL["h04_refreshed_weeks"] = SQL["h01_weekly_product_summary"]
+
+
 def queries() -> dict:
     return {name: (lambda spark, sf_dir, f=f: f(Shop(spark, sf_dir))) for name, f in QUERIES.items()}

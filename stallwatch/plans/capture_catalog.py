@@ -60,6 +60,14 @@ def _seam(shop: Shop):
     return L.union_all([L.seam_check(df.withColumn("discount_pct", F.when(F.col("price") < 0, 0.0)), "event_id", ("discount_pct",)).withColumn("tiers", F.lit(name)) for name, df in both.items()])
 
 
+def _from_summary(shop: Shop):
+    """The lookback's rows alone, with a summary kept by day: one of the first half of the days before, one that adds the rest."""
+    stock, day = shop.stock_events, F.col("event_date")
+    first = C.transition_summary(stock.where(day <= "2024-01-10"))
+    then = C.transition_summary(stock.where((day > "2024-01-10") & (day <= F.date_sub(F.lit(AS_OF).cast("date"), 9))), first)
+    return C.reclassify_witnessed(stock.where(day > F.date_sub(F.lit(AS_OF).cast("date"), 9)), AS_OF, before=then)
+
+
 def _departments(shop: Shop):
     products = shop.catalogue.withColumn("department", F.when(F.col("p_size") % 2 == 0, F.col("department")))
     return products, shop.spark.createDataFrame([("standard", "basics"), ("promo", "offers")], "category_normalized string, department string")
@@ -149,6 +157,7 @@ QUERIES = {
     "c08_seed_first_prices": lambda s: C.seed_first_prices(s.snapshots, s.first_prices.where("product_id % 2 = 0").select("product_id", "first_observed_price")),
     "c09_delist_stale": lambda s: C.delist_stale(s.shelf.withColumn("is_active", F.col("product_id") % 7 != 0), DELIST_AS_OF).drop("witnessed"),
     "c10_reclassify_witnessed": lambda s: C.reclassify_witnessed(s.stock_events, AS_OF),
+    "c10_reclassify_from_summary": _from_summary,
     "c11_fill_department": lambda s: C.fill_department(*_departments(s)).select("product_id", "category_normalized", "department"),
     "c11_fill_report": lambda s: C.fill_report(*_departments(s)),
     "c12_match_alerts": _alerts,
@@ -188,6 +197,7 @@ SQL = {
     "c09_delist_stale": twin(f"SELECT product_id, brand, 'delisted' AS event_type, 'not_a_stock_transition' AS seed_reason, DATE '{DELIST_AS_OF}' AS event_date, last_seen FROM shelf WHERE last_seen < DATE '{DELIST_AS_OF}' - 14 AND product_id % 7 <> 0"),
     "c10_reclassify_witnessed": twin(f"""SELECT event_id, variant_id, event_type, CASE WHEN reason IS NOT NULL THEN false ELSE witnessed END AS witnessed, reason, event_date FROM (SELECT *, CASE WHEN event_date > {D} - 9 AND witnessed THEN CASE WHEN event_type = 'delisted' THEN NULL WHEN event_type = 'restock' AND before = 'delisted' THEN 'delist_cycle' WHEN event_type = 'restock' AND coalesce(had, 0) = 0 THEN 'orphan_restock' WHEN event_type = before THEN 'duplicate_transition' END END AS reason
         FROM (SELECT *, lag(event_type) OVER w AS before, max(CAST(event_type = 'stockout' AS INTEGER)) OVER (PARTITION BY variant_id ORDER BY recorded_at, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS had FROM stock_events WINDOW w AS (PARTITION BY variant_id ORDER BY recorded_at, event_id)))"""),
+    "c10_reclassify_from_summary": "",
     "c11_fill_department": twin("SELECT product_id, category_normalized, CASE WHEN p_size % 2 = 0 THEN department WHEN category_normalized = 'standard' THEN 'basics' WHEN category_normalized = 'promo' THEN 'offers' END AS department FROM catalogue"),
     "c11_fill_report": twin("SELECT count(*) FILTER (category_normalized IN ('standard', 'promo')) AS filled, count(*) FILTER (category_normalized NOT IN ('standard', 'promo')) AS still_null FROM catalogue WHERE p_size % 2 <> 0"),
     "c12_match_alerts": twin("""SELECT DISTINCT c_custkey AS user_id, product_id, brand, category_normalized AS category, ['S', 'M', 'L', 'XL'][event_id % 4 + 1] AS size, price_after, discount_pct FROM price_events JOIN customer ON event_id % 4 = c_custkey % 4 AND brand = 'Brand#' || (c_custkey % 5 + 1) || (c_nationkey % 5 + 1)
@@ -198,5 +208,8 @@ SQL = {
 }
 
 
+SQL["c10_reclassify_from_summary"] = f"SELECT * FROM ({SQL['c10_reclassify_witnessed']}) WHERE event_date > {D} - 9"
+
+
 def queries() -> dict:
     return {name: (lambda spark, sf_dir, f=f: f(Shop(spark, sf_dir))) for name, f in QUERIES.items()}

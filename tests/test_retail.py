@@ -430,3 +430,48 @@ def test_legacy_files_go_after_proof(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(old).count() == 3
     assert maintenance.repartition_by_day(spark.read.parquet(old), str(tmp_path / "whole"), ["id"], legacy=[old]) == 2
     assert not (tmp_path / "legacy.parquet").exists()
+
+
+def test_only_weeks_that_differ_are_written(spark, tmp_path):
+    root = str(tmp_path / "weeks")
+    day = lambda n: dt.date(2024, 1, n)
+    rows = [(1, "b", "c", "g", 9.0, day(n), float(n)) for n in (2, 3, 9, 16, 17, 23)]
+    schema = "product_id long, brand string, category_normalized string, gender string, first_observed_price double, snapshot_date date, price double"
+    none = (spark.createDataFrame([], "product_id long, direction string, discount_pct double, recorded_at timestamp, event_date date"), spark.createDataFrame([], "product_id long, witnessed boolean, event_type string, recorded_at timestamp"))
+    asked = []
+
+    def build(data):
+        def run(first, last):
+            asked.append((first, last))
+            return rollups.weekly_product_summary(spark.createDataFrame(data, schema).where(F.col("snapshot_date").between(F.lit(first), F.lit(last))), *none)
+
+        return run
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in (tmp_path / "weeks").glob("week_start=*/*.parquet")}
+
+    lake.replace_days(build(rows)(day(1), day(31)), root, "week_start")
+    before = files()
+    assert rollups.refresh_weeks(spark, build(rows), root, "2024-01-24") == [] and files() == before
+    assert asked[-1] == (day(15), day(28))  # from the Monday of the first day touched to the Sunday of the last
+    later = [*rows[:-1], (1, "b", "c", "g", 9.0, day(18), 3.0)]  # a late row, and a week whose only row is gone
+    assert rollups.refresh_weeks(spark, build(later), root, "2024-01-24") == [day(15), day(22)]
+    after = files()
+    assert {f for f in after if f in before} == {f for f in before if "01-01" in f or "01-08" in f} and not any("01-22" in f for f in after)
+    full = rollups.weekly_product_summary(spark.createDataFrame(later, schema), *none)
+    assert lake.differing_days(full, spark.read.parquet(root), "week_start") == []
+
+
+def test_reclassifying_from_a_summary_equals_the_whole_history(spark):
+    import random
+
+    rng = random.Random(8)
+    rows = [(i, rng.randrange(80), rng.choice(["restock", "stockout", "delisted"]), None if rng.random() < 0.1 else True, at(1) + dt.timedelta(hours=rng.randrange(600))) for i in range(250)]
+    stock = spark.createDataFrame([(*r, r[4].date()) for r in rows], "event_id long, variant_id long, event_type string, witnessed boolean, recorded_at timestamp, event_date date").persist()
+    whole = {tuple(r) for r in capture.reclassify_witnessed(stock, "2024-01-26").collect()}
+    assert {r[4] for r in whole} == {None, "orphan_restock", "duplicate_transition", "delist_cycle"}
+    for cut in (1, 9, 17):
+        days = lambda lo, hi: stock.where(F.col("event_date").between(dt.date(2024, 1, lo), dt.date(2024, 1, hi)))
+        summary = capture.transition_summary(days(cut, 17), capture.transition_summary(days(1, cut - 1)) if cut > 1 else None)
+        recent = {tuple(r) for r in capture.reclassify_witnessed(days(18, 31), "2024-01-26", before=summary).collect()}
+        assert recent == {r for r in whole if r[5] > dt.date(2024, 1, 17)}
