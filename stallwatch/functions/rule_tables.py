@@ -105,9 +105,13 @@ TURKISH_COLORS = {
 LETTERS = {"xxs": "XXS", "xs": "XS", "s": "S", "m": "M", "l": "L", "xl": "XL", "xxl": "2XL", "2xl": "2XL", "xxxl": "3XL", "3xl": "3XL", "4xl": "4XL", "5xl": "5XL", "6xl": "6XL", "7xl": "7XL", "small": "S", "medium": "M", "large": "L"}
 EU_LETTERS = {"34": "XXS", "36": "XS", "38": "S", "40": "M", "42": "L", "44": "L", "46": "XL", "48": "2XL", "50": "3XL", "52": "3XL", "54": "4XL", "56": "4XL", "58": "5XL", "60": "5XL"}
 ONE_SIZE = ["one size", "onesize", "os", "free", "free size", "freesize"]
+# Categories whose numbers are waists.
 BOTTOMS = ["trousers", "jeans", "shorts", "joggers", "sweatpants", "leggings"]
+# Categories whose numbers are European sizes.
 TOPS_EU = ["t-shirts", "shirts", "dresses", "skirts", "sweaters", "cardigans", "jackets", "coats", "blazers", "vests", "hoodies", "sweatshirts", "polos", "tank-tops", "jumpsuits", "kaftans", "bodysuits", "pajamas"]
+# Categories that have sleeves.
 TOPS = ["t-shirts", "shirts", "polos", "sweatshirts", "hoodies", "cardigans", "sweaters", "bodysuits", "tank-tops", "blazers"]
+# Colours that stand where sizes should, and patterns of sizes to be reviewed.
 SIZE_COLORS = "black|white|off[ _-]?white|grey|gray|beige|brown|blue|navy|nave[_ ]?blue|teal|petrol|petrol[_ ]?blue|green|olive|khaki|yellow|orange|red|burgundy|maroon|pink|rose|purple|lilac|lavender|mauve|gold|silver|copper|turquoise|fuchsia|coral|mint|cream|camel|tan|taupe|multi|stone|vison|ecru|russet|anthrcite|anthracite|d[_ ]?blue|light[_ ]?blue|dark[_ ]?grey|dark[_ ]?blue|sky[_ ]?blue|royal[_ ]?blue|bottel[_ ]?green|olive[_ ]?green"
 SIZE_REVIEWS = [
     ("^beden *[0-9]+ *- *boy *[0-9]+$", "turkish_dual_size_height"), ("^[0-9]{2,3}[ _-][0-9]{2,3}$", "possible_waist_inseam_combo"), ("^(xs|s|m|l|xl|2xl|3xl)[ /-](xs|s|m|l|xl|2xl|3xl)$", "dual_letter_range"),
@@ -126,6 +130,10 @@ TITLE_COLORS = [
     "black", "white", "grey", "gray", "anthracite", "red", "burgundy", "pink", "fuchsia", "coral", "orange", "yellow", "ecru", "beige", "brown", "khaki", "green", "olive", "petrol", "turquoise", "blue", "navy", "indigo", "purple", "plum", "lilac",
     "multicolor", "cream", "gold", "silver", "copper", "camel", "tan", "taupe", "mauve", "lavender", "apricot", "maroon", "mint", "chocolate", "honey", "lemon", "rose",
 ]
+# Names of materials that read like colours.
+MATERIALS = [r"\b(raw\s+)?denim\b", r"\bice\b"]
+# Marks of colour names that are none.
+COLOR_JUNK, COLOR_NUMBERS = "size|cm|ml|kg|pcs|/|x |0x", "^[.-]*[0-9][0-9.-]*$"
 # Metals.
 METALS = ["gold", "silver", "copper"]
 # Cuts of trousers by phrase; of phrases of one length the first stands.

@@ -64,6 +64,40 @@ def seed_first_prices(variants: DataFrame, known: DataFrame) -> DataFrame:
     return first.join(known, "product_id", "full").select("product_id", F.coalesce("first_observed_price", "seen").alias("first_observed_price"))
 
 
+def seed_variant_baselines(sightings: DataFrame, known: DataFrame) -> DataFrame:
+    """Variant baselines: the one that is known, else the positive price at the variant's first sighting. Never overwritten.
+
+    sightings: product_id, variant_id, seen_at, price. known: variant_id, product_id, first_observed_price. Of several first prices the smallest.
+    """
+    first = sightings.where("price > 0").groupBy("variant_id", "product_id").agg(F.min(F.struct("seen_at", "price"))["price"].alias("seen"))
+    return first.join(known, ["variant_id", "product_id"], "full").select("variant_id", "product_id", F.coalesce("first_observed_price", "seen").alias("first_observed_price"))
+
+
+def seed_product_baselines(sightings: DataFrame, known: DataFrame) -> DataFrame:
+    """Product baselines: the one that is known, else the smallest positive price of its variants when it was first seen; variants
+    that come later do not lower it."""
+    at_once = sightings.where("price > 0").groupBy("product_id", "seen_at").agg(F.min("price").alias("least"))
+    first = at_once.groupBy("product_id").agg(F.min_by("least", "seen_at").alias("seen"))
+    return first.join(known, "product_id", "full").select("product_id", F.coalesce("first_observed_price", "seen").alias("first_observed_price"))
+
+
+def delist(products: DataFrame, variants: DataFrame, as_of: str, days: int = 14) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Products, variants and events after products that were not seen for ``days`` are taken off.
+
+    Such a product is not active any more; its variants that were listed get delisted_at, and one event each with witnessed null, as
+    this is no stock transition. Their stock flags stay as they were last seen. A second run changes nothing.
+    """
+    day = F.lit(as_of).cast("date")
+    stale = F.coalesce(F.col("is_active") & (F.col("last_seen") < F.date_sub(day, days)), F.lit(False))
+    gone = products.where(stale).select("product_id", F.col("brand").alias("__brand"), F.lit(True).alias("__gone"))
+    marked = variants.join(gone, "product_id", "left")
+    now = F.col("__gone").isNotNull() & F.col("delisted_at").isNull()
+    kind = variants.schema["delisted_at"].dataType
+    listed = marked.withColumn("delisted_at", F.when(now, day.cast(kind)).otherwise(F.col("delisted_at"))).select(*variants.columns)
+    events = marked.where(now).select("variant_id", "product_id", F.col("__brand").alias("brand"), F.lit("delisted").alias("event_type"), F.lit(None).cast("boolean").alias("witnessed"), F.lit("not_a_stock_transition").alias("seed_reason"), day.alias("event_date"))
+    return products.withColumn("is_active", F.col("is_active") & ~stale), listed, events
+
+
 def delist_stale(products: DataFrame, as_of: str, days: int = 14) -> DataFrame:
     """One delisted event per product that is_active and was not seen for ``days``; witnessed stays null.
 
@@ -128,9 +162,10 @@ def match_alerts(drops: DataFrame, users: DataFrame, user_sizes: DataFrame, user
     return rows.select("user_id", "product_id", "brand", "category", "size", "price_after", "discount_pct").distinct()
 
 
-def bestseller_ranks(listing: DataFrame, products: DataFrame, max_rank: int = 150) -> DataFrame:
-    """Positions of a brand-day's listing, products that are not known left out."""
-    return listing.where(F.col("rank").between(1, max_rank)).join(products.select("product_id"), "product_id", "left_semi").select("product_id", "brand", "rank", "snapshot_date")
+def bestseller_ranks(listing: DataFrame, products: DataFrame, max_rank: int = 150, existing: DataFrame | None = None) -> DataFrame:
+    """Positions of a brand-day's listing, products that are not known left out, and brand-days that ``existing`` ranks hold."""
+    rows = listing.where(F.col("rank").between(1, max_rank)).join(products.select("product_id"), "product_id", "left_semi").select("product_id", "brand", "rank", "snapshot_date")
+    return rows if existing is None else rows.join(existing.select("brand", "snapshot_date").distinct(), ["brand", "snapshot_date"], "left_anti").select(*rows.columns)
 
 
 def flatten_variants(products: DataFrame) -> DataFrame:

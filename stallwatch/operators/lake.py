@@ -53,6 +53,12 @@ def variant_baselines(variants: DataFrame, products: DataFrame, unreliable: tupl
     return variants.where("delisted_at is null").join(active, "product_id").withColumn("size_level_reliable", ~F.col("brand").isin(*unreliable))
 
 
+def product_baselines(variants: DataFrame, products: DataFrame) -> DataFrame:
+    """A product's base: the least positive first price of its listed variants, for active products."""
+    listed = variant_baselines(variants, products).where("first_observed_price > 0")
+    return listed.groupBy("product_id").agg(F.min("first_observed_price").alias("base_price"))
+
+
 def price_history(snapshots: DataFrame, end: str, days: int = 45) -> DataFrame:
     return between(snapshots.where("price > 0"), "snapshot_date", end, days).select("product_id", "brand", "category_normalized", "snapshot_date", "price")
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stallwatch.operators.lake import days_available, days_of, differing_days, merge_days, read_days, replace_days
@@ -153,10 +153,27 @@ def run_signals(spark: SparkSession, signals: list[Signal], snapshots: DataFrame
     return runs
 
 
-def write_report(df: DataFrame, root: str, run: str, formats: tuple[str, ...] = ("csv", "json")) -> None:
-    """A report's frame as one file per format in the run's folder, and again under latest/. Reports are small; the frame is made once."""
+def markdown_table(df: DataFrame) -> DataFrame:
+    """A frame as lines of a Markdown table: (line, value), the head first. Bars and line ends inside values are kept as text; nulls are empty."""
+
+    def cell(c: str) -> Column:
+        text = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+        return F.regexp_replace(F.regexp_replace(text, r"\|", r"\\|"), r"\r?\n", "<br>")
+
+    head = [f"| {' | '.join(c.replace('|', chr(92) + '|') for c in df.columns)} |", f"|{' --- |' * len(df.columns)}"]
+    rows = df.select((F.monotonically_increasing_id() + 2).alias("line"), F.concat(F.lit("| "), F.concat_ws(" | ", *map(cell, df.columns)), F.lit(" |")).alias("value"))
+    return df.sparkSession.createDataFrame(list(enumerate(head)), "line long, value string").unionByName(rows)
+
+
+def write_report(df: DataFrame, root: str, run: str, formats: tuple[str, ...] = ("csv", "json", "md")) -> None:
+    """A report's frame as one file per format in the run's folder, and again under latest/. Reports are small; the frame is made once.
+
+    md is a Markdown table."""
     rows = df.coalesce(1).persist()
     for kind in formats:
         for place in (run, "latest"):
-            rows.write.mode("overwrite").option("header", True).option("escape", '"').format(kind).save(f"{root}/{place}/{kind}")
+            if kind == "md":
+                markdown_table(rows).coalesce(1).sortWithinPartitions("line").select("value").write.mode("overwrite").text(f"{root}/{place}/md")
+            else:
+                rows.write.mode("overwrite").option("header", True).option("escape", '"').format(kind).save(f"{root}/{place}/{kind}")
     rows.unpersist()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,10 +84,16 @@ def classify_size(raw: Column, category: Column) -> Column:
 
 
 def apply_sizes(variants: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Variants with their size class, and the review queue by size, category and brand."""
-    rows = variants.withColumn("s", classify_size(F.col("size"), F.col("category_normalized"))).select(*variants.columns, "s.*")
-    queue = rows.where("size_status = 'review'").groupBy(F.col("size").alias("size_raw"), "category_normalized", "brand", "reason").agg(F.count("*").alias("sample_count"))
-    return rows, queue
+    """Variants with their size class, and the review queue by size, category and brand.
+
+    Each different size of a category and brand is classified once, with how often it occurs, and joined back, nulls to nulls.
+    """
+    keys = ["size", "category_normalized", "brand"]
+    classed = variants.groupBy(*keys).agg(F.count("*").alias("sample_count")).withColumn("s", classify_size(F.col("size"), F.col("category_normalized"))).select(*keys, "sample_count", "s.*")
+    theirs = classed.drop("sample_count").withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    queue = classed.where("size_status = 'review'").select(F.col("size").alias("size_raw"), "category_normalized", "brand", "reason", "sample_count")
+    return variants.join(theirs, same).drop(*[f"__{k}" for k in keys]), queue
 
 
 def canonical_color(raw: Column) -> Column:
@@ -106,7 +114,7 @@ def seed_colors(variants: DataFrame, known: DataFrame) -> DataFrame:
     """Distinct colours that are not mapped yet, with their class: junk, a family and the name as its shade, or unclassified."""
     raw = F.lower(F.trim("color"))
     rows = variants.select(raw.alias("color_raw")).where("color_raw is not null").distinct().join(known.select("color_raw"), "color_raw", "left_anti")
-    junk = (F.length("color_raw") <= 1) | F.col("color_raw").rlike("size|cm|ml|kg|pcs|/|x |0x") | F.col("color_raw").rlike("^[.-]*[0-9][0-9.-]*$")
+    junk = (F.length("color_raw") <= 1) | F.col("color_raw").rlike(R.COLOR_JUNK) | F.col("color_raw").rlike(R.COLOR_NUMBERS)
     family = F.when(~junk, color_family(F.col("color_raw")))
     return rows.select("color_raw", family.alias("family"), F.when(family.isNotNull(), F.col("color_raw")).alias("shade"), F.when(junk, "junk").when(family.isNotNull(), "classified").otherwise("unclassified").alias("status"))
 
@@ -187,14 +195,21 @@ def bag_type(category: Column, title: Column) -> Column:
     return F.when(category == "bags", longest_phrase(F.lower(title), R.BAGS))
 
 
+def _alternation(phrases: list[str]) -> str:
+    """Longest first, so that at one place the longest phrase is taken."""
+    return "|".join(re.escape(p) for p in sorted(phrases, key=lambda x: -len(x)))
+
+
 def _named_color(text: Column, without: tuple[str, ...] = ()) -> Column:
-    """The longest colour that stands in the text with no letter a-z beside it.
+    """The longest colour that stands in the text as words of its own; of those of one length the first of the table.
 
-    An array is filtered, as a chain of as many patterns grows past what Spark compiles; few colours reach the pattern.
+    One pass: at each beginning of a word the longest colour there is looked at without being taken, so that colours which overlap
+    are all seen; the best of the few found is picked by its rank.
     """
-    colors = F.array(*[F.lit(c) for c in sorted(R.TITLE_COLORS, key=lambda x: -len(x)) if c not in without])
-    there = F.filter(colors, lambda c: F.contains(text, c))
-    return F.get(F.filter(there, lambda c: F.regexp_like(text, F.concat(F.lit("(^|[^a-z])"), c, F.lit("([^a-z]|$)")))), F.lit(0))
+    colors = sorted((c for c in R.TITLE_COLORS if c not in without), key=lambda x: -len(x))
+    found = F.regexp_extract_all(text, F.lit(f"(?<![a-z])(?=({_alternation(colors)})(?![a-z]))"), F.lit(1))
+    ranks = F.create_map(*[F.lit(x) for i, c in enumerate(colors) for x in (c, i)])
+    return F.get(F.array(*map(F.lit, colors)), F.array_min(F.transform(found, lambda c: ranks[c])))
 
 
 def _color_not_metal(text: Column, title: Column) -> Column:
@@ -213,11 +228,11 @@ def color_from_title(strategy: Column, title: Column) -> Column:
     """
     low = F.lower(title)
     tail = F.trim(F.regexp_extract(low, r"[-\u2013\u2014|]([^-\u2013\u2014|]*)\z", 1))
-    cloth = F.regexp_replace(F.regexp_replace(low, r"\b(raw\s+)?denim\b", " "), r"\bice\b", " ")
+    cloth = F.regexp_replace(F.regexp_replace(low, R.MATERIALS[0], " "), R.MATERIALS[1], " ")
     dash = F.trim(F.substring_index(low, " - ", -1))
     whole = F.trim(low)
-    colors = F.array(*map(F.lit, sorted(R.TITLE_COLORS, key=lambda x: -len(x))))
-    ends = F.get(F.filter(colors, lambda c: (whole == c) | F.endswith(whole, F.concat(F.lit(" "), c)) | F.endswith(whole, F.concat(F.lit("-"), c))), F.lit(0))
+    # What ends the title and begins furthest left is the longest.
+    ends = F.nullif(F.regexp_extract(whole, rf"(?:^|[ -])({_alternation(R.TITLE_COLORS)})\z", 1), F.lit(""))
     return (
         F.when(strategy == "tail", F.coalesce(F.when(tail.isin(R.TITLE_COLORS), tail), _named_color(low)))
         .when(strategy == "scan", _color_not_metal(cloth, low))

@@ -60,6 +60,20 @@ def _seam(shop: Shop):
     return L.union_all([L.seam_check(df.withColumn("discount_pct", F.when(F.col("price") < 0, 0.0)), "event_id", ("discount_pct",)).withColumn("tiers", F.lit(name)) for name, df in both.items()])
 
 
+def _sightings(shop: Shop):
+    """Parts by supplier as variants, with their prices when they were shipped."""
+    return shop.table("lineitem").select((F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("variant_id"), F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("seen_at"), F.col("l_extendedprice").alias("price"))
+
+
+def _taken_off(shop: Shop):
+    products = shop.shelf.withColumn("is_active", F.col("product_id") % 7 != 0)
+    return C.delist(products, _variants(shop)[0].withColumn("delisted_at", F.col("delisted_at").cast("date")), DELIST_AS_OF)
+
+
+def _active(shop: Shop):
+    return shop.shelf.withColumn("is_active", F.col("last_seen") >= F.lit("2001-06-01").cast("date"))
+
+
 def _from_summary(shop: Shop):
     """The lookback's rows alone, with a summary kept by day: one of the first half of the days before, one that adds the rest."""
     stock, day = shop.stock_events, F.col("event_date")
@@ -156,6 +170,12 @@ QUERIES = {
     "c07_needs_write": lambda s: C.needs_write(*_variants(s)).select("variant_id", "needs_write"),
     "c08_seed_first_prices": lambda s: C.seed_first_prices(s.snapshots, s.first_prices.where("product_id % 2 = 0").select("product_id", "first_observed_price")),
     "c09_delist_stale": lambda s: C.delist_stale(s.shelf.withColumn("is_active", F.col("product_id") % 7 != 0), DELIST_AS_OF).drop("witnessed"),
+    "b02_discount_at_variant_grain": lambda s: L.product_baselines(_variants(s)[0], _active(s)).join(s.shelf.select("product_id", "last_price"), "product_id").withColumn("honest_discount_pct", L.discount_against(F.col("base_price"), F.col("last_price"))),
+    "c08_seed_variant_baselines": lambda s: C.seed_variant_baselines(_sightings(s), _variants(s)[1].where("product_id % 2 = 0").select("variant_id", "product_id", "first_observed_price")),
+    "c08_seed_product_baselines": lambda s: C.seed_product_baselines(_sightings(s), s.shelf.where("product_id % 2 = 0").select("product_id", "first_observed_price")),
+    "c09_delist_products": lambda s: _taken_off(s)[0].select("product_id", "brand", "last_seen", "is_active"),
+    "c09_delist_variants": lambda s: _taken_off(s)[1].select("variant_id", "product_id", "is_in_stock", "delisted_at"),
+    "c09_delist_events": lambda s: _taken_off(s)[2].drop("witnessed"),
     "c10_reclassify_witnessed": lambda s: C.reclassify_witnessed(s.stock_events, AS_OF),
     "c10_reclassify_from_summary": _from_summary,
     "c11_fill_department": lambda s: C.fill_department(*_departments(s)).select("product_id", "category_normalized", "department"),
@@ -208,6 +228,15 @@ SQL = {
 }
 
 
+_LISTED = f"SELECT v.*, last_seen, brand, last_seen < DATE '{DELIST_AS_OF}' - 14 AND product_id % 7 <> 0 AS gone FROM v LEFT JOIN shelf USING (product_id)"
+SQL |= {
+    "b02_discount_at_variant_grain": twin(f"SELECT product_id, base_price, last_price, CASE WHEN base_price >= last_price THEN {r('100::DOUBLE * (base_price - last_price) / base_price')} END AS honest_discount_pct FROM (SELECT product_id, min(v.first_observed_price) AS base_price FROM v JOIN shelf USING (product_id) WHERE delisted_at IS NULL AND last_seen >= DATE '2001-06-01' AND v.first_observed_price > 0 GROUP BY 1) JOIN (SELECT product_id, last_price FROM shelf) USING (product_id)", v=_STATE.format("")),
+    "c08_seed_variant_baselines": twin("SELECT variant_id, product_id, coalesce(k, f) AS first_observed_price FROM (SELECT l_partkey * 100000 + l_suppkey AS variant_id, l_partkey AS product_id, arg_min(l_extendedprice, (l_shipdate, l_extendedprice)) AS f FROM lineitem WHERE l_extendedprice > 0 GROUP BY 1, 2) LEFT JOIN (SELECT variant_id, first_observed_price AS k FROM p WHERE product_id % 2 = 0) USING (variant_id)", p=_STATE.format("WHERE l_shipdate < '2001-06-01'")),
+    "c08_seed_product_baselines": twin("SELECT product_id, coalesce(CASE WHEN product_id % 2 = 0 THEN first_observed_price END, f) AS first_observed_price FROM (SELECT l_partkey AS product_id, min(l_extendedprice) AS f FROM lineitem JOIN (SELECT l_partkey AS k, min(l_shipdate) AS first FROM lineitem GROUP BY 1) ON k = l_partkey AND first = l_shipdate GROUP BY 1) JOIN (SELECT product_id, first_observed_price FROM shelf) USING (product_id)"),
+    "c09_delist_products": twin(f"SELECT product_id, brand, last_seen, product_id % 7 <> 0 AND last_seen >= DATE '{DELIST_AS_OF}' - 14 AS is_active FROM shelf"),
+    "c09_delist_variants": twin(f"SELECT variant_id, product_id, is_in_stock, CASE WHEN delisted_at IS NULL AND gone THEN DATE '{DELIST_AS_OF}' ELSE CAST(delisted_at AS DATE) END AS delisted_at FROM ({_LISTED})", v=_STATE.format("")),
+    "c09_delist_events": twin(f"SELECT variant_id, product_id, brand, 'delisted' AS event_type, 'not_a_stock_transition' AS seed_reason, DATE '{DELIST_AS_OF}' AS event_date FROM ({_LISTED}) WHERE gone AND delisted_at IS NULL", v=_STATE.format("")),
+}
 SQL["c10_reclassify_from_summary"] = f"SELECT * FROM ({SQL['c10_reclassify_witnessed']}) WHERE event_date > {D} - 9"
 
 

@@ -39,6 +39,7 @@ def _crawls(s: Shop) -> DataFrame:
 
 
 QUERIES = {
+    "c13_new_bestseller_ranks": lambda s: C.bestseller_ranks(_ranks(s), s.catalogue.where("p_size > 5"), 3, _ranks(s).where("snapshot_date < '2024-01-10' or brand = 'Brand#11'")),
     "c13_bestseller_ranks": lambda s: C.bestseller_ranks(_ranks(s), s.catalogue.where("p_size > 5"), 3),
     "c14_flatten_variants": lambda s: C.flatten_variants(_nested(s)),
     "c15_crawl_shortfall": lambda s: C.crawl_shortfall(_crawls(s), s.products, page=4, gap=1),
@@ -50,6 +51,7 @@ QUERIES = {
 _SEEN = f"SELECT brand, coalesce(n, 0) AS seen, coalesce(n, 0) % 5 AS last_page, coalesce(n < 3, false) AS partial FROM (SELECT DISTINCT brand FROM catalogue) LEFT JOIN (SELECT brand, count(*) AS n FROM snapshots WHERE snapshot_date = {D} GROUP BY 1) USING (brand)"
 
 SQL = {
+    "c13_new_bestseller_ranks": twin("SELECT product_id, brand, rank, snapshot_date FROM ranks JOIN (SELECT product_id FROM catalogue WHERE p_size > 5) USING (product_id) WHERE rank <= 3 AND snapshot_date >= DATE '2024-01-10' AND brand <> 'Brand#11'", ranks=_RANKS),
     "c13_bestseller_ranks": twin("SELECT product_id, brand, rank, snapshot_date FROM ranks JOIN (SELECT product_id FROM catalogue WHERE p_size > 5) USING (product_id) WHERE rank <= 3", ranks=_RANKS),
     "c14_flatten_variants": "SELECT l_partkey AS product_id, l_orderkey || '-' || l_linenumber AS external_sku, ['S', 'M', 'L', 'XL'][l_linenumber % 4 + 1] AS size, 'tone ' || l_returnflag AS color, l_extendedprice AS price, l_returnflag <> 'R' AS is_in_stock FROM lineitem WHERE l_quantity > 5",
     "c15_crawl_shortfall": twin("SELECT brand, seen, last_page, partial, coalesce(a, 0) AS active, last_page >= 4 OR (coalesce(a, 0) - seen >= 1 AND seen < 0.85::DOUBLE * coalesce(a, 0)) AS suspicious FROM seen_by LEFT JOIN (SELECT brand, count(*) AS a FROM products GROUP BY 1) USING (brand)", seen_by=_SEEN),

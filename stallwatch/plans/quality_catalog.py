@@ -45,11 +45,20 @@ def _rebased(s: Shop):
     return s.products.withColumn("first_observed_price", F.when(F.col("p_size") % 6 == 0, round_to(F.col("first_observed_price") * 1.1)).when(F.col("p_size") % 6 == 1, round_to(F.col("first_observed_price") * 0.9)).otherwise(F.col("first_observed_price")))
 
 
+def _titled(s: Shop):
+    """Titles of several categories, words of subcategories among them in every case form."""
+    kinds = F.array(*map(F.lit, ("t-shirts", "shirts", "trousers", "jeans", "shorts", "dresses", "skirts", "sweaters", "hoodies", "bags")))
+    words = F.array(*map(F.lit, ("Long-Sleeve", "FLANNEL", "cargo wide leg", "Mom fit", "denim", "Maxi", "minimal midi", "turtle neck", "zip")))
+    at = lambda values, n: F.element_at(values, (F.col("product_id") % n + 1).cast("int"))
+    return s.catalogue.select("product_id", at(kinds, 10).alias("category"), F.concat_ws(" ", "product_name", at(words, 9)).alias("title"))
+
+
 QUERIES = {
     "d01_normalize_category": lambda s: s.dealt("documents", "doc_id", "text", "source").select("doc_id", T.normalize_category(F.col("text")).alias("category"), T.normalize_gender(F.col("text"), F.col("source"), ("src1", "src2")).alias("gender")),
     "d03_breadcrumb_gender": lambda s: s.catalogue.select("product_id", T.breadcrumb_gender(F.element_at(F.array(*map(F.lit, (" Man", "WOMAN", "children", "home", None))), (F.col("p_size") % 5 + 1).cast("int")), F.col("gender")).alias("gender")),
     "d04_rescue_category": lambda s: s.table("documents").select("doc_id", T.rescue_category(F.lit("uncategorized"), F.col("text"), F.col("source")).alias("category")),
     "d05_subcategory": lambda s: s.catalogue.select("product_id", T.subcategory(F.lit("jeans"), F.concat_ws(" ", "product_name", F.when(F.col("p_size") % 2 == 0, F.lit("Slim fit")).otherwise(F.lit("boot-cut"))), F.when(F.col("p_size") % 7 == 0, F.lit("known"))).alias("subcategory")),
+    "d05_subcategories": lambda s: _titled(s).select("product_id", "category", T.subcategory(F.col("category"), F.col("title")).alias("subcategory")),
     "d06_subcategory_progress": lambda s: T.subcategory_progress(s.catalogue.withColumn("subcategory", F.when(F.col("p_size") > 20, F.col("subcategory")))),
     "d07_classify_size": lambda s: T.apply_sizes(_sized(s).drop("cut"))[0],
     "d08_size_review_queue": lambda s: T.apply_sizes(_sized(s).drop("cut"))[1],
@@ -80,15 +89,21 @@ _CLASSED = f"""SELECT *, CASE WHEN p_size % 8 = 0 THEN 'XL' WHEN p_size % 8 = 3
     CASE p_size % 8 WHEN 4 THEN 'bare_numeric_range_unclear_domain' WHEN 7 THEN 'dual_letter_range' WHEN 1 THEN CASE WHEN category_normalized = 'jeans' AND p_size BETWEEN 20 AND 60 THEN NULL WHEN category_normalized = 'dresses' THEN CASE WHEN MAP {{{_EU}}}[size] IS NULL THEN 'numeric_outside_eu_ladder_possible_kids' END ELSE 'unrecognized_pattern' END END AS reason FROM sized"""
 _STATUS = "CASE WHEN size_family IS NOT NULL THEN 'classified' WHEN reason IS NOT NULL THEN 'review' ELSE 'excluded' END AS size_status"
 
-# Words of the colour families, written out: the first that the name holds stands.
-_FAMILIES = (
-    "اسود=black|ابيض=white|black=black|off white=white|offwhite=white|ecru=white|cream=white|ivory=white|white=white|anthracite=grey|charcoal=grey|silver=grey|grey=grey|gray=grey|vison=beige|nude=beige|sand=beige|tan=beige|stone=beige|biscuit=beige|caramel=beige|beige=beige"
-    "|coffee=brown|camel=brown|chocolate=brown|mink=brown|taupe=brown|mocha=brown|brown=brown|teal=teal|turquoise=teal|navy=blue|denim=blue|indigo=blue|cobalt=blue|petrol=blue|sky=blue|blue=blue|khaki=green|olive=green|mint=green|emerald=green|sage=green|green=green"
-    "|mustard=yellow|gold=yellow|lemon=yellow|yellow=yellow|peach=orange|coral=orange|apricot=orange|rust=orange|terracotta=orange|orange=orange|burgundy=burgundy|maroon=burgundy|wine=burgundy|bordeaux=burgundy|crimson=red|red=red|rose=pink|fuchsia=pink|fuschia=pink|magenta=pink|salmon=pink|blush=pink|pink=pink"
-    "|lilac=purple|lavender=purple|mauve=purple|violet=purple|plum=purple|purple=purple|metallic=metallic|chrome=metallic|copper=metallic|bronze=metallic|multi=multi|colored=multi|colour=multi|print=multi|floral=multi|striped=multi|pattern=multi|tie dye=multi|camo=multi"
-)
+# Words of the colour families; the first that the name holds stands.
+_FAMILIES = [
+    ("اسود", "black"), ("ابيض", "white"), ("black", "black"), ("off white", "white"), ("offwhite", "white"), ("ecru", "white"), ("cream", "white"), ("ivory", "white"), ("white", "white"),
+    ("anthracite", "grey"), ("charcoal", "grey"), ("silver", "grey"), ("grey", "grey"), ("gray", "grey"), ("vison", "beige"), ("nude", "beige"), ("sand", "beige"), ("tan", "beige"),
+    ("stone", "beige"), ("biscuit", "beige"), ("caramel", "beige"), ("beige", "beige"), ("coffee", "brown"), ("camel", "brown"), ("chocolate", "brown"), ("mink", "brown"), ("taupe", "brown"),
+    ("mocha", "brown"), ("brown", "brown"), ("teal", "teal"), ("turquoise", "teal"), ("navy", "blue"), ("denim", "blue"), ("indigo", "blue"), ("cobalt", "blue"), ("petrol", "blue"),
+    ("sky", "blue"), ("blue", "blue"), ("khaki", "green"), ("olive", "green"), ("mint", "green"), ("emerald", "green"), ("sage", "green"), ("green", "green"), ("mustard", "yellow"),
+    ("gold", "yellow"), ("lemon", "yellow"), ("yellow", "yellow"), ("peach", "orange"), ("coral", "orange"), ("apricot", "orange"), ("rust", "orange"), ("terracotta", "orange"),
+    ("orange", "orange"), ("burgundy", "burgundy"), ("maroon", "burgundy"), ("wine", "burgundy"), ("bordeaux", "burgundy"), ("crimson", "red"), ("red", "red"), ("rose", "pink"),
+    ("fuchsia", "pink"), ("fuschia", "pink"), ("magenta", "pink"), ("salmon", "pink"), ("blush", "pink"), ("pink", "pink"), ("lilac", "purple"), ("lavender", "purple"), ("mauve", "purple"),
+    ("violet", "purple"), ("plum", "purple"), ("purple", "purple"), ("metallic", "metallic"), ("chrome", "metallic"), ("copper", "metallic"), ("bronze", "metallic"), ("multi", "multi"),
+    ("colored", "multi"), ("colour", "multi"), ("print", "multi"), ("floral", "multi"), ("striped", "multi"), ("pattern", "multi"), ("tie dye", "multi"), ("camo", "multi"),
+]
 COLOR_JUNK = "(length({0}) <= 1 OR regexp_matches({0}, 'size|cm|ml|kg|pcs|/|x |0x|^[.-]*[0-9][0-9.-]*$'))"
-FAMILY_OF = f"CASE WHEN NOT {COLOR_JUNK} THEN split_part(list_filter(string_split('{_FAMILIES}', '|'), lambda x: contains({{0}}, split_part(x, '=', 1)))[1], '=', 2) END"
+FAMILY_OF = f"CASE WHEN NOT {COLOR_JUNK} THEN CASE " + " ".join(f"WHEN contains({{0}}, '{w}') THEN '{family}'" for w, family in _FAMILIES) + " END END"
 
 _LOTS = """SELECT l_partkey AS product_id, min(CASE WHEN l_quantity > 10 THEN l_extendedprice END) AS first_observed_price, CASE WHEN CAST(min(l_shipdate) AS DATE) < DATE '1997-01-01' THEN CAST(min(l_shipdate) AS DATE) + 365 END AS delisted_at, CAST(max(l_shipdate) AS DATE) AS last_updated_at FROM lineitem GROUP BY l_partkey, l_suppkey"""
 _HELD = f"""SELECT product_id, arg_min(price, (snapshot_date, recorded_at)) AS earliest, min(snapshot_date) AS first_day, any_value(CASE p_size % 6 WHEN 0 THEN {r('first_observed_price * 1.1::DOUBLE')} WHEN 1 THEN {r('first_observed_price * 0.9::DOUBLE')} ELSE first_observed_price END) AS base FROM snapshots WHERE price > 0 GROUP BY 1 HAVING base > 0"""
@@ -121,6 +136,18 @@ SQL = {
     "d01_normalize_category": f"SELECT doc_id, {_chain('lower(text)', [(w, n) for n, w in R.CATEGORIES.items()], 'uncategorized')} AS category, CASE WHEN source IN ('src1', 'src2') THEN 'women' ELSE {_chain('lower(text)', [(w, n) for n, w in R.GENDERS.items()], 'unisex')} END AS gender FROM documents",
     "d03_breadcrumb_gender": twin("SELECT product_id, CASE p_size % 5 WHEN 0 THEN 'men' WHEN 1 THEN 'women' WHEN 2 THEN 'kids' ELSE gender END AS gender FROM catalogue"),
     "d04_rescue_category": f"SELECT doc_id, {_chain('lower(text || chr(10) || source)', [([w], c) for w, c in R.RESCUES.items()], 'uncategorized')} AS category FROM documents",
+    # By category and words, as a person reads the rules.
+    "d05_subcategories": twin("""SELECT product_id, category, CASE category
+            WHEN 't-shirts' THEN CASE w WHEN 0 THEN 'long-sleeve' END
+            WHEN 'shirts' THEN CASE w WHEN 0 THEN 'long-sleeve' WHEN 1 THEN 'flannel' END
+            WHEN 'trousers' THEN CASE w WHEN 2 THEN 'cargo' END
+            WHEN 'jeans' THEN CASE w WHEN 2 THEN 'wide-baggy' WHEN 3 THEN 'mom-fit' END
+            WHEN 'shorts' THEN CASE w WHEN 4 THEN 'denim' END
+            WHEN 'dresses' THEN CASE w WHEN 5 THEN 'maxi' WHEN 6 THEN 'midi' END
+            WHEN 'skirts' THEN CASE w WHEN 5 THEN 'maxi' WHEN 6 THEN 'midi' END
+            WHEN 'sweaters' THEN CASE w WHEN 7 THEN 'turtleneck' WHEN 8 THEN 'zip' END
+            WHEN 'hoodies' THEN CASE w WHEN 8 THEN 'zip-up' END END AS subcategory
+        FROM (SELECT product_id, product_id % 9 AS w, ['t-shirts', 'shirts', 'trousers', 'jeans', 'shorts', 'dresses', 'skirts', 'sweaters', 'hoodies', 'bags'][product_id % 10 + 1] AS category FROM catalogue)"""),
     "d05_subcategory": twin("SELECT product_id, CASE WHEN p_size % 7 = 0 THEN 'known' WHEN p_size % 2 = 0 THEN 'slim' ELSE 'flare' END AS subcategory FROM catalogue"),
     "d06_subcategory_progress": twin(f"SELECT category_normalized, count(*) AS total, count(*) FILTER (p_size > 20) AS filled, {pct('count(*) FILTER (p_size > 20)', 'count(*)', 1)} AS filled_pct FROM catalogue GROUP BY 1"),
     "d07_classify_size": twin(f"SELECT product_id, brand, category_normalized, size, size_family, size_system, {_STATUS}, reason FROM ({_CLASSED})", sized=_SIZES),

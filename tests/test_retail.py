@@ -475,3 +475,57 @@ def test_reclassifying_from_a_summary_equals_the_whole_history(spark):
         summary = capture.transition_summary(days(cut, 17), capture.transition_summary(days(1, cut - 1)) if cut > 1 else None)
         recent = {tuple(r) for r in capture.reclassify_witnessed(days(18, 31), "2024-01-26", before=summary).collect()}
         assert recent == {r for r in whole if r[5] > dt.date(2024, 1, 17)}
+
+
+def test_overlapping_colours_in_titles(spark):
+    import random
+    import re
+
+    from stallwatch.functions import rule_tables as R
+
+    rng = random.Random(2)
+    parts = [w for c in R.TITLE_COLORS for w in re.split("[ -]", c)]
+    titles = [rng.choice(["", "x"]).join(rng.choice(parts) + rng.choice([" ", " ", "-", "", ", ", "é"]) for _ in range(rng.randint(1, 7))) for _ in range(400)]
+    got = spark.createDataFrame([(t,) for t in titles], "t string").select("t", taxonomy._named_color(F.col("t")).alias("c")).collect()
+    order = sorted(R.TITLE_COLORS, key=lambda c: -len(c))
+    for r in got:
+        want = next((c for c in order if re.search(f"(?<![a-z]){re.escape(c)}(?![a-z])", r.t)), None)
+        assert r.c == want, r.t
+    assert sum(r.c is not None for r in got) > 100
+
+
+def test_graded_titles(spark):
+    """Titles as shops write them, graded by hand."""
+    rows = [
+        ("tail", "Slim Fit Cotton Shirt - Light Blue", "light blue"), ("tail", "Basic T-Shirt | Off White", "off white"), ("tail", "Linen Trousers \u2013 Regular", None), ("tail", "Black Jeans - Slim", "black"),
+        ("scan", "Raw denim jacket in navy blue", "navy blue"), ("scan", "Leather belt with gold buckle", None), ("scan", "Gold sandals", "gold"), ("scan", "Tangerine dress", None), ("scan", "Red and dark grey scarf", "dark grey"),
+        ("end", "Striped Knit Sweater White", "white"), ("end", "Beige Cap", "beige"), ("end", "Mint Green Set for Girls", "mint green"), ("dash", "Hoodie - sage fog", "sage fog"), ("dash", "Jacket - " + "x" * 31, None), ("end", "", None),
+    ]
+    got = spark.createDataFrame(rows, "s string, t string, want string").select("t", "want", taxonomy.color_from_title(F.col("s"), F.col("t")).alias("c")).collect()
+    assert [(r.t, r.c) for r in got] == [(r.t, r.want) for r in got]
+
+
+def test_baselines_at_first_sight_and_delisting_twice(spark):
+    seen = spark.createDataFrame([(1, 10, at(1), 9.0), (1, 11, at(1), 7.0), (1, 12, at(2), 3.0), (1, 10, at(3), 2.0), (2, 20, at(1), 0.0), (2, 20, at(2), 5.0)], "product_id long, variant_id long, seen_at timestamp, price double")
+    none = spark.createDataFrame([], "product_id long, first_observed_price double")
+    assert sorted(tuple(r) for r in capture.seed_product_baselines(seen, none).collect()) == [(1, 7.0), (2, 5.0)]  # 12 came later
+    known = spark.createDataFrame([(11, 1, 99.0)], "variant_id long, product_id long, first_observed_price double")
+    assert sorted((r.variant_id, r.first_observed_price) for r in capture.seed_variant_baselines(seen, known).collect()) == [(10, 9.0), (11, 99.0), (12, 3.0), (20, 5.0)]
+    products = spark.createDataFrame([(1, "b", True, DAY), (2, "b", True, dt.date(2024, 1, 30)), (3, "b", False, DAY), (4, "b", None, DAY)], "product_id long, brand string, is_active boolean, last_seen date")
+    variants = spark.createDataFrame([(10, 1, True, None), (11, 1, False, DAY), (20, 2, True, None), (30, 3, True, None)], "variant_id long, product_id long, is_in_stock boolean, delisted_at date")
+    after, listed, events = capture.delist(products, variants, "2024-01-31")
+    assert {r.product_id: r.is_active for r in after.collect()} == {1: False, 2: True, 3: False, 4: None}
+    assert {r.variant_id: (r.is_in_stock, r.delisted_at) for r in listed.collect()} == {10: (True, dt.date(2024, 1, 31)), 11: (False, DAY), 20: (True, None), 30: (True, None)}
+    assert [(r.variant_id, r.event_type, r.witnessed) for r in events.collect()] == [(10, "delisted", None)]
+    again = capture.delist(after, listed, "2024-02-01")
+    assert again[2].count() == 0 and sorted(again[1].collect()) == sorted(listed.collect())
+
+
+def test_markdown_and_report_days(spark, tmp_path):
+    maintenance.write_report(spark.createDataFrame([(1, "a|b\nc"), (2, None)], "n int, `t|x` string"), str(tmp_path), "run1")
+    for place in ("run1", "latest"):
+        assert [r.value for r in spark.read.text(f"{tmp_path}/{place}/md").collect()] == ["| n | t\\|x |", "| --- | --- |", "| 1 | a\\|b<br>c |", "| 2 |  |"]
+    path = str(tmp_path / "product")
+    lake.replace_days(spark.createDataFrame([(1, DAY), (2, DAY - dt.timedelta(days=1))], "id long, report_date date"), path, "report_date")
+    lake.replace_days(spark.createDataFrame([(3, DAY)], "id long, report_date date"), path, "report_date")
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3]
