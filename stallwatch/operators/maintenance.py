@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
+from threading import Lock, Timer
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -113,40 +117,95 @@ def good_runs(spark: SparkSession, logs: list[str], run_day: date) -> set[str]:
     return found
 
 
-def run_signals(spark: SparkSession, signals: list[Signal], snapshots: DataFrame, root: str, log: str, day: str = "snapshot_date", gates: list[str] | None = None) -> DataFrame:
-    """Runs each signal on its own and logs it, also when it writes nothing; one that fails stops no other.
+def run_waves(signals: list[Signal]) -> list[list[Signal]]:
+    """Signals in waves: each stands in a wave after those that it requires. Raises if some require one another in a ring."""
+    own, waves, placed = {s.signal_id for s in signals}, [], set()
+    left = list(signals)
+    while left:
+        wave = [s for s in left if all(r in placed or r not in own for r in s.requires)]
+        if not wave:
+            raise ValueError("signals require one another: " + ", ".join(s.signal_id for s in left))
+        waves.append(wave)
+        placed |= {s.signal_id for s in wave}
+        left = [s for s in left if s.signal_id not in placed]
+    return waves
+
+
+def _run_signal(spark: SparkSession, s: Signal, root: str, day: str, tag: str) -> tuple[int, int | None]:
+    """Builds and writes one signal under a job tag and in a pool of its own: (rows written, rows held back)."""
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", s.signal_id)
+    spark.sparkContext.addJobTag(tag)
+    try:
+        frame, seen, written = s.build(), Observation(), 0
+        if day not in frame.columns or not frame.isEmpty():  # an empty plan leaves nothing to observe
+            replace_days(frame.observe(seen, F.count(F.lit(1)).alias("n")), f"{root}/{s.signal_id}", day)
+            written = seen.get["n"]
+        return written, s.suppressed().first()[0] if s.suppressed else None
+    finally:
+        spark.sparkContext.removeJobTag(tag)
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+
+def run_signals(spark: SparkSession, signals: list[Signal], snapshots: DataFrame, root: str, log: str, day: str = "snapshot_date", gates: list[str] | None = None, at_once: int = 4, time_limit: float | None = None) -> DataFrame:
+    """Runs signals in waves by what they require and logs each, also when it writes nothing; one that fails stops no other.
 
     A signal is skipped with a reason if it is off, blocked, short of days, or a requirement has no good run: in this
     call, or today by the run logs named in ``gates`` (products wait for the day's signals so). rows_written counts the
     rows of this run. Raises only if all that ran failed.
+
+    Up to ``at_once`` signals of a wave run side by side, each in its own pool (which share fairly where spark.scheduler.mode is FAIR)
+    and under its own job tag: one that takes longer than ``time_limit`` seconds has its jobs cancelled and counts as failed.
     """
-    days = days_available(snapshots)
-    rows, failed = [], 0
-    good, ran = good_runs(spark, gates or [], datetime.now(timezone.utc).date()), 0
-    for s in signals:
-        status, reason, written, held = "ok", None, 0, None
-        missing = [r for r in s.requires if r not in good]
+    days, context = days_available(snapshots), spark.sparkContext
+    good = good_runs(spark, gates or [], datetime.now(timezone.utc).date())
+    rows: dict[str, tuple] = {}
+    failed, ran = 0, 0
+
+    def why_not(s: Signal) -> str | None:
         if not s.enabled:
-            status, reason = "skipped", "disabled"
-        elif s.blocked_by:
-            status, reason = "skipped", "blocked by " + ", ".join(s.blocked_by)
-        elif days < s.min_days:
-            status, reason = "skipped", f"{days} of {s.min_days} days"
-        elif missing:
-            status, reason = "skipped", "needs " + ", ".join(missing)
-        else:
+            return "disabled"
+        if s.blocked_by:
+            return "blocked by " + ", ".join(s.blocked_by)
+        if days < s.min_days:
+            return f"{days} of {s.min_days} days"
+        missing = [r for r in s.requires if r not in good]
+        return "needs " + ", ".join(missing) if missing else None
+
+    for wave in run_waves(signals):
+        ready = []
+        for s in wave:
+            reason = why_not(s)
+            if reason:
+                rows[s.signal_id] = (s.signal_id, "skipped", reason, 0, None, datetime.now(timezone.utc))
+            else:
+                ready.append(s)
+        pool, lock, begun = ThreadPoolExecutor(at_once), Lock(), {}
+
+        def run(s: Signal, tag: str) -> tuple[int, int | None]:
+            timer = Timer(time_limit, context.cancelJobsWithTag, [tag]) if time_limit else None
+            with lock:
+                begun[s.signal_id] = datetime.now(timezone.utc)
+            if timer:
+                timer.start()
+            try:
+                return _run_signal(spark, s, root, day, tag)
+            finally:
+                if timer:
+                    timer.cancel()
+
+        waiting = {s.signal_id: pool.submit(inheritable_thread_target(spark)(run), s, f"{s.signal_id}-{uuid.uuid4().hex}") for s in ready}
+        for s in ready:
             try:
-                frame, seen = s.build(), Observation()
-                if day not in frame.columns or not frame.isEmpty():  # an empty plan leaves nothing to observe
-                    replace_days(frame.observe(seen, F.count(F.lit(1)).alias("n")), f"{root}/{s.signal_id}", day)
-                    written = seen.get["n"]
-                held = s.suppressed().first()[0] if s.suppressed else None
+                written, held = waiting[s.signal_id].result()
+                rows[s.signal_id] = (s.signal_id, "ok", None, written, held, datetime.now(timezone.utc))
                 good.add(s.signal_id)
                 ran += 1
             except Exception as e:
-                status, reason, failed = "failed", str(e)[:500], failed + 1
-        rows.append((s.signal_id, status, reason, written, held, datetime.now(timezone.utc)))
-    runs = spark.createDataFrame(rows, "signal_id string, status string, reason string, rows_written long, suppressed long, run_at timestamp")
+                late = time_limit and (datetime.now(timezone.utc) - begun[s.signal_id]).total_seconds() >= time_limit and "cancel" in str(e).lower()
+                rows[s.signal_id] = (s.signal_id, "failed", f"cancelled after {time_limit} s" if late else str(e)[:500], 0, None, datetime.now(timezone.utc))
+                failed += 1
+        pool.shutdown()
+    runs = spark.createDataFrame([rows[s.signal_id] for s in signals], "signal_id string, status string, reason string, rows_written long, suppressed long, run_at timestamp")
     runs.write.mode("append").parquet(log)
     if failed and not ran:
         raise RuntimeError("all signals failed")

@@ -23,7 +23,7 @@ FRAMES = {
         min(recorded_at) AS first_seen_at, max(recorded_at) AS last_seen_at FROM observations GROUP BY 1) f USING (product_id)""",
     "snapshots": f"""SELECT d.*, p.* EXCLUDE (product_id), CASE WHEN first_observed_price > 0 AND first_observed_price >= price THEN {r('100::DOUBLE * (first_observed_price - price) / first_observed_price')} END AS honest_discount_pct,
         CASE WHEN compare_at_price > 0 AND compare_at_price >= price THEN {r('100::DOUBLE * (compare_at_price - price) / compare_at_price')} END AS brand_claimed_discount_pct
-        FROM (SELECT product_id, snapshot_date, arg_max_null(price, (recorded_at, event_id)) AS price, arg_max_null(compare_at_price, (recorded_at, event_id)) AS compare_at_price, max(recorded_at) AS recorded_at FROM observations GROUP BY 1, 2) d
+        FROM (SELECT product_id, snapshot_date, arg_max_null(price, (recorded_at, event_id)) AS price, arg_min_null(compare_at_price, (recorded_at, event_id)) AS compare_at_price, max(recorded_at) AS recorded_at FROM observations GROUP BY 1, 2) d
         JOIN products p USING (product_id)""",
     "price_events": f"""SELECT event_id, product_id, brand, product_name, category_normalized, subcategory, gender, department, price_before, price AS price_after, compare_at_price, first_observed_price,
         CASE WHEN price > price_before THEN 'up' ELSE 'down' END AS direction,

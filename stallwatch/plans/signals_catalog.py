@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from stallwatch.operators import signals as S
+from stallwatch.operators.maintenance import Signal, run_signals
 from stallwatch.plans.base_sql import AS_OF as D
 from stallwatch.plans.base_sql import pct, r, twin
+from stallwatch.sources.shared import shared_folder
 from stallwatch.sources.shop import AS_OF, CATALOGUE_AS_OF, DELIST_AS_OF, Shop
 
 LATEST = "SELECT * FROM (SELECT s.*, row_number() OVER (PARTITION BY product_id ORDER BY recorded_at DESC) AS rn FROM snapshots s JOIN (SELECT brand, max(snapshot_date) AS snapshot_date FROM snapshots GROUP BY 1) USING (brand, snapshot_date) WHERE price > 0) WHERE rn = 1"
@@ -16,7 +20,24 @@ def _in(day: str, days: int, as_of: str = D) -> str:
     return f"{day} > {as_of} - {days} AND {day} <= {as_of}"
 
 
+def _run_log(s: Shop):
+    """The log of a run: three signals in two waves over frames that are written once, one that waits for a signal that is off, one that fails."""
+    root = f"{shared_folder(s.spark)}/stallwatch/run-{uuid.uuid4().hex}"
+    s = s.settle("snapshots", "price_events")
+
+    def broken():
+        raise RuntimeError("no such source")
+
+    signals = [
+        Signal("l1_17", lambda: S.discount_depth_escalation(s.price_events, AS_OF), requires=["l1_01"]), Signal("l1_01", lambda: S.genuine_price_drop(s.snapshots, AS_OF)), Signal("l1_03", lambda: S.price_staircase(s.price_events, AS_OF)),
+        Signal("off", broken, enabled=False), Signal("waits", broken, requires=["off"]), Signal("broken", broken), Signal("long", broken, min_days=400),
+    ]
+    run_signals(s.spark, signals, s.snapshots, f"{root}/tables", f"{root}/log", time_limit=1800)
+    return s.spark.read.parquet(f"{root}/log").select("signal_id", "status", "reason", "rows_written")
+
+
 QUERIES = {
+    "r01_run_log": _run_log,
     "l1_01_genuine_price_drop": lambda s: S.genuine_price_drop(s.snapshots, AS_OF),
     "l1_02_intraday_flash_sale": lambda s: S.intraday_flash_sale(s.price_events, AS_OF),
     "l1_03_price_staircase": lambda s: S.price_staircase(s.price_events, AS_OF),
@@ -99,5 +120,10 @@ SQL = {
 }
 
 
+SQL["r01_run_log"] = " UNION ALL ".join(f"SELECT '{name}' AS signal_id, 'ok' AS status, NULL AS reason, count(*) AS rows_written FROM ({SQL[query]})" for name, query in (("l1_01", "l1_01_genuine_price_drop"), ("l1_03", "l1_03_price_staircase"), ("l1_17", "l1_17_discount_depth_escalation"))) + """
+    UNION ALL SELECT 'off', 'skipped', 'disabled', 0 UNION ALL SELECT 'waits', 'skipped', 'needs off', 0 UNION ALL SELECT 'broken', 'failed', 'no such source', 0
+    UNION ALL SELECT 'long', 'skipped', count(DISTINCT CAST(ts AS DATE)) || ' of 400 days', 0 FROM events JOIN part ON user_id = p_partkey"""
+
+
 def queries() -> dict:
     return {name: (lambda spark, sf_dir, f=f: f(Shop(spark, sf_dir))) for name, f in QUERIES.items()}

@@ -73,9 +73,9 @@ class Shop:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        """One row per product and day: the day's last price, with honest and claimed discounts."""
+        """One row per product and day: the day's last price and the first advertised one, with honest and claimed discounts."""
         last = F.struct("recorded_at", "event_id")
-        days = self.observations.groupBy("product_id", "snapshot_date").agg(F.max_by("price", last).alias("price"), F.max_by("compare_at_price", last).alias("compare_at_price"), F.max("recorded_at").alias("recorded_at"))
+        days = self.observations.groupBy("product_id", "snapshot_date").agg(F.max_by("price", last).alias("price"), F.min_by("compare_at_price", last).alias("compare_at_price"), F.max("recorded_at").alias("recorded_at"))
         base, price, claimed = F.col("first_observed_price"), F.col("price"), F.col("compare_at_price")
         honest = F.when((base > 0) & (base >= price), round_to(100.0 * (base - price) / base))
         said = F.when((claimed > 0) & (claimed >= price), round_to(100.0 * (claimed - price) / claimed))

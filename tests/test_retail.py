@@ -529,3 +529,25 @@ def test_markdown_and_report_days(spark, tmp_path):
     lake.replace_days(spark.createDataFrame([(1, DAY), (2, DAY - dt.timedelta(days=1))], "id long, report_date date"), path, "report_date")
     lake.replace_days(spark.createDataFrame([(3, DAY)], "id long, report_date date"), path, "report_date")
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3]
+
+
+def test_a_stuck_signal_is_cancelled_and_others_finish(spark, tmp_path):
+    snaps = spark.createDataFrame([(1, DAY)], "id long, snapshot_date date")
+
+    def stuck():
+        wait = F.udf(lambda x: time.sleep(600) or x, "long")
+        return snaps.withColumn("id", wait("id"))
+
+    begun = time.monotonic()
+    runs = maintenance.run_signals(spark, [maintenance.Signal("after", lambda: snaps, requires=["stuck"]), maintenance.Signal("stuck", stuck), maintenance.Signal("a", lambda: snaps), maintenance.Signal("b", lambda: snaps, requires=["a"])], snaps, str(tmp_path / "out"), str(tmp_path / "log"), time_limit=15)
+    assert time.monotonic() - begun < 120
+    got = {r.signal_id: (r.status, r.reason) for r in runs.collect()}
+    assert got == {"after": ("skipped", "needs stuck"), "stuck": ("failed", "cancelled after 15 s"), "a": ("ok", None), "b": ("ok", None)}
+
+
+def test_waves(spark):
+    made = lambda name, *needs: maintenance.Signal(name, None, requires=list(needs))
+    waves = maintenance.run_waves([made("c", "b", "elsewhere"), made("a"), made("b", "a"), made("d", "a")])
+    assert [[s.signal_id for s in w] for w in waves] == [["a"], ["b", "d"], ["c"]]
+    with pytest.raises(ValueError):
+        maintenance.run_waves([made("a", "b"), made("b", "a")])
