@@ -28,6 +28,10 @@ from stallwatch.llm.words import ALNUM, SPACED, U64, Words, byte_class, chunks,
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c"}
 #: Channel costs: a letter as itself, a sign for a letter, a dropped repetition, a dropped separator.
 SAME, SIGN, AGAIN, APART = -0.05, -1.0, -0.7, -0.3
+#: Signs with one reading, as a table for str.translate, and stretches of characters that have one reading each: none repeats the one before.
+_ONE_READING = str.maketrans({sign: letters for sign, letters in LEET.items() if len(letters) == 1})
+_SEVERAL = "".join(sign for sign, letters in LEET.items() if len(letters) > 1)
+_PLAIN = re.compile(f"(?:([^{re.escape(_SEVERAL)}])(?!\\1))++", re.DOTALL)
 PREFIXES = (4, 5, 6)
 _LETTER = np.zeros(256, bool)
 _LETTER[[ord(c) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = True
@@ -41,34 +45,61 @@ _MARKED = re.compile(f"[{re.escape(''.join(LEET))}]|([^\\W\\d_])\\1\\1")
 _RUN = re.compile(r"(?<![^\W_])[^\W\d_](?:[ ._*~-]{1,2}[^\W\d_]){3,}(?![^\W_])")
 #: The same with signs among the letters.
 _SIGN_RUN = re.compile(r"(?<![^\W_])(?:[^\W\d_]|[0-9@$!|+€£(])(?:[ ._*~-]{1,2}(?:[^\W\d_]|[0-9@$!|+€£(])){3,}(?![^\W_])")
-#: Readings that a task remembers.
-MEMORY = 100_000
+#: Readings that a task remembers, and the longest token among them.
+MEMORY, REMEMBERED_CHARS = 100_000, 100
+
+
+def _options(c: str, before: str) -> list[tuple[str, float]]:
+    """What a character may stand for, with the channel's cost; an empty letter is a dropped one."""
+    found = [(c, SAME)] if c.isalpha() else []
+    found += [(x, SIGN) for x in LEET.get(c, "")]
+    return found + [("", AGAIN if c == before else APART)] if c == before or not found else found
 
 
 def restore(token: str, log_probs: np.ndarray) -> str:
-    """The likeliest reading of one token: lower-case letters, by Viterbi over its lattice."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    before = ""
-    for c in token.lower():
-        options: list[tuple[str, float]] = []
-        if c.isalpha():
-            options.append((c, SAME))
-        options += [(x, SIGN) for x in LEET.get(c, "")]
-        if c == before or not options:
-            options.append(("", AGAIN if c == before else APART))
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
+    """The likeliest reading of one token: lower-case letters, by Viterbi over its lattice.
+
+    A state is the last two letters' symbols; it holds its last letter and, linked to it, the letters before, which states with a
+    common past share. They are read back at the end, or once a single state is left. Characters with one reading need no scores
+    then: they are taken a stretch at a time. So the time is in proportion to the token's length.
+    """
+    token, done = token.lower(), []
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    before, i = "", 0
+    while i < len(token):
+        if len(states) == 1:
+            ((state, (_, last)),) = states.items()
+            done.append(_read_back(last))
+            states = {state: (0.0, None)}
+            plain = _PLAIN.match(token, i)
+            if plain and token[i] != before:
+                taken = plain.group()
+                letters = "".join(filter(str.isalpha, taken.translate(_ONE_READING)))
+                done.append(letters)
+                states = {(*state, *map(symbol, letters[-2:]))[-2:]: (0.0, None)}
+                before, i = taken[-1], plain.end()
+                continue
+        c = token[i]
+        options, after = _options(c, before), {}
+        for (a, b), (score, last) in states.items():
             for letter, cost in options:
                 if letter:
                     s = symbol(letter)
                     key, total = (b, s), score + cost + float(log_probs[a, b, s])
-                    new = text + letter
                 else:
-                    key, total, new = (a, b), score + cost, text
+                    key, total = (a, b), score + cost
                 if key not in after or total > after[key][0]:
-                    after[key] = (total, new)
-        states, before = after, c
-    return max(((score + float(log_probs[a, b, 0]), text) for (a, b), (score, text) in states.items()), default=(0.0, ""))[1]
+                    after[key] = (total, (letter, last) if letter else last)
+        states, before, i = after, c, i + 1
+    return "".join(done) + max(((score + float(log_probs[a, b, 0]), _read_back(last)) for (a, b), (score, last) in states.items()), default=(0.0, ""))[1]
+
+
+def _read_back(last: tuple | None) -> str:
+    letters = []
+    while last:
+        letter, last = last
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def restored_words(text: str, log_probs: np.ndarray, known: dict[str, str] | None = None) -> list[str]:
@@ -89,7 +120,9 @@ def restored_words(text: str, log_probs: np.ndarray, known: dict[str, str] | Non
             if reading is None:
                 if len(known) >= MEMORY:
                     known.clear()
-                reading = known[core] = restore(core, log_probs)
+                reading = restore(core, log_probs)
+                if len(core) <= REMEMBERED_CHARS:
+                    known[core] = reading
             if reading != core.lower():
                 out.append(reading)
     return out
