@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,19 +44,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: The Scratches that the innermost ``owned_tables`` of this thread has seen made.
+_OWNED: ContextVar[list["Scratch"] | None] = ContextVar("owned", default=None)
+
+
 class Scratch:
     """Written tables that cut lineage: a lost executor re-reads files instead of recomputing.
 
     Tables of one Scratch lie under one folder; ``drop`` removes those that nothing reads any more. A result that
-    is still to be read keeps its tables; who has written it elsewhere calls ``release``.
+    is still to be read keeps its tables; who writes it elsewhere makes it within ``owned_tables``.
     """
 
-    made: list["Scratch"] = []
-
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/stallwatch/{name}-{uuid.uuid4().hex}"
-        Scratch.made.append(self)
+        owned = _OWNED.get()
+        if owned is not None:
+            owned.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -70,9 +77,18 @@ class Scratch:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
-    @classmethod
-    def release(cls, since: int) -> None:
-        """Removes the folders of all Scratches but the first ``since``; their results must have been written elsewhere."""
-        for scratch in cls.made[since:]:
+
+@contextmanager
+def owned_tables() -> Iterator[None]:
+    """Removes the tables that operators make within it, at its end; what they return must have been written elsewhere by then.
+
+    Only what this thread makes is owned: other jobs of the driver keep theirs.
+    """
+    made: list[Scratch] = []
+    token = _OWNED.set(made)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for scratch in made:
             scratch._delete(scratch.root)
-        del cls.made[since:]

@@ -161,3 +161,28 @@ def test_stages_on_odd_rows_and_empty_tables(spark, odd_folder, name):
         assert sum((r.doc_id, r.text) == (5, "one two") for r in rows) in (0, 2)
     else:
         assert got == KEPT[name] and len(rows) == len(got) + (name == "personal_data")
+
+
+def test_a_stage_removes_its_own_tables_only(spark):
+    """While one thread's stage runs and ends, another thread's tables stay."""
+    import threading
+
+    from stallwatch.llm.scratch import Scratch, owned_tables
+
+    inside, made, found = threading.Event(), threading.Event(), {}
+
+    def other():
+        inside.wait(60)
+        found["frame"] = Scratch(spark, "other").table(spark.range(5), "t")
+        made.set()
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    with owned_tables():
+        inside.set()
+        own = Scratch(spark, "own").table(spark.range(3), "t")
+        assert own.count() == 3 and made.wait(60)
+    thread.join()
+    assert found["frame"].count() == 5
+    with pytest.raises(Exception, match="(?i)not.exist"):
+        own.count()
