@@ -15,7 +15,7 @@ from stallwatch.llm.neardup import drop_near_duplicates
 from stallwatch.llm.packing import pack
 from stallwatch.llm.pii import redact_personal_data
 from stallwatch.llm.quality_grades import fit_grades, select_documents
-from stallwatch.llm.scratch import Scratch
+from stallwatch.llm.scratch import Scratch, owned_tables
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,6 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest id; documents without words stay. An empty table gives none."""
     return drop_near_duplicates(docs)
 
 
@@ -50,9 +51,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        made = len(Scratch.made)
-        docs = scratch.table(stage(spark, docs, sf_dir), name)
-        Scratch.release(made)  # what the stage wrote for itself
+        with owned_tables():  # what the stage writes for itself
+            docs = scratch.table(stage(spark, docs, sf_dir), name)
         if before:
             scratch.drop(before)
         before = name
