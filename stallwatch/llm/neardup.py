@@ -16,8 +16,10 @@ in rounds that move each class a bounded number of times:
 2. Each class is held against its hub, the leader that it is nearest to, on the full sets, and leaders against all
    leaders that they are near to. A hub with many members is dealt out; its set goes to each part.
 3. What that has not joined is judged inside each family on the full sets, by counting common shingles over inverted
-   lists. A large family is dealt out in blocks: pairs of blocks of which one holds rows outside the family's largest
-   group. Rows of that group are not held against one another.
+   lists. A large family is dealt out in blocks: the family's largest group meets the block of the other rows, and is not
+   held against itself. Where the other rows are more than a block, as with texts of one template that are near to one another without
+   links, only rows meet that share one of their rarest shingles: linked sets of n shingles have one in common among the
+   rarest n - 0.8 n + 1 of each, in any order of rarity. Rows under a shingle that many share meet in pairs of blocks.
 4. Keys that hold more than one family give the pairs across families, again in pairs of blocks that leave out those
    inside the key's largest family. They are confirmed on the full sets.
 
@@ -43,6 +45,8 @@ PLACES, CHUNKS, RADIUS, LEADERS = 64, 14, 27, 4
 BLOCK_SHINGLES = 500_000
 #: Signatures of a block of a large key; a task holds two blocks.
 BLOCK_ROWS = 512
+#: Rows under a key of rare shingles that are paired one by one.
+KEY_ROWS = 32
 #: Multipliers of the 64 hash functions and of the second set fingerprint.
 _ODD = mix(np.arange(101, 101 + PLACES, dtype=U64)) | U64(1)
 _ADD = mix(np.arange(501, 501 + PLACES, dtype=U64))
@@ -285,7 +289,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, percent: int, scratch:
     classes = signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(head).alias("head"), F.first("signature").alias("signature"))
     classes = scratch.table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")  # the written numbers stand
     labels = scratch.table(_components(docs, classes, percent, scratch), "labels")
-    scratch.drop("shared", "near", "families", "sets", "stars", "grouped", "inside", "labelled", "across", "merged")
+    scratch.drop("shared", "near", "families", "sets", "stars", "grouped", "sized", "wide", "common", "tokens", "held", "prefixed", "prefix_pairs", "inside", "labelled", "across", "merged")
 
     members = classes.join(labels, "node", "left").select("set_a", "set_b", "n_shingles", "head", F.coalesce("component", "node").alias("component"))
     first = scratch.table(members.groupBy("component").agg(F.min("head").alias("head")), "heads")
@@ -320,7 +324,7 @@ def _components(docs: DataFrame, classes: DataFrame, percent: int, scratch: Scra
     labels = connected_components(stars, scratch, "star").withColumnRenamed("component", "label")
     grouped = families.join(labels, "node", "left").select("node", "family", "n_shingles", F.coalesce("label", "node").alias("label"))
     grouped = scratch.table(grouped, "grouped")
-    inside = scratch.table(_inside(grouped, sets, percent), "inside")
+    inside = scratch.table(_inside(grouped, sets, percent, scratch), "inside")
     links = inside.unionByName(_confirmed(across, sets, percent))
 
     # Labels are joined by the links between them; a node without one is its own.
@@ -346,18 +350,123 @@ def _stars(near: DataFrame, families: DataFrame, sets: DataFrame, percent: int)
     return tasks.repartition("hub", "part").sortWithinPartitions("hub", "part", "member").mapInArrow(_star_links(percent), "a long, b long")
 
 
-def _inside(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _inside(grouped: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links between the labels of a family."""
+    rows = scratch.table(_sized(grouped), "sized")
+    wide = scratch.table(rows.where("rest_blocks > 1").select(*grouped.columns), "wide")
+    narrow = rows.where("rest_blocks < 2")
+    if wide.isEmpty():
+        return _block_links(narrow, sets, percent)
+    tokens = scratch.table(_prefix_keys(wide, sets, percent, scratch), "tokens")
+    pairs, crowded = _by_prefix(tokens, percent, scratch)
+    again = _sized(wide.join(crowded, "node", "left_semi"))
+    return _block_links(narrow.unionByName(again), sets, percent).unionByName(_confirmed(pairs, sets, percent))
+
+
+def _sized(grouped: DataFrame) -> DataFrame:
+    """Rows of the families of more than one label, with the family's largest label and how many blocks it and the rest make."""
     sizes = grouped.groupBy("family", "label").agg(F.sum("n_shingles").alias("n"))
     sizes = sizes.groupBy("family").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("total"), F.count("*").alias("labels")).where("labels > 1")
-    single = F.col("total") <= BLOCK_SHINGLES
     blocks = lambda n: F.ceil(n / BLOCK_SHINGLES).cast("int")
+    single = F.col("total") <= BLOCK_SHINGLES
     sizes = sizes.select("family", F.col("main.label").alias("main"), single.alias("single"), blocks(F.col("total") - F.col("main.n")).alias("rest_blocks"), blocks(F.col("main.n")).alias("main_blocks"))
-    placed = _placed(grouped.join(sizes, "family"), F.col("label") == F.col("main"), "family", "label", "node")
+    return grouped.join(sizes, "family")
+
+
+def _block_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the labels of each family, from pairs of its blocks."""
+    placed = _placed(rows, F.col("label") == F.col("main"), "family", "label", "node")
     tasks = placed.join(sets, "node").select("family", "first", "second", "label", "node", "shingles")
     return tasks.repartition("family", "first", "second").sortWithinPartitions("family", "first", "second", "node").mapInArrow(_group_links(percent), "a long, b long")
 
 
+def _prefix_keys(wide: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(key, node, label, n_shingles, place) of the rarest shingles of each set, as many as two linked sets cannot be without a common one.
+
+    A family is dealt out in parts of BLOCK_SHINGLES. The shingles that recur in one part are its common ones; how often they do
+    orders all its sets, rare ones first. The table goes to each part. Any order gives the same links; this one keeps the
+    shingles of a template out of the keys.
+    """
+    parts = wide.groupBy("family").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("parts"))
+    dealt = wide.join(parts, "family").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    sample = dealt.where("part = 0").join(sets, "node").select("family", "shingles")
+    common = scratch.table(sample.repartition("family").sortWithinPartitions("family").mapInArrow(_common_shingles, "family long, shingles binary, uses binary"), "common")
+    own = common.join(parts, "family").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    own = own.select("family", "part", F.lit(False).alias("member"), F.lit(0).cast("long").alias("node"), F.lit(0).cast("long").alias("label"), "shingles", "uses")
+    rows = dealt.join(sets, "node").select("family", "part", F.lit(True).alias("member"), "node", "label", "shingles", F.lit(None).cast("binary").alias("uses"))
+    tasks = own.unionByName(rows).repartition("family", "part").sortWithinPartitions("family", "part", "member")
+    return tasks.mapInArrow(_rarest(percent), "key long, node long, label long, n_shingles int, place int")
+
+
+def _common_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles that recur in the sets of each family, and how often. Rows come sorted by family."""
+    now, held = None, []
+
+    def done() -> pa.RecordBatch:
+        values, uses = np.unique(np.concatenate(held), return_counts=True)
+        often = uses > 1
+        columns = [pa.array([now], pa.int64()), pa.array([values[often].tobytes()], pa.binary()), pa.array([uses[often].astype(np.int64).tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["family", "shingles", "uses"])
+
+    for batch in batches:
+        for family, own in zip(*(c.to_pylist() for c in batch.columns)):
+            if family != now and held:
+                yield done()
+                held = []
+            now = family
+            held.append(np.frombuffer(own, dtype=U64))
+    if held:
+        yield done()
+
+
+def _rarest(percent: int):
+    """Keys of each set. Rows (family, part, member, node, label, shingles, uses) come with the family's table first in each part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, none = None, np.zeros(0, U64)
+        common, uses = none, none.view(np.int64)
+        for batch in batches:
+            out: list[tuple[np.ndarray, int, int, int]] = []
+            for i, (family, part, member, node, label) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(5)))):
+                own = np.frombuffer(batch.column(5)[i].as_py(), dtype=U64)
+                if not member:
+                    table, common, uses = (family, part), own, np.frombuffer(batch.column(6)[i].as_py(), dtype=np.int64)
+                    continue
+                if table != (family, part):  # a family whose sample is empty has no table
+                    table, common, uses = (family, part), none, none.view(np.int64)
+                n = np.zeros(len(own), np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+                    n = np.where(common[at] == own, uses[at], 0)
+                rare = np.lexsort((own, n))[: len(own) + percent * len(own) // -100 + 1]
+                out.append((mix(own[rare] ^ mix(np.array([family], np.int64).view(U64))), node, label, len(own)))
+            lengths = [len(x[0]) for x in out]
+            key = np.concatenate([x[0] for x in out]) if out else none
+            node, label, size = (np.repeat(np.array([x[k] for x in out], np.int64), lengths) for k in (1, 2, 3))
+            place = np.concatenate([np.arange(n) for n in lengths]) if out else none.view(np.int64)
+            columns = [pa.array(key.view(np.int64)), pa.array(node), pa.array(label), pa.array(size.astype(np.int32)), pa.array(place.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "label", "n_shingles", "place"])
+
+    return run
+
+
+def _by_prefix(tokens: DataFrame, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of different labels that share a key of at most KEY_ROWS rows, and the nodes under keys of more.
+
+    A pair is left out under a key after which too few shingles are left for the overlap that it needs: under the
+    first shingle that the two have in common enough are left.
+    """
+    held = tokens.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most")).where("least < most").select("key", "n")
+    shared = scratch.table(tokens.join(scratch.table(held, "held"), "key"), "prefixed")
+    few = shared.where(F.col("n") <= KEY_ROWS)
+    x, y = few.alias("x"), few.alias("y")
+    left = F.least(F.col("x.n_shingles") - F.col("x.place"), F.col("y.n_shingles") - F.col("y.place"))
+    enough = left * (100 + percent) >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles"))
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & enough)
+    pairs = scratch.table(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "prefix_pairs")
+    return pairs, shared.where(F.col("n") > KEY_ROWS).select("node").distinct()
+
+
 def _placed(rows: DataFrame, in_main: "F.Column", *keep: str) -> DataFrame:
     """``rows`` once for each pair of blocks (first, second) of their group that they are needed in.
 

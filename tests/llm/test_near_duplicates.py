@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallwatch.llm import neardup
+from stallwatch.llm.scratch import Scratch
 
 
 def shingles(text):
@@ -92,6 +93,36 @@ def test_hot_templates(spark, monkeypatch, blocks):
     assert judged(spark, rows) == wanted(rows)
 
 
+def test_template_family_is_dealt_out_in_proportion(spark, monkeypatch):
+    """Texts of one template are near one another without links: rows dealt out grow with the texts, and planted links are found."""
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 5000)
+    monkeypatch.setattr(neardup, "KEY_ROWS", 4)
+    dealt = {}
+    for n in (250, 500, 1000):
+        rng = np.random.default_rng(16)
+        template = text_of(rng, 100)
+        texts = [changed(rng, template, 22) for _ in range(n)]
+        crowd = changed(rng, template[:5], 5)  # the same rare words in every tenth text: a key of more than KEY_ROWS rows
+        for i in range(0, n, 10):
+            texts[i][:5] = crowd
+        texts += [changed(rng, texts[i], 3) for i in range(0, n, 25)]
+        sets = [np.sort(np.array([hash(x) for x in shingles(" ".join(t))], np.int64).view(np.uint64)) for t in texts]
+        grouped = spark.createDataFrame([(i, 0, len(s), i) for i, s in enumerate(sets)], "node long, family long, n_shingles long, label long")
+        full = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(sets)], "node long, shingles binary")
+        scratch = Scratch(spark, "test")
+        links = {frozenset((r.a, r.b)) for r in neardup._inside(grouped, full, 80, scratch).collect()}
+        assert links >= {frozenset((i, n + k)) for k, i in enumerate(range(0, n, 25))}
+        assert all(neardup.similar(*(sets[i] for i in link), 80) for link in links)
+        kept, pairs = (spark.read.parquet(scratch.path(x)) for x in ("prefixed", "prefix_pairs"))
+        crowded = grouped.join(kept.where(F.col("n") > neardup.KEY_ROWS), "node", "left_semi")
+        in_blocks = neardup._placed(neardup._sized(crowded), F.col("label") == F.col("main"), "node").count()
+        old = neardup._placed(neardup._sized(grouped), F.col("label") == F.col("main"), "node").count()
+        dealt[n] = (kept.count(), pairs.count(), in_blocks, old)
+    for k in (0, 1):
+        assert dealt[1000][k] <= 2.5 * dealt[500][k] <= 6.25 * dealt[250][k], dealt
+    assert dealt[1000][2] * 20 < dealt[1000][3] and dealt[1000][3] > 3 * dealt[500][3], dealt
+
+
 def test_unrelated_text_under_a_repeated_id_stays(spark):
     rng = np.random.default_rng(13)
     a, b = text_of(rng), text_of(rng)
