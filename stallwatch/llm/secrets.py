@@ -69,19 +69,41 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def describe(text: str, start: int, end: int, log_probs: np.ndarray) -> list:
-    """The features of one candidate from length to the word after it, in the order of CANDIDATE but for the path."""
+def word_before(text: str, start: int) -> str:
+    """The last word that ends at or before ``start``, whole, however far off; empty if there is none."""
+    end = start
+    while end and not text[end - 1].isalnum():
+        end -= 1
+    begin = end
+    while begin and text[begin - 1].isalnum():
+        begin -= 1
+    return text[begin:end]
+
+
+def describe(text: str, start: int, end: int, line_start: int, log_probs: np.ndarray) -> list:
+    """The features of one candidate from length to the word after it, in the order of CANDIDATE but for the path.
+
+    line_start: where the line of the candidate begins. Neighbours are the nearest words of the whole text.
+    """
     value = text[start:end]
     n = len(value)
     symbols = [0, 0, *map(symbol, value), 0]
     transition = float(np.mean([log_probs[a, b, c] for a, b, c in zip(symbols, symbols[1:], symbols[2:])]))
     entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
-    before, after = _TOKEN.findall(text[max(0, start - 64) : start]), _TOKEN.findall(text[end : end + 64])
+    before, after = word_before(text, start).lower(), _TOKEN.search(text, end)
     digits, upper, lower = sum(c.isdigit() for c in value), sum(c.isupper() for c in value), sum(c.islower() for c in value)
     classes = (digits > 0) + (upper > 0) + (lower > 0) + (digits + upper + lower < n)
-    key = bool(before) and re.fullmatch("(?i)password|passwd|pwd|secret|token|key|auth", before[-1]) is not None
-    line = start - (text.rfind("\n", 0, start) + 1)
-    return [float(n), transition, digits / n, upper / n, entropy, float(classes), float(key), float(min(line, 1000)), before[-1].lower() if before else "", after[0].lower() if after else ""]
+    key = before in {"password", "passwd", "pwd", "secret", "token", "key", "auth"}
+    return [float(n), transition, digits / n, upper / n, entropy, float(classes), float(key), float(start - line_start), before, after.group().lower() if after else ""]
+
+
+def described(text: str, log_probs: np.ndarray) -> Iterator[tuple]:
+    """(kind, start, end, value, *features) of each candidate; lines are counted forward, so that one long line costs no more."""
+    line_start, seen = 0, 0
+    for kind, start, end in candidates(text):
+        newline = text.rfind("\n", seen, start)
+        line_start, seen = (newline + 1 if newline >= 0 else line_start), start
+        yield kind, start, end, text[start:end], *describe(text, start, end, line_start, log_probs)
 
 
 def find_candidates(docs: DataFrame, log_probs: np.ndarray) -> DataFrame:
@@ -91,9 +113,7 @@ def find_candidates(docs: DataFrame, log_probs: np.ndarray) -> DataFrame:
         for batch in chunks(batches, "text"):
             rows = []
             for doc, text, path in zip(*(c.to_pylist() for c in batch.columns)):
-                for kind, start, end in candidates(text or ""):
-                    value = text[start:end]
-                    *numbers, before, after = describe(text, start, end, log_probs)
+                for kind, start, end, value, *numbers, before, after in described(text or "", log_probs):
                     rows.append((doc, kind, start, end, value, *numbers, path or "", before, after, [r.lower() for r in _RUNS.findall(value)]))
             kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), *[pa.float64()] * 8, *[pa.string()] * 3, pa.list_(pa.string())]
             names = [x.split()[0] for x in CANDIDATE.split(", ")]
@@ -111,7 +131,8 @@ def _string_hash(words: list[str]) -> np.ndarray:
 def with_coverage(found: DataFrame, docs: DataFrame, scratch: Scratch, per_million: float, least_uses: int) -> DataFrame:
     """``found`` with coverage: the share of a value's characters in letter runs that the corpus uses as words.
 
-    A word counts from ``per_million`` uses in a million words of all documents on, and from ``least_uses``. Coverage
+    A word counts from ``per_million`` uses in a million words of all documents on, and from ``least_uses``: a word used
+    once may be the value itself, whatever the size of the corpus. Coverage
     depends on the value alone, so it is made once for each different value. Only words whose hash falls where some
     candidate's run does are sent on; the rest cannot matter. The table that tells is of fixed size.
     """
@@ -168,7 +189,7 @@ def fit_forest(findings: DataFrame, max_rows: int = 20_000, n_trees: int = 40, d
     """A forest from labelled findings (label and the features), about ``max_rows`` of them chosen by hash. None if all labels agree."""
     n = findings.count()
     if n > max_rows:
-        findings = findings.where(F.pmod(F.xxhash64("doc_id", "start", "value"), F.lit(1_000_000)) < int(1_000_000 * max_rows / n))
+        findings = findings.where(F.xxhash64("doc_id", "start", "value") < (max_rows * (1 << 64) // n) - (1 << 63))
     findings = findings.cache()
     try:
         if findings.select("label").distinct().limit(2).count() < 2:
@@ -179,7 +200,7 @@ def fit_forest(findings: DataFrame, max_rows: int = 20_000, n_trees: int = 40, d
         findings.unpersist()
 
 
-def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", per_million: float = 1.0, least_uses: int = 20, min_score: float = 0.5) -> DataFrame:
+def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", per_million: float = 1.0, least_uses: int = 2, min_score: float = 0.5) -> DataFrame:
     """One row per candidate: doc_id, kind, start, end (code points), value, features, score, kept.
 
     findings: reviewed findings (doc_id, start, end, label 0 or 1) to train on; a repeated one counts once, by its

@@ -1,6 +1,7 @@
 """Candidates against a plain scan, coverage against counting, and a forest trained on reviewed findings."""
 
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -53,6 +54,25 @@ def test_coverage_equals_counting(spark):
         assert abs(r.coverage - want) < 1e-9 and r.value in texts[0] + " ".join(texts)
 
 
+def test_features_equal_brute_force():
+    """Neighbours however far off, places in lines however long, against a plain reading of the whole text."""
+    rng = np.random.default_rng(43)
+    flat = np.zeros((28, 28, 28))
+    gaps = [" ", "\n", " " * 70, "_" * 200, " -- ", "\n\n", " é_ß ", "." * 1500 + " "]
+    for _ in range(60):
+        text = "".join(str(rng.choice(gaps)) + (drawn(rng, int(rng.integers(20, 60))) if rng.random() < 0.4 else str(rng.choice(["token", "Straße", "x" * 90, "password=hunter22", "auth"]))) for _ in range(12))
+        found = list(secrets.described(text, flat))
+        assert [x[:3] for x in found] == secrets.candidates(text)
+        for _, start, end, value, *numbers, before, after in found:
+            earlier, later = re.findall(r"[^\W_]+", text[:start]), re.findall(r"[^\W_]+", text[end:])
+            assert before == (earlier[-1].lower() if earlier else "") and after == (later[0].lower() if later else "")
+            assert numbers[-1] == len(text[:start].split("\n")[-1]) and value == text[start:end] and numbers[0] == end - start
+            assert numbers[-2] == float(before in ("password", "passwd", "pwd", "secret", "token", "key", "auth"))
+    long = " ".join(drawn(rng, 30) for _ in range(30_000))  # one line of 0.9 million characters
+    began = time.perf_counter()
+    assert sum(1 for _ in secrets.described(long, flat)) == 30_000 and time.perf_counter() - began < 60
+
+
 def test_query_finds_what_a_plain_scan_finds(spark, sf):
     from stallwatch.llm.catalog import op5_secrets
 
