@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,18 +72,34 @@ def test_substrings(docs, none):
     assert substrings.remove_repeats(none).count() == 0
 
 
-@pytest.mark.parametrize("hot", [1, 50_000])
-def test_substrings_inside_one_document(spark, hot):
+@pytest.mark.parametrize("hot", [1, 4, 50_000])
+def test_substrings_inside_one_document(spark, monkeypatch, hot):
+    monkeypatch.setattr(substrings, "ANCHOR_SEGMENTS", hot)
     rng = np.random.default_rng(3)
     texts = ["a " * 100, "a b " * 40, " ".join(map(str, rng.integers(0, 5, 300))), " ".join(map(str, rng.integers(0, 2, 400))), "a b " * 17 + "a"]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     counts = Counter(tuple(w[i : i + 35]) for t in texts for w in [t.split()] for i in range(len(w) - 34))
-    for r in substrings.remove_repeats(frame, hot_segments=hot).collect():
+    for r in substrings.remove_repeats(frame).collect():
         w = texts[r.doc_id].split()
         gone = {j for i in range(len(w) - 34) if counts[tuple(w[i : i + 35])] > 1 for j in range(i, i + 35)}
         assert r.n_removed == len(gone)
 
 
+def test_substrings_levels_lie_inside_one_another():
+    rng = np.random.default_rng(8)
+    text = pa.array([" ".join(map(str, rng.integers(0, k, 400))) for k in (2, 3, 50, 1 << 30)] + ["a " * 100, "", None, "one two"])
+    found = [substrings.segment(text, 35, level)[2] for level in range(substrings.LEVELS)]
+    assert len({int(s["windows"].sum()) for s in found}) == 1 and (found[-1]["windows"] == 1).all()
+    for coarse, fine in zip(found, found[1:]):
+        assert set(coarse["at"]) <= set(fine["at"]) and len(fine["at"]) > len(coarse["at"])
+    words = [w for t in text.to_pylist() for w in (t or "").split()]
+    for s in found:  # equal windows lie under one anchor at every level
+        anchors = {}
+        for at, n, anchor in zip(s["at"].tolist(), s["windows"].tolist(), s["anchor"].tolist()):
+            for i in range(at, at + n):
+                assert anchors.setdefault(tuple(words[i : i + 35]), anchor) == anchor
+
+
 def test_substrings_sends_no_copies_of_hot_windows(spark, monkeypatch):
     rng = np.random.default_rng(9)
     passage = " ".join(f"p{i}" for i in range(45))
@@ -98,7 +115,8 @@ def test_substrings_sends_no_copies_of_hot_windows(spark, monkeypatch):
         return run
 
     monkeypatch.setattr(substrings, "_shard", few)
-    rows = substrings.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), hot_segments=10).collect()
+    monkeypatch.setattr(substrings, "ANCHOR_SEGMENTS", 10)
+    rows = substrings.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert len(rows) == 60 and all(r.n_removed == 45 and r.kept_text == " ".join(texts[r.doc_id].replace(passage, "").split()) for r in rows)
 
 
