@@ -19,7 +19,7 @@ from stallwatch.llm.scratch import Scratch, owned_tables
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal classifier gives good quality, toxic or not."""
+    """Documents that the ordinal classifier gives good quality, toxic or not, with their own columns. Texts without words, null ones included, go; an empty table gives none."""
     return select_documents(docs, fit_grades(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
@@ -29,15 +29,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by benchmark items, with their own columns. Null and empty texts stay; an empty table gives none."""
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with personal data in their texts replaced; n_chars tells the new length. Null texts stay null; an empty table gives none."""
     return redact_personal_data(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences; ids_crc32 stands for the ids."""
+    """Pieces of documents in sequences; ids_crc32 stands for the ids. A null or empty text is one piece of its end id alone; an empty table gives none."""
     pieces = pack(docs, TOKENIZER)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
