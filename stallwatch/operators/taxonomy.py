@@ -44,13 +44,33 @@ def rescue_category(category: Column, name: Column, raw: Column) -> Column:
     return F.when(category == "uncategorized", found).otherwise(category)
 
 
-def subcategory(category: Column, title: Column, known: Column | None = None) -> Column:
-    """The subcategory of the first rule of the category that the title meets; one that is known stays."""
+#: A mark of a word bound in a pattern, and what stands for it where patterns have none: a backspace.
+BOUND, NEVER = r"\b", r"\x08"
+
+
+def subcategory(category: Column, title: Column, known: Column | None = None, word_bounds: bool = True) -> Column:
+    """The subcategory of the first rule of the category that the title meets; one that is known stays.
+
+    word_bounds: without, marks of word bounds in the patterns match nothing, as in databases whose patterns do not have them.
+    """
     rules = sorted(enumerate(R.SUBCATEGORIES), key=lambda x: (x[1][3], x[0]))
-    found = first_match([((category == c) & title.rlike(f"(?i){p}"), label) for _, (c, p, label, _) in rules])
+    found = first_match([((category == c) & title.rlike(f"(?i){p if word_bounds else p.replace(BOUND, NEVER)}"), label) for _, (c, p, label, _) in rules])
     return found if known is None else F.coalesce(known, found)
 
 
+def fill_subcategories(products: DataFrame) -> DataFrame:
+    """``products`` with subcategories by title, in two passes; one that is known stays.
+
+    The first reads every product by the rules as stored, where marks of word bounds match nothing; the second reads what is left
+    of the active products with them. So a title that meets a rule of either kind keeps the first pass's answer, and whole-word rules
+    alone leave inactive products without one. Categories are taken trimmed and in lower case; null categories and titles meet no rule.
+    """
+    category = F.lower(F.trim("category_normalized"))
+    stored = subcategory(category, F.col("product_name"), F.col("subcategory"), word_bounds=False)
+    by_text = F.when(F.col("is_active"), subcategory(category, F.col("product_name")))
+    return products.withColumn("subcategory", F.coalesce(stored, by_text))
+
+
 def subcategory_progress(products: DataFrame) -> DataFrame:
     rows = products.groupBy("category_normalized").agg(F.count("*").alias("total"), F.count("subcategory").alias("filled"))
     return rows.withColumn("filled_pct", percent(F.col("filled"), F.col("total"), 1))

@@ -53,12 +53,23 @@ def _titled(s: Shop):
     return s.catalogue.select("product_id", at(kinds, 10).alias("category"), F.concat_ws(" ", "product_name", at(words, 9)).alias("title"))
 
 
+def _shelved(s: Shop):
+    """Products with a known subcategory or none, active or not, in categories written in several ways."""
+    kinds = F.array(*map(F.lit, ("T-Shirts ", " jeans", "Dresses", "sweaters", "HOODIES", "bags")))
+    words = F.array(*map(F.lit, ("print basic", "Mom flare", "MAXI", "zip", "wide mom", "v neck zip", "Long Sleeve", "Mom fit")))
+    size, name = F.col("p_size"), F.element_at(words, (F.col("product_id") % 8 + 1).cast("int"))
+    kind = F.element_at(kinds, (F.floor(F.col("product_id") / 8) % 6 + 1).cast("int"))
+    known = F.when(size % 11 == 0, F.lit("known"))
+    return s.catalogue.select("product_id", kind.alias("category_normalized"), F.concat_ws(" ", "product_name", name).alias("product_name"), known.alias("subcategory"), (size % 3 > 0).alias("is_active"))
+
+
 QUERIES = {
     "d01_normalize_category": lambda s: s.dealt("documents", "doc_id", "text", "source").select("doc_id", T.normalize_category(F.col("text")).alias("category"), T.normalize_gender(F.col("text"), F.col("source"), ("src1", "src2")).alias("gender")),
     "d03_breadcrumb_gender": lambda s: s.catalogue.select("product_id", T.breadcrumb_gender(F.element_at(F.array(*map(F.lit, (" Man", "WOMAN", "children", "home", None))), (F.col("p_size") % 5 + 1).cast("int")), F.col("gender")).alias("gender")),
     "d04_rescue_category": lambda s: s.table("documents").select("doc_id", T.rescue_category(F.lit("uncategorized"), F.col("text"), F.col("source")).alias("category")),
     "d05_subcategory": lambda s: s.catalogue.select("product_id", T.subcategory(F.lit("jeans"), F.concat_ws(" ", "product_name", F.when(F.col("p_size") % 2 == 0, F.lit("Slim fit")).otherwise(F.lit("boot-cut"))), F.when(F.col("p_size") % 7 == 0, F.lit("known"))).alias("subcategory")),
     "d05_subcategories": lambda s: _titled(s).select("product_id", "category", T.subcategory(F.col("category"), F.col("title")).alias("subcategory")),
+    "d05_fill_subcategories": lambda s: T.fill_subcategories(_shelved(s)).select("product_id", "is_active", "subcategory"),
     "d06_subcategory_progress": lambda s: T.subcategory_progress(s.catalogue.withColumn("subcategory", F.when(F.col("p_size") > 20, F.col("subcategory")))),
     "d07_classify_size": lambda s: T.apply_sizes(_sized(s).drop("cut"))[0],
     "d08_size_review_queue": lambda s: T.apply_sizes(_sized(s).drop("cut"))[1],
@@ -148,6 +159,13 @@ SQL = {
             WHEN 'sweaters' THEN CASE w WHEN 7 THEN 'turtleneck' WHEN 8 THEN 'zip' END
             WHEN 'hoodies' THEN CASE w WHEN 8 THEN 'zip-up' END END AS subcategory
         FROM (SELECT product_id, product_id % 9 AS w, ['t-shirts', 'shirts', 'trousers', 'jeans', 'shorts', 'dresses', 'skirts', 'sweaters', 'hoodies', 'bags'][product_id % 10 + 1] AS category FROM catalogue)"""),
+    "d05_fill_subcategories": twin("""SELECT product_id, p_size % 3 > 0 AS is_active, CASE WHEN p_size % 11 = 0 THEN 'known' ELSE CASE c
+            WHEN 0 THEN CASE w WHEN 0 THEN 'basic' WHEN 6 THEN 'long-sleeve' END
+            WHEN 1 THEN CASE WHEN w = 1 THEN 'flare' WHEN w = 4 THEN 'wide-baggy' WHEN w = 7 AND p_size % 3 > 0 THEN 'mom-fit' END
+            WHEN 2 THEN CASE WHEN w = 2 AND p_size % 3 > 0 THEN 'maxi' END
+            WHEN 3 THEN CASE WHEN w = 5 THEN 'v-neck' WHEN w = 3 AND p_size % 3 > 0 THEN 'zip' END
+            WHEN 4 THEN CASE WHEN w IN (3, 5) THEN 'zip-up' END END END AS subcategory
+        FROM (SELECT product_id, p_size, product_id % 8 AS w, product_id // 8 % 6 AS c FROM catalogue)"""),
     "d05_subcategory": twin("SELECT product_id, CASE WHEN p_size % 7 = 0 THEN 'known' WHEN p_size % 2 = 0 THEN 'slim' ELSE 'flare' END AS subcategory FROM catalogue"),
     "d06_subcategory_progress": twin(f"SELECT category_normalized, count(*) AS total, count(*) FILTER (p_size > 20) AS filled, {pct('count(*) FILTER (p_size > 20)', 'count(*)', 1)} AS filled_pct FROM catalogue GROUP BY 1"),
     "d07_classify_size": twin(f"SELECT product_id, brand, category_normalized, size, size_family, size_system, {_STATUS}, reason FROM ({_CLASSED})", sized=_SIZES),

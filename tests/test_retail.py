@@ -551,3 +551,13 @@ def test_waves(spark):
     assert [[s.signal_id for s in w] for w in waves] == [["a"], ["b", "d"], ["c"]]
     with pytest.raises(ValueError):
         maintenance.run_waves([made("a", "b"), made("b", "a")])
+
+
+def test_subcategories_are_filled_in_two_passes(spark):
+    rows = [(1, " T-SHIRTS", "Print basic", None, True), (2, "jeans", "mom flare", None, True), (3, "jeans", "MOM fit", None, True), (4, "jeans", "mom fit", None, False), (5, "jeans", "slim", "known", True), (6, None, "slim", None, True), (7, "jeans", None, None, True), (8, "dresses", "maximum", None, True), (9, "dresses", "Maxi", None, None), (9, "dresses", "Maxi", None, None)]
+    products = spark.createDataFrame(rows, "product_id long, category_normalized string, product_name string, subcategory string, is_active boolean")
+    filled = taxonomy.fill_subcategories(products)
+    assert filled.columns == products.columns
+    got = sorted((r.product_id, r.subcategory) for r in filled.collect())
+    assert got == [(1, "basic"), (2, "flare"), (3, "mom-fit"), (4, None), (5, "known"), (6, None), (7, None), (8, None), (9, None), (9, None)]
+    assert taxonomy.fill_subcategories(products.limit(0)).count() == 0
