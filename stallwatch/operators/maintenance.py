@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stallwatch.operators.lake import days_available, days_of, differing_days, merge_days, read_days, replace_days
+from stallwatch.operators.lake import days_available, days_of, differing_days, merge_days, read_days, replace_days, row_digests
 from stallwatch.sources.shared import remove
 
 
@@ -77,13 +77,20 @@ def repartition_by_day(source: DataFrame, root: str, id_cols: list[str] | None,
     return rows.count()
 
 
-def recompress(spark: SparkSession, source: str, target: str, codec: str = "snappy") -> int:
+def recompress(spark: SparkSession, source: str, target: str, codec: str = "snappy", day: str | None = None) -> int:
+    """Writes a table anew under another codec, as a table of days if ``day`` is named; returns the number of rows.
+
+    The rows are digested as they pass and read again from the new files; raises if the digests differ. The source stays. An empty table gives an empty one.
+    """
     rows = spark.read.parquet(source)
-    rows.write.mode("overwrite").option("compression", codec).parquet(target)
-    have, want = spark.read.parquet(target).count(), rows.count()
-    if have != want:
-        raise RuntimeError(f"{have} rows written of {want}")
-    return have
+    digests, passed = row_digests(rows.columns, dict(rows.dtypes)), Observation()
+    out = rows.repartition(day) if day else rows
+    writer = out.observe(passed, *digests).write.mode("overwrite").option("compression", codec)
+    (writer.partitionBy(day) if day else writer).parquet(target)
+    have = spark.read.schema(rows.schema).parquet(target).agg(*digests).first().asDict()
+    if have != passed.get:
+        raise RuntimeError(f"{target} does not hold the rows of {source}")
+    return have["n_rows"]
 
 
 @dataclass

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stallwatch.operators import capture as C
 from stallwatch.operators import lake as L
-from stallwatch.operators.maintenance import archive_days
+from stallwatch.operators.maintenance import archive_days, archive_results, recompress, repartition_by_day
 from stallwatch.operators.signals import flag_flash_sales
 from stallwatch.plans.base_sql import AS_OF as D
 from stallwatch.plans.base_sql import pct, r, twin
@@ -145,7 +145,53 @@ def _archived(shop: Shop):
     return cold.unionByName(left.withColumns({"product_name": F.lit(None).cast("string"), "tier": F.lit("hot")}))
 
 
+def _folder(shop: Shop, name: str) -> str:
+    return f"{shared_folder(shop.spark)}/stallwatch/{name}-{uuid.uuid4().hex}"
+
+
+def _archive(shop: Shop):
+    """Files at two depths under one folder as one table; the older ones lack the advertised price."""
+    root, old = _folder(shop, "files"), F.col("snapshot_date") < "2024-01-15"
+    rows = shop.snapshots.select("product_id", "snapshot_date", "price", "compare_at_price")
+    rows.where(old).drop("compare_at_price").write.parquet(f"{root}/old/first")
+    rows.where(~old).write.parquet(f"{root}/new")
+    return L.archive_table(shop.spark, root, "price_archive")
+
+
+def _ad_hoc(shop: Shop):
+    query = "SELECT brand, count(*) AS moves, max(price_after) AS highest FROM moves JOIN shelf USING (product_id) WHERE direction = 'up' GROUP BY brand"
+    frames = {"moves": shop.price_events.select("product_id", "direction", "price_after"), "shelf": shop.catalogue.select("product_id", "brand")}
+    return L.ad_hoc(shop.spark, frames, query)[0]
+
+
+def _archived_results(shop: Shop):
+    """Price moves older than two weeks, archived twice with a later price in the second run; which tier holds each."""
+    root, rows = _folder(shop, "results"), shop.price_events.select("event_id", "price_after", "event_date")
+    archive_results(rows.withColumn("price_after", F.col("price_after") - 1), root, AS_OF, 14, ["event_id"], "event_date")
+    left = archive_results(rows, root, AS_OF, 14, ["event_id"], "event_date")
+    cold = shop.spark.read.parquet(root).select("event_id", "price_after", "event_date", F.lit("cold").alias("tier"))
+    return cold.unionByName(left.withColumn("tier", F.lit("hot")))
+
+
+def _repartitioned(shop: Shop):
+    """Events of which a third occur twice, in days without repeats."""
+    root, rows = _folder(shop, "events"), shop.price_events.select("event_id", "price_before", "price_after", "event_date")
+    repartition_by_day(rows.unionByName(rows.where("event_id % 3 = 0")), root, None, "event_date")
+    return shop.spark.read.parquet(root)
+
+
+def _recompressed(shop: Shop):
+    source, target = _written(shop, "plain", shop.snapshots.select("product_id", "snapshot_date", "price", "compare_at_price"), "snapshot_date"), _folder(shop, "snappy")
+    recompress(shop.spark, source, target, day="snapshot_date")
+    return shop.spark.read.parquet(target)
+
+
 QUERIES = {
+    "a05_archive_table": _archive,
+    "a06_ad_hoc": _ad_hoc,
+    "k02_archive_results": _archived_results,
+    "k05_repartition_events": _repartitioned,
+    "k06_recompress": _recompressed,
     "a01_scan_snapshot_days": _snapshot_days,
     "a03_scan_event_days": _event_days,
     "k01_archive_days": _archived,
@@ -189,6 +235,11 @@ QUERIES = {
 _STATE = "SELECT l_partkey * 100000 + l_suppkey AS variant_id, l_partkey AS product_id, arg_max(l_returnflag, (l_shipdate, l_extendedprice, l_quantity, l_returnflag)) <> 'R' AS is_in_stock, arg_min(l_extendedprice, (l_shipdate, l_extendedprice, l_quantity, l_returnflag)) AS first_observed_price, CASE WHEN max(l_shipdate) < '1995-06-01' THEN max(l_shipdate) END AS delisted_at FROM lineitem {} GROUP BY 1, 2"
 
 SQL = {
+    "a05_archive_table": twin("SELECT product_id, snapshot_date, price, CASE WHEN snapshot_date >= DATE '2024-01-15' THEN compare_at_price END AS compare_at_price FROM snapshots"),
+    "a06_ad_hoc": twin("SELECT brand, count(*) AS moves, max(price_after) AS highest FROM price_events WHERE direction = 'up' GROUP BY 1"),
+    "k02_archive_results": twin(f"SELECT event_id, price_after, event_date, CASE WHEN event_date < {D} - 14 THEN 'cold' ELSE 'hot' END AS tier FROM price_events"),
+    "k05_repartition_events": twin("SELECT event_id, price_before, price_after, event_date FROM price_events"),
+    "k06_recompress": twin("SELECT product_id, snapshot_date, price, compare_at_price FROM snapshots"),
     "a01_scan_snapshot_days": twin("SELECT product_id, brand, price, CASE WHEN snapshot_date < DATE '2024-01-15' THEN 0 ELSE coalesce(compare_at_price, 0) END AS compare_at_price, snapshot_date FROM snapshots WHERE snapshot_date >= DATE '2024-01-10' AND snapshot_date <> DATE '2024-01-20'"),
     "a03_scan_event_days": twin("SELECT event_id, variant_id, event_type, event_date >= DATE '2024-01-15' AND coalesce(witnessed, false) AS witnessed, event_date, CASE WHEN event_date >= DATE '2024-01-15' AND event_type = 'delisted' THEN 'not_a_stock_transition' END AS seed_reason FROM stock_events WHERE event_date >= DATE '2024-01-05'"),
     "k01_archive_days": twin(f"SELECT product_id, snapshot_date, price, CASE WHEN snapshot_date < {D} - 14 AND p_size > 5 THEN product_name END AS product_name, CASE WHEN snapshot_date < {D} - 14 THEN 'cold' ELSE 'hot' END AS tier FROM snapshots"),

@@ -216,6 +216,11 @@ def test_repartition_and_recompress_keep_all_rows(spark, tmp_path):
     assert maintenance.repartition_by_day(rows, str(tmp_path / "days"), ["id"]) == 2
     assert maintenance.recompress(spark, str(tmp_path / "days"), str(tmp_path / "snappy")) == 2
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "snappy")).collect()) == [1, 2]
+    assert maintenance.recompress(spark, str(tmp_path / "days"), str(tmp_path / "again"), day="snapshot_date") == 2
+    assert [d for d, _ in list_days(spark, str(tmp_path / "again"))] == [DAY]
+    rows.limit(0).write.parquet(str(tmp_path / "none"))
+    assert maintenance.recompress(spark, str(tmp_path / "none"), str(tmp_path / "empty")) == 0
+    assert spark.read.parquet(str(tmp_path / "empty")).dtypes == rows.dtypes
 
 
 def test_size_shares_are_of_all_stock_outs(spark):
