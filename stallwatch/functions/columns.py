@@ -19,6 +19,14 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return round_to(100.0 * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), places)
 
 
+def exact_mean(x: Column, places: int) -> Column:
+    """Mean of values of up to six decimals, rounded half up: in whole millionths, so that neither the order of the rows nor
+    a sum of doubles decides a tie."""
+    unit, total, n = 10 ** (6 - places), F.sum(F.round(x * 1e6).cast("long")), F.count(x)
+    twice, whole = 2 * total + n * unit, 2 * unit * F.nullif(n, F.lit(0))
+    return ((twice - F.pmod(twice, whole)) / whole) / float(10**places)
+
+
 def upper_median(values: Column) -> Column:
     """The upper of the two middle values of a positive array; not interpolated."""
     good = F.array_sort(F.filter(values, lambda v: v > 0))

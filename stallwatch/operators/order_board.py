@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallwatch.functions.columns import first_match, percent, round_to, window_of
+from stallwatch.functions.columns import exact_mean, first_match, percent, round_to, window_of
 from stallwatch.operators.boards import ci95, conf_level, price_band
 
 CELL = ["category_normalized", "subcategory"]
@@ -67,8 +67,8 @@ def launches_by_brand(shelf: DataFrame, as_of: str, days: int = 7, min_launches:
 
 
 def distress(escalations: DataFrame, min_rows: int = 5) -> DataFrame:
-    """Escalating cuts per cell and brand, with their average depth."""
-    rows = escalations.groupBy(*CELL, "brand").agg(F.count("*").alias("escalating"), round_to(F.avg("last_depth_pct"), 1).alias("avg_depth"))
+    """Escalating cuts per cell and brand, with their average depth to one place, half up; depths have at most six decimals."""
+    rows = escalations.groupBy(*CELL, "brand").agg(F.count("*").alias("escalating"), exact_mean(F.col("last_depth_pct"), 1).alias("avg_depth"))
     return rows.where(F.col("escalating") > min_rows)
 
 

@@ -189,7 +189,7 @@ SQL = {
     "i28_brand_prices": twin(f"SELECT {_CELL}, brand, count(*) AS products, {r('quantile_cont(price, 0.5)')} AS median_price FROM prices GROUP BY 1, 2, 3", prices=_PRICE),
     "i31_launches_by_brand": twin(_LAUNCH),
     "i32_price_moves_by_brand": twin(_MOVE),
-    "i35_distress": twin(f"SELECT {_CELL}, brand, count(*) AS escalating, {r('avg(last_depth_pct)', 1)} AS avg_depth FROM esc GROUP BY 1, 2, 3", esc=_ESC),
+    "i35_distress": twin(f"SELECT {_CELL}, brand, count(*) AS escalating, (2 * sum(CAST(round(last_depth_pct * 1000000) AS BIGINT)) + 100000 * count(last_depth_pct)) // (200000 * count(last_depth_pct)) / 10::DOUBLE AS avg_depth FROM esc GROUP BY 1, 2, 3", esc=_ESC),
     "i36_distress_products": twin("SELECT * FROM avoid", prices=_PRICE, gone=_GONE, inputs=_INPUTS, esc=_ESC, avoid=_AVOID),
     "i37_order_board": twin("SELECT * FROM orders_now", **_PARTS),
     "i38_supply_gaps": twin(f"SELECT {_CELL}, sellouts, restocks, gap_ratio, CASE WHEN gap_ratio >= 2 THEN 'OPEN' ELSE 'NARROWING' END AS gap FROM orders_now WHERE verdict <> 'avoid' AND gap_ratio >= 1.2::DOUBLE", **_PARTS),

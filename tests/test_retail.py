@@ -566,3 +566,12 @@ def test_subcategories_are_filled_in_two_passes(spark):
     got = sorted((r.product_id, r.subcategory) for r in filled.collect())
     assert got == [(1, "basic"), (2, "flare"), (3, "mom-fit"), (4, None), (5, "known"), (6, None), (7, None), (8, None), (9, None), (9, None)]
     assert taxonomy.fill_subcategories(products.limit(0)).count() == 0
+
+
+def test_distress_rounds_ties_of_depths_up_in_any_order(spark):
+    depths = {"a": [28.49, 5.76, 25.3], "b": [2.86, 0.01, 0.0, None], "c": [-0.05, -0.05], "d": [None]}
+    rows = [("x", "y", brand, depth) for brand, values in depths.items() for depth in values]
+    schema = "category_normalized string, subcategory string, brand string, last_depth_pct double"
+    for drawn in (rows, rows[::-1], sorted(rows, key=str)):
+        got = {r.brand: (r.escalating, r.avg_depth) for r in order_board.distress(spark.createDataFrame(drawn, schema), 0).collect()}
+        assert got == {"a": (3, 19.9), "b": (4, 1.0), "c": (2, 0.0), "d": (1, None)}  # 19.85, 0.95666, -0.05: half up
