@@ -575,3 +575,14 @@ def test_distress_rounds_ties_of_depths_up_in_any_order(spark):
     for drawn in (rows, rows[::-1], sorted(rows, key=str)):
         got = {r.brand: (r.escalating, r.avg_depth) for r in order_board.distress(spark.createDataFrame(drawn, schema), 0).collect()}
         assert got == {"a": (3, 19.9), "b": (4, 1.0), "c": (2, 0.0), "d": (1, None)}  # 19.85, 0.95666, -0.05: half up
+
+
+def test_alerts_are_neither_moved_nor_repeated(spark):
+    drops = spark.createDataFrame([(1, "b", "c", ["S", "M"], 50.0, 20.0, 90.0), (1, "b", "c", ["S"], 50.0, 20.0, 90.0), (1, "b", "c", ["S"], 50.0, 9.4, 90.0), (2, "b", "c", ["S"], 80.0, 20.0, 90.0)], "product_id long, brand string, category_normalized string, sizes_in_stock array<string>, price_after double, discount_pct double, first_observed_price double")
+    users = spark.createDataFrame([(1, True, None), (2, True, 60.0), (2, True, 10.0), (3, False, None), (4, True, 60.0), (4, True, None)], "user_id long, is_active boolean, price_ceiling double")
+    sizes = spark.createDataFrame([(u, "c", "S") for u in (1, 1, 2, 3, 4)], "user_id long, category string, size string")
+    follows = spark.createDataFrame([(u, "b") for u in (1, 1, 2, 3, 4)], "user_id long, brand string")
+    found = capture.match_alerts(drops, users, sizes, follows)
+    assert sorted((r.user_id, r.product_id) for r in found.collect()) == [(1, 1), (1, 2), (2, 1), (4, 1), (4, 2)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan.split("Aggregate")[0] and "RepartitionByExpression" not in plan.split("Join")[0]  # nothing gathers the pairs
