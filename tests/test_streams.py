@@ -126,3 +126,13 @@ def test_the_session_keeps_its_own_settings(spark):
     with C.keyed_state(spark):
         assert {k: spark.conf.get(k) for k in C.STATE_STORE} == C.STATE_STORE
     assert {k: spark.conf.get(k, None) for k in C.STATE_STORE} == before
+
+
+def test_alerts_are_written_as_drops_and_subscribers(spark, sf, monkeypatch):
+    from stallwatch.plans import streaming_catalog as S
+
+    wrote = []
+    batches = C.alert_batches
+    monkeypatch.setattr(S.C, "alert_batches", lambda match, path: wrote.append(path) or batches(match, path))
+    found = S.m04_stream_alerts(spark, sf)
+    assert "user_id" not in spark.read.parquet(wrote[0]).columns and found.count() == found.distinct().count() > 0
