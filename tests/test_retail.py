@@ -586,3 +586,14 @@ def test_alerts_are_neither_moved_nor_repeated(spark):
     assert sorted((r.user_id, r.product_id) for r in found.collect()) == [(1, 1), (1, 2), (2, 1), (4, 1), (4, 2)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" in plan.split("Aggregate")[0] and "RepartitionByExpression" not in plan.split("Join")[0]  # nothing gathers the pairs
+
+
+def test_alerts_keep_a_drop_over_a_block_of_followers(spark):
+    kind = "brand string, category string, size string"
+    drops = spark.createDataFrame([("b", "c", "S", p, 10.0 + p, 20.0) for p in range(90)], f"{kind}, product_id long, price_after double, discount_pct double")
+    ceilings = {u: None if u % 3 else u / 10 for u in range(1000)}
+    wanted = spark.createDataFrame([("b", "c", "S", u, c) for u, c in ceilings.items()], f"{kind}, user_id long, price_ceiling double")
+    found = [(r.product_id, r.user_id) for r in capture.meet(drops, wanted, slices=2, block=64).collect()]
+    assert sorted(found) == [(p, u) for p in range(90) for u, c in ceilings.items() if c is None or 10.0 + p <= c]
+    runs = 1 + sum(a[0] != b[0] for a, b in zip(found, found[1:]))
+    assert runs <= 90 * (1000 // 64 + 2)  # as many as there are blocks; a written column then repeats itself
