@@ -136,3 +136,13 @@ def test_alerts_are_written_as_drops_and_subscribers(spark, sf, monkeypatch):
     monkeypatch.setattr(S.C, "alert_batches", lambda match, path: wrote.append(path) or batches(match, path))
     found = S.m04_stream_alerts(spark, sf)
     assert "user_id" not in spark.read.parquet(wrote[0]).columns and found.count() == found.distinct().count() > 0
+
+
+def test_streamed_alerts_keep_a_drop_over_its_followers(spark):
+    from pyspark.sql import functions as F
+
+    from stallwatch.plans import streaming_catalog as S
+
+    found = S.m04_stream_alerts(spark, "/root/testdata/sf0.01").withColumn("slice", F.pmod(F.xxhash64("user_id"), F.lit(8)))
+    told = [tuple(r) for r in found.select("product_id", "brand", "category", "size", "price_after", "discount_pct", "slice").collect()]
+    assert len(told) > 1000 and 1 + sum(a != b for a, b in zip(told, told[1:])) == len(set(told))
